@@ -11,7 +11,7 @@ from regwise.functions.text import clean_title, core, strip
 
 def publisher_of(title: Column) -> Column:
     """Agency that opens the title, blank when the title names none."""
-    return F.regexp_extract(clean_title(title), R.PUBLISHER, 1)
+    return F.regexp_extract(clean_title(title), "(?U)" + R.PUBLISHER, 1)
 
 
 def stage_of(title: Column) -> Column:
@@ -33,7 +33,7 @@ def keeps_stage(declared: Column, title: Column) -> Column:
 
 
 def bracket_of(title: Column) -> Column:
-    return strip(F.regexp_extract(F.coalesce(title, F.lit("")), R.BRACKET, 1))
+    return strip(F.regexp_extract(F.coalesce(title, F.lit("")), "(?U)" + R.BRACKET, 1))
 
 
 def parse_source(text: Column) -> Column:

@@ -44,7 +44,7 @@ def split_units(c: Column) -> Column:
 
 
 def clean_title(title: Column) -> Column:
-    return strip(F.regexp_replace(F.coalesce(title, F.lit("")), R.TITLE_PREFIX, ""))
+    return strip(F.regexp_replace(F.coalesce(title, F.lit("")), "(?U)" + R.TITLE_PREFIX, ""))
 
 
 def split_badges(name: Column) -> Column:

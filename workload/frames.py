@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from regwise.operators.places import places_dim
+from regwise.plans.clean import clean
 from regwise.session import durable
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -323,6 +324,19 @@ class Frames:
         self.spark, self.sf_dir = spark, sf_dir
         self._made: dict[str, DataFrame] = {}
 
+    def cleaned(self, field: str = "proc"):
+        """The clean-up of one field, run once; its units are a written table."""
+        key = f"cleaned_{field}"
+        if key not in self._made:
+            done = clean(self.records, self.places, field)
+            done.units = durable(done.units, "units")
+            self._made[key] = done
+        return self._made[key]
+
+    @property
+    def units(self) -> DataFrame:
+        return self.cleaned().units
+
     @property
     def places(self) -> DataFrame:
         """The place dictionary, written once because every rule joins it."""
@@ -356,3 +370,14 @@ def frame_ctes(*names: str) -> list[tuple[str, str]]:
     for n in names:
         add(n)
     return out
+
+
+_open: dict[tuple, Frames] = {}
+
+
+def frames_for(spark: SparkSession, sf_dir: str) -> Frames:
+    """One ``Frames`` per session and folder, so written intermediates are shared."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    if key not in _open:
+        _open[key] = Frames(spark, sf_dir)
+    return _open[key]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from workload.frames import Frames
+from workload.frames import frames_for
 from workload.oracle import sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,7 +17,7 @@ def query(name: str, check: str | None = None):
     """Register ``fn(frames)`` under ``name``; ``check`` is its DuckDB query."""
 
     def wrap(fn):
-        QUERIES[name] = lambda spark, sf_dir: fn(Frames(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(frames_for(spark, sf_dir))
         if check is not None:
             CHECKS[name] = sql(check)
         return fn
