@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from regwise import rules as R
 from regwise.functions.text import normalize, split_units, strip
 from regwise.operators.places import judge
+from regwise.session import durable
 
 KEY = ("prov_code", "city_code", "name")
 
@@ -71,8 +72,12 @@ def spelling_stats(rows: DataFrame) -> DataFrame:
 
 
 def judged_spellings(rows: DataFrame, places: DataFrame, misplaced: DataFrame | None = None) -> DataFrame:
-    """Spelling statistics with city, area, function and drop reason."""
-    return judge(spelling_stats(rows), places, misplaced)
+    """Spelling statistics with city, area, function and drop reason.
+
+    The result is a written table: every later step filters on the drop
+    reason, and pushing that filter below the rules would repeat them.
+    """
+    return durable(judge(spelling_stats(rows), places, misplaced), "spellings")
 
 
 def drop_report(dropped: DataFrame, top: int = 15) -> DataFrame:

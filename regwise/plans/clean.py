@@ -29,7 +29,7 @@ def clean(records: DataFrame, places: DataFrame, field: str = "proc", module: in
     shared folder, and the remaining steps branch off that small table.
     """
     rows = select_field(select_module(records, module), field)
-    judged = durable(judged_spellings(rows, places, misplaced), "spellings")
+    judged = judged_spellings(rows, places, misplaced)
     kept = apply_canonical(judged.filter(F.col("drop_reason").isNull()))
     dropped = judged.filter(F.col("drop_reason").isNotNull())
     recovered = recover_truncated(kept, dropped)

@@ -2,6 +2,6 @@
 
 
 def all_queries():
-    from workload import q_clean, q_scalar  # noqa: F401 - they register on import
+    from workload import q_clean, q_master, q_scalar  # noqa: F401 - they register on import
     from workload.registry import CHECKS, QUERIES
     return dict(QUERIES), dict(CHECKS)

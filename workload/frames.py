@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from regwise.operators.places import places_dim
+from regwise.operators.spellings import judged_spellings, select_field
 from regwise.plans.clean import clean
 from regwise.session import durable
 
@@ -308,12 +309,35 @@ JOIN {customer} c ON o.o_custkey = c.c_custkey
 JOIN {area} a ON a.city_ord = c.c_nationkey AND a.district_ord = o.o_custkey % 4
 """
 
+# Human decisions on merging two units of one area.
+FRAMES["merges"] = """
+SELECT a.prov_code, a.city_name AS city, '市本级' AS area, a.city_name || '安环局' AS unit,
+       a.city_name || '生态环境局' AS merge_into, CASE WHEN a.city_ord % 3 = 2 THEN '' ELSE '是' END AS confirmed
+FROM {area} a WHERE a.district_ord = 0
+"""
+
+# Master table of an earlier run: partly still valid, partly gone, one extra column.
+FRAMES["previous"] = """
+SELECT CASE a.prov_code WHEN '320000' THEN 'JS' WHEN '330000' THEN 'ZJ' WHEN '340000' THEN 'AH' ELSE substr(a.prov_code, 1, 2) END
+         || lpad(CAST(a.city_ord * 4 + a.district_ord + 1 AS STRING), 4, '0') AS unit_uid,
+       a.prov_code, a.city_code,
+       CASE a.district_ord WHEN 0 THEN a.city_name || '|市本级|生态环境' WHEN 1 THEN a.city_name || '|市本级|行政审批'
+            WHEN 2 THEN a.city_name || '|市本级|安环局' ELSE a.city_name || '|市本级|撤销' END AS function_key,
+       CASE a.district_ord WHEN 0 THEN a.city_name || '生态环境局' WHEN 1 THEN a.city_name || '行政审批局'
+            WHEN 2 THEN a.city_name || '安环局' ELSE a.city_name || '撤销局' END AS name_from_source,
+       CASE a.district_ord WHEN 0 THEN '正式名' || a.city_code ELSE '' END AS name_canonical,
+       CASE WHEN a.city_ord % 4 = 0 THEN '改名' ELSE '' END AS name_status,
+       'G' || a.city_code AS group_id, CAST(a.city_ord + 1 AS STRING) AS record_count,
+       '生态环境' AS role, '实爬' || CAST(a.district_ord AS STRING) AS crawl_note
+FROM {area} a
+"""
+
 # What each frame is built from.
 PARENTS = {
     "area": ("nation", "region"), "records": ("orders", "customer", "area"),
     "notices": ("lineitem", "orders", "customer", "area"), "entry_log": ("supplier", "area"),
     "curated": ("entry_log",), "channels": ("area",), "zones": ("area",), "attachments": ("lineitem",),
-    "projects": ("notices", "area"), "notice_pages": ("orders", "customer", "area"),
+    "projects": ("notices", "area"), "merges": ("area",), "previous": ("area",), "notice_pages": ("orders", "customer", "area"),
 }
 
 
@@ -333,6 +357,12 @@ class Frames:
             self._made[key] = done
         return self._made[key]
 
+    @property
+    def judged(self) -> DataFrame:
+        if "judged" not in self._made:
+            self._made["judged"] = judged_spellings(select_field(self.records), self.places)
+        return self._made["judged"]
+
     @property
     def units(self) -> DataFrame:
         return self.cleaned().units
@@ -352,7 +382,8 @@ class Frames:
                 self._made[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             else:
                 parents = {p: getattr(self, p) for p in PARENTS[name]}
-                self._made[name] = self.spark.sql(FRAMES[name], **parents)
+                # written once: the frames stand for input files that are read many times
+                self._made[name] = durable(self.spark.sql(FRAMES[name], **parents), name)
         return self._made[name]
 
 

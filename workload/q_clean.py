@@ -71,7 +71,7 @@ def drop_reason_q(f: Frames):
 @query("flt_07_truncation_gate", f"""SELECT prov_code, city_code, name FROM proc_judged WHERE drop_reason IS NOT NULL AND length(name) >= 3
   AND county <> '' AND {O.has('name', R.TRUNCATABLE)}""")
 def truncation_gate_q(f: Frames):
-    judged = S.judged_spellings(S.select_field(f.records), f.places)
+    judged = f.judged
     return judged.filter(c("drop_reason").isNotNull() & (c("county") != "") & A.may_be_truncated(c("name"))).select("prov_code", "city_code", "name")
 
 
@@ -122,13 +122,13 @@ def unique_district_q(f: Frames):
 
 @query("jon_04_canonical_zones", "SELECT prov_code, city, area, canonical FROM proc_canon")
 def canonical_q(f: Frames):
-    kept = S.judged_spellings(S.select_field(f.records), f.places).filter("drop_reason IS NULL")
+    kept = f.judged.filter("drop_reason IS NULL")
     return UN.canonical_zones(kept.groupBy("prov_code", "city", "area").agg(F.sum("n").alias("n")))
 
 
 @query("jon_05_truncation_recovery", "SELECT prov_code, city_code, name, city, area, function FROM proc_found")
 def recovery_q(f: Frames):
-    judged = S.judged_spellings(S.select_field(f.records), f.places)
+    judged = f.judged
     kept = UN.apply_canonical(judged.filter("drop_reason IS NULL"))
     return (UN.recover_truncated(kept, judged.filter("drop_reason IS NOT NULL"))
             .select("prov_code", "city_code", "name", "city", "area", "function"))
