@@ -75,10 +75,9 @@ def notice_date(title: Column) -> Column:
 
 
 def notice_date_value(title: Column) -> Column:
-    part = lambda i: F.try_to_number(
-        blank_as_null(F.regexp_extract(title, R.NOTICE_DATE, i)), F.lit("9999")).cast("int")
-    return F.try_make_date(part(1), part(2), part(3)) if hasattr(F, "try_make_date") \
-        else F.make_date(part(1), part(2), part(3))
+    """The date written in a title, null when there is none or it does not exist."""
+    parts = [F.regexp_extract(title, R.NOTICE_DATE, i) for i in (1, 2, 3)]
+    return F.try_to_date(F.nullif(F.concat_ws("-", *parts), F.lit("--")), "yyyy-M-d")
 
 
 def variants_of(joined: Column) -> Column:

@@ -1,10 +1,21 @@
-"""Attributing channel notices to agencies."""
+"""Attributing channel notices to agencies.
+
+``titles`` frames have prov_code, city (— for channels of the whole province),
+city_code, url and title; ``units`` carry function_key and record_count.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from regwise import rules as R
+from regwise.functions.collections import counted
+from regwise.functions.notice import publisher_of, stage_of
+from regwise.functions.text import function_key, half_width_brackets, normalize
+from regwise.operators.places import locate, with_function
+from regwise.operators.units import spelling_rows
+
 
 def found_note(day: Column, n: Column) -> Column:
     return F.concat(day, F.lit(" 拉栏目标题核实：该单位在此栏目发布受理公告 "), n.cast("string"), F.lit(" 条"))
@@ -13,3 +24,166 @@ def found_note(day: Column, n: Column) -> Column:
 def missing_note(day: Column, pages: int) -> Column:
     return F.concat(day, F.lit(f"：市局受理栏目近 {pages} 页里没有该单位发布的受理公告，"
                                "可能在区县门户单独发布，未定位，不填地址"))
+
+
+def accepted(titles: DataFrame) -> DataFrame:
+    """Notices of the first stage only."""
+    return titles.filter(stage_of(F.col("title")) == R.STAGES[0])
+
+
+def publisher_keys(titles: DataFrame, places: DataFrame) -> DataFrame:
+    """Distinct (prov_code, city, city_code, publisher) with the key its wording leads to."""
+    named = (titles.select("prov_code", "city", "city_code", publisher_of(F.col("title")).alias("publisher")).distinct()
+             .filter(F.col("publisher") != "").withColumn("name", normalize(F.col("publisher"))))
+    placed = locate(named.withColumnRenamed("city", "channel_city"), places, county=None)
+    keyed = with_function(placed, places).withColumn("key", F.when(F.col("area").isNotNull(), function_key(
+        F.col("city"), F.col("area"), F.col("function"))))
+    return keyed.select("prov_code", F.col("channel_city").alias("city"), "city_code", "publisher", "name", "key")
+
+
+def first_by_key(units: DataFrame) -> DataFrame:
+    """One unit per function key: the largest, then by name."""
+    return (units.groupBy("prov_code", "function_key").agg(
+        F.min_by(F.struct("city", "area", "unit", "record_count"), F.struct((-F.col("record_count")).alias("a"), F.col("unit"))).alias("u"))
+        .select("prov_code", "function_key", "u.*"))
+
+
+def names_to_keys(units: DataFrame) -> DataFrame:
+    """(prov_code, city, plain spelling) to the function key of the largest unit using it."""
+    rows = spelling_rows(units).withColumn("plain", half_width_brackets(normalize(F.col("name"))))
+    return rows.groupBy("prov_code", "city", "plain").agg(
+        F.min_by("function_key", F.struct((-F.col("record_count")).alias("a"), F.col("unit"), F.col("pos"))).alias("named_key"))
+
+
+def attribute(titles: DataFrame, units: DataFrame, places: DataFrame) -> DataFrame:
+    """Function key of each title's publisher, null where the channel's owner takes it.
+
+    The key from the wording wins when the unit list knows it, then the
+    (city, spelling) pair. Publishers are resolved once per distinct text.
+    """
+    known = units.select("prov_code", F.col("function_key").alias("key"), F.lit(True).alias("_known")).distinct()
+    resolved = (publisher_keys(titles, places).join(known, ["prov_code", "key"], "left")
+                .withColumn("plain", half_width_brackets(F.col("name")))
+                .join(names_to_keys(units), ["prov_code", "city", "plain"], "left")
+                .select("prov_code", "city", "city_code", "publisher",
+                        F.when(F.col("_known"), F.col("key")).otherwise(F.col("named_key")).alias("unit_key")))
+    return (titles.withColumn("publisher", publisher_of(F.col("title")))
+            .join(resolved, ["prov_code", "city", "city_code", "publisher"], "left"))
+
+
+def owners(units: DataFrame) -> DataFrame:
+    """Owner of a city's channels: its largest city-level environment unit (of the province: provincial level)."""
+    level = F.when(F.col("city") == R.NO_CITY, R.PROVINCIAL).otherwise(R.CITY_LEVEL)
+    return (units.filter((F.col("area") == level) & (F.col("role") == R.ECO_FUNCTION)).groupBy("prov_code", "city")
+            .agg(F.min_by(F.struct("area", "unit"), F.struct((-F.col("record_count")).alias("a"), F.col("unit"))).alias("o"))
+            .select("prov_code", "city", function_key(F.col("city"), F.col("o.area"), F.lit(R.ECO_FUNCTION)).alias("owner_key"),
+                    F.col("o.unit").alias("owner")))
+
+
+def channel_hits(titles: DataFrame, units: DataFrame, places: DataFrame) -> DataFrame:
+    """(prov_code, unit_key, url, n): notices per unit and channel, the unnamed rest counted for the owner."""
+    counts = (attribute(accepted(titles), units, places).groupBy("prov_code", "city", "url", "unit_key").agg(F.count(F.lit(1)).alias("n")))
+    credited = (counts.join(owners(units).select("prov_code", "city", "owner_key"), ["prov_code", "city"], "left")
+                .withColumn("unit_key", F.coalesce("unit_key", "owner_key")).filter(F.col("unit_key").isNotNull()))
+    return credited.groupBy("prov_code", "unit_key", "url").agg(F.sum("n").alias("n"))
+
+
+def channel_table(channels: DataFrame) -> DataFrame:
+    """Per city the address of each stage (a mixed channel stands in) and the home page."""
+    wide = channels.groupBy("prov_code", "city").pivot("stage", [*R.STAGES, R.MIXED_STAGE]).agg(F.first("url"))
+    home = channels.groupBy("prov_code", "city").agg(F.min_by("home", "url").alias("home"))
+    pick = lambda s: F.coalesce(F.col(s), F.col(R.MIXED_STAGE))
+    a, b, d = R.STAGES
+    return wide.join(home, ["prov_code", "city"]).select(
+        "prov_code", "city", pick(a).alias("accept_url"), pick(b).alias("proposal_url"), pick(d).alias("decision_url"), "home")
+
+
+def unit_entries(units: DataFrame, hits: DataFrame, channels: DataFrame, day: str, pages: int = 40) -> DataFrame:
+    """Entry line of every unit: verified in its busiest channel, a mere publisher, or not found."""
+    best = hits.groupBy("prov_code", F.col("unit_key").alias("function_key")).agg(
+        F.max_by("url", F.struct("n", "url")).alias("_url"), F.max("n").alias("_n"))
+    joined = (units.join(best, ["prov_code", "function_key"], "left")
+              .join(channel_table(channels), ["prov_code", "city"], "left"))
+    other, found = F.col("role") == R.OTHER_ROLE, F.col("_url").isNotNull()
+    on = lambda value: F.when(~other & found, F.coalesce(value, F.lit(""))).otherwise("")
+    d = F.lit(day)
+    return joined.select(
+        "prov_code", "city", "area", "unit", on(F.col("home")).alias("home_url"), on(F.col("_url")).alias("entry_url"),
+        on(F.col("proposal_url")).alias("proposal_url"), on(F.col("decision_url")).alias("decision_url"),
+        F.when(other, "其他部门只是公告发布渠道；本单位官网未查，不填").when(found, found_note(d, F.col("_n")))
+        .otherwise(missing_note(d, pages)).alias("note"),
+        F.when(other, R.NO_CHANNEL).when(found, R.VERIFIED).otherwise(R.UNVERIFIED).alias("verify_status"), d.alias("verify_date"))
+
+
+def publisher_tally(titles: DataFrame, units: DataFrame, places: DataFrame) -> DataFrame:
+    """Per function key the wordings under which the unit publishes, as ``name(n) / …``."""
+    hit = attribute(accepted(titles), units, places).filter(F.col("unit_key").isNotNull())
+    n = hit.groupBy("prov_code", "unit_key", "publisher").agg(F.count(F.lit(1)).alias("n"))
+    return n.groupBy("prov_code", "unit_key").agg(
+        counted(F.collect_list(F.struct(F.col("publisher").alias("key"), "n")), form="%s(%d)").alias("portal_publisher"))
+
+
+def location_hints(projects: DataFrame, top: int = 3) -> DataFrame:
+    """Per (city, publisher) the most frequent project districts, in order."""
+    n = (projects.filter((F.col("publisher") != "") & (F.col("project_district") != ""))
+         .groupBy("prov_code", "city", "city_code", normalize(F.col("publisher")).alias("name"), "project_district")
+         .agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("ord")))
+    order = Window.partitionBy("prov_code", "city", "name").orderBy(F.desc("n"), "ord")
+    return n.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top).drop("ord")
+
+
+def attribute_with_hints(projects: DataFrame, units: DataFrame, places: DataFrame) -> DataFrame:
+    """Unit key of each (city, publisher): without a hint first, then with its usual project districts."""
+    seen = (projects.filter(F.col("publisher") != "")
+            .groupBy("prov_code", "city", "city_code", normalize(F.col("publisher")).alias("name")).agg(F.count(F.lit(1)).alias("n")))
+    bare = seen.select("prov_code", "city", "city_code", "name", F.lit("").alias("county"), F.lit(0).cast("long").alias("rank"))
+    hinted = location_hints(projects).select("prov_code", "city", "city_code", "name", F.col("project_district").alias("county"), "rank")
+    tries = locate(bare.unionByName(hinted).withColumnRenamed("city", "channel_city"), places)
+    keyed = (with_function(tries, places).filter(F.col("area").isNotNull())
+             .withColumn("function_key", function_key(F.col("city"), F.col("area"), F.col("function"))))
+    known = keyed.join(units.select("prov_code", "function_key").distinct(), ["prov_code", "function_key"], "left_semi")
+    best = known.groupBy("prov_code", F.col("channel_city").alias("city"), "name").agg(F.min_by("function_key", "rank").alias("unit_key"))
+    return seen.join(best, ["prov_code", "city", "name"], "left")
+
+
+def county_channel_hits(titles: DataFrame, units: DataFrame, places: DataFrame) -> DataFrame:
+    """Hits of county portals: (prov_code, unit_key, url, n).
+
+    ``titles`` also has district_short, column_title, link_text, source_title
+    and page_text of the channel. A city-level publisher on a county portal
+    that names the county stands for the county unit; unnamed notices go to the
+    channel's owner: its most frequent publisher, else the county's environment
+    unit when the page points to it.
+    """
+    keys = publisher_keys(titles, places).select("prov_code", "city", "city_code", "publisher", "key")
+    rows = (titles.withColumn("publisher", publisher_of(F.col("title")))
+            .join(keys, ["prov_code", "city", "city_code", "publisher"], "left"))
+    from regwise.functions.notice import stage_of as stage
+    accept = stage(F.col("title")) == R.STAGES[0]
+    per_key = ["prov_code", "city", "district_short", "url"]
+    by_key = rows.groupBy(*per_key, "key").agg(F.count(F.lit(1)).alias("all"), F.count_if(accept).alias("n"), F.min("ord").alias("ord"))
+    facts = rows.groupBy(*per_key).agg(
+        F.bool_or(F.col("column_title").contains(F.col("district_short")) | (accept & F.col("title").contains(F.col("district_short"))))
+        .alias("names_county"),
+        F.bool_or(F.concat("column_title", "link_text", "source_title").rlike(R.ECO_PAGE)
+                  | F.col("page_text").contains(F.concat("district_short", F.lit("分局")))
+                  | F.col("page_text").contains(F.concat(F.lit("生态环境局"), F.col("district_short")))).alias("eco_page"))
+    main = (by_key.filter(F.col("key").isNotNull()).groupBy(*per_key)
+            .agg(F.max_by("key", F.struct("all", (-F.col("ord")).alias("o"))).alias("main_key")))
+    eco = F.lit(R.ECO_FUNCTION)
+    staged = (by_key.join(facts, per_key).join(main, per_key, "left")
+              .withColumn("city_key", function_key(F.col("city"), F.lit(R.CITY_LEVEL), eco))
+              .withColumn("county_key", function_key(F.col("city"), F.col("district_short"), eco))
+              .withColumn("_key", F.coalesce("key", "main_key", F.when(F.col("eco_page"), F.col("county_key")))))
+    known = units.select("prov_code", "function_key").distinct()
+    has_county = known.select("prov_code", F.col("function_key").alias("county_key"), F.lit(True).alias("_county"))
+    owned = staged.join(has_county, ["prov_code", "county_key"], "left").withColumn(
+        "function_key", F.when((F.col("_key") == F.col("city_key")) & F.col("_county") & F.col("names_county"), F.col("county_key"))
+        .otherwise(F.col("_key")))
+    return (owned.filter(F.col("n") > 0).join(known, ["prov_code", "function_key"], "left_semi")
+            .groupBy("prov_code", "city", "district_short", F.col("function_key").alias("unit_key"), "url").agg(F.sum("n").alias("n")))
+
+
+def with_silent_portals(jobs: DataFrame, hits: DataFrame) -> DataFrame:
+    """Every (city, district, portal) job keeps at least one row, blank where nothing was found."""
+    return jobs.join(hits, ["prov_code", "city", "district_short"], "left").na.fill("", ["unit_key", "url"]).na.fill(0, ["n"])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from regwise import rules as R
 from regwise.functions.text import strip, variants_of
+from regwise.operators.spellings import iso_date
 
 
 def target_units(master: DataFrame, statuses: list[str]) -> DataFrame:
@@ -22,10 +23,10 @@ def evidence_samples(units: DataFrame, records: DataFrame, days: int = 20, per_u
     residual condition, and the ranking keeps only the best rows before its
     shuffle (``row_number() <= k``).
     """
-    names = units.select("unit_uid", "city_code", F.to_date("last_notice_date").alias("_end"),
+    names = units.select("unit_uid", "city_code", iso_date(F.col("last_notice_date")).alias("_end"),
                          F.explode(F.array_distinct(F.concat(F.array("name_from_source"), variants_of(F.col("name_variants"))))).alias("name"))
     notices = records.select("city_code", strip(F.col("process_department")).alias("name"), "ord",
-                             F.to_date(F.nullif(F.col("notice_date"), F.lit(""))).alias("_day"))
+                             iso_date(F.col("notice_date")).alias("_day"))
     hit = (names.join(notices, ["city_code", "name"])
            .filter((F.col("_day") <= F.col("_end")) & (F.col("_day") >= F.date_sub("_end", days))))
     order = Window.partitionBy("unit_uid").orderBy("ord")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regwise import rules as R
 from regwise.functions.text import strip
+from regwise.functions.url import host
+from regwise.session import durable
 
 
 def scope_names(scope: Column) -> Column:
@@ -17,3 +19,73 @@ def scope_names(scope: Column) -> Column:
 def whole_entry(scope: Column) -> Column:
     """The row stands for the whole entry, not for one district."""
     return (F.size(scope_names(scope)) > 1) | scope.isin("", R.CITY_LEVEL)
+
+
+def tally(df: DataFrame, keys: list[str], column: str, top: int = 6, to: str | None = None) -> DataFrame:
+    """Per key ``value(n)｜…`` of the ``top`` values, blanks ignored, with the number of values when cut."""
+    n = df.filter(F.coalesce(column, F.lit("")) != "").groupBy(*keys, F.col(column).alias("_v")).agg(F.sum("n").alias("_n"))
+    order = Window.partitionBy(*keys).orderBy(F.desc("_n"), "_v")
+    kinds = n.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kinds"))
+    best = (n.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= top).groupBy(*keys).agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_rank", "_v", "_n"))),
+                                 lambda x: F.concat(x["_v"], F.lit("("), x["_n"].cast("string"), F.lit(")"))), "｜").alias("_text")))
+    more = F.when(F.col("_kinds") > top, F.concat(F.lit("｜…共"), F.col("_kinds").cast("string"), F.lit("种"))).otherwise("")
+    return best.join(kinds, keys).select(*keys, F.concat("_text", more).alias(to or column))
+
+
+def slice_counts(projects: DataFrame) -> DataFrame:
+    """Project rows reduced to their distinct reported values with a count."""
+    return projects.groupBy("city", "entry_url", host(F.col("notice_url")).alias("host"), "publisher", "approval_district",
+                            "project_district", "location", "radiation").agg(F.count(F.lit(1)).alias("n"))
+
+
+def match_slices(targets: DataFrame, projects: DataFrame) -> DataFrame:
+    """Project value groups that belong to each target row.
+
+    ``targets`` has row_id, city, scope, entry_url and zone_name. The pool is
+    the exact entry, else the same host and city. Inside the pool the first
+    tier with a hit counts: whole entry, approval district, project district,
+    zone name in the address, or the whole pool of an entry that only this row
+    uses and that only its own host fed. Tiers are a ranked union, and only
+    matching rows leave the equi-joins.
+    """
+    values = durable(slice_counts(projects), "slices")
+    entry_host = host(F.col("entry_url"))
+    rows = targets.filter(F.col("entry_url") != "").withColumn("_whole", whole_entry(F.col("scope")))
+    key = F.regexp_replace(F.coalesce(F.get(scope_names(F.col("scope")), F.lit(0)), F.lit("")), "区$", "")
+    key = F.regexp_replace(F.regexp_replace(key, "县$", ""), "市$", "")
+    bare_city = F.regexp_replace("city", "市$", "")
+    zone = F.when(F.col("zone_name").startswith(bare_city), F.substring("zone_name", F.length(bare_city) + 1, F.length("zone_name"))).otherwise(
+        F.col("zone_name"))
+    uses = rows.groupBy("entry_url").agg(F.count(F.lit(1)).alias("_uses"))
+    rows = (rows.withColumn("_key", key).withColumn("_zone", zone).withColumn("_host", entry_host).join(uses, "entry_url")
+            .select("row_id", "city", "entry_url", "_whole", "_key", "_zone", "_host", "_uses"))
+    exact_urls = values.select("entry_url").distinct().withColumn("_exact", F.lit(True))
+    rows = durable(rows.join(exact_urls, "entry_url", "left").withColumn("_exact", F.coalesce("_exact", F.lit(False))), "targets")
+    v = values.select("city", "entry_url", F.col("host").alias("_host"), "publisher", "approval_district", "project_district",
+                      "location", "radiation", "n")
+    exact = rows.filter("_exact").drop("city").join(v.withColumnRenamed("_host", "host"), "entry_url")
+    near = rows.filter("NOT _exact").drop("entry_url").join(v.drop("entry_url"), ["city", "_host"]).withColumn("host", F.col("_host"))
+    cols = ["row_id", "_whole", "_key", "_zone", "_host", "_uses", "host", "publisher", "approval_district", "project_district",
+            "location", "radiation", "n"]
+    pool = exact.select(*cols).unionByName(near.select(*cols))
+    foreign = pool.groupBy("row_id").agg(F.bool_and(F.col("host") == F.col("_host")).alias("_own"))
+    tier = (F.when(F.col("_whole"), 0).when(F.col("approval_district") == F.col("_key"), 1)
+            .when(F.col("project_district") == F.col("_key"), 2)
+            .when((F.length("_zone") >= 4) & F.col("location").contains(F.col("_zone")), 3)
+            .when(F.col("_uses") == 1, 4))
+    ranked = pool.withColumn("_tier", tier).filter(F.col("_tier").isNotNull())
+    best = ranked.join(foreign, "row_id").filter((F.col("_tier") < 4) | F.col("_own"))
+    first = best.groupBy("row_id").agg(F.min("_tier").alias("_first"))
+    # an entry used by one row hands over everything, also rows that match no earlier tier
+    return (best.join(first, "row_id").filter((F.col("_tier") == F.col("_first")))
+            .select("row_id", F.col("_tier").alias("tier"), "publisher", "approval_district", "project_district", "radiation", "n"))
+
+
+def extract_columns(targets: DataFrame, projects: DataFrame) -> DataFrame:
+    """The four reported columns of each target row as tallies."""
+    hit = durable(match_slices(targets, projects), "matched")
+    out = hit.select("row_id").distinct()
+    for column, top in (("publisher", 6), ("approval_district", 6), ("project_district", 10), ("radiation", 2)):
+        out = out.join(tally(hit, ["row_id"], column, top), "row_id", "left")
+    return out.na.fill("")

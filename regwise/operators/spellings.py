@@ -6,11 +6,10 @@ the (far smaller) spelling table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regwise import rules as R
-from regwise.functions.text import normalize, split_units, strip
+from regwise.functions.text import normalize, split_units
 from regwise.operators.places import judge
 from regwise.session import durable
 
@@ -40,7 +39,7 @@ def select_field(records: DataFrame, field: str = "proc") -> DataFrame:
 
 def iso_date(c: Column) -> Column:
     """Date of an ISO text, null for blanks (fixed-width, so it aggregates in hash tables)."""
-    return F.try_to_date(F.nullif(c, F.lit("")), "yyyy-MM-dd") if hasattr(F, "try_to_date") else F.to_date(c)
+    return F.try_to_date(F.nullif(c, F.lit("")), "yyyy-MM-dd")
 
 
 def count_blank(rows: DataFrame) -> DataFrame:
@@ -85,7 +84,6 @@ def drop_report(dropped: DataFrame, top: int = 15) -> DataFrame:
 
     A spelling that several cities asked for counts once, with its sum.
     """
-    from pyspark.sql import Window
     per_name = dropped.groupBy("prov_code", "drop_reason", "name").agg(
         F.sum("n").alias("n"), F.min("first").alias("first"))
     totals = per_name.groupBy("prov_code", "drop_reason").agg(
@@ -94,11 +92,3 @@ def drop_report(dropped: DataFrame, top: int = 15) -> DataFrame:
     best = (per_name.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
             .select("prov_code", "drop_reason", "rank", "name", "n"))
     return best.join(totals, ["prov_code", "drop_reason"])
-
-
-def unit_list_text(c: Column) -> Column:
-    return F.array_join(c, R.VARIANT_SEP)
-
-
-__all__ = ["KEY", "select_module", "select_field", "spelling_stats", "judged_spellings", "drop_report",
-           "count_blank", "strip"]

@@ -13,7 +13,7 @@ from regwise.operators.places import (city_in, city_by_code, district_in, is_mis
 from regwise.sources import readers
 from workload import oracle as O
 from workload.frames import Frames
-from workload.q_scalar import distinct_names
+from workload.q_scalar import distinct_names, one_area_sql, one_function_sql, one_name_sql, one_reason_sql
 from workload.registry import query
 
 c = F.col
@@ -253,11 +253,14 @@ def completeness_q(f: Frames):
             .unionByName(kind(audit.missing_pairs(zone_labels(f.units, f.area, words_only=False), zones, ["city", "area"]), "unlisted", "city", "area")))
 
 
-O.relation("one_norm", "records", f"""SELECT name, ord, notice_date FROM (SELECT regexp_replace({O.strip('process_department')}, {O.q(R.ONE_CITY['section'])}, '') AS name,
-  ord, notice_date FROM records)""")
+O.relation("one_spell", "records", f"""SELECT *, {one_area_sql('name')} AS area, {one_function_sql('name')} AS function, {one_reason_sql('name')} AS reason FROM (
+  SELECT name, count(*) AS n, max(notice_date) AS last_date, min(ord) AS ord FROM
+    (SELECT {one_name_sql('process_department')} AS name, ord, notice_date FROM records) WHERE name <> '' GROUP BY 1)""")
 
 
-@query("agg_03_one_city_units", None)
+@query("agg_03_one_city_units", """SELECT names[1] AS unit, last_date, record_count, array_to_string(names[2:], ' / ') AS variants FROM (
+  SELECT list(name ORDER BY last_date DESC, n DESC, length(name) DESC, ord) AS names, max(last_date) AS last_date, sum(n)::BIGINT AS record_count
+  FROM one_spell WHERE reason IS NULL GROUP BY area, function)""")
 def one_city_q(f: Frames):
     from regwise.plans.one_city import clean_one_city
     return clean_one_city(f.records).select("unit", "last_date", "record_count", F.array_join("variants", R.VARIANT_SEP).alias("variants"))

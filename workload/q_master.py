@@ -352,7 +352,7 @@ def targets_q(f: Frames):
 @query("jon_25_evidence_window", f"""SELECT unit_uid, ord, rank FROM (
   SELECT t.unit_uid, r.ord, row_number() OVER (PARTITION BY t.unit_uid ORDER BY r.ord) AS rank FROM full_master t JOIN records r
     ON r.city_code = t.city_code AND {O.strip('r.process_department')} IN (SELECT unnest(list_append(string_split(t.name_variants, ' / '), t.name_from_source)))
-    AND r.notice_date <> '' AND CAST(r.notice_date AS DATE) BETWEEN CAST(t.last_notice_date AS DATE) - 20 AND CAST(t.last_notice_date AS DATE)
+    AND r.notice_date <> '' AND CAST(nullif(r.notice_date, '') AS DATE) BETWEEN CAST(nullif(t.last_notice_date, '') AS DATE) - 20 AND CAST(nullif(t.last_notice_date, '') AS DATE)
   WHERE t.verify_status IN ('未核实', '推断', '已核实') AND t.city_code <> '' AND t.last_notice_date <> '' AND {O.strip('r.process_department')} <> '') WHERE rank <= 5""")
 def window_q(f: Frames):
     from regwise.operators.samples import evidence_samples, target_units
@@ -363,7 +363,7 @@ def window_q(f: Frames):
 @query("win_13_samples_per_unit", f"""SELECT unit_uid, count(*) AS n FROM (
   SELECT t.unit_uid, row_number() OVER (PARTITION BY t.unit_uid ORDER BY r.ord) AS rank FROM full_master t JOIN records r
     ON r.city_code = t.city_code AND {O.strip('r.process_department')} IN (SELECT unnest(list_append(string_split(t.name_variants, ' / '), t.name_from_source)))
-    AND r.notice_date <> '' AND CAST(r.notice_date AS DATE) BETWEEN CAST(t.last_notice_date AS DATE) - 90 AND CAST(t.last_notice_date AS DATE)
+    AND r.notice_date <> '' AND CAST(nullif(r.notice_date, '') AS DATE) BETWEEN CAST(nullif(t.last_notice_date, '') AS DATE) - 90 AND CAST(nullif(t.last_notice_date, '') AS DATE)
   WHERE t.verify_status = '已核实' AND t.city_code <> '' AND t.last_notice_date <> '' AND {O.strip('r.process_department')} <> '') WHERE rank <= 3 GROUP BY 1""")
 def samples_q(f: Frames):
     from regwise.operators.samples import evidence_samples, target_units
