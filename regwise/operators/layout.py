@@ -2,13 +2,102 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regwise import rules as R
+from regwise.functions.text import core
+from regwise.operators.sequence import global_index, index_within
+from regwise.session import durable
 
 
 def confirmed_zone_map(zones: DataFrame) -> DataFrame:
     """(prov_code, city, area) of confirmed zones and the district they belong to."""
     return (zones.filter((F.col("confirmed") == R.YES) & (F.col("district_short") != ""))
             .select("prov_code", "city", F.col("source_label").alias("area"), "district_short"))
+
+
+def sheet_codes(area: DataFrame) -> DataFrame:
+    """Every code of the tree with its short names: province, cities, districts."""
+    blank = F.lit("")
+    one = lambda code, *names: area.select(F.col(code).alias("code"), *[
+        x.alias(n) for x, n in zip(names, ("prov_short", "city_short", "district_short"))]).distinct()
+    p, c, d = F.col("prov_short"), F.col("city_short"), F.col("district_short")
+    return one("prov_code", p, blank, blank).unionByName(one("city_code", p, c, blank)).unionByName(one("district_code", p, c, d))
+
+
+def code_lookup(area: DataFrame) -> DataFrame:
+    """(prov_code, city, area) to the code it stands for: levels, cores and short names."""
+    row = lambda city, a, code: area.select("prov_code", city.alias("city"), a.alias("area"), F.col(code).alias("code"))
+    name = F.col("city_name")
+    return (row(F.lit(R.NO_CITY), F.lit(R.PROVINCIAL), "prov_code").unionByName(row(name, F.lit(R.CITY_LEVEL), "city_code"))
+            .unionByName(row(name, core(F.col("district_name")), "district_code")).unionByName(row(name, F.col("district_short"), "district_code"))
+            .distinct().groupBy("prov_code", "city", "area").agg(F.max("code").alias("code")))
+
+
+def with_code(units: DataFrame, area: DataFrame, zones: DataFrame) -> DataFrame:
+    """Code of each unit, confirmed zones standing for their district; null when there is none."""
+    mapped = units.join(confirmed_zone_map(zones), ["prov_code", "city", "area"], "left")
+    lookup = code_lookup(area).withColumnRenamed("area", "_area")
+    return (mapped.withColumn("_area", F.coalesce("district_short", "area")).drop("district_short")
+            .join(lookup, ["prov_code", "city", "_area"], "left").drop("_area"))
+
+
+def sheet_layout(sheet: DataFrame, units: DataFrame, area: DataFrame, entries: DataFrame) -> DataFrame:
+    """The sheet's rows: each code once, its further units below it by record count.
+
+    ``sheet`` has code and ord. ``is_new`` marks inserted rows; a code without
+    units keeps one blank row. ``row_no`` is the position below the header.
+    """
+    codes = sheet.filter(F.col("code") != "").groupBy("code").agg(F.min("ord").alias("ord"))
+    url = entries.select("prov_code", "city", "unit", F.struct("home_url", "entry_url").alias("_e"))
+    placed = units.filter(F.col("code").isNotNull()).select("prov_code", "city", "unit", "area", "record_count", "code").join(
+        url, ["prov_code", "city", "unit"], "left")
+    ranked = index_within(placed, ["code"], [F.desc("record_count"), F.col("city"), F.col("unit"), F.col("area")], "pos")
+    blank = lambda c: F.coalesce(c, F.lit(""))
+    rows = (codes.join(ranked, "code", "left").join(sheet_codes(area), "code", "left")
+            .select("ord", "code", F.coalesce("pos", F.lit(1)).alias("pos"), blank(F.col("prov_short")).alias("prov_short"),
+                    blank(F.col("city_short")).alias("city_short"), blank(F.col("district_short")).alias("district_short"),
+                    blank(F.col("unit")).alias("unit"), blank(F.col("_e.home_url")).alias("home_url"), blank(F.col("_e.entry_url")).alias("entry_url")))
+    return (global_index(rows.withColumn("is_new", F.col("pos") > 1), [F.col("ord"), F.col("code"), F.col("pos")], "row_no")
+            .drop("ord", "pos"))
+
+
+def layout_issues(sheet: DataFrame, units: DataFrame, area: DataFrame) -> DataFrame:
+    """Codes without units, codes outside the tree, units without a code on the sheet."""
+    codes = sheet.filter(F.col("code") != "").select("code").distinct()
+    coded = units.filter(F.col("code").isNotNull())
+    kind = lambda df, k, key: df.select(F.lit(k).alias("kind"), key.alias("key"))
+    unit_key = F.concat_ws("|", "prov_code", "city", "area", "unit")
+    return (kind(codes.join(coded, "code", "left_anti"), "no_unit", F.col("code"))
+            .unionByName(kind(codes.join(sheet_codes(area), "code", "left_anti"), "not_in_tree", F.col("code")))
+            .unionByName(kind(units.filter(F.col("code").isNull()), "unmatched", unit_key))
+            .unionByName(kind(coded.join(codes, "code", "left_anti"), "unmatched", unit_key)))
+
+
+def capped_windows(daily: DataFrame, keys: list[str], start: Column, end: Column, cap: int, max_rounds: int = 32) -> DataFrame:
+    """Split date ranges in half until each holds fewer than ``cap`` rows.
+
+    ``daily`` has the keys, ``day`` and ``n``. Counts come from running totals
+    per key, two equi-joins per round; rounds end when no range is split, at
+    most log2(days). A single day at the cap stays and is flagged ``over_cap``.
+    """
+    # running totals hold one row per key and day, not per record
+    upto = durable(daily.groupBy(*keys, "day").agg(F.sum("n").alias("n")), "daily")
+    rows = durable(upto.select(*keys).distinct().select(*keys, start.alias("d0"), end.alias("d1")), "windows")
+    done = None
+    for _ in range(max_rounds):
+        days = rows.withColumn("_day", F.explode(F.sequence("d0", "d1", F.expr("interval 1 day"))))
+        counted = (days.join(upto.select(*keys, F.col("day").alias("_day"), "n"), [*keys, "_day"], "left")
+                   .groupBy(*keys, "d0", "d1").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")))
+        counted = durable(counted, "windows")
+        full = (F.col("n") >= cap) & (F.col("d0") < F.col("d1"))
+        kept = counted.filter(~full).withColumn("over_cap", F.col("n") >= cap)
+        done = kept if done is None else done.unionByName(kept)
+        middle = F.date_add("d0", F.floor(F.datediff("d1", "d0") / 2).cast("int"))
+        halves = F.array(F.struct(F.col("d0").alias("d0"), middle.alias("d1")),
+                         F.struct(F.date_add(middle, 1).alias("d0"), F.col("d1").alias("d1")))
+        rows = counted.filter(full).select(*keys, F.explode(halves).alias("h")).select(*keys, "h.d0", "h.d1")
+        if rows.isEmpty():
+            break
+    return done

@@ -11,14 +11,14 @@ from regwise.functions.entities import unescape, unescape_all
 from regwise.functions.notice import attachment_label, is_attachment, is_report, parse_source
 from regwise.functions.text import squash, strip
 from regwise.functions.url import column_of, host, is_government, resolve, url_prefix
-from regwise.session import durable
+from regwise.session import durable, once
 
 
 def raw_anchors(pages: DataFrame) -> DataFrame:
     """One row per anchor: page_id, page_url, pos, its opening tag and inner markup."""
     each = pages.select("page_id", F.col("url").alias("page_url"), F.posexplode(P.anchors(F.col("html"))).alias("pos", "anchor"))
-    return each.select("page_id", "page_url", F.col("pos").cast("long").alias("pos"),
-                       P.anchor_tag(F.col("anchor")).alias("tag"), P.anchor_inner(F.col("anchor")).alias("inner"))
+    parts = once(each, tag=P.anchor_tag(F.col("anchor")), inner=P.anchor_inner(F.col("anchor")))
+    return parts.select("page_id", "page_url", F.col("pos").cast("long").alias("pos"), "tag", "inner")
 
 
 def extract_links(pages: DataFrame) -> DataFrame:
@@ -45,9 +45,9 @@ def extract_anchors(pages: DataFrame) -> DataFrame:
     attr = F.regexp_extract("tag", "title=[\"']([^\"']+)", 1)
     text = P.page_text(F.col("inner"))
     cut = (F.length(text) < 2) | text.endswith("...") | text.endswith("…")
-    return (raw_anchors(pages).withColumn("href", href).filter("href <> ''")
-            .select("page_id", "page_url", "pos", F.when((attr != "") & cut, attr).otherwise(text).alias("text"),
-                    F.regexp_replace(resolve(F.col("page_url"), strip(F.col("href"))), "(?s)\\?t=_blank.*$", "").alias("url")))
+    linked = once(raw_anchors(pages).filter(href != ""), text=F.when((attr != "") & cut, attr).otherwise(text),
+                  url=F.regexp_replace(resolve(F.col("page_url"), strip(href)), "(?s)\\?t=_blank.*$", ""))
+    return linked.select("page_id", "page_url", "pos", "text", "url")
 
 
 def notice_links(links: DataFrame, pattern: str) -> DataFrame:
@@ -114,9 +114,9 @@ def candidate_columns(anchors: DataFrame, site: str = "page_url") -> DataFrame:
     own = anchors.filter((F.col("text") != "") & (host(F.col("url")) == host(F.col("page_url"))))
     is_notice = F.col("text").rlike(R.NOTICE_TEXT)
     by_text = (F.length("text") <= 24) & ~F.col("url").rlike(R.SKIP_LINK) & F.col("text").rlike(R.CHANNEL_TEXT)
-    picked = own.select(F.col(site).alias("site"), "page_id", "pos",
-                        F.when(is_notice, F.nullif(column_of(F.col("url")), F.lit(""))).when(by_text, F.col("url")).alias("column_url"),
-                        F.when(is_notice, F.concat(F.lit("公告："), F.substring("text", 1, 30))).otherwise(F.col("text")).alias("evidence"))
+    picked = once(own.select(F.col(site).alias("site"), "page_id", "pos", "text", "url"),
+                  column_url=F.when(is_notice, F.nullif(column_of(F.col("url")), F.lit(""))).when(by_text, F.col("url")),
+                  evidence=F.when(is_notice, F.concat(F.lit("公告："), F.substring("text", 1, 30))).otherwise(F.col("text")))
     found = picked.filter(F.col("column_url").isNotNull())
     return found.groupBy("site", "column_url").agg(F.min_by("evidence", F.struct("page_id", "pos")).alias("evidence"))
 
@@ -163,9 +163,8 @@ def attachments(pages: DataFrame, files: DataFrame) -> DataFrame:
     """
     href = F.regexp_extract("tag", "href=[\"']([^\"']+)[\"']", 1)
     attr = F.regexp_extract("tag", "title=[\"']([^\"']*)", 1)
-    found = (raw_anchors(pages).withColumn("_href", href).filter("_href <> ''")
-             .withColumn("url", resolve(F.col("page_url"), strip(F.col("_href"))))
-             .withColumn("label", attachment_label(P.page_text(F.col("inner")), attr, F.col("url")))
+    linked = once(raw_anchors(pages).filter(href != ""), url=resolve(F.col("page_url"), strip(href)))
+    found = (once(linked, label=attachment_label(P.page_text(F.col("inner")), attr, F.col("url")))
              .filter(is_attachment(F.col("url"), F.col("label"))))
     sized = (found.join(files.select("url", "size", "pages"), "url", "left")
              .withColumn("size", F.coalesce("size", F.lit(0))))

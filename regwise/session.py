@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A place dictionary of a whole country stays below these sizes; a frame above
@@ -52,3 +52,13 @@ def small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns behind a generator, so that later filters do not repeat them.
+
+    Filters are pushed below a projection together with the expressions they
+    use; they stay above ``inline``.
+    """
+    row = F.struct(*[e.alias(name) for name, e in columns.items()])
+    return df.select("*", F.inline(F.array(row)))

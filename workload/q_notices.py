@@ -55,11 +55,11 @@ O.relation("addr_at", "addr_in tx_hits tx_uniq tx_zone", """SELECT a.prov_code,
   LEFT JOIN tx_zone z ON z.prov_code = a.prov_code AND z.name = a.bare""")
 _levels = ",".join(O.q(w) for w in R.LEVEL_WORDS)
 O.relation("cls", "n_in org_area addr_at tx_hits", f"""SELECT *, CASE WHEN radiation THEN '业务类别' WHEN {O.core('bracket')} IN ({_levels}) OR bracket IN ({_levels}) THEN '层级'
-    WHEN {O.has('bracket', R.DOCUMENT_TYPE)} THEN '文件类型' WHEN bracket = '' THEN '无' WHEN at IS NULL THEN '非地名'
-    WHEN approval_district = at THEN '发文机关' ELSE '项目属地' END AS bracket_meaning FROM (
+    WHEN {O.has('bracket', R.DOCUMENT_TYPE)} THEN '文件类型' WHEN bracket = '' THEN '无' WHEN spot IS NULL THEN '非地名'
+    WHEN approval_district = spot THEN '发文机关' ELSE '项目属地' END AS bracket_meaning FROM (
   SELECT n.*, {O.has('n.title', R.RADIATION)} OR {O.has('n.bracket', R.RADIATION)} AS radiation,
     coalesce(CASE WHEN s.area IS NULL AND n.channel_org <> '' THEN k.name ELSE s.name END, '') AS approval_org, coalesce(s.area, k.area, '') AS approval_district,
-    h.dcore AS at, coalesce(p.project_districts, []) AS project_districts, CAST(len(n.locations) AS BIGINT) AS n_projects
+    h.dcore AS spot, coalesce(p.project_districts, []) AS project_districts, CAST(len(n.locations) AS BIGINT) AS n_projects
   FROM n_in n LEFT JOIN org_area s ON s.prov_code = n.prov_code AND s.city_code = n.city_code AND s.org = n.source
   LEFT JOIN org_area k ON k.prov_code = n.prov_code AND k.city_code = n.city_code AND k.org = n.channel_org
   LEFT JOIN tx_hits h ON h.prov_code = n.prov_code AND h.name = n.bracket AND h.city_code = n.city_code

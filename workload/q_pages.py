@@ -226,8 +226,8 @@ def web(f: Frames):
 
 
 def _level(prev, k):
-    return f"""l{k} AS (SELECT site, dst AS url, {k} AS depth, visit FROM (SELECT site, dst, mx + row_number() OVER (PARTITION BY site ORDER BY at, dst) AS visit FROM (
-    SELECT f.site, w.dst, min((f.visit, w.pos)) AS at FROM {prev} f JOIN web w ON w.src = f.url GROUP BY 1, 2) JOIN (SELECT site, max(visit) AS mx FROM r{k - 1} GROUP BY 1) USING (site)) WHERE visit <= 40),
+    return f"""l{k} AS (SELECT site, dst AS url, {k} AS depth, visit FROM (SELECT site, dst, mx + row_number() OVER (PARTITION BY site ORDER BY spot, dst) AS visit FROM (
+    SELECT f.site, w.dst, min((f.visit, w.pos)) AS spot FROM {prev} f JOIN web w ON w.src = f.url GROUP BY 1, 2) JOIN (SELECT site, max(visit) AS mx FROM r{k - 1} GROUP BY 1) USING (site)) WHERE visit <= 40),
   r{k} AS (SELECT * FROM r{k - 1} UNION ALL SELECT * FROM l{k})"""
 
 
