@@ -12,8 +12,6 @@ from regwise.operators.places import with_function
 from regwise.operators.sequence import global_index, index_within
 from regwise.session import durable
 
-EMPTY = F.lit
-
 
 def area_codes(area: DataFrame) -> DataFrame:
     """(prov_code, city, area) to the district, under its three spellings.
@@ -77,10 +75,11 @@ def allocate_uids(rows: DataFrame, previous: DataFrame) -> DataFrame:
     known = (previous.select("prov_code", "function_key", F.col("name_from_source").alias("unit"), F.col("unit_uid"))
              .groupBy("prov_code", "function_key", "unit").agg(F.max("unit_uid").alias("unit_uid")))
     joined = durable(rows.join(known, ["prov_code", "function_key", "unit"], "left"), "matched")
-    digits = F.regexp_extract("unit_uid", "^\\D+(\\d+)$", 1)
-    top = previous.groupBy("prov_code").agg(F.max(F.nullif(digits, F.lit("")).cast("long")).alias("_max"))
     prefix = F.coalesce(*[F.when(F.col("prov_code") == p, F.lit(x)) for p, x in R.UID_PREFIX.items()],
                         F.substring("prov_code", 1, 2))
+    digits = F.substring(F.col("unit_uid"), F.length(prefix) + 1, F.length("unit_uid"))
+    number = F.when(digits.rlike("^[0-9]+$"), digits).cast("long")
+    top = previous.groupBy("prov_code").agg(F.max(number).alias("_max"))
     fresh = index_within(joined.filter("unit_uid IS NULL"), ["prov_code"],
                          [F.col("city"), F.desc("record_count"), F.col("unit"), F.col("area"), F.col("function")])
     minted = (fresh.join(top, "prov_code", "left")

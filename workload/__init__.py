@@ -2,6 +2,6 @@
 
 
 def all_queries():
-    from workload import q_audit, q_clean, q_master, q_notices, q_pages, q_scalar  # noqa: F401 - they register on import
+    from workload import q_audit, q_clean, q_io, q_master, q_notices, q_pages, q_scalar  # noqa: F401 - they register on import
     from workload.registry import CHECKS, QUERIES
     return dict(QUERIES), dict(CHECKS)

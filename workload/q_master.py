@@ -240,8 +240,7 @@ O.relation("uids", "keyed previous", """SELECT k.*, coalesce(p.unit_uid, pre ||
       CASE k.prov_code WHEN '320000' THEN 'JS' WHEN '330000' THEN 'ZJ' WHEN '340000' THEN 'AH' ELSE substr(k.prov_code, 1, 2) END AS pre
     FROM keyed k LEFT JOIN (SELECT DISTINCT prov_code, function_key, name_from_source FROM previous) q
       ON q.prov_code = k.prov_code AND q.function_key = k.function_key AND q.name_from_source = k.unit
-    LEFT JOIN (SELECT prov_code, max(CAST(regexp_extract(unit_uid, '^\\D+(\\d+)$', 1) AS BIGINT)) AS mx FROM (
-        SELECT prov_code, unit_uid FROM previous WHERE regexp_matches(unit_uid, '^\\D+\\d+$')) GROUP BY 1) m ON m.prov_code = k.prov_code) k
+    LEFT JOIN (SELECT prov_code, max(CAST(substr(unit_uid, 3) AS BIGINT)) AS mx FROM previous GROUP BY 1) m ON m.prov_code = k.prov_code) k
   LEFT JOIN previous p ON p.prov_code = k.prov_code AND p.function_key = k.function_key AND p.name_from_source = k.unit""")
 
 
