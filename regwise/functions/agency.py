@@ -74,31 +74,31 @@ def tier(name: Column) -> Column:
 
 # --- the single-city rule set ----------------------------------------------
 
-def one_city_name(unit: Column, rules: dict = R.ONE_CITY) -> Column:
+def one_city_name(unit: Column, rules: R.CityRules = R.ONE_CITY) -> Column:
     from regwise.functions.text import strip
-    return F.regexp_replace(strip(F.coalesce(unit, F.lit(""))), rules["section"], "")
+    return F.regexp_replace(strip(F.coalesce(unit, F.lit(""))), rules.section, "")
 
 
-def one_city_area(name: Column, rules: dict = R.ONE_CITY) -> Column:
+def one_city_area(name: Column, rules: R.CityRules = R.ONE_CITY) -> Column:
     """First matching area of the ordered list, null when none matches."""
-    ordered = [*rules["area_before"], *[(d, d) for d in rules["districts"]], *rules["area_after"]]
+    ordered = [*rules.area_before, *[(d, d) for d in rules.districts], *rules.area_after]
     return F.coalesce(*[F.when(name.rlike(p), F.lit(area)) for p, area in ordered])
 
 
-def one_city_function(name: Column, rules: dict = R.ONE_CITY) -> Column:
-    tokens = (f"{rules['country']}|({rules['zones']}|"
-              f"({'|'.join(rules['districts'])})(区|县)?)")
+def one_city_function(name: Column, rules: R.CityRules = R.ONE_CITY) -> Column:
+    tokens = (f"{rules.country}|({rules.zones}|"
+              f"({'|'.join(rules.districts)})(区|县)?)")
     rest = F.regexp_replace(F.regexp_replace(name, tokens, ""), tokens, "")
-    return (F.when(name.rlike(rules["eco"]), R.ECO_FUNCTION)
-            .when(name.rlike(rules["admin"]), R.ADMIN_FUNCTION)
+    return (F.when(name.rlike(rules.eco), R.ECO_FUNCTION)
+            .when(name.rlike(rules.admin), R.ADMIN_FUNCTION)
             .when(rest == "", name).otherwise(rest))
 
 
-def one_city_drop_reason(name: Column, rules: dict = R.ONE_CITY) -> Column:
-    place = F.regexp_extract(name, rules["prefix"], 1)
-    own = [*rules["own"], *rules["districts"]]
+def one_city_drop_reason(name: Column, rules: R.CityRules = R.ONE_CITY) -> Column:
+    place = F.regexp_extract(name, rules.prefix, 1)
+    own = [*rules.own, *rules.districts]
     misplaced = (place != "") & ~F.regexp_replace(place, "[区县]$", "").isin(*own)
     irregular = ((name == "") | name.isin(*R.BLANK_NAMES) | name.contains(R.SELF_REFERENCE)
-                 | name.rlike(R.SEPARATOR_LEFT) | ~name.rlike(rules["suffix"])
-                 | one_city_area(name, rules).isNull() | name.rlike(rules["typo"]))
+                 | name.rlike(R.SEPARATOR_LEFT) | ~name.rlike(rules.suffix)
+                 | one_city_area(name, rules).isNull() | name.rlike(rules.typo))
     return F.when(misplaced, R.MISPLACED).when(irregular, R.IRREGULAR)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from regwise import rules as R
 from regwise.functions.notice import field_of
-from regwise.functions.text import squash, strip
+from regwise.functions.text import let, squash, strip
 from regwise.functions.url import query_map, resolve
 
 ANCHOR = r"(?s)<a\b[^>]*>.*?</a>"
@@ -88,11 +88,16 @@ def _no_space(c: Column) -> Column:
     return squash(c, "")
 
 
-def _record(cells: Column, fields: Column) -> Column:
-    """Record of a row; a field named twice in the header takes the last column."""
-    at = lambda f: F.size(fields) - F.array_position(F.reverse(fields), f).cast("int")
-    return F.struct(*[F.when(F.array_contains(fields, f), F.coalesce(F.get(cells, at(f)), F.lit(""))).otherwise("").alias(f)
-                      for f in FIELDS])
+def _columns(fields: Column) -> Column:
+    """Column index of each field; a field named twice takes the last column, -1 where it is missing."""
+    last = lambda f: F.array_position(F.reverse(fields), f).cast("int")
+    return F.array(*[F.when(last(f) > 0, F.size(fields) - last(f)).otherwise(-1) for f in FIELDS])
+
+
+def _record(cells: Column, columns: Column) -> Column:
+    at = lambda i: F.get(columns, F.lit(i))
+    return F.struct(*[F.when(at(i) >= 0, F.coalesce(F.get(cells, at(i)), F.lit(""))).otherwise("").alias(f)
+                      for i, f in enumerate(FIELDS)])
 
 
 def horizontal_records(tables: Column) -> Column:
@@ -101,16 +106,16 @@ def horizontal_records(tables: Column) -> Column:
     The header is among the first three rows and has at least four cells; of
     several such tables the one with most records is kept.
     """
-    header_fields = lambda row: F.transform(row, lambda c: field_of(_no_space(c)))
+    header_fields = lambda row: F.transform(F.transform(row, _no_space), field_of)
 
     def records(table: Column) -> Column:
         heads = F.filter(F.sequence(F.lit(0), F.lit(2)), lambda i: F.coalesce(
             (F.size(F.get(table, i)) >= 4) & F.array_contains(header_fields(F.get(table, i)), "建设地点"), F.lit(False)))
-        head = F.get(heads, F.lit(0))
-        below = F.transform(F.array(head), lambda h: F.transform(
-            F.slice(table, h + 2, F.greatest(F.size(table) - h - 1, F.lit(0))), lambda row: _record(row, header_fields(F.get(table, h)))))
-        usable = F.filter(F.get(below, F.lit(0)), lambda r: (r["建设地点"] != "") & ~r["建设地点"].contains("建设地点"))
-        return F.when(head.isNull() | (F.size(table) < 2), F.array().cast(RECORDS)).otherwise(usable)
+        body = lambda h: F.slice(table, h + 2, F.greatest(F.size(table) - h - 1, F.lit(0)))
+        below = lambda h: let(_columns(header_fields(F.get(table, h))), lambda cols: F.filter(
+            F.transform(body(h), lambda row: _record(row, cols)),
+            lambda r: (r["建设地点"] != "") & ~r["建设地点"].contains("建设地点")))
+        return let(F.get(heads, F.lit(0)), lambda h: F.when(h.isNull() | (F.size(table) < 2), F.array().cast(RECORDS)).otherwise(below(h)))
 
     return F.aggregate(F.transform(tables, records), F.array().cast(RECORDS),
                        lambda best, r: F.when(F.size(r) > F.size(best), r).otherwise(best))
@@ -121,15 +126,17 @@ RECORDS = "array<struct<" + ",".join(f"`{f}`:string" for f in FIELDS) + ">>"
 
 def _from_pairs(pairs: Column) -> Column:
     """One record from (field, value) pairs, first filled value per field; none without an address."""
-    value = lambda f: F.coalesce(F.get(F.filter(pairs, lambda p: (p["f"] == f) & (p["v"] != "")), F.lit(0))["v"], F.lit(""))
-    record = F.array(F.struct(*[value(f).alias(f) for f in FIELDS]))
-    return F.when(value("建设地点") != "", record).otherwise(F.array().cast(RECORDS))
+    def record(known: Column) -> Column:
+        value = lambda f: F.coalesce(F.get(F.filter(known, lambda p: (p["f"] == f) & (p["v"] != "")), F.lit(0))["v"], F.lit(""))
+        return F.when(value("建设地点") != "", F.array(F.struct(*[value(f).alias(f) for f in FIELDS]))).otherwise(F.array().cast(RECORDS))
+
+    return let(pairs, record)
 
 
 def vertical_records(page: Column) -> Column:
     """The label/value record of a page, read up to the table that gives the address."""
     pairs_of = lambda part: F.transform(F.filter(_rows(part), lambda r: F.size(r) >= 2), lambda r: F.struct(
-        field_of(_no_space(F.get(r, F.lit(0)))).alias("f"), F.get(r, F.lit(1)).alias("v")))
+        let(_no_space(F.get(r, F.lit(0))), field_of).alias("f"), F.get(r, F.lit(1)).alias("v")))
     known = F.transform(table_parts(page), lambda t: F.filter(pairs_of(t), lambda p: (p["f"] != "") & (p["v"] != "")))
     used = F.aggregate(known, F.array().cast("array<struct<f:string,v:string>>"), lambda acc, t: F.when(
         F.exists(acc, lambda p: p["f"] == "建设地点"), acc).otherwise(F.concat(acc, t)))
@@ -140,7 +147,8 @@ def inline_records(text: Column) -> Column:
     """The record written as running text ``label：value；``."""
     pattern = F.lit("(?U)" + R.INLINE_FIELD)
     labels, values = F.regexp_extract_all(text, pattern, F.lit(1)), F.regexp_extract_all(text, pattern, F.lit(2))
-    return _from_pairs(F.zip_with(labels, values, lambda a, v: F.struct(field_of(a).alias("f"), strip(v).alias("v"))))
+    # most pages name no field in running text; they skip the pattern
+    return F.when(~text.rlike("建设地[点址][：:]"), F.array().cast(RECORDS)).otherwise(_from_pairs(F.zip_with(labels, values, lambda a, v: F.struct(field_of(a).alias("f"), strip(v).alias("v")))))
 
 
 # --- page families -----------------------------------------------------------------

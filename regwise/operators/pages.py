@@ -143,10 +143,12 @@ def bounded_reach(homes: DataFrame, edges: DataFrame, depth: int = R.MAX_DEPTH,
     reached = durable(homes.select("site", "url", F.lit(0).alias("depth"), F.lit(1).cast("long").alias("visit")), "reach")
     frontier = reached
     for level in range(1, depth + 1):
-        steps = (frontier.join(links, frontier["url"] == links["src"]).groupBy("site", "dst")
+        # sites that used up their pages are not expanded any further
+        done = reached.groupBy("site").agg(F.max("visit").alias("_done")).filter(F.col("_done") < max_pages)
+        open_ends = frontier.join(done.select("site"), "site", "left_semi")
+        steps = (open_ends.join(links, open_ends["url"] == links["src"]).groupBy("site", "dst")
                  .agg(F.min(F.struct("visit", "pos")).alias("_at")).withColumnRenamed("dst", "url")
                  .join(reached.select("site", "url"), ["site", "url"], "left_anti"))
-        done = reached.groupBy("site").agg(F.max("visit").alias("_done"))
         rank = F.row_number().over(Window.partitionBy("site").orderBy("_at", "url"))
         frontier = durable(
             steps.withColumn("_rank", rank).filter(F.col("_rank") <= max_pages).join(done, "site")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from regwise import rules as R
 from regwise.functions.agency import function_of, is_irregular_text, is_national, is_window, town_of, without_station
-from regwise.functions.text import core, normalize
+from regwise.functions.text import core, let, normalize
 from regwise.session import small
 
 
@@ -87,11 +87,6 @@ def first_where(items: Column, test) -> Column:
     return F.get(F.filter(items, test), F.lit(0))
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once, also inside array lambdas."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def city_in(name: Column, place: Column) -> Column:
     """City written in the name; the earliest position wins."""
     named = F.call_function("regexp_extract", name, place["city_pattern"], F.lit(1))
@@ -132,20 +127,24 @@ def unique_district(name: Column, place: Column) -> Column:
 def zone_in(name: Column, county: Column, place: Column) -> Column:
     """Zone label (head plus kind) written in the name; null when there is no zone word."""
     extra = first_where(place["extra_zones"], lambda z: name.contains(z))
-    word = F.regexp_extract(name, R.ZONE, 2)
-    raw_head = F.regexp_extract(name, R.ZONE, 1)
     kinds = F.create_map(*[F.lit(x) for pair in R.ZONE_KIND.items() for x in pair])
-    kind = F.element_at(kinds, word)
-    tail = F.regexp_replace(raw_head, "^.*" + R.AGENCY_CHARS, "")
-    leftover = (F.length(tail) == 1) & (tail != raw_head)
-    unplaced = F.aggregate(place["city_words"], F.when(leftover, F.lit("")).otherwise(tail),
-                           lambda acc, w: F.replace(acc, w, F.lit("")))
-    head = F.regexp_replace(F.regexp_replace(unplaced, "^[省市]+", ""), "[市区县]$", "")
-    label = lambda h: (
-        F.when(F.length(h) > 1, h)
-        .when((raw_head != "") & (h == "") & ~leftover, R.OWN_LEVEL)
-        .otherwise(F.coalesce(F.nullif(core(county), F.lit("")), F.nullif(h, F.lit("")), F.lit(R.OWN_LEVEL))))
-    return F.coalesce(extra, F.when(word != "", F.concat(let(head, label), kind)))
+
+    def labelled(z: Column) -> Column:
+        return let(F.regexp_replace(z["head"], "^.*" + R.AGENCY_CHARS, ""), lambda tail: placed(z, tail))
+
+    def placed(z: Column, tail: Column) -> Column:
+        leftover = (F.length(tail) == 1) & (tail != z["head"])
+        bare = F.aggregate(place["city_words"], F.when(leftover, F.lit("")).otherwise(tail), lambda acc, w: F.replace(acc, w, F.lit("")))
+        head = F.regexp_replace(F.regexp_replace(bare, "^[省市]+", ""), "[市区县]$", "")
+        named = lambda h: (
+            F.when(F.length(h) > 1, h)
+            .when((z["head"] != "") & (h == "") & ~leftover, R.OWN_LEVEL)
+            .otherwise(F.coalesce(F.nullif(core(county), F.lit("")), F.nullif(h, F.lit("")), F.lit(R.OWN_LEVEL))))
+        return F.concat(let(head, named), F.element_at(kinds, z["word"]))
+
+    found = F.struct(F.regexp_extract(name, R.ZONE, 1).alias("head"), F.regexp_extract(name, R.ZONE, 2).alias("word"))
+    # the cheap test first: most names and addresses hold no zone word
+    return F.coalesce(extra, F.when(name.rlike(R.ZONE_WORDS), let(found, labelled)))
 
 
 def is_misplaced(name: Column, place: Column, listed: Column | None = None) -> Column:

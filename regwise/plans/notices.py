@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from regwise import rules as R
 from regwise.functions import notice as N
-from regwise.functions.text import normalize, notice_date, percent, strip
-from regwise.operators.places import (city_by_code, city_in, district_in, let, locate, unique_district, with_place, zone_in)
+from regwise.functions.text import let, normalize, notice_date, percent, strip
+from regwise.operators.places import (city_by_code, city_in, district_in, locate, unique_district, with_place, zone_in)
 from regwise.session import durable
 
 

@@ -11,7 +11,7 @@ from regwise.operators.spellings import iso_date
 from regwise.operators.units import merge_units
 
 
-def one_city_spellings(records: DataFrame, rules: dict = R.ONE_CITY) -> DataFrame:
+def one_city_spellings(records: DataFrame, rules: R.CityRules = R.ONE_CITY) -> DataFrame:
     """Counts, dates, area, function and drop reason per spelling of the city."""
     raw = records.groupBy("process_department").agg(
         F.count(F.lit(1)).alias("n"), F.max(iso_date(F.col("notice_date"))).alias("last"), F.min("ord").alias("ord"))
@@ -23,7 +23,7 @@ def one_city_spellings(records: DataFrame, rules: dict = R.ONE_CITY) -> DataFram
             .withColumn("drop_reason", A.one_city_drop_reason(name, rules)))
 
 
-def clean_one_city(records: DataFrame, rules: dict = R.ONE_CITY) -> DataFrame:
+def clean_one_city(records: DataFrame, rules: R.CityRules = R.ONE_CITY) -> DataFrame:
     """Units of the city; the representative is the newest spelling, without a suffix preference."""
     kept = one_city_spellings(records, rules).filter(F.col("drop_reason").isNull())
     keyed = (kept.withColumn("first", F.struct("ord", F.lit(0).alias("part"))).withColumn("recovered", F.lit(False)))

@@ -5,6 +5,10 @@ have to stay as they are for results to agree between runs and systems.
 Patterns are Java regular expressions.
 """
 
+from __future__ import annotations
+
+from dataclasses import dataclass
+
 # --- fixed values: names and markers -------------------------------------
 NATIONAL = "国家"
 PROVINCIAL = "省级"
@@ -156,20 +160,38 @@ ZONE_COLUMNS = ("zone_id", "city_code", "city", "source_label", "kind", "zone_na
 SUSPECT_NOTE = "疑似外省单位被标到本省（名称里的开发区不在本省）"
 
 # --- fixed values: the single-city rule set ------------------------------
-ONE_CITY = {
-    "districts": ("玄武", "秦淮", "建邺", "鼓楼", "浦口", "栖霞", "雨花台", "江宁", "六合", "溧水", "高淳"),
-    "area_before": (("江北新区", "江北新区"), ("化学工业园区", "南京化学工业园区"),
-                    ("江宁(经济技术)?开发区", "江宁开发区"),
-                    ("(南京)?(经济技术开发区|经开区|开发区)", "南京经济技术开发区")),
-    "area_after": (("长江", "长江"), ("中华人民共和国|国家|^环境保护部$|^生态环境部$", "国家"),
-                   ("江苏", "江苏省"), ("南京", "南京市")),
-    "eco": "(生态环境(局|厅|部|和水务局)|环境保护(局|部)|环保(局|厅|总局))",
-    "admin": "(行政审批局|政务服务管理办公室|政务服务中心|数据局|管理委员会|管委会|市民中心)",
-    "suffix": "(局|厅|部|委|会|中心|办公室|政府|院|科|处|所|队|组|站)$|\\)$|）$",
-    "section": "(环评科|固废科|审批科|行政审批服务科|环评管理科)$",
-    "typo": "(行审|环许|管审|政服环|部门$)",
-    "prefix": "^([一-龥]{2,5}?)(省|市|自治区|特别行政区)",
-    "own": ("南京", "江苏"),
-    "country": "^(中华人民共和国|国家|江苏省|江苏|南京市|南京)",
-    "zones": "江北新区|化学工业园区|江宁(经济技术)?开发区|(南京)?(经济技术开发区|经开区|开发区)",
-}
+@dataclass(frozen=True)
+class CityRules:
+    """Patterns and word lists of one city; use ``replace`` to vary them."""
+
+    districts: tuple
+    area_before: tuple
+    area_after: tuple
+    eco: str
+    admin: str
+    suffix: str
+    section: str
+    typo: str
+    prefix: str
+    own: tuple
+    country: str
+    zones: str
+
+
+ONE_CITY = CityRules(
+    districts=("玄武", "秦淮", "建邺", "鼓楼", "浦口", "栖霞", "雨花台", "江宁", "六合", "溧水", "高淳"),
+    area_before=(("江北新区", "江北新区"), ("化学工业园区", "南京化学工业园区"),
+                 ("江宁(经济技术)?开发区", "江宁开发区"),
+                 ("(南京)?(经济技术开发区|经开区|开发区)", "南京经济技术开发区")),
+    area_after=(("长江", "长江"), ("中华人民共和国|国家|^环境保护部$|^生态环境部$", "国家"),
+                ("江苏", "江苏省"), ("南京", "南京市")),
+    eco="(生态环境(局|厅|部|和水务局)|环境保护(局|部)|环保(局|厅|总局))",
+    admin="(行政审批局|政务服务管理办公室|政务服务中心|数据局|管理委员会|管委会|市民中心)",
+    suffix="(局|厅|部|委|会|中心|办公室|政府|院|科|处|所|队|组|站)$|\\)$|）$",
+    section="(环评科|固废科|审批科|行政审批服务科|环评管理科)$",
+    typo="(行审|环许|管审|政服环|部门$)",
+    prefix="^([一-龥]{2,5}?)(省|市|自治区|特别行政区)",
+    own=("南京", "江苏"),
+    country="^(中华人民共和国|国家|江苏省|江苏|南京市|南京)",
+    zones="江北新区|化学工业园区|江宁(经济技术)?开发区|(南京)?(经济技术开发区|经开区|开发区)",
+)

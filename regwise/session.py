@@ -43,6 +43,15 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a table that sits in fewer pieces than there are cores.
+
+    A large table has more pieces than cores and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Broadcast ``df`` only when it is proven to hold at most ``max_rows`` rows.
 

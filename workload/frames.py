@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from regwise.operators.places import places_dim
 from regwise.operators.spellings import judged_spellings, select_field
 from regwise.plans.clean import clean
-from regwise.session import durable
+from regwise.session import durable, spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -340,6 +340,9 @@ PARENTS = {
     "projects": ("notices", "area"), "merges": ("area",), "previous": ("area",), "notice_pages": ("orders", "customer", "area"),
 }
 
+# Frames that grow with the tables; the others are small dimensions.
+LARGE = ("records", "notices", "attachments", "projects", "notice_pages")
+
 
 class Frames:
     """Tables and derived frames of one data folder, as attributes."""
@@ -383,7 +386,8 @@ class Frames:
             else:
                 parents = {p: getattr(self, p) for p in PARENTS[name]}
                 # written once: the frames stand for input files that are read many times
-                self._made[name] = durable(self.spark.sql(FRAMES[name], **parents), name)
+                made = self.spark.sql(FRAMES[name], **parents)
+                self._made[name] = durable(spread(made) if name in LARGE else made, name)
         return self._made[name]
 
 

@@ -178,7 +178,11 @@ def runs_q(f: Frames):
     return SQ.runs(sheet_cells(f).filter("o_orderstatus <> 'F'").select("n"), "n")
 
 
-@query("win_14_capped_windows")
+@query("win_14_capped_windows", """WITH RECURSIVE w AS (SELECT event_type, DATE '2024-01-01' AS d0, DATE '2024-01-31' AS d1 FROM (SELECT DISTINCT event_type FROM events)
+  UNION ALL SELECT event_type, CASE h WHEN 0 THEN d0 ELSE d0 + CAST((d1 - d0) // 2 AS INT) + 1 END, CASE h WHEN 0 THEN d0 + CAST((d1 - d0) // 2 AS INT) ELSE d1 END
+    FROM w, (VALUES (0), (1)) t(h) WHERE d0 < d1 AND (SELECT count(*) FROM events e WHERE e.event_type = w.event_type AND CAST(e.ts AS DATE) BETWEEN w.d0 AND w.d1) >= 150)
+  SELECT event_type, CAST(d0 AS VARCHAR) AS d0, CAST(d1 AS VARCHAR) AS d1, n, n >= 150 AS over_cap FROM (
+    SELECT *, (SELECT count(*) FROM events e WHERE e.event_type = w.event_type AND CAST(e.ts AS DATE) BETWEEN w.d0 AND w.d1) AS n FROM w) WHERE NOT (n >= 150 AND d0 < d1)""")
 def windows_q(f: Frames):
     daily = f.events.groupBy("event_type", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
     out = L.capped_windows(daily, ["event_type"], F.lit("2024-01-01").cast("date"), F.lit("2024-01-31").cast("date"), 150)

@@ -36,39 +36,46 @@ O.relation("n_in", "notices", f"""SELECT ord, prov_code, city_name, CASE WHEN co
   channel_url AS entry_url, url, title, {O.source('body')} AS source, list_filter(string_split(locations, '｜'), lambda x: x <> '') AS locations, channel_org,
   {O.bracket('title')} AS bracket FROM notices""")
 O.relation("lender", "p_city", "SELECT prov_code, arg_min(city_code, city_ord) AS l_code, arg_min(city_name, city_ord) AS l_city FROM p_city GROUP BY 1")
-O.relation("org_in", "n_in lender", f"""SELECT o.*, {O.normalize('org')} AS name, CASE WHEN city_code = '' THEN l_code ELSE city_code END AS code, l_city FROM (
-  SELECT DISTINCT prov_code, city_code, unnest([source, channel_org]) AS org FROM n_in) o JOIN lender USING (prov_code) WHERE org <> ''""")
-O.relation("addr_in", "n_in p_prov", """SELECT DISTINCT a.prov_code, a.city_code, a.addr, CASE WHEN starts_with(trim(addr), prov_core) THEN
+_levels = ",".join(O.q(w) for w in R.LEVEL_WORDS)
+
+
+def classification(T: str) -> None:
+    """Relations that classify the notices of ``<T>n_in``; the result is ``<T>cls``."""
+    O.relation(f"{T}org_in", f"{T}n_in lender", f"""SELECT o.*, {O.normalize('org')} AS name, CASE WHEN city_code = '' THEN l_code ELSE city_code END AS code, l_city FROM (
+  SELECT DISTINCT prov_code, city_code, unnest([source, channel_org]) AS org FROM {T}n_in) o JOIN lender USING (prov_code) WHERE org <> ''""")
+    O.relation(f"{T}addr_in", f"{T}n_in p_prov", f"""SELECT DISTINCT a.prov_code, a.city_code, a.addr, CASE WHEN starts_with(trim(addr), prov_core) THEN
     regexp_replace(substr(trim(addr), length(prov_core) + 1), '^省', '') ELSE trim(addr) END AS bare
-  FROM (SELECT prov_code, city_code, unnest(locations) AS addr FROM n_in) a JOIN p_prov USING (prov_code)""")
-O.relation("texts", "org_in addr_in n_in", """SELECT prov_code, code AS city_code, name, '' AS county FROM org_in
-  UNION SELECT prov_code, city_code, bare, '' FROM addr_in UNION SELECT prov_code, city_code, bracket, '' FROM n_in WHERE bracket <> ''""")
-O.locate("tx", "texts")
-O.relation("org_area", "org_in tx tx_named", """SELECT o.prov_code, o.city_code, o.org, o.name,
+  FROM (SELECT prov_code, city_code, unnest(locations) AS addr FROM {T}n_in) a JOIN p_prov USING (prov_code)""")
+    O.relation(f"{T}texts", f"{T}org_in {T}addr_in {T}n_in", f"""SELECT prov_code, code AS city_code, name, '' AS county FROM {T}org_in
+  UNION SELECT prov_code, city_code, bare, '' FROM {T}addr_in UNION SELECT prov_code, city_code, bracket, '' FROM {T}n_in WHERE bracket <> ''""")
+    O.locate(f"{T}tx", f"{T}texts")
+    O.relation(f"{T}org_area", f"{T}org_in {T}tx {T}tx_named", f"""SELECT o.prov_code, o.city_code, o.org, o.name,
     CASE WHEN o.city_code = '' AND t.city = o.l_city AND d.named_code IS NULL THEN NULL ELSE t.area END AS area
-  FROM org_in o JOIN tx t ON t.prov_code = o.prov_code AND t.city_code = o.code AND t.name = o.name
-  LEFT JOIN tx_named d ON d.prov_code = o.prov_code AND d.name = o.name""")
-O.relation("addr_at", "addr_in tx_hits tx_uniq tx_zone", """SELECT a.prov_code, a.city_code, a.addr,
-    coalesce(CASE WHEN a.city_code = '' THEN u.u_core ELSE h.dcore END, z.zone, '') AS district FROM addr_in a
-  LEFT JOIN tx_hits h ON h.prov_code = a.prov_code AND h.name = a.bare AND h.city_code = a.city_code
-  LEFT JOIN tx_uniq u ON u.prov_code = a.prov_code AND u.name = a.bare
-  LEFT JOIN tx_zone z ON z.prov_code = a.prov_code AND z.name = a.bare""")
-_levels = ",".join(O.q(w) for w in R.LEVEL_WORDS)
-O.relation("cls", "n_in org_area addr_at tx_hits", f"""SELECT *, CASE WHEN radiation THEN '业务类别' WHEN {O.core('bracket')} IN ({_levels}) OR bracket IN ({_levels}) THEN '层级'
+  FROM {T}org_in o JOIN {T}tx t ON t.prov_code = o.prov_code AND t.city_code = o.code AND t.name = o.name
+  LEFT JOIN {T}tx_named d ON d.prov_code = o.prov_code AND d.name = o.name""")
+    O.relation(f"{T}addr_at", f"{T}addr_in {T}tx_hits {T}tx_uniq {T}tx_zone", f"""SELECT a.prov_code, a.city_code, a.addr,
+    coalesce(CASE WHEN a.city_code = '' THEN u.u_core ELSE h.dcore END, z.zone, '') AS district FROM {T}addr_in a
+  LEFT JOIN {T}tx_hits h ON h.prov_code = a.prov_code AND h.name = a.bare AND h.city_code = a.city_code
+  LEFT JOIN {T}tx_uniq u ON u.prov_code = a.prov_code AND u.name = a.bare
+  LEFT JOIN {T}tx_zone z ON z.prov_code = a.prov_code AND z.name = a.bare""")
+    O.relation(f"{T}cls", f"{T}n_in {T}org_area {T}addr_at {T}tx_hits", f"""SELECT *, CASE WHEN radiation THEN '业务类别' WHEN {O.core('bracket')} IN ({_levels}) OR bracket IN ({_levels}) THEN '层级'
     WHEN {O.has('bracket', R.DOCUMENT_TYPE)} THEN '文件类型' WHEN bracket = '' THEN '无' WHEN spot IS NULL THEN '非地名'
     WHEN approval_district = spot THEN '发文机关' ELSE '项目属地' END AS bracket_meaning FROM (
   SELECT n.*, {O.has('n.title', R.RADIATION)} OR {O.has('n.bracket', R.RADIATION)} AS radiation,
     coalesce(CASE WHEN s.area IS NULL AND n.channel_org <> '' THEN k.name ELSE s.name END, '') AS approval_org, coalesce(s.area, k.area, '') AS approval_district,
     h.dcore AS spot, coalesce(p.project_districts, []) AS project_districts, CAST(len(n.locations) AS BIGINT) AS n_projects
-  FROM n_in n LEFT JOIN org_area s ON s.prov_code = n.prov_code AND s.city_code = n.city_code AND s.org = n.source
-  LEFT JOIN org_area k ON k.prov_code = n.prov_code AND k.city_code = n.city_code AND k.org = n.channel_org
-  LEFT JOIN tx_hits h ON h.prov_code = n.prov_code AND h.name = n.bracket AND h.city_code = n.city_code
+  FROM {T}n_in n LEFT JOIN {T}org_area s ON s.prov_code = n.prov_code AND s.city_code = n.city_code AND s.org = n.source
+  LEFT JOIN {T}org_area k ON k.prov_code = n.prov_code AND k.city_code = n.city_code AND k.org = n.channel_org
+  LEFT JOIN {T}tx_hits h ON h.prov_code = n.prov_code AND h.name = n.bracket AND h.city_code = n.city_code
   LEFT JOIN (SELECT l.prov_code, l.city_code, l.locations, list(a.district ORDER BY l.i) AS project_districts FROM (
-      SELECT prov_code, city_code, locations, unnest(locations) AS addr, unnest(range(1, len(locations) + 1)) AS i FROM (SELECT DISTINCT prov_code, city_code, locations FROM n_in)) l
-      JOIN addr_at a USING (prov_code, city_code, addr) GROUP BY 1, 2, 3) p
+      SELECT prov_code, city_code, locations, unnest(locations) AS addr, unnest(range(1, len(locations) + 1)) AS i FROM (SELECT DISTINCT prov_code, city_code, locations FROM {T}n_in)) l
+      JOIN {T}addr_at a USING (prov_code, city_code, addr) GROUP BY 1, 2, 3) p
     ON p.prov_code = n.prov_code AND p.city_code = n.city_code AND p.locations = n.locations)""")
 
 
+classification("")
+
+
 @query("scl_20_classify_notice", """SELECT ord, title, bracket, bracket_meaning, radiation, approval_org, approval_district,
   array_to_string(project_districts, ',') AS project_districts, n_projects FROM cls""")
 def classify_q(f: Frames):

@@ -11,6 +11,7 @@ from regwise.operators import pages as PG
 from regwise.plans import notices as NP
 from workload import oracle as O
 from workload.frames import Frames
+from workload.q_notices import classification
 from workload.registry import query
 
 c = F.col
@@ -112,7 +113,7 @@ def horizontal_q(f: Frames):
 O.relation("all_rows", "notice_pages", f"""SELECT page_id, r, {cell_list('row_html')} AS cells FROM (
   SELECT page_id, unnest(rows) AS row_html, generate_subscripts(rows, 1) AS r FROM (SELECT page_id, string_split_regex(html, '(?i)<tr\\b')[2:] AS rows FROM notice_pages))""")
 _lab = "regexp_replace(cells[1], '[\\s　]+', '', 'g')"
-O.relation("vertical", "all_rows", f"""SELECT page_id, coalesce(max(v) FILTER (f = '项目名称'), '') AS name, max(v) FILTER (f = '建设地点') AS location, coalesce(max(v) FILTER (f = '建设单位'), '') AS builder FROM (
+O.relation("vertical", "all_rows", f"""SELECT page_id, coalesce(max(v) FILTER (f = '项目名称'), '') AS name, max(v) FILTER (f = '建设地点') AS location, coalesce(max(v) FILTER (f = '建设单位'), '') AS builder, coalesce(max(v) FILTER (f = '环评机构'), '') AS agency FROM (
   SELECT page_id, f, arg_min(v, r) AS v FROM (SELECT page_id, r, {O.field(_lab)} AS f, cells[2] AS v FROM all_rows WHERE len(cells) >= 2) WHERE f <> '' AND v <> '' GROUP BY 1, 2)
   GROUP BY 1 HAVING max(v) FILTER (f = '建设地点') IS NOT NULL""")
 
@@ -135,9 +136,9 @@ def inline_q(f: Frames):
     return flat(PG.page_records(f.notice_pages), "inline")
 
 
-O.relation("page_rows", "horizontal vertical inline_rows", """SELECT page_id, i, name, location, builder FROM horizontal
-  UNION ALL SELECT page_id, 1, name, location, builder FROM vertical v ANTI JOIN horizontal h USING (page_id)
-  UNION ALL SELECT page_id, 1, name, location, builder FROM inline_rows n ANTI JOIN horizontal h USING (page_id) ANTI JOIN vertical v USING (page_id)""")
+O.relation("page_rows", "horizontal vertical inline_rows", """SELECT page_id, i, name, location, builder, '' AS agency FROM horizontal
+  UNION ALL SELECT page_id, 1, name, location, builder, agency FROM vertical v ANTI JOIN horizontal h USING (page_id)
+  UNION ALL SELECT page_id, 1, name, location, builder, '' FROM inline_rows n ANTI JOIN horizontal h USING (page_id) ANTI JOIN vertical v USING (page_id)""")
 
 
 @query("htm_07_parse_notice_page", f"""SELECT p.page_id, {O.source(_body)} AS source, coalesce({_pick}[1], '') AS title, r.i, coalesce(r.name, '') AS name, coalesce(r.location, '') AS location
@@ -149,7 +150,18 @@ def parse_q(f: Frames):
     return out.select("page_id", "source", "title", (c("i") + 1).cast("long").alias("i"), blank("项目名称").alias("name"), blank("建设地点").alias("location"))
 
 
-@query("htm_07_pages_to_projects")
+O.relation("pg_n_in", "notice_pages page_rows p_city", f"""SELECT *, {O.bracket('title')} AS bracket FROM (SELECT p.page_id AS ord, c.prov_code, c.city_name, c.city_code,
+  regexp_extract(p.url, '^(https?://[^/]+)/', 1) || '/col/col1/index.html' AS entry_url, p.url, coalesce({_pick}[1], '') AS title, {O.source(_body)} AS source,
+  coalesce(r.locations, []) AS locations, '' AS channel_org, r.names, r.builders, r.agencies FROM notice_pages p JOIN p_city c ON c.city_code = regexp_extract(p.url, 'sthj(\\d+)', 1)
+  LEFT JOIN (SELECT page_id, list(location ORDER BY i) AS locations, list(name ORDER BY i) AS names, list(builder ORDER BY i) AS builders, list(agency ORDER BY i) AS agencies
+    FROM page_rows GROUP BY 1) r USING (page_id))""")
+classification("pg_")
+
+
+@query("htm_07_pages_to_projects", f"""SELECT city_name AS "城市", entry_url AS "入口URL", url AS "公告URL", title AS "标题", {O.first('title', R.NOTICE_DATE)} AS "发布日期", approval_org AS "发文机关",
+  approval_district AS "审批地区", coalesce(names[i], '') AS "项目名称", coalesce(locations[i], '') AS "建设地点", coalesce(project_districts[i], '') AS "项目地区",
+  coalesce(builders[i], '') AS "建设单位", coalesce(agencies[i], '') AS "环评机构", CASE WHEN radiation THEN '是' ELSE '否' END AS "是否辐射", bracket_meaning AS "括号语义"
+  FROM (SELECT *, unnest(range(1, greatest(len(project_districts), 1) + 1)) AS i FROM pg_cls)""")
 def pages_to_projects_q(f: Frames):
     """Page parsing, classification and project rows in one plan."""
     parsed = PG.parse_notice_pages(f.notice_pages)

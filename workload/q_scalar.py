@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from regwise import rules as R
@@ -19,7 +21,10 @@ c = F.col
 
 
 def per_value(name, frame, cols, spark_cols, sql_cols, source=None):
-    """Register: distinct input columns with the computed ones and the row count."""
+    """Register: distinct input columns with the computed ones and the row count.
+
+    ``spark_cols`` is called when the query runs, so that importing needs no session.
+    """
     source = source or frame
     select = ", ".join([*cols, *[f"{expr} AS {alias}" for alias, expr in sql_cols.items()], "count(*) AS n_rows"])
     width = len(cols) + len(sql_cols)
@@ -29,32 +34,32 @@ def per_value(name, frame, cols, spark_cols, sql_cols, source=None):
     def run(f: Frames):
         # values are computed once per distinct input, after the counts are combined
         counted = getattr(f, frame).groupBy(*cols).agg(F.count(F.lit(1)).alias("n_rows"))
-        return counted.select(*cols, *[e.alias(a) for a, e in spark_cols.items()], "n_rows")
+        return counted.select(*cols, *[e.alias(a) for a, e in spark_cols().items()], "n_rows")
 
     return run
 
 
 per_value("scl_01_core", "area", ["city_name", "district_name"],
-          {"city_core": T.core(c("city_name")), "district_core": T.core(c("district_name"))},
+          lambda: {"city_core": T.core(c("city_name")), "district_core": T.core(c("district_name"))},
           {"city_core": O.core("city_name"), "district_core": O.core("district_name")})
-per_value("scl_02_normalize", "records", ["process_department"], {"name": T.normalize(c("process_department"))},
+per_value("scl_02_normalize", "records", ["process_department"], lambda: {"name": T.normalize(c("process_department"))},
           {"name": O.normalize("process_department")})
-per_value("scl_03_half_width_brackets", "attachments", ["label"], {"plain": T.half_width_brackets(c("label"))},
+per_value("scl_03_half_width_brackets", "attachments", ["label"], lambda: {"plain": T.half_width_brackets(c("label"))},
           {"plain": "replace(replace(label, '（', '('), '）', ')')"})
 per_value("scl_04_split_units", "records", ["combined_units"],
-          {"parts": F.array_join(T.split_units(c("combined_units")), "|"),
+          lambda: {"parts": F.array_join(T.split_units(c("combined_units")), "|"),
            "n_parts": F.size(T.split_units(c("combined_units"))).cast("long")},
           {"parts": f"array_to_string({O.split_units('combined_units')}, '|')",
            "n_parts": f"CAST(len({O.split_units('combined_units')}) AS BIGINT)"})
-per_value("scl_05_clean_title", "notices", ["title"], {"cleaned": T.clean_title(c("title"))},
+per_value("scl_05_clean_title", "notices", ["title"], lambda: {"cleaned": T.clean_title(c("title"))},
           {"cleaned": O.clean_title("title")})
-per_value("scl_06_publisher_of", "notices", ["title"], {"publisher": N.publisher_of(c("title"))},
+per_value("scl_06_publisher_of", "notices", ["title"], lambda: {"publisher": N.publisher_of(c("title"))},
           {"publisher": O.publisher("title")})
-per_value("scl_07_stage_of", "notices", ["title"], {"stage": N.stage_of(c("title"))}, {"stage": O.stage("title")})
-per_value("scl_08_role_of", "records", ["process_department"], {"role": A.role_of(T.normalize(c("process_department")))},
+per_value("scl_07_stage_of", "notices", ["title"], lambda: {"stage": N.stage_of(c("title"))}, {"stage": O.stage("title")})
+per_value("scl_08_role_of", "records", ["process_department"], lambda: {"role": A.role_of(T.normalize(c("process_department")))},
           {"role": O.role(O.normalize("process_department"))})
 per_value("scl_12_place_tests", "records", ["process_department"],
-          {"national": A.is_national(c("process_department")), "town": A.town_of(c("process_department")),
+          lambda: {"national": A.is_national(c("process_department")), "town": A.town_of(c("process_department")),
            "window_style": A.is_window(c("process_department")),
            "bare": A.without_station(c("process_department"))},
           {"national": O.has("process_department", O.NATION), "town": O.first("process_department", O.TOWN),
@@ -65,51 +70,63 @@ ONE = R.ONE_CITY
 
 
 def one_area_sql(x):
-    ordered = [*ONE["area_before"], *[(d, d) for d in ONE["districts"]], *ONE["area_after"]]
+    ordered = [*ONE.area_before, *[(d, d) for d in ONE.districts], *ONE.area_after]
     return "CASE " + " ".join(f"WHEN {O.has(x, p)} THEN '{a}'" for p, a in ordered) + " END"
 
 
 def one_name_sql(x):
-    return f"regexp_replace({O.strip(x)}, {O.q(ONE['section'])}, '')"
+    return f"regexp_replace({O.strip(x)}, {O.q(ONE.section)}, '')"
 
 
 def one_function_sql(x):
-    tokens = O.q(f"{ONE['country']}|({ONE['zones']}|({'|'.join(ONE['districts'])})(区|县)?)")
+    tokens = O.q(f"{ONE.country}|({ONE.zones}|({'|'.join(ONE.districts)})(区|县)?)")
     rest = f"regexp_replace(regexp_replace({x}, {tokens}, '', 'g'), {tokens}, '', 'g')"
-    return (f"CASE WHEN {O.has(x, ONE['eco'])} THEN '生态环境' WHEN {O.has(x, ONE['admin'])} THEN '行政审批' "
+    return (f"CASE WHEN {O.has(x, ONE.eco)} THEN '生态环境' WHEN {O.has(x, ONE.admin)} THEN '行政审批' "
             f"WHEN {rest} = '' THEN {x} ELSE {rest} END")
 
 
 def one_reason_sql(x):
-    own = ",".join(O.q(w) for w in [*ONE["own"], *ONE["districts"]])
+    own = ",".join(O.q(w) for w in [*ONE.own, *ONE.districts])
     blanks = ",".join(O.q(b) for b in R.BLANK_NAMES)
-    place = O.first(x, ONE["prefix"], 1)
+    place = O.first(x, ONE.prefix, 1)
     return (f"CASE WHEN {place} <> '' AND regexp_replace({place}, '[区县]$', '') NOT IN ({own}) THEN '标错地区' "
-            f"WHEN {x} = '' OR {x} IN ({blanks}) OR contains({x}, '我局') OR {O.has(x, '[;；]')} OR NOT {O.has(x, ONE['suffix'])} "
-            f"OR {one_area_sql(x)} IS NULL OR {O.has(x, ONE['typo'])} THEN '不规范' END")
+            f"WHEN {x} = '' OR {x} IN ({blanks}) OR contains({x}, '我局') OR {O.has(x, '[;；]')} OR NOT {O.has(x, ONE.suffix)} "
+            f"OR {one_area_sql(x)} IS NULL OR {O.has(x, ONE.typo)} THEN '不规范' END")
+
 
+def _one():
+    return A.one_city_name(c("process_department"))
 
-_one = A.one_city_name(c("process_department"))
-per_value("scl_13_one_city_area", "records", ["process_department"], {"area": A.one_city_area(_one)},
+
+per_value("scl_13_one_city_area", "records", ["process_department"], lambda: {"area": A.one_city_area(_one())},
           {"area": one_area_sql(one_name_sql("process_department"))})
-per_value("scl_14_one_city_function", "records", ["process_department"], {"function": A.one_city_function(_one)},
+per_value("scl_14_one_city_function", "records", ["process_department"], lambda: {"function": A.one_city_function(_one())},
           {"function": one_function_sql(one_name_sql("process_department"))})
 per_value("flt_20_one_city_rules", "records", ["process_department"],
-          {"name": _one, "drop_reason": A.one_city_drop_reason(_one)},
+          lambda: {"name": _one(), "drop_reason": A.one_city_drop_reason(_one())},
           {"name": one_name_sql("process_department"), "drop_reason": one_reason_sql(one_name_sql("process_department"))})
 
+@query("udf_01_rule_set", """SELECT process_department, CASE WHEN contains(process_department, '开发区') THEN '开发区' WHEN contains(process_department, '姑苏') THEN '姑苏'
+  WHEN contains(process_department, '吴中') THEN '吴中' WHEN contains(process_department, '苏州') THEN '苏州市' END AS area, count(*) AS n FROM records GROUP BY 1, 2""")
+def rule_set_q(f: Frames):
+    """The same operator under another city's rules."""
+    rules = replace(R.ONE_CITY, districts=("姑苏", "吴中"), area_before=(("开发区", "开发区"),), area_after=(("苏州", "苏州市"),))
+    n = f.records.groupBy("process_department").agg(F.count(F.lit(1)).alias("n"))
+    return n.select("process_department", A.one_city_area(c("process_department"), rules).alias("area"), "n")
+
+
 _inner = "regexp_extract(process_department, '[(（]([^()（）]+)[)）][\\s　]*$', 1)"
-per_value("scl_15_split_badges", "records", ["process_department"], {"badges": T.split_badges(c("process_department"))},
+per_value("scl_15_split_badges", "records", ["process_department"], lambda: {"badges": T.split_badges(c("process_department"))},
           {"badges": f"array_to_string(list_filter(list_transform(string_split_regex({_inner}, '[、,，]'), lambda p: {O.strip('p')}), lambda p: p <> ''), ' / ')"})
-per_value("scl_16_bracket_of", "notices", ["title"], {"bracket": N.bracket_of(c("title"))}, {"bracket": O.bracket("title")})
-per_value("scl_17_parse_source", "notices", ["body"], {"source": N.parse_source(c("body"))}, {"source": O.source("body")})
-per_value("scl_18_is_radiation", "notices", ["title"], {"radiation": N.is_radiation(c("title"), N.bracket_of(c("title")))},
+per_value("scl_16_bracket_of", "notices", ["title"], lambda: {"bracket": N.bracket_of(c("title"))}, {"bracket": O.bracket("title")})
+per_value("scl_17_parse_source", "notices", ["body"], lambda: {"source": N.parse_source(c("body"))}, {"source": O.source("body")})
+per_value("scl_18_is_radiation", "notices", ["title"], lambda: {"radiation": N.is_radiation(c("title"), N.bracket_of(c("title")))},
           {"radiation": f"{O.has('title', R.RADIATION)} OR {O.has(O.bracket('title'), R.RADIATION)}"})
 per_value("scl_21_is_report", "attachments", ["label", "size", "pages"],
-          {"report": N.is_report(c("label"), c("size"), c("pages"))},
+          lambda: {"report": N.is_report(c("label"), c("size"), c("pages"))},
           {"report": O.is_report("label", "size", "pages")})
 per_value("scl_22_norm_url", "entry_log", ["entry_url"],
-          {"normal": U.norm_url(c("entry_url")), "host": U.host(c("entry_url")), "domain": U.domain(c("entry_url"))},
+          lambda: {"normal": U.norm_url(c("entry_url")), "host": U.host(c("entry_url")), "domain": U.domain(c("entry_url"))},
           {"normal": O.norm_url("entry_url"), "host": O.host("entry_url"),
            "domain": "regexp_replace(entry_url, '^https?://([^/]+).*$', '\\1')"})
 _col1 = "regexp_extract(url, '^(.*?/col/col\\d+)/', 1)"
@@ -124,14 +141,14 @@ def column_of_q(f: Frames):
     return urls.select("url", U.column_of(c("url")).alias("column_url"))
 
 
-per_value("scl_24_url_prefix", "pages", ["url"], {"prefix": U.url_prefix(c("url"))},
+per_value("scl_24_url_prefix", "pages", ["url"], lambda: {"prefix": U.url_prefix(c("url"))},
           {"prefix": "array_to_string(string_split(regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1), '/')[1:3], '/')"})
 per_value("scl_25_notice_date", "notices", ["title"],
-          {"date_text": T.notice_date(c("title")), "date_value": T.notice_date_value(c("title")).cast("string")},
+          lambda: {"date_text": T.notice_date(c("title")), "date_value": T.notice_date_value(c("title")).cast("string")},
           {"date_text": O.first("title", R.NOTICE_DATE),
            "date_value": f"CASE WHEN {O.first('title', R.NOTICE_DATE)} <> '' THEN CAST(make_date("
                          + ", ".join(f"CAST({O.first('title', R.NOTICE_DATE, i)} AS INT)" for i in (1, 2, 3)) + ") AS VARCHAR) END"})
-per_value("scl_27_tier", "records", ["process_department"], {"tier": A.tier(c("process_department"))},
+per_value("scl_27_tier", "records", ["process_department"], lambda: {"tier": A.tier(c("process_department"))},
           {"tier": f"CASE WHEN {O.has('process_department', R.TIER_ECO)} THEN '生态环境系统' "
                    f"WHEN {O.has('process_department', R.TIER_ADMIN)} THEN '开发区/行政审批' ELSE '其他部门' END"})
 
@@ -181,7 +198,7 @@ def function_key_q(f: Frames):
 
 
 per_value("scl_31_field_of", "part", ["p_type"],
-          {"field": N.field_of(F.when(c("p_type") == "ECONOMY", "建设地址").when(c("p_type") == "SMALL", "申请单位").otherwise(c("p_type")))},
+          lambda: {"field": N.field_of(F.when(c("p_type") == "ECONOMY", "建设地址").when(c("p_type") == "SMALL", "申请单位").otherwise(c("p_type")))},
           {"field": O.field("CASE p_type WHEN 'ECONOMY' THEN '建设地址' WHEN 'SMALL' THEN '申请单位' ELSE p_type END")})
 _scope = "CASE WHEN ord % 3 = 0 THEN '市本级' WHEN ord % 3 = 1 THEN project_district || '｜ ' || approval_district ELSE project_district || '区' END"
 O.relation("scopes", "projects", f"SELECT DISTINCT {_scope} AS scope FROM projects")
@@ -202,14 +219,14 @@ def expand_scope_q(f: Frames):
 
 
 per_value("scl_33_attachment_label", "attachments", ["label"],
-          {"full": N.attachment_label(c("label"), F.lit("题"), F.concat(F.lit("http://a/b/%E9%99%84/"), F.replace(c("label"), F.lit("件"), F.lit("%E4%BB%B6")))),
+          lambda: {"full": N.attachment_label(c("label"), F.lit("题"), F.concat(F.lit("http://a/b/%E9%99%84/"), F.replace(c("label"), F.lit("件"), F.lit("%E4%BB%B6")))),
            "attached": N.is_attachment(F.lit("x"), c("label"))},
           {"full": "label || ' 题 ' || regexp_extract(label, '([^/]*)$', 1)", "attached": f"regexp_matches(label, {O.q(R.ATTACHMENT_EXT)})"})
-per_value("scl_34_squash", "documents", ["doc_id", "text"], {"flat": F.md5(T.squash(c("text"))), "tight": F.md5(T.squash(c("text"), ""))},
+per_value("scl_34_squash", "documents", ["doc_id", "text"], lambda: {"flat": F.md5(T.squash(c("text"))), "tight": F.md5(T.squash(c("text"), ""))},
           {"flat": "md5(regexp_replace(text, '[\\s\\x{0b}\\x{85}\\x{a0}\\x{2028}\\x{2029}　]+', ' ', 'g'))",
            "tight": "md5(regexp_replace(text, '[\\s\\x{0b}\\x{85}\\x{a0}\\x{2028}\\x{2029}　]+', '', 'g'))"})
 per_value("scl_35_date_arithmetic", "orders", ["o_orderdate"],
-          {"start": F.date_sub(F.to_date("o_orderdate"), 20).cast("string"),
+          lambda: {"start": F.date_sub(F.to_date("o_orderdate"), 20).cast("string"),
            "midpoint": F.date_add(F.lit("1995-01-01").cast("date"),
                                   F.floor(F.datediff(F.to_date("o_orderdate"), F.lit("1995-01-01")) / 2).cast("int")).cast("string")},
           {"start": "CAST(CAST(o_orderdate AS DATE) - 20 AS VARCHAR)",
@@ -225,7 +242,7 @@ def notes_q(f: Frames):
     return n.withColumn("note", F.when(c("n") > 2, found_note(F.lit("2024-05-01"), c("n"))).otherwise(missing_note(F.lit("2024-05-01"), 40)))
 
 
-per_value("scl_37_sanitize_cell", "conversations", ["conv_id", "turn", "text"], {"cell": F.md5(T.sanitize_cell(c("text")))},
+per_value("scl_37_sanitize_cell", "conversations", ["conv_id", "turn", "text"], lambda: {"cell": F.md5(T.sanitize_cell(c("text")))},
           {"cell": "md5(replace(replace(text, chr(9), ' '), chr(10), ' '))"})
 
 
@@ -238,7 +255,7 @@ def percent_q(f: Frames):
 
 
 per_value("scl_39_padded_id", "supplier", ["s_suppkey"],
-          {"uid": T.padded_id(F.lit("JS"), c("s_suppkey") * 37, 4), "zone": T.padded_id(F.lit("320100-Z"), c("s_suppkey") + 1, 2)},
+          lambda: {"uid": T.padded_id(F.lit("JS"), c("s_suppkey") * 37, 4), "zone": T.padded_id(F.lit("320100-Z"), c("s_suppkey") + 1, 2)},
           {"uid": "'JS' || CASE WHEN length(CAST(s_suppkey * 37 AS VARCHAR)) >= 4 THEN CAST(s_suppkey * 37 AS VARCHAR) ELSE lpad(CAST(s_suppkey * 37 AS VARCHAR), 4, '0') END",
            "zone": "'320100-Z' || CASE WHEN s_suppkey + 1 >= 10 THEN CAST(s_suppkey + 1 AS VARCHAR) ELSE lpad(CAST(s_suppkey + 1 AS VARCHAR), 2, '0') END"})
 
