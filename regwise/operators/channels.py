@@ -15,6 +15,7 @@ from regwise.functions.notice import publisher_of, stage_of
 from regwise.functions.text import function_key, half_width_brackets, normalize
 from regwise.operators.places import locate, with_function
 from regwise.operators.units import spelling_rows
+from regwise.session import durable
 
 
 def found_note(day: Column, n: Column) -> Column:
@@ -31,23 +32,22 @@ def accepted(titles: DataFrame) -> DataFrame:
     return titles.filter(stage_of(F.col("title")) == R.STAGES[0])
 
 
-def publisher_keys(titles: DataFrame, places: DataFrame) -> DataFrame:
+def published(titles: DataFrame) -> DataFrame:
+    """Notices counted per channel and publisher, so that publishers are resolved on counts."""
+    return (titles.groupBy("prov_code", "city", "city_code", "url", publisher_of(F.col("title")).alias("publisher"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def publisher_keys(named: DataFrame, places: DataFrame) -> DataFrame:
     """Distinct (prov_code, city, city_code, publisher) with the key its wording leads to."""
-    named = (titles.select("prov_code", "city", "city_code", publisher_of(F.col("title")).alias("publisher")).distinct()
+    names = (named.select("prov_code", "city", "city_code", "publisher").distinct()
              .filter(F.col("publisher") != "").withColumn("name", normalize(F.col("publisher"))))
-    placed = locate(named.withColumnRenamed("city", "channel_city"), places, county=None)
+    placed = locate(names.withColumnRenamed("city", "channel_city"), places, county=None)
     keyed = with_function(placed, places).withColumn("key", F.when(F.col("area").isNotNull(), function_key(
         F.col("city"), F.col("area"), F.col("function"))))
     return keyed.select("prov_code", F.col("channel_city").alias("city"), "city_code", "publisher", "name", "key")
 
 
-def first_by_key(units: DataFrame) -> DataFrame:
-    """One unit per function key: the largest, then by name."""
-    return (units.groupBy("prov_code", "function_key").agg(
-        F.min_by(F.struct("city", "area", "unit", "record_count"), F.struct((-F.col("record_count")).alias("a"), F.col("unit"))).alias("u"))
-        .select("prov_code", "function_key", "u.*"))
-
-
 def names_to_keys(units: DataFrame) -> DataFrame:
     """(prov_code, city, plain spelling) to the function key of the largest unit using it."""
     rows = spelling_rows(units).withColumn("plain", half_width_brackets(normalize(F.col("name"))))
@@ -55,20 +55,24 @@ def names_to_keys(units: DataFrame) -> DataFrame:
         F.min_by("function_key", F.struct((-F.col("record_count")).alias("a"), F.col("unit"), F.col("pos"))).alias("named_key"))
 
 
-def attribute(titles: DataFrame, units: DataFrame, places: DataFrame) -> DataFrame:
-    """Function key of each title's publisher, null where the channel's owner takes it.
+def resolve_publishers(named: DataFrame, units: DataFrame, places: DataFrame) -> DataFrame:
+    """``named`` rows with the function key of their publisher, null where the channel's owner takes it.
 
     The key from the wording wins when the unit list knows it, then the
     (city, spelling) pair. Publishers are resolved once per distinct text.
     """
     known = units.select("prov_code", F.col("function_key").alias("key"), F.lit(True).alias("_known")).distinct()
-    resolved = (publisher_keys(titles, places).join(known, ["prov_code", "key"], "left")
+    resolved = (publisher_keys(named, places).join(known, ["prov_code", "key"], "left")
                 .withColumn("plain", half_width_brackets(F.col("name")))
                 .join(names_to_keys(units), ["prov_code", "city", "plain"], "left")
                 .select("prov_code", "city", "city_code", "publisher",
                         F.when(F.col("_known"), F.col("key")).otherwise(F.col("named_key")).alias("unit_key")))
-    return (titles.withColumn("publisher", publisher_of(F.col("title")))
-            .join(resolved, ["prov_code", "city", "city_code", "publisher"], "left"))
+    return named.join(resolved, ["prov_code", "city", "city_code", "publisher"], "left")
+
+
+def attribute(titles: DataFrame, units: DataFrame, places: DataFrame) -> DataFrame:
+    """Each title with its publisher and the publisher's function key."""
+    return resolve_publishers(titles.withColumn("publisher", publisher_of(F.col("title"))), units, places)
 
 
 def owners(units: DataFrame) -> DataFrame:
@@ -82,7 +86,7 @@ def owners(units: DataFrame) -> DataFrame:
 
 def channel_hits(titles: DataFrame, units: DataFrame, places: DataFrame) -> DataFrame:
     """(prov_code, unit_key, url, n): notices per unit and channel, the unnamed rest counted for the owner."""
-    counts = (attribute(accepted(titles), units, places).groupBy("prov_code", "city", "url", "unit_key").agg(F.count(F.lit(1)).alias("n")))
+    counts = resolve_publishers(durable(published(accepted(titles)), "published"), units, places)
     credited = (counts.join(owners(units).select("prov_code", "city", "owner_key"), ["prov_code", "city"], "left")
                 .withColumn("unit_key", F.coalesce("unit_key", "owner_key")).filter(F.col("unit_key").isNotNull()))
     return credited.groupBy("prov_code", "unit_key", "url").agg(F.sum("n").alias("n"))
@@ -117,8 +121,8 @@ def unit_entries(units: DataFrame, hits: DataFrame, channels: DataFrame, day: st
 
 def publisher_tally(titles: DataFrame, units: DataFrame, places: DataFrame) -> DataFrame:
     """Per function key the wordings under which the unit publishes, as ``name(n) / …``."""
-    hit = attribute(accepted(titles), units, places).filter(F.col("unit_key").isNotNull())
-    n = hit.groupBy("prov_code", "unit_key", "publisher").agg(F.count(F.lit(1)).alias("n"))
+    counts = resolve_publishers(durable(published(accepted(titles)), "published"), units, places)
+    n = counts.filter(F.col("unit_key").isNotNull()).groupBy("prov_code", "unit_key", "publisher").agg(F.sum("n").alias("n"))
     return n.groupBy("prov_code", "unit_key").agg(
         counted(F.collect_list(F.struct(F.col("publisher").alias("key"), "n")), form="%s(%d)").alias("portal_publisher"))
 
@@ -155,19 +159,20 @@ def county_channel_hits(titles: DataFrame, units: DataFrame, places: DataFrame)
     channel's owner: its most frequent publisher, else the county's environment
     unit when the page points to it.
     """
-    keys = publisher_keys(titles, places).select("prov_code", "city", "city_code", "publisher", "key")
-    rows = (titles.withColumn("publisher", publisher_of(F.col("title")))
-            .join(keys, ["prov_code", "city", "city_code", "publisher"], "left"))
-    from regwise.functions.notice import stage_of as stage
-    accept = stage(F.col("title")) == R.STAGES[0]
     per_key = ["prov_code", "city", "district_short", "url"]
-    by_key = rows.groupBy(*per_key, "key").agg(F.count(F.lit(1)).alias("all"), F.count_if(accept).alias("n"), F.min("ord").alias("ord"))
-    facts = rows.groupBy(*per_key).agg(
-        F.bool_or(F.col("column_title").contains(F.col("district_short")) | (accept & F.col("title").contains(F.col("district_short"))))
-        .alias("names_county"),
+    accept = stage_of(F.col("title")) == R.STAGES[0]
+    short = F.col("district_short")
+    # one pass over the titles; everything below works on counts per publisher
+    counted = durable(titles.groupBy(*per_key, "city_code", publisher_of(F.col("title")).alias("publisher")).agg(
+        F.count(F.lit(1)).alias("all"), F.count_if(accept).alias("n"), F.min("ord").alias("ord"),
+        F.bool_or(F.col("column_title").contains(short) | (accept & F.col("title").contains(short))).alias("names_county"),
         F.bool_or(F.concat("column_title", "link_text", "source_title").rlike(R.ECO_PAGE)
-                  | F.col("page_text").contains(F.concat("district_short", F.lit("分局")))
-                  | F.col("page_text").contains(F.concat(F.lit("生态环境局"), F.col("district_short")))).alias("eco_page"))
+                  | F.col("page_text").contains(F.concat(short, F.lit("分局")))
+                  | F.col("page_text").contains(F.concat(F.lit("生态环境局"), short))).alias("eco_page")), "published")
+    keys = publisher_keys(counted, places).select("prov_code", "city", "city_code", "publisher", "key")
+    by_key = (counted.join(keys, ["prov_code", "city", "city_code", "publisher"], "left").groupBy(*per_key, "key")
+              .agg(F.sum("all").alias("all"), F.sum("n").alias("n"), F.min("ord").alias("ord")))
+    facts = counted.groupBy(*per_key).agg(F.bool_or("names_county").alias("names_county"), F.bool_or("eco_page").alias("eco_page"))
     main = (by_key.filter(F.col("key").isNotNull()).groupBy(*per_key)
             .agg(F.max_by("key", F.struct("all", (-F.col("ord")).alias("o"))).alias("main_key")))
     eco = F.lit(R.ECO_FUNCTION)

@@ -69,17 +69,21 @@ def match_slices(targets: DataFrame, projects: DataFrame) -> DataFrame:
     cols = ["row_id", "_whole", "_key", "_zone", "_host", "_uses", "host", "publisher", "approval_district", "project_district",
             "location", "radiation", "n"]
     pool = exact.select(*cols).unionByName(near.select(*cols))
-    foreign = pool.groupBy("row_id").agg(F.bool_and(F.col("host") == F.col("_host")).alias("_own"))
     tier = (F.when(F.col("_whole"), 0).when(F.col("approval_district") == F.col("_key"), 1)
             .when(F.col("project_district") == F.col("_key"), 2)
             .when((F.length("_zone") >= 4) & F.col("location").contains(F.col("_zone")), 3)
             .when(F.col("_uses") == 1, 4))
-    ranked = pool.withColumn("_tier", tier).filter(F.col("_tier").isNotNull())
-    best = ranked.join(foreign, "row_id").filter((F.col("_tier") < 4) | F.col("_own"))
-    first = best.groupBy("row_id").agg(F.min("_tier").alias("_first"))
-    # an entry used by one row hands over everything, also rows that match no earlier tier
-    return (best.join(first, "row_id").filter((F.col("_tier") == F.col("_first")))
-            .select("row_id", F.col("_tier").alias("tier"), "publisher", "approval_district", "project_district", "radiation", "n"))
+    # the addresses have done their part; what is left is small and read several times
+    counted = (pool.withColumn("tier", tier).filter(F.col("tier").isNotNull())
+               .groupBy("row_id", "tier", (F.col("host") == F.col("_host")).alias("_own"), "publisher", "approval_district",
+                        "project_district", "radiation").agg(F.sum("n").alias("n")))
+    ranked = durable(counted, "ranked")
+    # a row that may take the whole pool has a tier for every value, so nothing of its pool is missing here
+    pure = ranked.groupBy("row_id").agg(F.bool_and("_own").alias("_pure"))
+    best = ranked.join(pure, "row_id").filter((F.col("tier") < 4) | F.col("_pure"))
+    first = best.groupBy("row_id").agg(F.min("tier").alias("tier"))
+    return (best.join(first, ["row_id", "tier"])
+            .groupBy("row_id", "tier", "publisher", "approval_district", "project_district", "radiation").agg(F.sum("n").alias("n")))
 
 
 def extract_columns(targets: DataFrame, projects: DataFrame) -> DataFrame:

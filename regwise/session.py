@@ -44,12 +44,12 @@ def durable(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a table that sits in fewer pieces than there are cores.
+    """Use all cores for rows that come from fewer files than there are cores.
 
-    A large table has more pieces than cores and is returned as it is.
+    A large table has more files than cores and is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:

@@ -96,10 +96,12 @@ def read_entry_logs(spark: SparkSession, path: str) -> DataFrame:
     Files of the code 000000 hold provincial and national units.
     """
     ddl = ", ".join(f"`{c}` string" for c in R.ENTRY_LOG_COLUMNS)
-    rows = spark.read.schema(ddl).csv(path, header=True).na.fill("").withColumn("file_stem", file_stem())
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    rows = (spark.read.schema(ddl).csv(path, header=True).withColumn("file_stem", file_stem()).withColumn("_line", place)
+            .na.fill("", list(R.ENTRY_LOG_COLUMNS)))
     city = F.when(F.col("file_stem").startswith("000000"), R.NO_CITY).otherwise(F.regexp_replace("file_stem", "^[^_]*_", ""))
     named = rows.withColumn("city", city).withColumn("unit", strip(F.col("单位"))).filter(F.col("unit") != "")
-    return named.withColumn("ord", F.struct("file_stem", F.monotonically_increasing_id().alias("pos")))
+    return named.withColumn("ord", F.struct("file_stem", "_line")).drop("_line")
 
 
 def first_available(keys: list[str], *sources: DataFrame) -> DataFrame:
