@@ -9,6 +9,7 @@ from regwise import rules as R
 from regwise.functions.collections import counted
 from regwise.functions.text import normalize, split_units, strip
 from regwise.operators.spellings import iso_date
+from regwise.session import once
 
 UNIT = ("prov_code", "city", "area", "unit")
 
@@ -58,7 +59,7 @@ def matched_records(records: DataFrame, units: DataFrame) -> DataFrame:
     raw = records.groupBy("prov_code", "city_name", "city_field", "process_department", "county").agg(
         F.count(F.lit(1)).alias("n"), F.min(iso_date(F.col("notice_date"))).alias("first"),
         F.max(iso_date(F.col("notice_date"))).alias("last"), F.min("ord").alias("ord"))
-    named = raw.select("*", normalize(F.col("process_department")).alias("name"))
+    named = once(raw, name=normalize(F.col("process_department")))
     p, field, name = F.col("prov_code"), F.coalesce("city_field", F.lit("")), F.col("name")
     aliases = alias_table(units).select("prov_code", "city", "name", F.col("city").alias("unit_city"), "area", "unit")
     hit = match_first(named, aliases, [[p, F.concat(field, F.lit("市")), name], [p, field, name], [p, F.col("city_name"), name]],
@@ -89,8 +90,7 @@ def co_occurrence(records: DataFrame) -> DataFrame:
     Distinct (publisher, cell) pairs are counted before the cells are split.
     """
     cells = records.groupBy("prov_code", "process_department", "combined_units").agg(F.count(F.lit(1)).alias("n"))
-    parts = cells.select("prov_code", strip(F.col("process_department")).alias("publisher"),
-                         split_units(F.col("combined_units")).alias("parts"), "n")
+    parts = once(cells, publisher=strip(F.coalesce("process_department", F.lit(""))), parts=split_units(F.col("combined_units")))
     pairs = (parts.filter((F.col("publisher") != "") & (F.size("parts") >= 2))
              .select("prov_code", "publisher", F.explode("parts").alias("other"), "n")
              .filter(F.col("other") != F.col("publisher")))

@@ -29,10 +29,11 @@ def extract_links(pages: DataFrame) -> DataFrame:
     """
     attr = P.attribute(F.col("tag"), "title")
     text = F.when(strip(attr) != "", attr).otherwise(P.tag_free(F.col("inner")))
-    found = raw_anchors(pages).select("page_id", "page_url", "pos", unescape(P.attribute(F.col("tag"), "href")).alias("href"), text.alias("text"))
-    kept = found.filter((F.col("href") != "") & ~F.col("href").rlike(R.LIST_LINK) & F.col("href").rlike(R.ARTICLE_LINK))
+    found = raw_anchors(pages).select("page_id", "page_url", "pos", unescape(P.attribute(F.col("tag"), "href")).alias("href"), unescape(text).alias("text"))
+    article = (F.col("href") != "") & ~F.col("href").rlike(R.LIST_LINK) & F.col("href").rlike(R.ARTICLE_LINK)
+    kept = once(found, article=article).filter("article")
     return kept.select("page_id", "page_url", "pos", F.when(F.col("href").startswith("http"), F.col("href")).otherwise(
-        resolve(P.origin(F.col("page_url")), F.col("href"))).alias("url"), strip(unescape("text")).alias("title"))
+        resolve(P.origin(F.col("page_url")), F.col("href"))).alias("url"), strip(F.col("text")).alias("title"))
 
 
 def extract_anchors(pages: DataFrame) -> DataFrame:

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from regwise.functions.text import normalize, split_units
 from regwise.operators.places import judge
-from regwise.session import durable
+from regwise.session import durable, once
 
 KEY = ("prov_code", "city_code", "name")
+ORD = "decimal(38,0)"
+PARTS = 1_000_000  # more than the parts of any one cell
 
 
 def select_module(records: DataFrame, module: int | None) -> DataFrame:
@@ -25,21 +27,22 @@ def select_field(records: DataFrame, field: str = "proc") -> DataFrame:
     """One raw agency name per row.
 
     ``proc`` takes the publishing agency, ``export`` splits the combined cell.
-    ``ord`` becomes a pair so that parts keep their order within a record.
+    ``ord`` becomes one wide number (record, part), so that parts keep their
+    order and first-seen ties still aggregate in fixed-width buffers.
     """
     base = ("prov_code", "city_code", "notice_date", "county")
+    place = lambda part: (F.col("ord").cast("decimal(20,0)") * PARTS + part).cast(ORD).alias("ord")
     if field == "proc":
-        return records.select(*base, F.col("process_department").alias("raw"),
-                              F.struct(F.col("ord"), F.lit(0).alias("part")).alias("ord"))
+        return records.select(*base, F.col("process_department").alias("raw"), place(F.lit(0)))
     if field == "export":
         return (records.select(*base, "ord", F.posexplode(split_units(F.col("combined_units"))).alias("part", "raw"))
-                .select(*base, "raw", F.struct("ord", "part").alias("ord")))
+                .select(*base, "raw", place(F.col("part"))))
     raise ValueError(f"unknown field {field!r}")
 
 
 def iso_date(c: Column) -> Column:
     """Date of an ISO text, null for blanks (fixed-width, so it aggregates in hash tables)."""
-    return F.try_to_date(F.nullif(c, F.lit("")), "yyyy-MM-dd")
+    return F.nullif(c, F.lit("")).try_cast("date")
 
 
 def count_blank(rows: DataFrame) -> DataFrame:
@@ -56,15 +59,16 @@ def spelling_stats(rows: DataFrame) -> DataFrame:
     """
     raw = rows.groupBy("prov_code", "city_code", "raw", "county").agg(
         F.count(F.lit(1)).alias("n"), F.max(iso_date(F.col("notice_date"))).alias("last"),
-        F.min("ord.ord").alias("ord"), F.min("ord").alias("ord2"))
-    named = (raw.withColumn("name", normalize(F.col("raw"))).filter(F.col("name") != "")
+        F.min("ord").alias("ord"))
+    # behind ``once`` the blank filter cannot drag the clean-up below the counting
+    named = (once(raw, name=normalize(F.col("raw"))).filter(F.col("name") != "")
              .withColumn("county", F.coalesce("county", F.lit(""))))
     # one exchange serves both aggregations below
     by_county = (named.repartition(*[F.col(k) for k in KEY]).groupBy(*KEY, "county")
-                 .agg(F.sum("n").alias("n"), F.max("last").alias("last"), F.min("ord2").alias("first")))
+                 .agg(F.sum("n").alias("n"), F.max("last").alias("last"), F.min("ord").alias("first")))
     filled = F.col("county") != ""
     modal = F.max_by(F.when(filled, F.col("county")),
-                     F.when(filled, F.struct("n", (-F.col("first.ord")).alias("a"), (-F.col("first.part")).alias("b"))))
+                     F.when(filled, F.struct("n", (-F.col("first")).alias("a"))))
     return by_county.groupBy(*KEY).agg(
         F.sum("n").alias("n"), F.coalesce(F.date_format(F.max("last"), "yyyy-MM-dd"), F.lit("")).alias("last_date"),
         F.min("first").alias("first"), F.coalesce(modal, F.lit("")).alias("county"))

@@ -89,7 +89,7 @@ def representative_key(name: Column, with_suffix_flag: bool = True) -> Column:
     if with_suffix_flag:
         parts = [is_proper(name), *parts]
     return F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)], (~F.col("recovered")).alias("own"),
-                    (-F.col("first.ord")).alias("a"), (-F.col("first.part")).alias("b"))
+                    (-F.col("first")).alias("a"))
 
 
 def merge_units(spellings: DataFrame, group=GROUP, with_suffix_flag: bool = True) -> DataFrame:

@@ -26,11 +26,16 @@ def read_envelopes(spark: SparkSession, path: str, glob: str = "*.json", lines:
 
 
 def records_of(envelopes: DataFrame, fields: dict[str, int] = S.PROVINCE_FIELDS) -> DataFrame:
-    """One row per record; short records give blanks. ``ord`` is (file, position)."""
+    """One row per record; short records give blanks.
+
+    ``ord`` follows the files by the number their name starts with, then the
+    position of the record, which is the order in which ties are settled.
+    """
     each = envelopes.select(F.col("省编码").alias("prov_code"), "file_stem", F.posexplode("记录").alias("pos", "r"))
     values = [item(F.col("r"), i).alias(name) for name, i in fields.items()]
     out = each.select("prov_code", "file_stem", F.regexp_replace("file_stem", "^[^_]*_", "").alias("city_name"), *values,
-                      F.struct("file_stem", "pos").alias("ord"))
+                      (F.coalesce(F.nullif(F.regexp_extract("file_stem", "^(\\d{1,9})", 1), F.lit("")).cast("long"), F.lit(0)) * F.lit(2 ** 32)
+                       + F.col("pos")).alias("ord"))
     return out.withColumn("module", F.col("module").cast("int")) if "module" in fields else out
 
 

@@ -34,7 +34,8 @@ def module_q(f: Frames):
 @query("flt_02_field_selector", "SELECT prov_code, city_code, notice_date, county, raw, CAST(ord AS BIGINT) AS ord, CAST(part AS BIGINT) AS part FROM export_rows")
 def field_q(f: Frames):
     return (S.select_field(f.records, "export")
-            .select("prov_code", "city_code", "notice_date", "county", "raw", "ord.ord", c("ord.part").cast("long").alias("part")))
+            .select("prov_code", "city_code", "notice_date", "county", "raw", F.floor(c("ord") / S.PARTS).cast("long").alias("ord"),
+                    (c("ord") % S.PARTS).cast("long").alias("part")))
 
 
 @query("flt_03_blank_names", "SELECT count(*) AS n_rows, count(*) FILTER (name = '') AS n_blank FROM proc_norm")
