@@ -70,7 +70,8 @@ def distinct_metrics(units: DataFrame, registry: DataFrame) -> DataFrame:
     a = units.agg(F.count_distinct("unit").alias("unit_names"), F.count_distinct("prov_code", "city").alias("cities"),
                   F.count_distinct("prov_code", "city", "unit").alias("city_units"))
     b = registry.agg(F.count(F.lit(1)).alias("entries"), F.count_if(F.col("unit_count") > 1).alias("shared_entries"))
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    both = a.unionByName(b, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def same_rows(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from regwise.functions import agency as A, notice as N, page as P, text as T, url as U
 from regwise.operators.places import judge, locate
 
+# Names, titles and file names with the reading they must get.
 ROLES = {
     "扬州市邗江生态环境局": "生态环境", "经开区分局": "生态环境", "淮安市生态环局": "生态环境", "张家港市安环局": "生态环境",
     "镇江市生态环境和应急管理局": "生态环境", "无锡市大数据管理局": "行政审批", "泰州市姜堰区政务服务大厅": "行政审批",

@@ -227,11 +227,12 @@ FROM {entry_log} e WHERE e.entry_url <> '' AND e.ord % 3 <> 1 GROUP BY e.entry_u
 
 # Channels: up to three stages per city; every fifth city has one mixed channel.
 FRAMES["channels"] = """
-SELECT a.prov_code, a.city_code, a.city_name AS city, s.stage,
-       'http://sthj' || a.city_code || '.gov.cn/col/col' || CAST(s.i AS STRING) || '/index.html' AS url,
+SELECT a.prov_code, a.city_code, a.city_name AS city,
+       CASE a.district_ord WHEN 0 THEN '受理' WHEN 1 THEN '拟审批' WHEN 2 THEN '审批决定' ELSE '混合' END AS stage,
+       'http://sthj' || a.city_code || '.gov.cn/col/col' || CAST(a.district_ord AS STRING) || '/index.html' AS url,
        'http://sthj' || a.city_code || '.gov.cn/' AS home
-FROM {area} a JOIN (VALUES (0,'受理'),(1,'拟审批'),(2,'审批决定'),(3,'混合')) AS s(i, stage) ON s.i >= 0
-WHERE a.district_ord = 0 AND ((a.city_ord % 5 = 4 AND s.i = 3) OR (a.city_ord % 5 <> 4 AND s.i <= a.city_ord % 3))
+FROM {area} a
+WHERE (a.city_ord % 5 = 4 AND a.district_ord = 3) OR (a.city_ord % 5 <> 4 AND a.district_ord <= a.city_ord % 3)
 """
 
 # Zone dimension: zones some agencies sit in, partly confirmed.

@@ -338,7 +338,8 @@ _targets = """SELECT a.city_ord * 16 + a.district_ord * 4 + s.i AS row_id, a.cit
   CASE WHEN s.i = 3 THEN a.city_short || '临港经济开发区' ELSE '' END AS zone_name,
   CASE a.district_ord WHEN 0 THEN 'http://sthj' || a.city_code || '.gov.cn/col/col1/index.html' WHEN 1 THEN 'http://sthj' || a.city_code || '.gov.cn/other' || CAST(s.i AS STRING)
     WHEN 2 THEN '' ELSE 'http://sthj' || a.city_code || '.gov.cn/col/col2/index.html' END AS entry_url
-  FROM {area} a JOIN (VALUES (0), (1), (2), (3)) AS s(i) ON s.i >= 0"""
+  FROM {area} a JOIN (SELECT district_code, 0 AS i FROM {area} UNION ALL SELECT district_code, 1 FROM {area}
+    UNION ALL SELECT district_code, 2 FROM {area} UNION ALL SELECT district_code, 3 FROM {area}) s ON s.district_code = a.district_code"""
 O.relation("targets", "area", _targets.format(area="area"))
 O.relation("slice_rows", "targets project_counts", f"""WITH t AS (SELECT *, scope IN ('', '市本级') OR len(names) > 1 AS whole, regexp_replace(regexp_replace(regexp_replace(names[1], '区$', ''), '县$', ''), '市$', '') AS key,
     CASE WHEN starts_with(zone_name, regexp_replace(city, '市$', '')) THEN substr(zone_name, length(regexp_replace(city, '市$', '')) + 1) ELSE zone_name END AS zone,
