@@ -110,7 +110,7 @@ O.relation("sheet", "area", """SELECT code, row_number() OVER (ORDER BY code) AS
 def sheet(f: Frames):
     one = lambda col, df=f.area: df.select(c(col).alias("code"))
     codes = (one("prov_code").union(one("city_code")).union(one("district_code", f.area.filter("district_ord < 3")))
-             .union(f.region.select(F.lit("999999"))).distinct())
+             .union(f.region.select((c("r_regionkey") * 0 + 999999).cast("string"))).distinct())
     return codes.withColumn("ord", c("code").cast("long"))
 
 
