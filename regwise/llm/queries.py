@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regwise.llm import quality, simhash
+from regwise.llm import bpe, chat, licences, packing, pseudonyms, quality, simhash
 from regwise.llm.common import table
 
 SPACE_SQL = "'[^\\x20\\x09-\\x0D]+'"
@@ -40,5 +40,92 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op1_quality_rules": op1_quality_rules, "op10_simhash": op10_simhash}
-CHECKS = {"op1_quality_rules": OP1_SQL}
+# The key of the queries; a run on real data passes its own, secret one.
+PSEUDONYM_KEY = "regwise"
+
+
+def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymise(docs).select("doc_id", "text", F.size("kinds").alias("n_values"), F.array_join("kinds", ",").alias("kinds"))
+
+
+def pseudonymise(docs: DataFrame) -> DataFrame:
+    return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY, kinds="kinds")
+
+
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents"), licences.known_texts(spark))
+    return found.select("doc_id", "digest", "licence", F.array_join("lines", ",").alias("line_licences"))
+
+
+def text_sql(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _normal_sql(text: str) -> str:
+    out = f"' ' || regexp_replace(regexp_replace(lower({text}), {text_sql(licences.COPYRIGHT_LINE)}, '', 'g'), {text_sql(licences.NOT_WORD)}, ' ', 'g') || ' '"
+    for other, form in licences.EQUIVALENT.items():
+        out = f"replace({out}, {text_sql(other)}, {text_sql(form)})"
+    return f"trim({out})"
+
+
+OP6_SQL = f"""
+WITH k AS (SELECT sha256(n) AS known, min(l) AS licence FROM (
+        SELECT l, {_normal_sql('t')} AS n FROM (VALUES {', '.join(f'({text_sql(n)}, {text_sql(t)})' for n, t in licences.KNOWN)}) v(l, t)) WHERE n <> '' GROUP BY 1),
+d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS t FROM d WHERE t <> ''),
+h AS (SELECT doc_id, string_agg(DISTINCT licence, ',' ORDER BY licence) AS line_licences FROM (
+        SELECT doc_id, sha256({_normal_sql('t')}) AS digest FROM l) x JOIN k ON digest = known GROUP BY doc_id),
+w AS (SELECT doc_id, sha256({_normal_sql('t')}) AS digest FROM d)
+SELECT w.doc_id, digest, licence, coalesce(line_licences, '') AS line_licences
+FROM w LEFT JOIN k ON digest = known LEFT JOIN h ON w.doc_id IS NOT DISTINCT FROM h.doc_id
+"""
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.sequences(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+EXTRA_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.createDataFrame([(-7, 0, "user", EXTRA_TEXT), (-7, 1, "assistant", EXTRA_TEXT)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select(*[F.col(c).cast(t).alias(c) for c, t in extra.dtypes]).unionByName(extra)
+    done = chat.formatted(chat.as_log(rows))
+    read = done.select("conv_id", "formatted", chat.parse(F.col("formatted")).alias("turns"),
+                       F.array_join(chat.under_mask(F.col("formatted"), F.col("loss")), "").alias("trained"))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"),
+                       F.length("trained").cast("long").alias("loss_chars"), F.sha2("trained", 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def _escape_sql(text: str, line: bool = False) -> str:
+    out = f"replace({text}, '\\', '\\\\')"
+    for control, code in (chat.CODES | ({"\n": chat.NEWLINE} if line else {})).items():
+        out = f"replace({out}, {text_sql(control) if control != chr(10) else 'chr(10)'}, '\\{code}')"
+    return out
+
+
+OP8_SQL = f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, * FROM (VALUES (0, 'user', {text_sql(EXTRA_TEXT)}), (1, 'assistant', {text_sql(EXTRA_TEXT)})) v)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length('### ' || {_escape_sql('role', True)} || ':' || chr(10) || {_escape_sql('text')} || chr(10) || '</turn>' || chr(10)))::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    return done.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+QUERIES = {"op1_quality_rules": op1_quality_rules, "op5_pseudonyms": op5_pseudonyms, "op6_licences": op6_licences, "op7_packing": op7_packing,
+           "op8_chat": op8_chat, "op9_bpe": op9_bpe, "op10_simhash": op10_simhash}
+CHECKS = {"op1_quality_rules": OP1_SQL, "op6_licences": OP6_SQL, "op8_chat": OP8_SQL}
