@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regwise.llm import bpe, chat, licences, packing, pseudonyms, quality, simhash
+from regwise.llm import bpe, chat, ctw, grid_join, licences, packing, pseudonyms, quality, simhash
 from regwise.llm.common import table
 
 SPACE_SQL = "'[^\\x20\\x09-\\x0D]+'"
@@ -40,6 +40,25 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.scores(table(spark, sf_dir, "documents"))
+
+
+def op4_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_join.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP4_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b WHERE a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM p GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM c LEFT JOIN n USING (vec_id)
+"""
+
+
 # The key of the queries; a run on real data passes its own, secret one.
 PSEUDONYM_KEY = "regwise"
 
@@ -126,6 +145,6 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {"op1_quality_rules": op1_quality_rules, "op5_pseudonyms": op5_pseudonyms, "op6_licences": op6_licences, "op7_packing": op7_packing,
+QUERIES = {"op1_quality_rules": op1_quality_rules, "op3_context_tree": op3_context_tree, "op4_grid_join": op4_grid_join, "op5_pseudonyms": op5_pseudonyms, "op6_licences": op6_licences, "op7_packing": op7_packing,
            "op8_chat": op8_chat, "op9_bpe": op9_bpe, "op10_simhash": op10_simhash}
-CHECKS = {"op1_quality_rules": OP1_SQL, "op6_licences": OP6_SQL, "op8_chat": OP8_SQL}
+CHECKS = {"op1_quality_rules": OP1_SQL, "op4_grid_join": OP4_SQL, "op6_licences": OP6_SQL, "op8_chat": OP8_SQL}
