@@ -24,6 +24,14 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def free(name: str, df: DataFrame) -> str:
+    """``name``, or a longer one where the frame has a column of that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Cut:
     """A frame written once to the shared folder; ``drop`` removes the files."""
 

@@ -72,27 +72,29 @@ def _cells(axes: np.ndarray, eps: float):
     return run
 
 
-def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Intervals of the order, of one vector length and about BLOCK_BYTES, with the box of their points."""
-    part, seq, held, size = TaskContext.get().partitionId(), 0, [], 0
-
-    def block(rows: list[tuple]) -> pa.RecordBatch:
-        k, n, v, p = zip(*rows, strict=True)
-        box = np.array(p)
-        columns = [[part], [seq], [len(v[0])], [list(k)], [list(n)], [np.array(v, np.float64).tobytes()], *([x] for x in box.min(axis=0)), *([x] for x in box.max(axis=0))]
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()] + [pa.float64()] * (2 * box.shape[1])
-        names = ["part", "seq", "d", "ks", "ns", "vectors", *(f"lo{i}" for i in range(box.shape[1])), *(f"hi{i}" for i in range(box.shape[1]))]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
-
-    for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("k", "n", "v", "point")), strict=True):
-            if held and (len(held[0][2]) != len(row[2]) or size + 8 * len(row[2]) > BLOCK_BYTES):
-                yield block(held)
-                seq, held, size = seq + 1, [], 0
-            held.append(row)
-            size += 8 * len(row[2])
-    if held:
-        yield block(held)
+def _to_blocks(block_bytes: int):
+    """Intervals of the order, of one vector length and about ``block_bytes``, with the box of their points."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seq, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def block(rows: list[tuple]) -> pa.RecordBatch:
+            k, n, v, p = zip(*rows, strict=True)
+            box = np.array(p)
+            columns = [[part], [seq], [len(v[0])], [list(k)], [list(n)], [np.array(v, np.float64).tobytes()], *([x] for x in box.min(axis=0)), *([x] for x in box.max(axis=0))]
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()] + [pa.float64()] * (2 * box.shape[1])
+            names = ["part", "seq", "d", "ks", "ns", "vectors", *(f"lo{i}" for i in range(box.shape[1])), *(f"hi{i}" for i in range(box.shape[1]))]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("k", "n", "v", "point")), strict=True):
+                if held and (len(held[0][2]) != len(row[2]) or size + 8 * len(row[2]) > block_bytes):
+                    yield block(held)
+                    seq, held, size = seq + 1, [], 0
+                held.append(row)
+                size += 8 * len(row[2])
+        if held:
+            yield block(held)
+    return run
 
 
 def _joined(cosine: float):
@@ -155,7 +157,7 @@ def _leaf_pairs(blocks: DataFrame, width: int, eps: float) -> DataFrame:
     return pairs
 
 
-def linked_vectors(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
+def linked_vectors(embeddings: DataFrame, cosine: float = COSINE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``vec_id, n_links, component_id, kept``: vectors of the same length are linked at ``cosine`` or more.
 
     Equal vectors are one class with a count, so copies are never paired. The
@@ -186,7 +188,7 @@ def linked_vectors(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     order = ["d", *cells]
     width = len(axes) + 1
     schema = "part long, seq long, d int, ks array<long>, ns array<long>, vectors binary, " + ", ".join(f"{e}{i} double" for e in ("lo", "hi") for i in range(width))
-    cut = Cut(placed.repartitionByRange(max(1, math.ceil(size / BLOCK_BYTES)), *order).sortWithinPartitions(*order).mapInArrow(_to_blocks, schema), "blocks").df
+    cut = Cut(placed.repartitionByRange(max(1, math.ceil(size / block_bytes)), *order).sortWithinPartitions(*order).mapInArrow(_to_blocks(block_bytes), schema), "blocks").df
     parts = cut.groupBy("part").agg(F.count("*").alias("blocks"))
     before = parts.select("part", (F.sum("blocks").over(Window.orderBy("part")) - F.col("blocks")).alias("before"))
     blocks = Cut(cut.join(F.broadcast(before), "part").withColumn("node", F.col("before") + F.col("seq")).drop("part", "seq", "before"), "blocks").df

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from regwise.llm.common import free
+
 ROUNDS = 8
 DIGITS, LOWER, UPPER, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
 # days from 1900-03-01 to 2100-02-28: 50 whole cycles of four years
@@ -176,11 +178,12 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", kinds: str | Non
     """
     held = F.col(text).rlike("[0-9@]") & F.col(text).rlike(FIND)
     found = F.when(held, F.transform(F.regexp_extract_all(F.col(text), F.lit(FIND), F.lit(0)), lambda m: _replaced(m, key)))
-    rows = docs.select("*", F.inline(F.array(F.struct(found.alias("__found")))))
+    name = free("__found", docs)
+    rows = docs.select("*", F.inline(F.array(F.struct(found.alias(name)))))
     gaps = F.split(F.col(text), FIND, -1)
     # the gap after the last value has no partner
-    joined = F.array_join(F.zip_with(gaps, "__found", lambda g, v: F.concat(g, F.coalesce(v["text"], F.lit("")))), "")
-    new = F.when(F.col("__found").isNull(), F.col(text)).otherwise(joined)
-    names = F.coalesce(F.filter(F.transform("__found", lambda v: v["kind"]), lambda k: k.isNotNull()), F.array().cast("array<string>"))
-    out = rows.withColumn(text, new)
-    return (out.withColumn(kinds, names) if kinds else out).drop("__found")
+    joined = F.array_join(F.zip_with(gaps, name, lambda g, v: F.concat(g, F.coalesce(v["text"], F.lit("")))), "")
+    new = F.when(F.col(name).isNull(), F.col(text)).otherwise(joined)
+    replaced = F.coalesce(F.filter(F.transform(name, lambda v: v["kind"]), lambda k: k.isNotNull()), F.array().cast("array<string>"))
+    changed = {text: new} | ({kinds: replaced} if kinds else {})
+    return rows.withColumns(changed).drop(name)

@@ -63,18 +63,23 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(1), measures], ["row", "m"])
 
 
+def _judged(docs: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
+    """``row`` with the columns of ``keep``, the measurements, and ``bits``."""
+    rows = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"), F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"))
+    schema = f"row {rows.schema['row'].dataType.simpleString()}, m struct<{','.join(f'{m}:bigint' for m in MEASURES)}>"
+    return rows.mapInArrow(_measured, schema).select("row", "m.*").withColumn("bits", failed_bits())
+
+
 def ledger(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns of ``keep``, every measurement, and ``bits``: one bit per failed rule.
 
     Each text is read once, whole; rules that come later are evaluated on the
     stored measurements, and policies on the bits, without the texts. One row
-    per row; a null text has no words and no lines; nothing else is read, so
-    clashing columns play no part; an empty table gives an empty ledger.
+    per row; a null text has no words and no lines; columns that are not kept
+    are not read, so their names may clash, and kept ones may not be named like
+    a measurement; an empty table gives an empty ledger.
     """
-    rows = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"), F.struct(*[F.col(c) for c in keep]).alias("row"))
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, m struct<{','.join(f'{m}:bigint' for m in MEASURES)}>"
-    found = rows.mapInArrow(_measured, schema).select("row.*", "m.*")
-    return found.withColumn("bits", failed_bits())
+    return _judged(docs, text, keep).select("row.*", *MEASURES, "bits")
 
 
 def failed_bits() -> Column:
@@ -107,5 +112,5 @@ def ablations(book: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 
 def passing(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
-    """The rows of ``docs`` whose text passes the policy, with their columns unchanged."""
-    return ledger(docs, keep=tuple(docs.columns)).where(verdict(policy)).select(*docs.columns)
+    """The rows of ``docs`` whose text passes the policy, with their columns unchanged, whatever their names."""
+    return _judged(docs, "text", tuple(docs.columns)).where(verdict(policy)).select("row.*")

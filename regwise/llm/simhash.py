@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regwise.llm.common import Cut, id_and_text, passes, text_bytes
+from regwise.llm.common import Cut, free, id_and_text, passes, text_bytes
 from regwise.llm.components import components, local_roots
 
 SHINGLE, SEED, DISTANCE = 3, 42, 2
@@ -183,7 +183,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     rows, rooted = _grouped(docs)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "version"))
     best = rows.groupBy("fp").agg(first.alias("best")).join(rooted, "fp").groupBy("root").agg(F.min("best").alias("best"))
-    best = best.select(F.coalesce("best.doc_id", F.lit(0)).alias("__id"), F.col("best.version").alias("__version"))
+    place, version = free("__id", docs), free("__version", docs)
+    best = best.select(F.coalesce("best.doc_id", F.lit(0)).alias(place), F.col("best.version").alias(version))
     doc_id, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.withColumns({"__id": F.coalesce(doc_id, F.lit(0)), "__version": _version(doc_id, text)})
-    return keyed.join(best, ["__id", "__version"], "left_semi").dropDuplicates(["__id", "__version"]).select(*docs.columns)
+    keyed = docs.withColumns({place: F.coalesce(doc_id, F.lit(0)), version: _version(doc_id, text)})
+    return keyed.join(best, [place, version], "left_semi").dropDuplicates([place, version]).select(*docs.columns)
