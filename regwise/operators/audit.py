@@ -43,12 +43,12 @@ def stage_summary(probes: DataFrame) -> DataFrame:
     city; ``share`` is the percentage with an official report.
     """
     order = F.coalesce(*[F.when(F.col("stage") == s, i) for i, s in enumerate(R.STAGES)], F.lit(9))
-    number = lambda c: F.try_to_number(F.col(c), F.lit("999999999")).cast("long")
+    some = lambda c: F.col(c).rlike("^[0-9]*[1-9][0-9]*$")  # noqa: E731 - above zero, at any length
     kept = probes.filter(F.col("n_all").rlike("^[0-9]+$"))
     sums = kept.groupingSets([("prov", "city", "stage"), ("prov", "stage")], "prov", "city", "stage").agg(
         F.grouping("city").alias("_sub"), F.count(F.lit(1)).alias("sampled"),
-        F.count_if(number("n_official") > 0).alias("official"), F.count_if(number("n_external") > 0).alias("external"),
-        F.count_if(number("n_all") > 0).alias("any_attachment"), F.count_if(F.col("error") != "").alias("errors"))
+        F.count_if(some("n_official")).alias("official"), F.count_if(some("n_external")).alias("external"),
+        F.count_if(some("n_all")).alias("any_attachment"), F.count_if(F.col("error") != "").alias("errors"))
     return sums.select("prov", "city", "stage", order.cast("long").alias("stage_order"), "sampled", "official", "external",
                        "any_attachment", "errors",
                        F.when(F.col("_sub") == 1, F.round(F.try_divide(F.col("official") * 100.0, "sampled"))).alias("share"))

@@ -174,7 +174,7 @@ def county_channel_hits(titles: DataFrame, units: DataFrame, places: DataFrame)
               .agg(F.sum("all").alias("all"), F.sum("n").alias("n"), F.min("ord").alias("ord")))
     facts = counted.groupBy(*per_key).agg(F.bool_or("names_county").alias("names_county"), F.bool_or("eco_page").alias("eco_page"))
     main = (by_key.filter(F.col("key").isNotNull()).groupBy(*per_key)
-            .agg(F.max_by("key", F.struct("all", (-F.col("ord")).alias("o"))).alias("main_key")))
+            .agg(F.min_by("key", F.struct((-F.col("all")).alias("a"), "ord")).alias("main_key")))
     eco = F.lit(R.ECO_FUNCTION)
     staged = (by_key.join(facts, per_key).join(main, per_key, "left")
               .withColumn("city_key", function_key(F.col("city"), F.lit(R.CITY_LEVEL), eco))

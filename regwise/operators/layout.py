@@ -75,18 +75,18 @@ def layout_issues(sheet: DataFrame, units: DataFrame, area: DataFrame) -> DataFr
             .unionByName(kind(coded.join(codes, "code", "left_anti"), "unmatched", unit_key)))
 
 
-def capped_windows(daily: DataFrame, keys: list[str], start: Column, end: Column, cap: int, max_rounds: int = 32) -> DataFrame:
+def capped_windows(daily: DataFrame, keys: list[str], start: Column, end: Column, cap: int) -> DataFrame:
     """Split date ranges in half until each holds fewer than ``cap`` rows.
 
     ``daily`` has the keys, ``day`` and ``n``. Counts come from running totals
-    per key, two equi-joins per round; rounds end when no range is split, at
-    most log2(days). A single day at the cap stays and is flagged ``over_cap``.
+    per key, one equi-join per round; rounds end when no range is split, after
+    log2(days) of them, since a day cannot be split. A single day at the cap stays and is flagged ``over_cap``.
     """
     # running totals hold one row per key and day, not per record
     upto = durable(daily.groupBy(*keys, "day").agg(F.sum("n").alias("n")), "daily")
     rows = durable(upto.select(*keys).distinct().select(*keys, start.alias("d0"), end.alias("d1")), "windows")
     done = None
-    for _ in range(max_rounds):
+    while True:
         days = rows.withColumn("_day", F.explode(F.sequence("d0", "d1", F.expr("interval 1 day"))))
         counted = (days.join(upto.select(*keys, F.col("day").alias("_day"), "n"), [*keys, "_day"], "left")
                    .groupBy(*keys, "d0", "d1").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")))
@@ -99,5 +99,4 @@ def capped_windows(daily: DataFrame, keys: list[str], start: Column, end: Column
                          F.struct(F.date_add(middle, 1).alias("d0"), F.col("d1").alias("d1")))
         rows = counted.filter(full).select(*keys, F.explode(halves).alias("h")).select(*keys, "h.d0", "h.d1")
         if rows.isEmpty():
-            break
-    return done
+            return done

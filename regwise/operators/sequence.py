@@ -31,10 +31,24 @@ def global_index(df: DataFrame, order: list[Column], to: str = "idx") -> DataFra
 
 
 def index_within(df: DataFrame, keys: list[str], order: list[Column], to: str = "seq") -> DataFrame:
-    """Add the 1-based position inside each key group, however large the group is."""
-    placed = durable(global_index(df, [*[F.col(k) for k in keys], *order], "_idx"), "placed")
-    firsts = placed.groupBy(*keys).agg(F.min("_idx").alias("_first"))
-    return (placed.join(firsts, keys).withColumn(to, F.col("_idx") - F.col("_first") + 1).drop("_idx", "_first"))
+    """Add the 1-based position inside each key group, however large the group is.
+
+    Rows are written once, in ranges of keys and order. A group that goes on
+    from an earlier range starts after the rows it has there; such groups are
+    at most one per range.
+    """
+    ranged = _ranges(df, [*[F.col(k) for k in keys], *order], "ranges")
+    sizes = ranged.groupBy("_range", *keys).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per group and range
+    ahead = sizes.withColumn("_ahead", F.sum("_n").over(earlier)).filter("_ahead IS NOT NULL")
+    ahead = ahead.select(F.col("_range").alias("_r"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_ahead")
+    same = F.col("_range") == F.col("_r")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    within = Window.partitionBy("_range", *keys).orderBy(*order)
+    return (ranged.join(small(ahead), same, "left")
+            .withColumn(to, (F.coalesce("_ahead", F.lit(0)) + F.row_number().over(within)).cast("long"))
+            .drop("_range", "_r", "_ahead", *[f"_k{i}" for i in range(len(keys))]))
 
 
 def forward_fill(df: DataFrame, order: list[Column], column: str, to: str | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from regwise.session import durable, once
 
 KEY = ("prov_code", "city_code", "name")
 ORD = "decimal(38,0)"
-PARTS = 1_000_000  # more than the parts of any one cell
+PARTS = 1_000_000  # a cell with more parts is refused
 
 
 def select_module(records: DataFrame, module: int | None) -> DataFrame:
@@ -31,12 +31,12 @@ def select_field(records: DataFrame, field: str = "proc") -> DataFrame:
     order and first-seen ties still aggregate in fixed-width buffers.
     """
     base = ("prov_code", "city_code", "notice_date", "county")
-    place = lambda part: (F.col("ord").cast("decimal(20,0)") * PARTS + part).cast(ORD).alias("ord")
+    place = lambda part: (F.col("ord").cast("decimal(28,0)") * PARTS + part).cast(ORD).alias("ord")
     if field == "proc":
         return records.select(*base, F.col("process_department").alias("raw"), place(F.lit(0)))
     if field == "export":
         return (records.select(*base, "ord", F.posexplode(split_units(F.col("combined_units"))).alias("part", "raw"))
-                .select(*base, "raw", place(F.col("part"))))
+                .select(*base, "raw", place(F.when(F.col("part") < PARTS, F.col("part")).otherwise(F.raise_error(F.lit("a cell with too many parts"))))))
     raise ValueError(f"unknown field {field!r}")
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from regwise import rules as R
 from regwise.functions.agency import is_proper, may_be_truncated, role_of
-from regwise.functions.text import variants_of
 
 AREA = ("prov_code", "city", "area")
 GROUP = ("prov_code", "city", "area", "function")
@@ -150,14 +149,6 @@ def unit_table(units: DataFrame, label: str = "单位", seen: str | None = None)
     return units.select("prov_code", *cols)
 
 
-def units_from_table(table: DataFrame) -> DataFrame:
-    """Read the deliverable back into the internal form."""
-    return table.select("prov_code", F.col("城市").alias("city"), F.col("地区").alias("area"), F.col("单位").alias("unit"),
-                        F.col("职能").alias("role"), F.col("最新公告日期").alias("last_date"),
-                        F.col("记录数").cast("long").alias("record_count"),
-                        variants_of(F.col("合并的其他写法")).alias("variants"))
-
-
 def top_units(units: DataFrame, keys, n: int) -> DataFrame:
     order = Window.partitionBy(*keys).orderBy(F.desc("record_count"), "unit")
     return units.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)

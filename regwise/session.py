@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,21 +10,27 @@ from pyspark.sql import functions as F
 # A place dictionary of a whole country stays below these sizes; a frame above
 # the bound is joined by shuffle instead.
 SMALL_ROWS = 20_000
-_local_dirs: dict[str, str] = {}
+# Names the shared folder where the cluster's own setting is absent; entry
+# points of local runs set it.
+SHARED = "spark.regwise.shared.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for written intermediates: ``spark.checkpoint.dir``.
+    """The folder of this run for written intermediates, which all executors share.
 
-    Only where the session names none (local tests) a fresh folder is used.
+    ``spark.checkpoint.dir`` names its parent, else ``spark.regwise.shared.dir``.
+    Without either there is no safe place, and this raises.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="regwise-")
-    return _local_dirs[app]
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SHARED, None)
+    if not named:
+        raise RuntimeError(f"set spark.checkpoint.dir or {SHARED} to a folder that all executors share")
+    return f"{named.rstrip('/')}/regwise-{spark.sparkContext.applicationId}"
+
+
+def remove_shared(spark: SparkSession) -> None:
+    """Delete the folder of this run; nothing that reads from it works afterwards."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -43,15 +48,6 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for rows that come from fewer files than there are cores.
-
-    A large table has more files than cores and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Broadcast ``df`` only when it is proven to hold at most ``max_rows`` rows.
 

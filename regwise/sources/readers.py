@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regwise import rules as R, schema as S
 from regwise.functions.collections import item
 from regwise.functions.text import strip
+from regwise.operators.sequence import global_index
+from regwise.session import small
 
 
 def file_stem() -> Column:
@@ -15,33 +17,50 @@ def file_stem() -> Column:
     return F.regexp_extract(F.url_decode(F.replace(F.input_file_name(), F.lit("+"), F.lit("%2B"))), "([^/]+)\\.[^./]*$", 1)
 
 
+def place_in_files() -> Column:
+    """Where a row of a file scan stands: file, split, and row of the split."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("line"))
+
+
 def read_envelopes(spark: SparkSession, path: str, glob: str = "*.json", lines: bool = False) -> DataFrame:
-    """One row per envelope.
+    """One row per envelope, with its ``place`` in the files.
 
     By default a file is one (indented) document and one task's work; with
     ``lines`` a file holds one envelope per line and is split between tasks.
     """
     return (spark.read.schema(S.ENVELOPE).option("multiLine", not lines).option("pathGlobFilter", glob).json(path)
-            .withColumn("file_stem", file_stem()))
+            .withColumn("file_stem", file_stem()).withColumn("place", place_in_files()))
 
 
 def records_of(envelopes: DataFrame, fields: dict[str, int] = S.PROVINCE_FIELDS) -> DataFrame:
-    """One row per record; short records give blanks.
-
-    ``ord`` follows the files by the number their name starts with, then the
-    position of the record, which is the order in which ties are settled.
-    """
-    each = envelopes.select(F.col("省编码").alias("prov_code"), "file_stem", F.posexplode("记录").alias("pos", "r"))
+    """One row per record; short records give blanks. ``pos`` is the position in the envelope."""
+    more = [c for c in ("place", "envelope") if c in envelopes.columns]
+    each = envelopes.select(F.col("省编码").alias("prov_code"), "file_stem", *more, F.posexplode("记录").alias("pos", "r"))
     values = [item(F.col("r"), i).alias(name) for name, i in fields.items()]
-    out = each.select("prov_code", "file_stem", F.regexp_replace("file_stem", "^[^_]*_", "").alias("city_name"), *values,
-                      (F.coalesce(F.nullif(F.regexp_extract("file_stem", "^(\\d{1,9})", 1), F.lit("")).cast("long"), F.lit(0)) * F.lit(2 ** 32)
-                       + F.col("pos")).alias("ord"))
+    out = each.select("prov_code", "file_stem", F.regexp_replace("file_stem", "^[^_]*_", "").alias("city_name"), *values, *more, "pos")
     return out.withColumn("module", F.col("module").cast("int")) if "module" in fields else out
 
 
+def read_records(spark: SparkSession, path: str, glob: str = "*.json", lines: bool = False,
+                 fields: dict[str, int] = S.PROVINCE_FIELDS) -> DataFrame:
+    """Records with ``ord``, the order in which ties are settled.
+
+    Files follow their names, envelopes their place in the file, records their
+    position in the envelope. Envelopes are numbered densely (only their places
+    are sorted), so ``ord`` is one number, unique whatever the files are called
+    and however many envelopes they hold: a position is below 2^31.
+    """
+    envelopes = read_envelopes(spark, path, glob, lines)
+    numbers = global_index(envelopes.select("place"), [F.col("place")], "envelope")
+    numbered = envelopes.join(small(numbers), "place")
+    ord_ = F.col("envelope").cast("decimal(18,0)") * F.lit(2 ** 31).cast("decimal(10,0)") + F.col("pos")
+    return records_of(numbered, fields).withColumn("ord", ord_.cast("decimal(28,0)")).drop("place")
+
+
 def read_province(spark: SparkSession, path: str, prov_code: str, module: int | None = None, lines: bool = False) -> DataFrame:
     """Records of all files of one province (file names start with its first two digits)."""
-    out = records_of(read_envelopes(spark, path, f"{prov_code[:2]}*.json", lines))
+    out = read_records(spark, path, f"{prov_code[:2]}*.json", lines)
     return out if module is None else out.filter(F.col("module") == module)
 
 
@@ -101,8 +120,9 @@ def read_entry_logs(spark: SparkSession, path: str) -> DataFrame:
     Files of the code 000000 hold provincial and national units.
     """
     ddl = ", ".join(f"`{c}` string" for c in R.ENTRY_LOG_COLUMNS)
-    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
-    rows = (spark.read.schema(ddl).csv(path, header=True).withColumn("file_stem", file_stem()).withColumn("_line", place)
+    # notes are written by hand and hold line breaks and quotes, so a file is read as a whole
+    rows = (spark.read.schema(ddl).csv(path, header=True, multiLine=True, escape='"').withColumn("file_stem", file_stem())
+            .withColumn("_line", F.monotonically_increasing_id())
             .na.fill("", list(R.ENTRY_LOG_COLUMNS)))
     city = F.when(F.col("file_stem").startswith("000000"), R.NO_CITY).otherwise(F.regexp_replace("file_stem", "^[^_]*_", ""))
     named = rows.withColumn("city", city).withColumn("unit", strip(F.col("单位"))).filter(F.col("unit") != "")
@@ -157,7 +177,3 @@ def pending(units: DataFrame, done: DataFrame, key: str = "unit_uid") -> DataFra
     """Units that have no stored samples yet."""
     return units.join(done.select(key).distinct(), key, "left_anti")
 
-
-def numbered(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
-    """Positions inside short groups, such as the lines of one small file."""
-    return df.withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))

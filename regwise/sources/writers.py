@@ -17,14 +17,15 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", order: list
     out.write.mode(mode).csv(path, header=True, quoteAll=True, emptyValue="")
 
 
-def unit_order() -> list[Column]:
-    return [F.col("prov_code"), F.col("城市"), F.col("记录数").desc()]
+def unit_order(label: str = "单位") -> list[Column]:
+    return [F.col("prov_code"), F.col("城市"), F.col("记录数").desc(), F.col(label), F.col("地区")]
 
 
 def write_units(units: DataFrame, path: str, field: str = "proc", mode: str = "errorifexists") -> DataFrame:
     """The unit table: 7 columns, or 8 with the comparison flag for the combined field."""
-    table = unit_table(units) if field == "proc" else unit_table(units, "受理/监督单位", seen="seen")
-    write_csv(table, path, mode, unit_order())
+    label = "单位" if field == "proc" else "受理/监督单位"
+    table = unit_table(units, label, seen=None if field == "proc" else "seen")
+    write_csv(table, path, mode, unit_order(label))
     return table
 
 

@@ -9,12 +9,15 @@ sys.path.insert(0, str(ROOT))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
     s = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
          .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.session.timeZone", "UTC").getOrCreate())
+         .config("spark.sql.session.timeZone", "UTC").config("spark.checkpoint.dir", shared).getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    return s
+    yield s
+    from regwise.session import remove_shared
+    remove_shared(s)
 
 
 AREA = [  # province, city, districts

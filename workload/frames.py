@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from regwise.operators.places import places_dim
 from regwise.operators.spellings import judged_spellings, select_field
 from regwise.plans.clean import clean
-from regwise.session import durable, spread
+from regwise.session import durable
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -131,7 +131,7 @@ FROM (
          CAST(CAST(o.o_orderdate AS DATE) AS STRING) AS day,
          CAST(year(o.o_orderdate) AS STRING) || '年' || CAST(month(o.o_orderdate) AS STRING) || '月'
            || CAST(day(o.o_orderdate) AS STRING) || '日' AS day_text,
-         (o.o_orderkey * 7 + o.o_custkey) % 40 AS k
+         (o.o_orderkey % 40 * 7 + o.o_custkey % 40) % 40 AS k
   FROM {orders} o
   JOIN {customer} c ON o.o_custkey = c.c_custkey
   JOIN {area} a ON a.city_ord = c.c_nationkey AND a.district_ord = o.o_custkey % 4
@@ -140,9 +140,10 @@ FROM (
 
 # One notice per order line: title, source line of the page and up to three
 # project addresses. (order, line) repeats in the table, so ``url`` does too.
-# Order keys stay below 2**19 at every size provided; wider keys need a struct.
+# ``ord`` writes every key at the full width of a 64-bit number, so that it sorts
+# like the keys and stays unique at any size; ``seq`` is a small number to vary texts by.
 FRAMES["notices"] = """
-SELECT x.ord, x.prov_code, x.city_code, x.city_name, x.channel_url, x.url, x.day,
+SELECT x.ord, x.seq, x.prov_code, x.city_code, x.city_name, x.channel_url, x.url, x.day,
        CASE x.k
          WHEN 0 THEN x.city_name || '生态环境局关于' || x.day_text || '建设项目环境影响评价文件受理情况的公示（' || x.dcore || '）'
          WHEN 1 THEN x.city_name || '生态环境局' || x.dcore || '分局关于' || x.day_text || '拟作出的建设项目环评审批意见的公示'
@@ -169,7 +170,9 @@ SELECT x.ord, x.prov_code, x.city_code, x.city_name, x.channel_url, x.url, x.day
             ELSE x.district_name || '天目湖镇' || '｜' || '鼓楼区中山路' || '｜' || '无名地址' END AS locations,
        CASE WHEN x.k % 2 = 0 THEN x.city_name || '生态环境局' ELSE '' END AS channel_org
 FROM (
-  SELECT (l.l_orderkey * 10 + l.l_linenumber) * 1000000000000 + l.l_partkey * 1000000 + l.l_suppkey * 100 + CAST(l.l_quantity AS BIGINT) AS ord,
+  SELECT lpad(CAST(l.l_orderkey AS STRING), 19, '0') || lpad(CAST(l.l_linenumber AS STRING), 10, '0') || lpad(CAST(l.l_partkey AS STRING), 19, '0')
+           || lpad(CAST(l.l_suppkey AS STRING), 19, '0') || lpad(CAST(CAST(l.l_quantity AS BIGINT) AS STRING), 19, '0') AS ord,
+         l.l_orderkey % 9699690 + l.l_linenumber + l.l_partkey % 9699690 + l.l_suppkey % 9699690 AS seq,
          a.prov_code, a.prov_name, a.city_code, a.city_name, a.district_name,
          CASE WHEN a.district_name = '景宁畲族自治县' THEN '景宁畲族'
               ELSE substr(a.district_name, 1, length(a.district_name) - 1) END AS dcore,
@@ -179,7 +182,7 @@ FROM (
          CAST(CAST(l.l_shipdate AS DATE) AS STRING) AS day,
          CAST(year(l.l_shipdate) AS STRING) || '年' || CAST(month(l.l_shipdate) AS STRING) || '月'
            || CAST(day(l.l_shipdate) AS STRING) || '日' AS day_text,
-         CAST(l.l_quantity AS INT) AS qty, l.l_partkey AS part, (l.l_orderkey + l.l_linenumber) % 10 AS k
+         CAST(l.l_quantity AS INT) AS qty, l.l_partkey AS part, (l.l_orderkey % 10 + l.l_linenumber) % 10 AS k
   FROM {lineitem} l
   JOIN {orders} o ON l.l_orderkey = o.o_orderkey
   JOIN {customer} c ON o.o_custkey = c.c_custkey
@@ -253,7 +256,8 @@ FROM {area} a
 
 # Attachments of notices: labels of all kinds with size and page count.
 FRAMES["attachments"] = """
-SELECT (l.l_orderkey * 10 + l.l_linenumber) * 1000000000000 + l.l_partkey * 1000000 + l.l_suppkey * 100 + CAST(l.l_quantity AS BIGINT) AS ord,
+SELECT lpad(CAST(l.l_orderkey AS STRING), 19, '0') || lpad(CAST(l.l_linenumber AS STRING), 10, '0') || lpad(CAST(l.l_partkey AS STRING), 19, '0')
+            || lpad(CAST(l.l_suppkey AS STRING), 19, '0') || lpad(CAST(CAST(l.l_quantity AS BIGINT) AS STRING), 19, '0') AS ord,
        CASE l.l_partkey % 9
          WHEN 0 THEN '环建〔2026〕' || CAST(l.l_linenumber AS STRING) || '号-关于项目环境影响报告书的审查意见.pdf'
          WHEN 1 THEN '环境影响评价公众参与说明.pdf'
@@ -269,14 +273,14 @@ FROM {lineitem} l
 
 # Project rows found by reading notice pages, one per order line.
 FRAMES["projects"] = """
-SELECT n.ord, n.prov_code, n.city_code, n.city_name AS city, n.channel_url AS entry_url, n.url AS notice_url,
-       CASE WHEN n.ord % 7 = 0 THEN '' ELSE n.city_name || '生态环境局' ||
-            CASE WHEN n.ord % 3 = 0 THEN '环评窗口' ELSE '' END END AS publisher,
-       CASE n.ord % 4 WHEN 0 THEN '市本级' WHEN 1 THEN a.district_short WHEN 2 THEN '' ELSE a.district_short END AS approval_district,
-       CASE n.ord % 5 WHEN 0 THEN '' ELSE a.district_short END AS project_district,
-       n.city_name || a.district_name || CASE WHEN n.ord % 6 = 0 THEN '临港经济开发区' ELSE '中山路' END AS location,
-       CASE WHEN n.ord % 9 = 0 THEN '是' ELSE '否' END AS radiation
-FROM {notices} n JOIN {area} a ON a.city_code = n.city_code AND a.district_ord = n.ord % 4
+SELECT n.ord, n.seq, n.prov_code, n.city_code, n.city_name AS city, n.channel_url AS entry_url, n.url AS notice_url,
+       CASE WHEN n.seq % 7 = 0 THEN '' ELSE n.city_name || '生态环境局' ||
+            CASE WHEN n.seq % 3 = 0 THEN '环评窗口' ELSE '' END END AS publisher,
+       CASE n.seq % 4 WHEN 0 THEN '市本级' WHEN 1 THEN a.district_short WHEN 2 THEN '' ELSE a.district_short END AS approval_district,
+       CASE n.seq % 5 WHEN 0 THEN '' ELSE a.district_short END AS project_district,
+       n.city_name || a.district_name || CASE WHEN n.seq % 6 = 0 THEN '临港经济开发区' ELSE '中山路' END AS location,
+       CASE WHEN n.seq % 9 = 0 THEN '是' ELSE '否' END AS radiation
+FROM {notices} n JOIN {area} a ON a.city_code = n.city_code AND a.district_ord = n.seq % 4
 """
 
 # Notice pages: the same notices written as HTML, as horizontal tables inside
@@ -341,9 +345,6 @@ PARENTS = {
     "projects": ("notices", "area"), "merges": ("area",), "previous": ("area",), "notice_pages": ("orders", "customer", "area"),
 }
 
-# Frames that grow with the tables; the others are small dimensions.
-LARGE = ("records", "notices", "attachments", "projects", "notice_pages")
-
 
 class Frames:
     """Tables and derived frames of one data folder, as attributes."""
@@ -388,7 +389,7 @@ class Frames:
                 parents = {p: getattr(self, p) for p in PARENTS[name]}
                 # written once: the frames stand for input files that are read many times
                 made = self.spark.sql(FRAMES[name], **parents)
-                self._made[name] = durable(spread(made) if name in LARGE else made, name)
+                self._made[name] = durable(made, name)
         return self._made[name]
 
 

@@ -178,24 +178,25 @@ def runs_q(f: Frames):
     return SQ.runs(sheet_cells(f).filter("o_orderstatus <> 'F'").select("n"), "n")
 
 
-@query("win_14_capped_windows", """WITH RECURSIVE w AS (SELECT event_type, DATE '2024-01-01' AS d0, DATE '2024-01-31' AS d1 FROM (SELECT DISTINCT event_type FROM events)
+@query("win_14_capped_windows", """WITH RECURSIVE w AS (SELECT event_type, d0, d1 FROM (SELECT DISTINCT event_type FROM events), (SELECT min(CAST(ts AS DATE)) AS d0, max(CAST(ts AS DATE)) AS d1 FROM events)
   UNION ALL SELECT event_type, CASE h WHEN 0 THEN d0 ELSE d0 + CAST((d1 - d0) // 2 AS INT) + 1 END, CASE h WHEN 0 THEN d0 + CAST((d1 - d0) // 2 AS INT) ELSE d1 END
     FROM w, (VALUES (0), (1)) t(h) WHERE d0 < d1 AND (SELECT count(*) FROM events e WHERE e.event_type = w.event_type AND CAST(e.ts AS DATE) BETWEEN w.d0 AND w.d1) >= 150)
   SELECT event_type, CAST(d0 AS VARCHAR) AS d0, CAST(d1 AS VARCHAR) AS d1, n, n >= 150 AS over_cap FROM (
     SELECT *, (SELECT count(*) FROM events e WHERE e.event_type = w.event_type AND CAST(e.ts AS DATE) BETWEEN w.d0 AND w.d1) AS n FROM w) WHERE NOT (n >= 150 AND d0 < d1)""")
 def windows_q(f: Frames):
     daily = f.events.groupBy("event_type", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    out = L.capped_windows(daily, ["event_type"], F.lit("2024-01-01").cast("date"), F.lit("2024-01-31").cast("date"), 150)
+    first, last = f.events.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    out = L.capped_windows(daily, ["event_type"], F.lit(first), F.lit(last), 150)
     return out.select("event_type", c("d0").cast("string").alias("d0"), c("d1").cast("string").alias("d1"), "n", "over_cap")
 
 
 # --- probes ----------------------------------------------------------------------
 
 _probe = """SELECT x.prov_code AS prov, x.city_name AS city, x.stage, x.n_official, x.n_external, x.n_all, x.error FROM (
-  SELECT n.prov_code, n.city_name, CASE CAST(n.ord % 4 AS INT) WHEN 0 THEN '受理' WHEN 1 THEN '拟审批' WHEN 2 THEN '审批决定' ELSE '其他' END AS stage,
-    CAST(n.ord % 3 AS STRING) AS n_official, CAST(n.ord % 2 AS STRING) AS n_external,
-    CASE WHEN n.ord % 17 = 0 THEN '附件' WHEN n.ord % 19 = 0 THEN '' ELSE CAST(n.ord % 5 AS STRING) END AS n_all,
-    CASE WHEN n.ord % 13 = 0 THEN 'Timeout' ELSE '' END AS error FROM {notices} n) x"""
+  SELECT n.prov_code, n.city_name, CASE CAST(n.seq % 4 AS INT) WHEN 0 THEN '受理' WHEN 1 THEN '拟审批' WHEN 2 THEN '审批决定' ELSE '其他' END AS stage,
+    CASE WHEN n.seq % 23 = 0 THEN '123456789012' WHEN n.seq % 29 = 0 THEN lpad('7', 50, '0') ELSE CAST(n.seq % 3 AS STRING) END AS n_official, CAST(n.seq % 2 AS STRING) AS n_external,
+    CASE WHEN n.seq % 17 = 0 THEN '附件' WHEN n.seq % 19 = 0 THEN '' ELSE CAST(n.seq % 5 AS STRING) END AS n_all,
+    CASE WHEN n.seq % 13 = 0 THEN 'Timeout' ELSE '' END AS error FROM {notices} n) x"""
 O.relation("probes", "notices", _probe.format(notices="notices"))
 
 
@@ -209,8 +210,8 @@ def corrupt_q(f: Frames):
 
 
 @query("agg_16_stage_summary", """SELECT prov, city, stage, CAST(CASE stage WHEN '受理' THEN 0 WHEN '拟审批' THEN 1 WHEN '审批决定' THEN 2 ELSE 9 END AS BIGINT) AS stage_order, count(*) AS sampled,
-  count(*) FILTER (CAST(n_official AS INT) > 0) AS official, count(*) FILTER (CAST(n_external AS INT) > 0) AS external, count(*) FILTER (CAST(n_all AS INT) > 0) AS any_attachment,
-  count(*) FILTER (error <> '') AS errors, CASE WHEN grouping(city) = 1 THEN round(count(*) FILTER (CAST(n_official AS INT) > 0) * 100.0 / count(*)) END AS share
+  count(*) FILTER (regexp_full_match(n_official, '[0-9]*[1-9][0-9]*')) AS official, count(*) FILTER (regexp_full_match(n_external, '[0-9]*[1-9][0-9]*')) AS external, count(*) FILTER (regexp_full_match(n_all, '[0-9]*[1-9][0-9]*')) AS any_attachment,
+  count(*) FILTER (error <> '') AS errors, CASE WHEN grouping(city) = 1 THEN round(count(*) FILTER (regexp_full_match(n_official, '[0-9]*[1-9][0-9]*')) * 100.0 / count(*)) END AS share
   FROM (SELECT * FROM probes WHERE regexp_matches(n_all, '^[0-9]+$')) GROUP BY GROUPING SETS ((prov, city, stage), (prov, stage))""")
 def stage_summary_q(f: Frames):
     return audit.stage_summary(probes(f))

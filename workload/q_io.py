@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from regwise import rules as R
+from regwise import rules as R, schema as S
 from regwise.operators import entries as E, evidence as V
+from regwise.operators.sequence import global_index
+from regwise.operators.units import flag_seen_in
 from regwise.plans import notices as NP
+from regwise.plans.master import master_order
 from regwise.session import scratch_path
 from regwise.sources import readers as RD, writers as WR
 from regwise.streaming import jobs as ST
 from workload import oracle as O
+from workload.files import in_file_order, name_files
 from workload.frames import Frames
 from workload.q_clean import UNIT_COLS
-from workload.q_master import master_of
+from workload.q_master import _all as master_columns, master_of
 from workload.q_notices import classified, titles_of
 from workload.registry import query
 
@@ -33,7 +37,7 @@ def tree_json(f: Frames):
 
 
 def envelope_files(f: Frames) -> str:
-    """Record envelopes, one per line, in one folder per province."""
+    """Record files of all provinces: several envelopes to a file, one per line, several files to a city."""
     if "envelopes" not in f._made:
         path = scratch_path(f.spark, "envelopes")
         r = f.records
@@ -42,24 +46,48 @@ def envelope_files(f: Frames) -> str:
         # an envelope holds one city's share of a thousand orders, the size one crawl leaves behind
         files = (r.groupBy("prov_code", "city_code", F.floor(c("ord") / 1000).alias("part")).agg(
             F.transform(F.sort_array(F.collect_list(F.struct("ord", cells.alias("r")))), lambda x: x["r"]).alias("记录")))
-        made = files.select(c("prov_code").alias("省编码"), F.lit("2024-01-01").alias("抓取日期"), F.expr("array(1, 2, 3, 5)").alias("模块"),
-                            F.array(F.array(F.lit("1"), c("city_code")), F.array(F.lit("2"), c("city_code"))).alias("已完成"), "记录", c("prov_code").alias("p"))
-        made.write.partitionBy("p").json(path)
-        f._made["envelopes"] = path
+        in_order = files.repartitionByRange("prov_code", "city_code", "part").sortWithinPartitions("prov_code", "city_code", "part")
+        made = in_order.select(c("prov_code").alias("省编码"), F.lit("2024-01-01").alias("抓取日期"), F.expr("array(1, 2, 3, 5)").alias("模块"),
+                               F.array(F.array(F.lit("1"), c("city_code")), F.array(F.lit("2"), c("city_code"))).alias("已完成"), "记录", c("prov_code").alias("p"))
+        made.write.partitionBy("p").option("maxRecordsPerFile", 7).json(f"{path}-parts")
+        f._made["envelopes"] = name_files(f.spark, f"{path}-parts", path, lambda prov, i: f"{prov}_{i:06d}.json")
     return f._made["envelopes"]
 
 
-@query("src_01_read_records", """SELECT prov_code, module, city_code, process_department, combined_units, notice_date, county, CASE WHEN ord % 13 = 0 THEN '' ELSE city_field END AS city_field FROM records""")
+# the order of the files is the order of province, city and envelope in which they were written
+_places = """row_number() OVER (ORDER BY prov_code, city_code, ord // 1000, ord) - 1 AS position,
+  row_number() OVER (PARTITION BY city_code, ord // 1000 ORDER BY ord) - 1 AS pos"""
+
+
+@query("src_01_read_records", f"""SELECT prov_code, module, city_code, process_department, combined_units, notice_date, county, CASE WHEN ord % 13 = 0 THEN '' ELSE city_field END AS city_field, {_places}
+  FROM records""")
 def read_records_q(f: Frames):
-    rows = RD.records_of(RD.read_envelopes(f.spark, envelope_files(f), lines=True))
-    return rows.select("prov_code", "module", "city_code", "process_department", "combined_units", "notice_date", "county", "city_field")
+    rows = global_index(RD.read_records(f.spark, envelope_files(f), lines=True), [c("ord")], "position")
+    return rows.select("prov_code", "module", "city_code", "process_department", "combined_units", "notice_date", "county", "city_field", "position",
+                       c("pos").cast("long").alias("pos"))
+
+
+@query("src_01_one_city_form", f"""SELECT prov_code, process_department, combined_units, notice_date, {_places} FROM records WHERE city_code = '320100'""")
+def one_city_form_q(f: Frames):
+    """The files of one city hold three-element records."""
+    path = scratch_path(f.spark, "one-city")
+    rows = f.records.filter("city_code = '320100'")
+    cells = F.array("process_department", "combined_units", "notice_date")
+    files = rows.groupBy("prov_code", F.floor(c("ord") / 1000).alias("part")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("ord", cells.alias("r")))), lambda x: x["r"]).alias("记录"))
+    in_order = files.repartitionByRange("part").sortWithinPartitions("part").select(c("prov_code").alias("省编码"), "记录", c("prov_code").alias("p"))
+    in_order.write.partitionBy("p").option("maxRecordsPerFile", 3).json(f"{path}-parts")
+    name_files(f.spark, f"{path}-parts", path, lambda prov, i: f"{i:06d}_南京市.json")
+    back = RD.read_records(f.spark, path, lines=True, fields=S.ONE_CITY_FIELDS)
+    return global_index(back, [c("ord")], "position").select("prov_code", "process_department", "combined_units", "notice_date", "position",
+                                                             c("pos").cast("long").alias("pos"))
 
 
 @query("src_02_read_province", "SELECT city_code, module, count(*) AS n FROM records WHERE prov_code = '320000' AND module = 1 GROUP BY 1, 2")
 def read_province_q(f: Frames):
     """The files of one province, one module of them."""
-    back = RD.records_of(RD.read_envelopes(f.spark, f"{envelope_files(f)}/p=320000", lines=True))
-    return back.filter("module = 1").groupBy("city_code", "module").agg(F.count(F.lit(1)).alias("n"))
+    back = RD.read_province(f.spark, envelope_files(f), "320000", module=1, lines=True)
+    return back.groupBy("city_code", "module").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("src_02_unfinished_files", "SELECT city_code, module, count(*) AS n FROM (SELECT DISTINCT city_code, ord // 1000 AS part FROM records), (SELECT unnest([3, 5]) AS module) GROUP BY 1, 2")
@@ -111,10 +139,10 @@ def first_available_q(f: Frames):
     return RD.first_available(["code"], row(f.area.filter("district_ord = 1"), "live"), row(f.area, "snapshot"))
 
 
-@query("src_09_read_links", "SELECT url, CASE WHEN ord % 4 = 0 THEN '' ELSE trim(title, ' 　') END AS title FROM notices")
+@query("src_09_read_links", "SELECT url, CASE WHEN seq % 4 = 0 THEN '' ELSE trim(title, ' 　') END AS title FROM notices")
 def read_links_q(f: Frames):
     path = scratch_path(f.spark, "links")
-    f.notices.select(F.when(c("ord") % 4 == 0, c("url")).otherwise(F.concat_ws("\t", "url", "title")).alias("value")).union(
+    f.notices.select(F.when(c("seq") % 4 == 0, c("url")).otherwise(F.concat_ws("\t", "url", "title")).alias("value")).union(
         f.region.select(F.lit("  "))).write.text(path)
     return RD.read_links(f.spark, path)
 
@@ -124,8 +152,10 @@ def portal_map_q(f: Frames):
     path = scratch_path(f.spark, "portals")
     inner = f.area.groupBy("city_name").agg(F.map_from_entries(F.collect_list(F.struct(
         "district_name", F.concat(F.lit("http://"), c("district_code"))))).alias("m"))
-    inner.select(F.to_json(F.create_map("city_name", "m")).alias("value")).write.option("compression", "none").text(path)
-    return RD.portal_rows(f.spark.read.text(path).select(RD.portals_of(c("value")).alias("m")), ["鼓楼区", "和县"])
+    # the map is one document; it holds the districts of the area dimension
+    whole = inner.agg(F.map_from_entries(F.collect_list(F.struct("city_name", "m"))).alias("m"))
+    whole.select(F.to_json("m").alias("value")).write.text(path)
+    return RD.read_portals(f.spark, path, ["鼓楼区", "和县"])
 
 
 @query("src_11_read_pages", "SELECT page_id, url, length(html) AS n FROM pages")
@@ -150,21 +180,57 @@ def stored_samples_q(f: Frames):
 EXPORT_COLS = UNIT_COLS.replace('"单位"', '"受理/监督单位"')
 
 
-@query("snk_01_write_units", f"""SELECT {EXPORT_COLS}, CASE WHEN EXISTS (SELECT 1 FROM proc_names p WHERE p.prov_code = u.prov_code AND list_contains(list_append(u.variants, u.unit), p.name)) THEN '是' ELSE '否' END AS "单位列是否出现" FROM export_units u""")
+_unit_place = 'row_number() OVER (ORDER BY prov_code, city, record_count DESC, unit, area) - 1 AS position'
+
+
+def written_units(f: Frames, path: str, columns: list[str]):
+    back = in_file_order(RD.read_table(f.spark, path, ["prov_code", *columns]))
+    return back.withColumn("记录数", c("记录数").cast("long"))
+
+
+@query("snk_01_write_units", f"""SELECT {EXPORT_COLS}, CASE WHEN EXISTS (SELECT 1 FROM proc_names p WHERE p.prov_code = u.prov_code AND list_contains(list_append(u.variants, u.unit), p.name)) THEN '是' ELSE '否' END AS "单位列是否出现",
+  {_unit_place} FROM export_units u""")
 def write_units_q(f: Frames):
-    from regwise.operators.units import flag_seen_in
     path = scratch_path(f.spark, "export-csv")
     WR.write_units(flag_seen_in(f.cleaned("export").units, f.units), path, "export")
     cols = ["受理/监督单位" if x == "单位" else x for x in R.UNIT_COLUMNS]
     cols.insert(5, R.SEEN_COLUMN)
-    return RD.read_table(f.spark, path, ["prov_code", *cols]).withColumn("记录数", c("记录数").cast("long"))
+    return written_units(f, path, cols)
 
 
-@query("snk_02_deliverables", f"SELECT {UNIT_COLS} FROM proc_units WHERE role <> '其他部门'")
+@query("snk_02_deliverables", f"SELECT {UNIT_COLS}, {_unit_place} FROM proc_units WHERE role <> '其他部门'")
 def deliverables_q(f: Frames):
     full, short = scratch_path(f.spark, "full-csv"), scratch_path(f.spark, "approver-csv")
     WR.write_deliverables(f.units, full, short)
-    return RD.read_table(f.spark, short, ["prov_code", *R.UNIT_COLUMNS]).withColumn("记录数", c("记录数").cast("long"))
+    return written_units(f, short, R.UNIT_COLUMNS)
+
+
+@query("snk_03_write_master", f"""SELECT {master_columns}, row_number() OVER (ORDER BY city_code, CASE WHEN admin_code = '' THEN 'zzz' ELSE admin_code END, CAST(record_count AS BIGINT) DESC, unit_uid) - 1 AS position
+  FROM full_master""")
+def write_master_q(f: Frames):
+    """The master table as a file, in its order."""
+    path = scratch_path(f.spark, "master-csv")
+    master = master_of(f)
+    WR.write_master(master, path, [*master_order(), c("unit_uid")])
+    extra = [x for x in master.columns if x not in R.MASTER_COLUMNS]
+    return in_file_order(RD.read_table(f.spark, path, [*R.MASTER_COLUMNS, *extra]))
+
+
+@query("src_07_read_entry_logs", """SELECT city, unit, "首页入口", "备注", row_number() OVER (ORDER BY file_stem, ord) - 1 AS position FROM (
+  SELECT file_stem, city, """ + O.strip("unit") + """ AS unit, home_url AS "首页入口", note || CASE WHEN ord % 3 = 0 THEN chr(10) || '第"二"行, x' ELSE '' END AS "备注", ord
+  FROM entry_log) WHERE unit <> ''""")
+def read_entry_logs_q(f: Frames):
+    """One file per city; notes hold line breaks, quotes and commas."""
+    path = scratch_path(f.spark, "entry-log")
+    note = F.concat("note", F.when(c("ord") % 3 == 0, F.lit('\n第"二"行, x')).otherwise(""))
+    cells = {"单位": c("unit"), "首页入口": c("home_url"), "受理公示入口": c("entry_url"), "入口（点击路径）": c("entry_path"), "备注": note,
+             "核验情况": c("verify_status"), "核验日期": c("verify_date")}
+    rows = f.entry_log.select(*[cells.get(x, F.lit("")).alias(x) for x in R.ENTRY_LOG_COLUMNS], "file_stem", "ord")
+    rows = rows.repartition("file_stem").sortWithinPartitions("file_stem", "ord").drop("ord")
+    rows.write.partitionBy("file_stem").csv(f"{path}-parts", header=True, quoteAll=True, escape='"', emptyValue="")
+    name_files(f.spark, f"{path}-parts", path, lambda stem, i: f"{stem}.csv")
+    back = RD.read_entry_logs(f.spark, path)
+    return global_index(back, [c("ord")], "position").select("city", "unit", "首页入口", "备注", "position")
 
 
 @query("snk_04_append_projects", """SELECT url AS "公告URL", location AS "建设地点", district AS "项目地区", 2::BIGINT * count(*) AS n FROM project_rows GROUP BY 1, 2, 3""")

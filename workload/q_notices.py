@@ -280,13 +280,13 @@ _columns = {"column_title": "CASE WHEN ord % 3 = 0 THEN district_short || '区
 O.relation("portal_pages", "area", """SELECT prov_code, city_name AS city, city_code, district_short, city_ord * 4 + district_ord AS ord,
   'http://portal' || district_code || '.gov.cn/' AS portal, 'http://portal' || district_code || '.gov.cn/col/index.html' AS url FROM area""")
 O.relation("portal_titles", "notices portal_pages", f"""SELECT n.title, n.ord, p.prov_code, p.city, p.city_code, p.district_short, p.url, {', '.join(f'{e.replace("ord", "p.ord")} AS {k}' for k, e in _columns.items())},
-  {O.publisher('n.title')} AS publisher FROM notices n JOIN portal_pages p ON p.city_code = n.city_code AND p.ord % 4 = n.ord % 3""")
+  {O.publisher('n.title')} AS publisher FROM notices n JOIN portal_pages p ON p.city_code = n.city_code AND p.ord % 4 = n.seq % 3""")
 
 
 def portal_titles(f: Frames):
     pages = portal_pages(f)
     told = pages.select("*", *[F.expr(e).alias(k) for k, e in _columns.items()]).withColumnRenamed("ord", "p_ord")
-    return (f.notices.select("title", "ord", "city_code").join(told, "city_code").filter(c("p_ord") % 4 == c("ord") % 3)
+    return (f.notices.select("title", "ord", "seq", "city_code").join(told, "city_code").filter(c("p_ord") % 4 == c("seq") % 3)
             .select("title", "ord", "prov_code", "city", "city_code", "district_short", "url", *_columns))
 
 
@@ -302,7 +302,7 @@ O.relation("pt_rows", "portal_titles pt_loc", f"""SELECT t.*, CASE WHEN l.area I
   {O.stage('t.title')} = '受理' AS accept FROM portal_titles t LEFT JOIN pt_loc l ON t.publisher <> '' AND l.prov_code = t.prov_code AND l.city_code = t.city_code AND l.name = {O.normalize('t.publisher')}""")
 O.relation("county_hits", "pt_rows keyed", f"""WITH facts AS (SELECT prov_code, city, district_short, url, bool_or(contains(column_title, district_short) OR (accept AND contains(title, district_short))) AS names_county,
     bool_or({O.has('column_title || link_text || source_title', R.ECO_PAGE)} OR contains(page_text, district_short || '分局') OR contains(page_text, '生态环境局' || district_short)) AS eco FROM pt_rows GROUP BY 1, 2, 3, 4),
-  main AS (SELECT prov_code, city, district_short, url, arg_max(key, (c, -o)) AS main_key FROM (SELECT prov_code, city, district_short, url, key, count(*) AS c, min(ord) AS o FROM pt_rows WHERE key IS NOT NULL GROUP BY 1, 2, 3, 4, 5) GROUP BY 1, 2, 3, 4),
+  main AS (SELECT prov_code, city, district_short, url, arg_min(key, (-c, o)) AS main_key FROM (SELECT prov_code, city, district_short, url, key, count(*) AS c, min(ord) AS o FROM pt_rows WHERE key IS NOT NULL GROUP BY 1, 2, 3, 4, 5) GROUP BY 1, 2, 3, 4),
   r AS (SELECT p.*, f.names_county, coalesce(key, main_key, CASE WHEN eco THEN p.city || '|' || p.district_short || '|生态环境' END) AS k FROM pt_rows p
     JOIN facts f USING (prov_code, city, district_short, url) LEFT JOIN main m USING (prov_code, city, district_short, url) WHERE accept),
   o AS (SELECT r.*, CASE WHEN k = city || '|市本级|生态环境' AND names_county AND EXISTS (SELECT 1 FROM keyed u WHERE u.prov_code = r.prov_code AND u.function_key = r.city || '|' || r.district_short || '|生态环境')

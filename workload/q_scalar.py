@@ -200,7 +200,7 @@ def function_key_q(f: Frames):
 per_value("scl_31_field_of", "part", ["p_type"],
           lambda: {"field": N.field_of(F.when(c("p_type") == "ECONOMY", "建设地址").when(c("p_type") == "SMALL", "申请单位").otherwise(c("p_type")))},
           {"field": O.field("CASE p_type WHEN 'ECONOMY' THEN '建设地址' WHEN 'SMALL' THEN '申请单位' ELSE p_type END")})
-_scope = "CASE WHEN ord % 3 = 0 THEN '市本级' WHEN ord % 3 = 1 THEN project_district || '｜ ' || approval_district ELSE project_district || '区' END"
+_scope = "CASE WHEN seq % 3 = 0 THEN '市本级' WHEN seq % 3 = 1 THEN project_district || '｜ ' || approval_district ELSE project_district || '区' END"
 O.relation("scopes", "projects", f"SELECT DISTINCT {_scope} AS scope FROM projects")
 
 
