@@ -31,8 +31,8 @@ from regwise.llm.common import Cut
 
 LENGTH, STEM = 100, 51
 SPAN = LENGTH - STEM + 1  # stems inside a window; neighbouring samples lie at most so far apart
-BLOCK_BYTES = 16 << 20  # of text in a block, and of text whose fingerprints meet in a bucket
-CHUNK = 1 << 21  # window starts in one numpy pass
+BLOCK_BYTES = 8 << 20  # of text in a block, and of text whose fingerprints meet in a bucket
+CHUNK = 1 << 20  # window starts in one numpy pass
 BATCHES = 4
 BASE = 0x9E3779B97F4A7C15
 U = np.uint64
@@ -376,7 +376,7 @@ def covered(block: Block, replies: pa.Table) -> np.ndarray:
         p = starts[later | (ask & member(prints, windows))]
         np.add.at(edges, p, 1)
         np.add.at(edges, p + LENGTH, -1)
-    return np.cumsum(edges[:-1]) > 0
+    return np.cumsum(edges[:-1], dtype=np.int32) > 0
 
 
 def _without(key: tuple, rows: pa.Table, replies: pa.Table) -> pa.Table:
@@ -385,16 +385,16 @@ def _without(key: tuple, rows: pa.Table, replies: pa.Table) -> pa.Table:
         block = Block(rows.column("payload")[i].as_py(), rows.column("lens")[i].as_py())
         drop = covered(block, replies)
         starts = block.ends - block.lens
-        turn = np.zeros(len(drop) + 1, np.int32)
-        turn[:-1] = drop & ~np.append(False, drop[:-1])
+        turn = drop & ~np.append(False, drop[:-1])
         border = starts[(block.lens > 0) & (starts < len(drop))]
         turn[border] = drop[border]  # runs end with their text
-        runs, gone = np.cumsum(np.append(0, turn[:-1])), np.cumsum(np.append(0, drop))
+        runs_before, gone_before = (np.append(0, np.cumsum(x, dtype=np.int32)) for x in (turn, drop))
+        removed, spans = (x[block.ends].astype(np.int64) - x[starts] for x in (gone_before, runs_before))
         kept = []
-        for a, b, n in zip(starts.tolist(), block.ends.tolist(), (gone[block.ends] - gone[starts]).tolist(), strict=True):
+        for a, b, n in zip(starts.tolist(), block.ends.tolist(), removed.tolist(), strict=True):
             kept.append(block.bytes[a:b] if not n else block.x[a:b][~drop[a:b]].tobytes())
-        out.append(pa.table({"row": rows.column("rows")[i].values, "n_bytes": pa.array(block.lens), "n_removed": pa.array(gone[block.ends] - gone[starts]),
-                             "n_spans": pa.array((runs[block.ends] - runs[starts]).astype(np.int64)), "kept": pa.array(kept, pa.binary())}))
+        out.append(pa.table({"row": rows.column("rows")[i].values, "n_bytes": pa.array(block.lens), "n_removed": pa.array(removed),
+                             "n_spans": pa.array(spans), "kept": pa.array(kept, pa.binary())}))
     return pa.concat_tables(out)
 
 
