@@ -15,7 +15,7 @@ from regwise.functions.notice import publisher_of, stage_of
 from regwise.functions.text import function_key, half_width_brackets, normalize
 from regwise.operators.places import locate, with_function
 from regwise.operators.units import spelling_rows
-from regwise.session import durable
+from regwise.session import durable, small
 
 
 def found_note(day: Column, n: Column) -> Column:
@@ -59,20 +59,25 @@ def resolve_publishers(named: DataFrame, units: DataFrame, places: DataFrame) ->
     """``named`` rows with the function key of their publisher, null where the channel's owner takes it.
 
     The key from the wording wins when the unit list knows it, then the
-    (city, spelling) pair. Publishers are resolved once per distinct text.
+    (city, spelling) pair. Publishers are resolved once per distinct text, and
+    rows without a publisher, often the most, take no part in the join.
+    ``named`` is read twice: pass counts or a written table.
     """
     known = units.select("prov_code", F.col("function_key").alias("key"), F.lit(True).alias("_known")).distinct()
-    resolved = (publisher_keys(named, places).join(known, ["prov_code", "key"], "left")
-                .withColumn("plain", half_width_brackets(F.col("name")))
-                .join(names_to_keys(units), ["prov_code", "city", "plain"], "left")
-                .select("prov_code", "city", "city_code", "publisher",
-                        F.when(F.col("_known"), F.col("key")).otherwise(F.col("named_key")).alias("unit_key")))
-    return named.join(resolved, ["prov_code", "city", "city_code", "publisher"], "left")
+    resolved = durable(
+        publisher_keys(named, places).join(known, ["prov_code", "key"], "left")
+        .withColumn("plain", half_width_brackets(F.col("name")))
+        .join(names_to_keys(units), ["prov_code", "city", "plain"], "left")
+        .select("prov_code", "city", "city_code", "publisher",
+                F.when(F.col("_known"), F.col("key")).otherwise(F.col("named_key")).alias("unit_key")), "publishers")
+    told = named.filter(F.col("publisher") != "").join(small(resolved), ["prov_code", "city", "city_code", "publisher"], "left")
+    silent = named.filter(F.coalesce("publisher", F.lit("")) == "").withColumn("unit_key", F.lit(None).cast("string"))
+    return told.unionByName(silent)
 
 
 def attribute(titles: DataFrame, units: DataFrame, places: DataFrame) -> DataFrame:
     """Each title with its publisher and the publisher's function key."""
-    return resolve_publishers(titles.withColumn("publisher", publisher_of(F.col("title"))), units, places)
+    return resolve_publishers(durable(titles.withColumn("publisher", publisher_of(F.col("title"))), "told"), units, places)
 
 
 def owners(units: DataFrame) -> DataFrame:

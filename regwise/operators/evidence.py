@@ -9,7 +9,7 @@ from regwise import rules as R
 from regwise.functions.collections import counted
 from regwise.functions.text import normalize, split_units, strip
 from regwise.operators.spellings import iso_date
-from regwise.session import once
+from regwise.session import durable, once
 
 UNIT = ("prov_code", "city", "area", "unit")
 
@@ -35,19 +35,22 @@ def alias_table(units: DataFrame) -> DataFrame:
 def match_first(df: DataFrame, table: DataFrame, keys: list[list], on: list[str], values: list[str]) -> DataFrame:
     """Left-join ``table`` under several key expressions; the first that hits wins.
 
-    ``keys`` lists, per attempt, the expressions for the columns ``on``.
+    ``keys`` lists, per attempt, the expressions for the columns ``on``. Each
+    distinct combination is tried once: its attempts meet the table in one
+    join, and the earliest hit goes back to the rows.
     """
-    out = df
-    for i, exprs in enumerate(keys):
-        named = table.select(*[F.col(c).alias(f"_k{i}_{c}") for c in on], F.struct(*values).alias(f"_hit{i}"))
-        cond = None
-        for c, e in zip(on, exprs):
-            one = F.col(f"_k{i}_{c}") == e
-            cond = one if cond is None else cond & one
-        out = out.join(named, cond, "left").drop(*[f"_k{i}_{c}" for c in on])
-    best = F.coalesce(*[F.col(f"_hit{i}") for i in range(len(keys))])
-    return (out.withColumn("_best", best).drop(*[f"_hit{i}" for i in range(len(keys))])
-            .select(*df.columns, *[F.col(f"_best.{v}").alias(v) for v in values]))
+    tries = [[f"_k{i}_{c}" for c in on] for i in range(len(keys))]
+    names = [n for one in tries for n in one]
+    asked = df.select("*", *[e.alias(n) for exprs, one in zip(keys, tries) for e, n in zip(exprs, one)])
+    each = F.array(*[F.struct(F.lit(i).alias("_try"), *[F.col(n).alias(c) for n, c in zip(one, on)]) for i, one in enumerate(tries)])
+    found = (asked.select(*names).distinct().select(*names, F.inline(each)).join(table.select(*on, F.struct(*values).alias("_hit")), on)
+             .groupBy(*names).agg(F.min_by("_hit", "_try").alias("_best")))
+    same = None
+    for n in names:
+        one = F.col(f"a.{n}").eqNullSafe(F.col(f"b.{n}"))
+        same = one if same is None else same & one
+    return asked.alias("a").join(found.alias("b"), same, "left").select(
+        *[F.col(f"a.{c}") for c in df.columns], *[F.col(f"b._best.{v}").alias(v) for v in values])
 
 
 def matched_records(records: DataFrame, units: DataFrame) -> DataFrame:
@@ -69,19 +72,20 @@ def matched_records(records: DataFrame, units: DataFrame) -> DataFrame:
 
 def raw_evidence(records: DataFrame, units: DataFrame, top: int = 4) -> DataFrame:
     """Per unit: matched rows, first and last notice date, top county histogram."""
-    by_county = (matched_records(records, units)
-                 .withColumn("county", F.coalesce(F.nullif(F.col("county"), F.lit("")), F.lit(R.EMPTY_COUNTY)))
-                 .groupBy(*UNIT, "county").agg(F.sum("n").alias("n"), F.min("first").alias("first"),
-                                               F.max("last").alias("last"), F.min("ord").alias("ord")))
+    by_county = durable(
+        matched_records(records, units)
+        .withColumn("county", F.coalesce(F.nullif(F.col("county"), F.lit("")), F.lit(R.EMPTY_COUNTY)))
+        .groupBy(*UNIT, "county").agg(F.sum("n").alias("n"), F.min("first").alias("first"),
+                                      F.max("last").alias("last"), F.min("ord").alias("ord")), "counties")
     order = Window.partitionBy(*UNIT).orderBy(F.desc("n"), "ord")
-    ranked = by_county.withColumn("_rank", F.row_number().over(order))
-    shown = F.sort_array(F.collect_list(F.when(F.col("_rank") <= top, F.struct("_rank", "county", "n"))))
+    best = by_county.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= top)
+    shown = best.groupBy(*UNIT).agg(F.array_join(F.transform(
+        F.sort_array(F.collect_list(F.struct("_rank", "county", "n"))), lambda x: F.concat(x["county"], F.lit(":"), x["n"].cast("string"))),
+        R.VARIANT_SEP).alias("county_field_dist"))
     text = lambda d: F.coalesce(F.date_format(d, "yyyy-MM-dd"), F.lit(""))
-    return ranked.groupBy(*UNIT).agg(
-        F.sum("n").alias("raw_matched"), text(F.min("first")).alias("first_notice_date"),
-        text(F.max("last")).alias("last_notice_date"),
-        F.array_join(F.transform(shown, lambda x: F.concat(x["county"], F.lit(":"), x["n"].cast("string"))), R.VARIANT_SEP)
-        .alias("county_field_dist"))
+    sums = by_county.groupBy(*UNIT).agg(F.sum("n").alias("raw_matched"), text(F.min("first")).alias("first_notice_date"),
+                                        text(F.max("last")).alias("last_notice_date"))
+    return sums.join(shown, list(UNIT))
 
 
 def co_occurrence(records: DataFrame) -> DataFrame:

@@ -25,13 +25,19 @@ def extract_links(pages: DataFrame) -> DataFrame:
     """Article links of each page: absolute url and title.
 
     The title attribute wins over the tag-free text; list, index, anchor and
-    script links are left out.
+    script links are left out. Only links that hold an entity leave the JVM:
+    the candidates are written once, and the others are finished as they are.
     """
     attr = P.attribute(F.col("tag"), "title")
     text = F.when(strip(attr) != "", attr).otherwise(P.tag_free(F.col("inner")))
-    found = raw_anchors(pages).select("page_id", "page_url", "pos", unescape(P.attribute(F.col("tag"), "href")).alias("href"), unescape(text).alias("text"))
-    article = (F.col("href") != "") & ~F.col("href").rlike(R.LIST_LINK) & F.col("href").rlike(R.ARTICLE_LINK)
-    kept = once(found, article=article).filter("article")
+    found = raw_anchors(pages).select("page_id", "page_url", "pos", P.attribute(F.col("tag"), "href").alias("href"), text.alias("text"))
+    href = F.col("href")
+    article = (href != "") & ~href.rlike(R.LIST_LINK) & href.rlike(R.ARTICLE_LINK)
+    candidates = durable(once(found, article=article, coded=href.contains("&") | F.col("text").contains("&")).filter(
+        F.col("article") | href.contains("&")), "links")
+    plain = candidates.filter(~F.col("coded")).select(*found.columns)
+    decoded = candidates.filter("coded").select("page_id", "page_url", "pos", unescape(href).alias("href"), unescape("text").alias("text"))
+    kept = plain.unionByName(once(decoded, article=article).filter("article").select(*found.columns))
     return kept.select("page_id", "page_url", "pos", F.when(F.col("href").startswith("http"), F.col("href")).otherwise(
         resolve(P.origin(F.col("page_url")), F.col("href"))).alias("url"), strip(F.col("text")).alias("title"))
 
@@ -92,15 +98,20 @@ def page_records(pages: DataFrame) -> DataFrame:
 
 
 def parse_notice_pages(pages: DataFrame) -> DataFrame:
-    """Source, title and records per page; the first reading with records counts."""
+    """Source, title and records per page; the first reading with records counts.
+
+    A page is read step by step: its text once, the vertical tables only where
+    no horizontal one has records, the running text only where no table has.
+    """
     html = F.col("html")
-    read = pages.select("page_id", "url", parse_source(P.body_text(html)).alias("source"),
-                        unescape_all(P.title_of_page(html)).alias("_titles"),
-                        P.horizontal_records(P.innermost_tables(html)).alias("_h"), P.vertical_records(html).alias("_v"),
-                        P.inline_records(P.body_text(html)).alias("_i"))
-    recs = F.when(F.size("_h") > 0, F.col("_h")).when(F.size("_v") > 0, F.col("_v")).otherwise(F.col("_i"))
-    return (read.withColumn("recs", _decoded(recs)).withColumn("title", P.pick_title(F.col("_titles")))
-            .withColumn("locations", F.transform("recs", lambda r: r["建设地点"])).drop("_h", "_v", "_i", "_titles"))
+    text = once(pages.select("page_id", "url", "html"), _text=P.body_text(html), _h=P.horizontal_records(P.innermost_tables(html)))
+    tables = once(text, _v=F.when(F.size("_h") == 0, P.vertical_records(html)))
+    no_table = (F.size("_h") == 0) & (F.size("_v") == 0)
+    read = once(tables, source=parse_source(F.col("_text")), _titles=P.title_of_page(html),
+                recs=_decoded(F.when(F.size("_h") > 0, F.col("_h")).when(no_table, P.inline_records(F.col("_text"))).otherwise(F.col("_v"))))
+    kept = read.select("page_id", "url", "source", "recs", unescape_all("_titles").alias("_titles"))
+    return (kept.withColumn("title", P.pick_title(F.col("_titles")))
+            .withColumn("locations", F.transform("recs", lambda r: r["建设地点"])).drop("_titles"))
 
 
 def cms_families(pages: DataFrame) -> DataFrame:

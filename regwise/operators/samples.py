@@ -42,6 +42,7 @@ def stratified_sample(df: DataFrame, strata: list, key: Column, n: int, seed: in
 
 
 def first_seen(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
-    """First row per key; a hash aggregation, so hot keys combine before the shuffle."""
+    """First row per key; Spark keeps one row of each key in every task before the shuffle."""
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
     rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_first")).select(*keys, "_first.*")
+    return df.withColumn("_rank", rank).filter(F.col("_rank") <= 1).select(*keys, *rest)

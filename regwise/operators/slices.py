@@ -46,11 +46,13 @@ def match_slices(targets: DataFrame, projects: DataFrame) -> DataFrame:
     the exact entry, else the same host and city. Inside the pool the first
     tier with a hit counts: whole entry, approval district, project district,
     zone name in the address, or the whole pool of an entry that only this row
-    uses and that only its own host fed. Tiers are a ranked union, and only
-    matching rows leave the equi-joins.
+    uses and that only its own host fed.
+
+    Every tier is a join of its own: the district tiers on pool and district,
+    the whole-pool tiers on totals without addresses. Only rows that no
+    district settles look at addresses, each distinct one once per zone.
     """
     values = durable(slice_counts(projects), "slices")
-    entry_host = host(F.col("entry_url"))
     rows = targets.filter(F.col("entry_url") != "").withColumn("_whole", whole_entry(F.col("scope")))
     key = F.regexp_replace(F.coalesce(F.get(scope_names(F.col("scope")), F.lit(0)), F.lit("")), "区$", "")
     key = F.regexp_replace(F.regexp_replace(key, "县$", ""), "市$", "")
@@ -58,32 +60,37 @@ def match_slices(targets: DataFrame, projects: DataFrame) -> DataFrame:
     zone = F.when(F.col("zone_name").startswith(bare_city), F.substring("zone_name", F.length(bare_city) + 1, F.length("zone_name"))).otherwise(
         F.col("zone_name"))
     uses = rows.groupBy("entry_url").agg(F.count(F.lit(1)).alias("_uses"))
-    rows = (rows.withColumn("_key", key).withColumn("_zone", zone).withColumn("_host", entry_host).join(uses, "entry_url")
+    rows = (rows.withColumn("_key", key).withColumn("_zone", zone).withColumn("_host", host(F.col("entry_url"))).join(uses, "entry_url")
             .select("row_id", "city", "entry_url", "_whole", "_key", "_zone", "_host", "_uses"))
     exact_urls = values.select("entry_url").distinct().withColumn("_exact", F.lit(True))
-    rows = durable(rows.join(exact_urls, "entry_url", "left").withColumn("_exact", F.coalesce("_exact", F.lit(False))), "targets")
-    v = values.select("city", "entry_url", F.col("host").alias("_host"), "publisher", "approval_district", "project_district",
-                      "location", "radiation", "n")
-    exact = rows.filter("_exact").drop("city").join(v.withColumnRenamed("_host", "host"), "entry_url")
-    near = rows.filter("NOT _exact").drop("entry_url").join(v.drop("entry_url"), ["city", "_host"]).withColumn("host", F.col("_host"))
-    cols = ["row_id", "_whole", "_key", "_zone", "_host", "_uses", "host", "publisher", "approval_district", "project_district",
-            "location", "radiation", "n"]
-    pool = exact.select(*cols).unionByName(near.select(*cols))
-    tier = (F.when(F.col("_whole"), 0).when(F.col("approval_district") == F.col("_key"), 1)
-            .when(F.col("project_district") == F.col("_key"), 2)
-            .when((F.length("_zone") >= 4) & F.col("location").contains(F.col("_zone")), 3)
-            .when(F.col("_uses") == 1, 4))
-    # the addresses have done their part; what is left is small and read several times
-    counted = (pool.withColumn("tier", tier).filter(F.col("tier").isNotNull())
-               .groupBy("row_id", "tier", (F.col("host") == F.col("_host")).alias("_own"), "publisher", "approval_district",
-                        "project_district", "radiation").agg(F.sum("n").alias("n")))
-    ranked = durable(counted, "ranked")
-    # a row that may take the whole pool has a tier for every value, so nothing of its pool is missing here
-    pure = ranked.groupBy("row_id").agg(F.bool_and("_own").alias("_pure"))
-    best = ranked.join(pure, "row_id").filter((F.col("tier") < 4) | F.col("_pure"))
-    first = best.groupBy("row_id").agg(F.min("tier").alias("tier"))
-    return (best.join(first, ["row_id", "tier"])
-            .groupBy("row_id", "tier", "publisher", "approval_district", "project_district", "radiation").agg(F.sum("n").alias("n")))
+    pool = lambda exact, near: F.when(exact, F.concat(F.lit("="), F.col("entry_url"))).otherwise(F.concat_ws("|", F.lit("~"), "city", near))
+    rows = durable(rows.join(exact_urls, "entry_url", "left")
+                   .withColumn("pool", pool(F.coalesce("_exact", F.lit(False)), F.col("_host"))).drop("_exact", "city", "entry_url"), "targets")
+    wanted = rows.select("pool").distinct()
+    facts = ["publisher", "approval_district", "project_district", "radiation"]
+    placed = values.select(F.explode(F.array(pool(F.lit(True), F.col("host")), pool(F.lit(False), F.col("host")))).alias("pool"),
+                           "host", *facts, "location", "n").join(wanted, "pool", "left_semi")
+    placed = durable(placed.groupBy("pool", "host", *facts, "location").agg(F.sum("n").alias("n")), "pools")
+    totals = durable(placed.groupBy("pool", "host", *facts).agg(F.sum("n").alias("n")), "totals")
+
+    def tier(number: int, who: DataFrame, what: DataFrame, on: list[str]) -> DataFrame:
+        return (who.join(what, on).groupBy("row_id", *facts).agg(F.sum("n").alias("n"))
+                .select("row_id", F.lit(number).alias("tier"), *facts, "n"))
+
+    whole, parts = rows.filter("_whole"), rows.filter("NOT _whole").select("row_id", "pool", "_key")
+    by = lambda column: totals.withColumn("_key", F.col(column))
+    easy = durable(tier(0, whole.select("row_id", "pool"), totals, ["pool"])
+                   .unionByName(tier(1, parts, by("approval_district"), ["pool", "_key"]))
+                   .unionByName(tier(2, parts, by("project_district"), ["pool", "_key"])), "districts")
+    first = easy.groupBy("row_id").agg(F.min("tier").alias("tier"))
+    left = durable(rows.filter("NOT _whole").join(first, "row_id", "left_anti"), "left")
+    zones = left.filter(F.length("_zone") >= 4).select("pool", "_zone").distinct()
+    spots = placed.select("pool", "location").distinct().join(zones, "pool").filter(F.col("location").contains(F.col("_zone")))
+    named = durable(tier(3, left.select("row_id", "pool", "_zone"), placed.join(spots, ["pool", "location"]), ["pool", "_zone"]), "zones")
+    hosts = totals.groupBy("pool").agg(F.min("host").alias("_low"), F.max("host").alias("_high"))
+    pure = (left.filter("_uses = 1").join(named.select("row_id").distinct(), "row_id", "left_anti").join(hosts, "pool")
+            .filter((F.col("_low") == F.col("_host")) & (F.col("_high") == F.col("_host"))).select("row_id", "pool"))
+    return (easy.join(first, ["row_id", "tier"], "left_semi").unionByName(named).unionByName(tier(4, pure, totals, ["pool"])))
 
 
 def extract_columns(targets: DataFrame, projects: DataFrame) -> DataFrame:

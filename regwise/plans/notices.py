@@ -43,33 +43,52 @@ def approval_areas(names: DataFrame, places: DataFrame) -> DataFrame:
                          F.when(~F.coalesce(void, F.lit(False)), F.col("area")).alias("area"))
 
 
+def address_districts(addresses: DataFrame, places: DataFrame) -> DataFrame:
+    """Distinct ``(prov_code, city_code, addr)`` with the district or zone of the address."""
+    p = F.col("place")
+    return with_place(addresses.select("prov_code", "city_code", "addr").distinct(), places).select(
+        "prov_code", "city_code", "addr", district_of_address(F.col("addr"), city_by_code(F.col("city_code"), p), p).alias("district"))
+
+
+def bracket_districts(brackets: DataFrame, places: DataFrame) -> DataFrame:
+    """Distinct ``(prov_code, city_code, bracket)`` with the district of the channel's city that the bracket names."""
+    p = F.col("place")
+    return with_place(brackets.filter(F.col("bracket") != "").select("prov_code", "city_code", "bracket").distinct(), places).select(
+        "prov_code", "city_code", "bracket", district_in(F.col("bracket"), city_by_code(F.col("city_code"), p)).alias("_at"))
+
+
 def classify(notices: DataFrame, places: DataFrame) -> DataFrame:
     """Add bracket, meaning, radiation, approval agency and districts to each notice.
 
     ``notices`` has prov_code, city_code, title, source, locations (array) and
-    channel_org. Agencies are located once per distinct spelling and joined
-    back; the source decides, the channel's agency fills in where it cannot.
+    channel_org. Place rules run on distinct texts only: agencies, brackets and
+    addresses are located once each and joined back. The source decides, the
+    channel's agency fills in where it cannot.
     """
-    orgs = (notices.select("prov_code", "city_code", F.explode(F.array("source", "channel_org")).alias("org"))
+    where = ["prov_code", "city_code"]
+    read = durable(notices.withColumn("bracket", N.bracket_of(F.col("title"))), "notices")
+    orgs = (read.select(*where, F.explode(F.array("source", "channel_org")).alias("org"))
             .filter(F.coalesce("org", F.lit("")) != "").distinct())
     known = durable(approval_areas(orgs, places).filter(F.col("name") != ""), "approval")
     by = lambda tag, source: known.select(
-        "prov_code", "city_code", F.col("org").alias(source), F.struct("name", "area").alias(tag))
-    joined = (notices.join(by("_s", "source"), ["prov_code", "city_code", "source"], "left")
-              .join(by("_c", "channel_org"), ["prov_code", "city_code", "channel_org"], "left"))
+        *where, F.col("org").alias(source), F.struct("name", "area").alias(tag))
+    lists = read.select(*where, "locations").distinct()
+    each = lists.select(*where, "locations", F.posexplode("locations").alias("i", "addr"))
+    at = durable(address_districts(each, places), "addresses")
+    found = each.join(at, [*where, "addr"]).groupBy(*where, "locations").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("i", "district"))), lambda x: x["district"]).alias("project_districts"))
+    joined = (read.join(by("_s", "source"), [*where, "source"], "left")
+              .join(by("_c", "channel_org"), [*where, "channel_org"], "left")
+              .join(bracket_districts(read, places), [*where, "bracket"], "left")
+              .join(found, [*where, "locations"], "left"))
     own = F.col("_s.area").isNotNull()
     fallback = ~own & (F.coalesce("channel_org", F.lit("")) != "")
     org = F.when(fallback, F.col("_c.name")).otherwise(F.col("_s.name"))
     district = F.when(own, F.col("_s.area")).otherwise(F.col("_c.area"))
-    p = F.col("place")
-    city = F.col("_city")
-    staged = (with_place(joined, places).withColumn("_city", city_by_code(F.col("city_code"), p))
-              .withColumn("bracket", N.bracket_of(F.col("title")))
-              .withColumn("radiation", N.is_radiation(F.col("title"), F.col("bracket")))
+    staged = (joined.withColumn("radiation", N.is_radiation(F.col("title"), F.col("bracket")))
               .withColumn("approval_org", F.coalesce(org, F.lit("")))
               .withColumn("approval_district", F.coalesce(district, F.lit("")))
-              .withColumn("_at", district_in(F.col("bracket"), city))
-              .withColumn("project_districts", F.transform("locations", lambda a: district_of_address(a, city, p))))
+              .withColumn("project_districts", F.coalesce("project_districts", F.array().cast("array<string>"))))
     meaning = N.bracket_meaning(F.col("bracket"), F.col("radiation"), F.col("_at"), F.col("approval_district"))
     return staged.select(*notices.columns, "bracket", meaning.alias("bracket_meaning"), "radiation", "approval_org", "approval_district",
                          "project_districts", F.size("locations").cast("long").alias("n_projects"))

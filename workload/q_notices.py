@@ -90,10 +90,7 @@ def meaning_q(f: Frames):
 
 @query("jon_28_address_district", "SELECT prov_code, city_code, addr, district FROM addr_at")
 def address_q(f: Frames):
-    a = notice_input(f).select("prov_code", "city_code", F.explode("locations").alias("addr")).distinct()
-    p = c("place")
-    return with_place(a, f.places).select("prov_code", "city_code", "addr", NP.district_of_address(
-        c("addr"), city_by_code(c("city_code"), p), p).alias("district"))
+    return NP.address_districts(notice_input(f).select("prov_code", "city_code", F.explode("locations").alias("addr")), f.places)
 
 
 @query("jon_29_borrowed_context", "SELECT prov_code, city_code, org, area FROM org_area WHERE name <> ''")
