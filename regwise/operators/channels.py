@@ -142,7 +142,10 @@ def location_hints(projects: DataFrame, top: int = 3) -> DataFrame:
 
 
 def attribute_with_hints(projects: DataFrame, units: DataFrame, places: DataFrame) -> DataFrame:
-    """Unit key of each (city, publisher): without a hint first, then with its usual project districts."""
+    """Unit key of each (city, publisher): without a hint first, then with its usual project districts.
+
+    ``tried`` lists the keys that its wording led to, in the order of trying.
+    """
     seen = (projects.filter(F.col("publisher") != "")
             .groupBy("prov_code", "city", "city_code", normalize(F.col("publisher")).alias("name")).agg(F.count(F.lit(1)).alias("n")))
     bare = seen.select("prov_code", "city", "city_code", "name", F.lit("").alias("county"), F.lit(0).cast("long").alias("rank"))
@@ -150,9 +153,37 @@ def attribute_with_hints(projects: DataFrame, units: DataFrame, places: DataFram
     tries = locate(bare.unionByName(hinted).withColumnRenamed("city", "channel_city"), places)
     keyed = (with_function(tries, places).filter(F.col("area").isNotNull())
              .withColumn("function_key", function_key(F.col("city"), F.col("area"), F.col("function"))))
-    known = keyed.join(units.select("prov_code", "function_key").distinct(), ["prov_code", "function_key"], "left_semi")
-    best = known.groupBy("prov_code", F.col("channel_city").alias("city"), "name").agg(F.min_by("function_key", "rank").alias("unit_key"))
-    return seen.join(best, ["prov_code", "city", "name"], "left")
+    known = units.select("prov_code", "function_key", F.lit(True).alias("_known")).distinct()
+    # at most one try and three hints a publisher
+    best = keyed.join(known, ["prov_code", "function_key"], "left").groupBy("prov_code", F.col("channel_city").alias("city"), "name").agg(
+        F.min_by("function_key", F.when(F.col("_known"), F.col("rank"))).alias("_key"), F.bool_or("_known").alias("_known"),
+        F.array_distinct(F.transform(F.sort_array(F.collect_list(F.struct("rank", "function_key"))), lambda x: x["function_key"])).alias("tried"))
+    return seen.join(best, ["prov_code", "city", "name"], "left").select(
+        *seen.columns, F.when(F.col("_known"), F.col("_key")).alias("unit_key"), F.coalesce("tried", F.array().cast("array<string>")).alias("tried"))
+
+
+def with_portal_publisher(master: DataFrame, attributed: DataFrame, to: str = "portal_publisher") -> DataFrame:
+    """``master`` with the wordings under which its units publish, as ``name(n) / …``.
+
+    Of several units with one function key the largest takes the cell. Units
+    without a wording keep what they had, blank where the column is new.
+    """
+    n = attributed.filter(F.col("unit_key").isNotNull()).groupBy("prov_code", F.col("unit_key").alias("function_key"), "name").agg(F.sum("n").alias("n"))
+    cells = n.groupBy("prov_code", "function_key").agg(
+        counted(F.collect_list(F.struct(F.col("name").alias("key"), "n")), form="%s(%d)").alias("_cell"))
+    owner = master.groupBy("prov_code", "function_key").agg(
+        F.min_by(F.struct("city", "area", "unit"), F.struct((-F.col("record_count").cast("long")).alias("a"), F.col("unit"))).alias("_o"))
+    placed = cells.join(owner, ["prov_code", "function_key"]).select("prov_code", "function_key", "_o.*", "_cell")
+    had = F.col(to) if to in master.columns else F.lit("")
+    return (master.join(placed, ["prov_code", "function_key", "city", "area", "unit"], "left")
+            .withColumn(to, F.coalesce("_cell", had, F.lit(""))).drop("_cell"))
+
+
+def unattached(attributed: DataFrame) -> DataFrame:
+    """(prov_code, city, name, n, reason): wordings that no unit of the master stands for."""
+    keys = F.array_join("tried", " 或 ")
+    reason = F.when(F.size("tried") > 0, F.concat(F.lit("主数据里没有这些键："), keys)).otherwise("认不出地区")
+    return attributed.filter(F.col("unit_key").isNull()).select("prov_code", "city", "name", "n", reason.alias("reason"))
 
 
 def county_channel_hits(titles: DataFrame, units: DataFrame, places: DataFrame) -> DataFrame:

@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from regwise import rules as R
 from regwise.functions.text import strip
 from regwise.functions.url import host
+from regwise.operators.sequence import forward_fill
 from regwise.session import durable
 
 
+# reported columns and how many values a cell shows
+REPORTED = {"publisher": 6, "approval_district": 6, "project_district": 10, "radiation": 2}
+
+
 def scope_names(scope: Column) -> Column:
     parts = F.transform(F.split(F.translate(scope, "｜", "|"), "\\|"), strip)
     return F.filter(parts, lambda p: p != "")
@@ -97,6 +102,28 @@ def extract_columns(targets: DataFrame, projects: DataFrame) -> DataFrame:
     """The four reported columns of each target row as tallies."""
     hit = durable(match_slices(targets, projects), "matched")
     out = hit.select("row_id").distinct()
-    for column, top in (("publisher", 6), ("approval_district", 6), ("project_district", 10), ("radiation", 2)):
+    for column, top in REPORTED.items():
         out = out.join(tally(hit, ["row_id"], column, top), "row_id", "left")
     return out.na.fill("")
+
+
+def cells_to_fill(sheet: DataFrame, projects: DataFrame) -> DataFrame:
+    """(row_id, column, value): tallies for the blank cells of a sheet.
+
+    ``sheet`` has row_id, city (blank cells continue the one above), scope,
+    entry_url, zone_name and the four reported columns. Cells that hold
+    something are never touched.
+    """
+    rows = durable(forward_fill(sheet, [F.col("row_id")], "city"), "sheet")
+    made = extract_columns(rows.select("row_id", "city", "scope", "entry_url", "zone_name"), projects)
+    blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
+    both = made.select("row_id", *[F.col(c).alias(f"_{c}") for c in REPORTED]).join(rows, "row_id")
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.when(blank(F.col(c)), F.col(f"_{c}")).alias("value")) for c in REPORTED])
+    return both.select("row_id", F.inline(cells)).filter(F.coalesce("value", F.lit("")) != "")
+
+
+def fill_summary(sheet: DataFrame, cells: DataFrame, matched: DataFrame) -> DataFrame:
+    """Cells to fill per column, and under a blank column the rows with an entry but without data."""
+    lacking = sheet.filter(F.coalesce(F.trim("entry_url"), F.lit("")) != "").join(matched.select("row_id").distinct(), "row_id", "left_anti")
+    per = cells.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
+    return per.unionByName(lacking.agg(F.count(F.lit(1)).alias("n")).select(F.lit("").alias("column"), "n"))

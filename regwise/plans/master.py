@@ -157,6 +157,18 @@ def keyed_units(units: DataFrame, places: DataFrame) -> DataFrame:
             .withColumn("function_key", function_key(F.col("city"), F.col("area"), F.col("_f"))).drop("_f"))
 
 
+def upsert_units(units: DataFrame, previous: DataFrame, places: DataFrame) -> DataFrame:
+    """Units against the table of an earlier run: known ones keep their uid, new ones get one, missing ones are retired.
+
+    Human values and the columns of later steps are carried over by uid. Both
+    frames hold whole provinces.
+    """
+    rows = durable(allocate_uids(keyed_units(units, places), previous), "uids")
+    named = carry_over(rows, previous).withColumn("name_from_source", F.col("unit"))
+    fixed = named.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in previous.columns if c in named.columns])
+    return retire_missing(durable(fixed, "upsert"), previous).na.fill("")
+
+
 def build_master(units: DataFrame, records: DataFrame, places: DataFrame, area: DataFrame, zones: DataFrame,
                  entries: DataFrame, registry: DataFrame, merges: DataFrame, previous: DataFrame) -> DataFrame:
     """The master table: 39 columns plus the previous run's extra columns, all text."""

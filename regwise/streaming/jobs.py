@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from regwise import schema as S
-from regwise.operators.places import locate
-from regwise.functions import notice as N
-from regwise.functions.text import normalize
+from regwise.plans.notices import classify
 from regwise.sources.readers import file_stem, records_of
 
 
@@ -34,16 +34,16 @@ def first_seen_stream(stream: DataFrame, key: list[str], event_time: str, delay:
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(key)
 
 
-def classify_stream(stream: DataFrame, places: DataFrame) -> DataFrame:
-    """Stateless reading of notices as they arrive, against the static place dictionary.
+def classify_stream(stream: DataFrame, places: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Full classification of notices as they arrive, against the static place dictionary.
 
-    Adds bracket, radiation, stage, publisher, and the publisher's city and area.
+    A micro-batch goes through the same plan as a table, so its distinct
+    agencies, brackets and addresses are located once. It is written under its
+    own number: a replayed batch replaces what it wrote.
     """
-    read = (stream.withColumn("bracket", N.bracket_of(F.col("title")))
-            .withColumn("radiation", N.is_radiation(F.col("title"), F.col("bracket")))
-            .withColumn("stage", N.stage_of(F.col("title"))).withColumn("publisher", N.publisher_of(F.col("title")))
-            .withColumn("name", normalize(F.col("publisher"))))
-    return locate(read, places, county=None)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        classify(batch, places).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    return upsert_stream(stream, write, checkpoint)
 
 
 def upsert_stream(stream: DataFrame, merge, checkpoint: str) -> StreamingQuery:
@@ -52,30 +52,53 @@ def upsert_stream(stream: DataFrame, merge, checkpoint: str) -> StreamingQuery:
 
 
 class MasterStore:
-    """Versions of a keyed table on shared storage, one folder per applied batch.
+    """A keyed table on shared storage, in parts, with a version for each batch that changed a part.
 
-    A batch is merged by match key into the latest version and written under
-    the batch number. Replaying a batch reads the version before it and writes
-    the same folder again, so the result does not depend on the number of tries.
+    A batch is merged part by part: ``combine(previous part, rows of the
+    batch)`` becomes the part's version of that batch; other parts stay as they
+    are. Replaying a batch reads the versions before it and writes the same
+    folders again, so the result does not depend on the number of tries. Only
+    the version before the last is kept besides it, for such a replay.
     """
 
-    def __init__(self, spark: SparkSession, root: str, key: list[str], schema: str):
-        self.spark, self.root, self.key, self.schema = spark, root, key, schema
-
-    def read(self, before: int | None = None) -> DataFrame | None:
-        """The latest version, or the latest one older than batch ``before``."""
-        versions = [v for v in self._versions() if before is None or v < before]
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/{versions[-1]}") if versions else None
-
-    def _versions(self) -> list[int]:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        path = hadoop.Path(self.root)
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return []
-        done = [s.getPath() for s in fs.listStatus(path) if s.isDirectory() and fs.exists(hadoop.Path(s.getPath(), "_SUCCESS"))]
-        return sorted(int(p.getName()) for p in done)
-
-    def merge(self, batch: DataFrame, batch_id: int, combine) -> None:
-        """Write ``combine(previous version or None, batch)`` as version ``batch_id``."""
-        combine(self.read(before=batch_id), batch).write.mode("overwrite").parquet(f"{self.root}/{batch_id}")
+    def __init__(self, spark: SparkSession, root: str, part: str, schema: str):
+        self.spark, self.root, self.part, self.schema = spark, root, part, schema
+
+    def _fs(self, place: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(place)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _folders(self, place: str) -> list[str]:
+        fs, path = self._fs(place)
+        return [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()] if fs.exists(path) else []
+
+    def _versions(self, part: str) -> list[int]:
+        """Finished versions of a part, oldest first."""
+        found = []
+        for v in self._folders(f"{self.root}/{part}"):
+            fs, done = self._fs(f"{self.root}/{part}/{v}/_SUCCESS")
+            if fs.exists(done):
+                found.append(int(v))
+        return sorted(found)
+
+    def read_part(self, part: str, before: int | None = None) -> DataFrame:
+        """The latest version of a part, or the latest one older than batch ``before``; empty where there is none."""
+        versions = [v for v in self._versions(part) if before is None or v < before]
+        if not versions:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self.root}/{part}/{versions[-1]}")
+
+    def read(self) -> DataFrame:
+        """The latest version of all parts."""
+        places = [f"{self.root}/{p}/{self._versions(p)[-1]}" for p in self._folders(self.root) if self._versions(p)]
+        return self.spark.read.schema(self.schema).parquet(*places) if places else self.spark.createDataFrame([], self.schema)
+
+    def merge(self, batch: DataFrame, batch_id: int, combine: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        """Write ``combine(previous, rows)`` for each part that the batch has rows of."""
+        for row in batch.select(self.part).distinct().collect():  # parts, not rows
+            part = row[0]
+            new = combine(self.read_part(part, before=batch_id), batch.filter(F.col(self.part) == part))
+            new.select(*self.spark.createDataFrame([], self.schema).columns).write.mode("overwrite").parquet(f"{self.root}/{part}/{batch_id}")
+            for old in self._versions(part)[:-2]:
+                fs, path = self._fs(f"{self.root}/{part}/{old}")
+                fs.delete(path, True)

@@ -9,8 +9,8 @@ from regwise.operators import entries as E, evidence as V
 from regwise.operators.sequence import global_index
 from regwise.operators.units import flag_seen_in
 from regwise.plans import notices as NP
-from regwise.plans.master import master_order
-from regwise.session import scratch_path
+from regwise.plans.master import master_order, upsert_units
+from regwise.session import durable, scratch_path
 from regwise.sources import readers as RD, writers as WR
 from regwise.streaming import jobs as ST
 from workload import oracle as O
@@ -18,7 +18,7 @@ from workload.files import in_file_order, name_files
 from workload.frames import Frames
 from workload.q_clean import UNIT_COLS
 from workload.q_master import _all as master_columns, master_of
-from workload.q_notices import classified, titles_of
+from workload.q_notices import classified, notice_input
 from workload.registry import query
 
 c = F.col
@@ -297,34 +297,41 @@ def first_seen_stream_q(f: Frames):
     return f.spark.read.schema("user_id long, event_type string, ts timestamp").parquet(table).select("user_id", "event_type")
 
 
-@query("str_03_incremental_upsert", "SELECT user_id, count(*) AS n, max(event_id) AS last_event FROM events GROUP BY 1")
-def upsert_q(f: Frames):
-    """Running totals per key, merged batch by batch into versions of a table."""
-    schema = "user_id long, n long, last_event long"
-    store = ST.MasterStore(f.spark, scratch_path(f.spark, "totals"), ["user_id"], schema)
+_upserted = "unit_uid, prov_code, city_code, function_key, name_from_source, name_canonical, name_status, group_id, record_count, role, crawl_note"
+
 
-    def combine(old, batch):
-        new = batch.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_event"))
-        both = new if old is None else old.unionByName(new)
-        return both.groupBy("user_id").agg(F.sum("n").alias("n"), F.max("last_event").alias("last_event"))
+@query("str_03_incremental_upsert", f"SELECT {_upserted} FROM full_master")
+def upsert_q(f: Frames):
+    """The master kept up batch by batch: a file of units arrives for each province, after the table of an earlier run."""
+    source, schema = scratch_path(f.spark, "unit-files"), ", ".join(f"{x.strip()} string" for x in _upserted.split(","))
+    store = ST.MasterStore(f.spark, scratch_path(f.spark, "master-parts"), "prov_code", schema)
+    store.merge(f.previous, -1, lambda old, rows: rows)
+    codes = f.area.select("prov_code", c("city_name").alias("city"), "city_code").distinct()
+    units = f.units.join(codes, ["prov_code", "city"], "left").na.fill("", ["city_code"])
+    units.repartition("prov_code").sortWithinPartitions("prov_code").write.partitionBy("prov_code").parquet(source)
+    files = name_files(f.spark, source, f"{source}-named", lambda prov, i: f"{prov}_{i}.parquet")
+    stream = (f.spark.readStream.schema(units.drop("prov_code").schema).option("maxFilesPerTrigger", 2).parquet(files)
+              .withColumn("prov_code", F.substring(F.element_at(F.split(F.input_file_name(), "/"), -1), 1, 6)))
+    apply = lambda old, rows: upsert_units(rows, old, f.places)
 
     def merge(batch, batch_id):
-        store.merge(batch, batch_id, combine)
-        store.merge(batch, batch_id, combine)  # a replay changes nothing
+        batch = durable(batch, "batch")
+        store.merge(batch, batch_id, apply)
+        store.merge(batch, batch_id, apply)  # a replay changes nothing
 
-    ST.upsert_stream(event_stream(f), merge, scratch_path(f.spark, "totals-mark")).awaitTermination()
+    ST.upsert_stream(stream, merge, scratch_path(f.spark, "master-mark")).awaitTermination()
     return store.read()
 
 
-@query("str_04_stream_classification", f"""SELECT t.ord, t.publisher, l.city, l.area, {O.stage('t.title')} AS stage, {O.has('t.title', R.RADIATION)} OR {O.has(O.bracket('t.title'), R.RADIATION)} AS radiation
-  FROM titles t LEFT JOIN pub_loc l ON t.publisher <> '' AND l.prov_code = t.prov_code AND l.city_code = t.city_code AND l.name = {O.normalize('t.publisher')} WHERE t.publisher <> ''""")
+@query("str_04_stream_classification", """SELECT ord, title, bracket, bracket_meaning, radiation, approval_org, approval_district,
+  array_to_string(project_districts, ',') AS project_districts, n_projects FROM cls""")
 def stream_classification_q(f: Frames):
-    source = scratch_path(f.spark, "titles")
-    titles = titles_of(f).select("ord", "prov_code", "city_code", "title")
-    titles.write.parquet(source)
-    stream = f.spark.readStream.schema(titles.schema).parquet(source)
-    out, mark = scratch_path(f.spark, "read"), scratch_path(f.spark, "read-mark")
-    done = ST.classify_stream(stream, f.places)
-    ST.ingest(done, out, mark).awaitTermination()
-    return (f.spark.read.schema(done.schema).parquet(out).filter(c("publisher") != "")
-            .select("ord", "publisher", "city", "area", "stage", "radiation"))
+    """Notices that arrive as files are read like the table of all of them."""
+    source, out = scratch_path(f.spark, "notice-files"), scratch_path(f.spark, "classified")
+    notices = notice_input(f)
+    notices.repartitionByRange(4, "ord").write.parquet(source)
+    stream = f.spark.readStream.schema(notices.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    ST.classify_stream(stream, f.places, out, scratch_path(f.spark, "classified-mark")).awaitTermination()
+    read = f.spark.read.parquet(out)
+    return read.select("ord", "title", "bracket", "bracket_meaning", "radiation", "approval_org", "approval_district",
+                       F.array_join("project_districts", ",").alias("project_districts"), "n_projects")

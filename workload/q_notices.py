@@ -260,13 +260,52 @@ O.relation("tries", "projects hints", f"""SELECT DISTINCT prov_code, city_code,
 O.locate("try_loc", "tries")
 
 
-@query("jon_19_location_hint_attribution", f"""WITH k AS (SELECT l.prov_code, l.city_code, l.name, l.county, l.city || '|' || l.area || '|' || {O.function('l.name', 'l.place_words')} AS key FROM try_loc l WHERE l.area IS NOT NULL),
+def _hint_sql(units: str) -> str:
+    return f"""WITH k AS (SELECT l.prov_code, l.city_code, l.name, l.county, l.city || '|' || l.area || '|' || {O.function('l.name', 'l.place_words')} AS key FROM try_loc l WHERE l.area IS NOT NULL),
   t AS (SELECT prov_code, city_code, name, '' AS county, 0 AS rank FROM tries WHERE county = '' UNION SELECT prov_code, city_code, name, project_district, rank FROM hints)
   SELECT s.*, b.unit_key FROM (SELECT prov_code, city, city_code, {O.normalize('publisher')} AS name, count(*) AS n FROM projects WHERE publisher <> '' GROUP BY 1, 2, 3, 4) s
   LEFT JOIN (SELECT t.prov_code, t.city_code, t.name, arg_min(k.key, t.rank) AS unit_key FROM t JOIN k USING (prov_code, city_code, name, county)
-    JOIN (SELECT DISTINCT prov_code, function_key FROM keyed) u ON u.prov_code = t.prov_code AND u.function_key = k.key GROUP BY 1, 2, 3) b USING (prov_code, city_code, name)""")
+    JOIN (SELECT DISTINCT prov_code, function_key FROM {units}) u ON u.prov_code = t.prov_code AND u.function_key = k.key GROUP BY 1, 2, 3) b USING (prov_code, city_code, name)"""
+
+
+# a master that lacks one province leaves that province's wordings unattached
+_lacking = "(SELECT * FROM keyed WHERE prov_code <> '320000')"
+O.relation("hint_attributed", "try_loc tries hints projects keyed", _hint_sql("keyed"))
+O.relation("hint_lacking", "try_loc tries hints projects keyed", _hint_sql(_lacking))
+O.relation("hint_tried", "try_loc tries hints", f"""SELECT prov_code, city_code, name, string_agg(key, ' 或 ' ORDER BY rank) AS tried FROM (
+  SELECT prov_code, city_code, name, key, min(rank) AS rank FROM (
+    SELECT l.prov_code, l.city_code, l.name, l.city || '|' || l.area || '|' || {O.function('l.name', 'l.place_words')} AS key, t.rank FROM try_loc l
+    JOIN (SELECT prov_code, city_code, name, county, 0 AS rank FROM tries WHERE county = '' UNION SELECT prov_code, city_code, name, project_district, rank FROM hints) t USING (prov_code, city_code, name, county)
+    WHERE l.area IS NOT NULL) GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3""")
+
+
+def hinted(f: Frames):
+    if "hinted" not in f._made:
+        f._made["hinted"] = durable(C.attribute_with_hints(f.projects, keyed(f), f.places), "hinted")
+    return f._made["hinted"]
+
+
+@query("jon_19_location_hint_attribution", "SELECT prov_code, city, city_code, name, n, unit_key FROM hint_attributed")
 def hint_attribution_q(f: Frames):
-    return C.attribute_with_hints(f.projects, keyed(f), f.places).select("prov_code", "city", "city_code", "name", "n", "unit_key")
+    return hinted(f).select("prov_code", "city", "city_code", "name", "n", "unit_key")
+
+
+@query("jon_19_portal_publisher_column", """SELECT k.prov_code, k.city, k.area, k.unit, CASE WHEN row_number() OVER (PARTITION BY k.prov_code, k.function_key ORDER BY k.record_count DESC, k.unit) = 1
+    THEN coalesce(t.cell, k.old) ELSE k.old END AS portal_publisher
+  FROM (SELECT *, CASE WHEN record_count % 2 = 0 THEN '旧写法' ELSE '' END AS old FROM keyed) k LEFT JOIN (
+    SELECT prov_code, unit_key, string_agg(name || '(' || n || ')', ' / ' ORDER BY n DESC, name) AS cell FROM (
+      SELECT prov_code, unit_key, name, sum(n)::BIGINT AS n FROM hint_attributed WHERE unit_key IS NOT NULL GROUP BY 1, 2, 3) GROUP BY 1, 2) t
+  ON t.prov_code = k.prov_code AND t.unit_key = k.function_key""")
+def portal_column_q(f: Frames):
+    """The master gains the wordings; units without one keep their cell."""
+    master = keyed(f).withColumn("portal_publisher", F.when(c("record_count") % 2 == 0, "旧写法").otherwise(""))
+    return C.with_portal_publisher(master, hinted(f)).select("prov_code", "city", "area", "unit", "portal_publisher")
+
+
+@query("jon_19_unattached_wordings", """SELECT prov_code, city, name, n, CASE WHEN tried IS NULL THEN '认不出地区' ELSE '主数据里没有这些键：' || tried END AS reason
+  FROM hint_lacking LEFT JOIN hint_tried USING (prov_code, city_code, name) WHERE unit_key IS NULL""")
+def unattached_q(f: Frames):
+    return C.unattached(C.attribute_with_hints(f.projects, keyed(f).filter("prov_code <> '320000'"), f.places))
 
 
 # --- county portals ---------------------------------------------------------------
@@ -368,3 +407,28 @@ def _tally_sql(column, top):
   LEFT JOIN {_tally_sql('project_district', 10)} d USING (row_id) LEFT JOIN {_tally_sql('radiation', 2)} e USING (row_id)""")
 def extract_q(f: Frames):
     return SL.extract_columns(targets(f), f.projects)
+
+
+_sheet_city = "CASE WHEN row_id % 2 = 0 THEN city ELSE '' END"
+_filled = {"publisher": "CASE WHEN row_id % 3 = 0 THEN '人工' ELSE ' ' END", "radiation": "CASE WHEN row_id % 5 = 0 THEN '是(1)' END"}
+_cells = " UNION ALL ".join(
+    f"SELECT row_id, '{x}' AS \"column\", t AS value FROM {_tally_sql(x, top)} v WHERE t <> ''" + (f" AND trim(coalesce({_filled[x]}, '')) = ''" if x in _filled else "")
+    for x, top in SL.REPORTED.items())
+
+
+def sheet(f: Frames):
+    """The targets as a sheet: the city stands in every other row, some cells are filled."""
+    more = {x: F.expr(_filled[x]) if x in _filled else F.lit("") for x in SL.REPORTED}
+    return targets(f).select("row_id", F.expr(_sheet_city).alias("city"), "scope", "entry_url", "zone_name", *[e.alias(x) for x, e in more.items()])
+
+
+@query("agg_13_blank_cells", _cells)
+def blank_cells_q(f: Frames):
+    return SL.cells_to_fill(sheet(f), f.projects)
+
+
+@query("agg_13_fill_summary", f"""SELECT "column", count(*) AS n FROM ({_cells}) GROUP BY 1 UNION ALL
+  SELECT '', count(*) FROM targets WHERE entry_url <> '' AND row_id NOT IN (SELECT row_id FROM slice_rows)""")
+def fill_summary_q(f: Frames):
+    matched = SL.match_slices(targets(f), f.projects)
+    return SL.fill_summary(sheet(f), SL.cells_to_fill(sheet(f), f.projects), matched)
