@@ -286,7 +286,8 @@ FROM {notices} n JOIN {area} a ON a.city_code = n.city_code AND a.district_ord =
 # Notice pages: the same notices written as HTML, as horizontal tables inside
 # a layout table, as label/value tables, as running text, or without fields.
 FRAMES["notice_pages"] = """
-SELECT o.o_orderkey AS page_id, 'http://sthj' || a.city_code || '.gov.cn/art/2024/1/2/art_1_' || CAST(o.o_orderkey AS STRING) || '.html' AS url,
+SELECT o.o_orderkey AS page_id, 'http://sthj' || a.city_code || '.gov.cn/art/2024/1/2/art_1_' || CAST(o.o_orderkey AS STRING) || '.html'
+  || CASE WHEN o.o_orderkey % 9 = 6 THEN '?from=col' || CAST(o.o_custkey % 7 AS STRING) WHEN o.o_orderkey % 9 = 8 THEN '?deptcode=D' || CAST(o.o_custkey AS STRING) || '&categorynum=0' || CAST(o.o_custkey % 5 AS STRING) ELSE '' END AS url,
   '<html><head><title>' || a.city_name || '公示_首页</title>'
   || CASE WHEN o.o_orderkey % 3 = 0 THEN '<meta name="ArticleTitle" content="关于受理' || a.district_name || '建设项目&amp;环评文件的公示"/>' ELSE '' END
   || '</head><body><h1>' || a.district_name || '建设项目环评 | 公示</h1>'
@@ -296,7 +297,12 @@ SELECT o.o_orderkey AS page_id, 'http://sthj' || a.city_code || '.gov.cn/art/202
   || '<a href="/files/report' || CAST(o.o_orderkey % 10 AS STRING) || '.pdf">环境影响报告书全本</a>'
   || '<a href="http://other.com/%E9%99%84%E4%BB%B6.pdf" title="附件">审批意见的函</a>'
   || '<a href="/xxgk/index.html">信息公开</a><a href="/hpsl/index.html">环评受理公示</a>'
-  || '<iframe src="/visitcount?x=1"></iframe><iframe src="inner.html"></iframe><iframe src="http://other.com/f.html"></iframe>'
+  || '<iframe src="/visitcount?x=1"></iframe>' || CASE o.o_orderkey % 4 WHEN 0 THEN '<iframe src="inner.html"></iframe>'
+       WHEN 1 THEN '<iframe height="9" src=''/frame/list_' || CAST(o.o_custkey AS STRING) || '.html?a=1&amp;b=2''></iframe><iframe src="later.html"></iframe>'
+       WHEN 2 THEN '<iframe src="http://sthj' || a.city_code || '.gov.cn/footer.html"></iframe><iframe src="../up.html"></iframe>' ELSE '' END || '<iframe src="http://other.com/f.html"></iframe>'
+  || CASE WHEN o.o_orderkey % 9 = 6 THEN '<script src="/module/xxgk/tree.jsp?area=' || a.city_code || '&div=d"></script>'
+       WHEN o.o_orderkey % 9 = 7 THEN '<script>post(''messageController/getMessage.do'',columnId:''k' || CAST(o.o_custkey AS STRING) || ''');proxyUrl:''/true/p.do''</script>'
+       WHEN o.o_orderkey % 9 = 8 THEN '<link href="EWB-FRONT.css">' ELSE '' END
   || CASE o.o_orderkey % 6
        WHEN 0 THEN '<table><tr><td>版面<table><tr><th>序号</th><th>项目名称</th><th>建设 地点</th><th>建设单位</th></tr>'
          || '<tr><td>1</td><td>项目甲' || CAST(o.o_custkey AS STRING) || '</td><td>' || a.district_name || '一路</td><td>甲公司</td></tr>'

@@ -202,8 +202,11 @@ def locate(out: str, src: str) -> str:
     return out
 
 
-def clean_up(tag: str, rows: str) -> None:
-    """Relations of the whole clean-up over ``rows(prov_code, city_code, raw, notice_date, county, ord, part)``."""
+def clean_up(tag: str, rows: str, listed: str = "") -> None:
+    """Relations of the whole clean-up over ``rows(prov_code, city_code, raw, notice_date, county, ord, part)``.
+
+    ``listed`` names a relation (prov_code, name) of spellings known to be misplaced.
+    """
     relation(f"{tag}_norm", rows, f"SELECT *, {normalize('raw')} AS name FROM {rows}")
     relation(f"{tag}_spell", f"{tag}_norm", f"""
       SELECT s.*, coalesce(m.county, '') AS county FROM
@@ -213,9 +216,10 @@ def clean_up(tag: str, rows: str) -> None:
         (SELECT prov_code, city_code, name, county, count(*) AS c, min(ord * 10 + part) AS o FROM {tag}_norm WHERE county <> '' GROUP BY 1, 2, 3, 4)
         QUALIFY row_number() OVER (PARTITION BY prov_code, city_code, name ORDER BY c DESC, o) = 1) m USING (prov_code, city_code, name)""")
     locate(f"{tag}_loc", f"{tag}_spell")
-    relation(f"{tag}_judged", f"{tag}_spell {tag}_loc p_words", f"""
+    curated = f" OR (s.prov_code, s.name) IN (SELECT prov_code, name FROM {listed})" if listed else ""
+    relation(f"{tag}_judged", f"{tag}_spell {tag}_loc p_words {listed}".strip(), f"""
       SELECT s.*, l.city, l.area, {function('s.name', 'l.place_words')} AS function,
-        CASE WHEN x.prefix <> '' AND w.w IS NULL THEN '标错地区'
+        CASE WHEN (x.prefix <> '' AND w.w IS NULL){curated} THEN '标错地区'
              WHEN {irregular('s.name')} OR l.area IS NULL THEN '不规范' END AS drop_reason
       FROM {tag}_spell s JOIN {tag}_loc l USING (prov_code, city_code, name, county)
       JOIN (SELECT DISTINCT prov_code, name, {first("regexp_replace(name, '^驻', '')", R.PLACE_PREFIX, 1)} AS prefix FROM {tag}_spell) x USING (prov_code, name)

@@ -11,6 +11,7 @@ from regwise.functions.text import normalize, strip
 from regwise.operators import audit, spellings as S, units as UN
 from regwise.operators.places import (city_in, city_by_code, district_in, is_misplaced, judge, unique_district, with_place)
 from regwise.sources import readers
+from regwise.plans.clean import clean
 from workload import oracle as O
 from workload.frames import Frames
 from workload.q_scalar import distinct_names, one_area_sql, one_function_sql, one_name_sql, one_reason_sql
@@ -43,18 +44,44 @@ def blank_q(f: Frames):
     return S.count_blank(S.select_field(f.records))
 
 
-O.relation("listed", "", "SELECT '320000' AS prov_code, '国家东中西区域合作示范区环境保护局' AS name")
+# the curated list: one office of one province, one office of every second city
+O.relation("listed", "area", """SELECT DISTINCT prov_code, '国家东中西区域合作示范区环境保护局' AS name FROM area WHERE prov_code = '320000'
+  UNION ALL SELECT DISTINCT prov_code, city_name || '行政审批局' FROM area WHERE city_ord % 2 = 0""")
+
+
+def curated(f: Frames):
+    one = f.area.filter("prov_code = '320000'").select("prov_code", F.lit("国家东中西区域合作示范区环境保护局").alias("name"))
+    return one.unionByName(f.area.filter("city_ord % 2 = 0").select("prov_code", F.concat("city_name", F.lit("行政审批局")).alias("name"))).distinct()
+
+
+O.clean_up("cur", "proc_rows", "listed")
+
+
+def cleaned_with_list(f: Frames):
+    if "listed" not in f._made:
+        f._made["listed"] = clean(f.records, f.places, misplaced=curated(f))
+    return f._made["listed"]
+
+
+@query("flt_04_clean_with_list", f"SELECT {UNIT_COLS} FROM cur_units")
+def clean_with_list_q(f: Frames):
+    """The whole clean-up with a curated list of misplaced spellings."""
+    return UN.unit_table(cleaned_with_list(f).units)
+
+
+@query("flt_04_listed_dropped", "SELECT prov_code, city_code, name, n, drop_reason FROM cur_dropped WHERE drop_reason = '标错地区'")
+def listed_dropped_q(f: Frames):
+    return cleaned_with_list(f).dropped.filter(c("drop_reason") == "标错地区").select("prov_code", "city_code", "name", "n", "drop_reason")
 
 
 @query("flt_04_is_misplaced", f"""SELECT n.prov_code, n.name, (x.prefix <> '' AND w.w IS NULL)
-    OR (n.prov_code = '320000' AND n.name = '国家东中西区域合作示范区环境保护局') AS misplaced
+    OR (n.prov_code, n.name) IN (SELECT prov_code, name FROM listed) AS misplaced
   FROM (SELECT DISTINCT prov_code, name FROM all_names) n
   JOIN (SELECT DISTINCT prov_code, name, {O.first("regexp_replace(name, '^驻', '')", R.PLACE_PREFIX, 1)} AS prefix FROM all_names) x USING (prov_code, name)
   LEFT JOIN p_words w ON w.prov_code = n.prov_code AND w.w = {O.core('x.prefix')}""")
 def misplaced_q(f: Frames):
-    curated = f.area.select("prov_code", F.lit("国家东中西区域合作示范区环境保护局").alias("name")).filter("prov_code = '320000'").distinct()
     names = distinct_names(f).select("prov_code", "name").distinct()
-    marked = names.join(curated.withColumn("_l", F.lit(True)), ["prov_code", "name"], "left")
+    marked = names.join(curated(f).withColumn("_l", F.lit(True)), ["prov_code", "name"], "left")
     return with_place(marked, f.places).select("prov_code", "name", is_misplaced(c("name"), c("place"), c("_l")).alias("misplaced"))
 
 

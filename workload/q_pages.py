@@ -174,9 +174,26 @@ def pages_to_projects_q(f: Frames):
 _jp = lambda k: f"regexp_extract(html, '{k}[\"'']?\\s*[:=]\\s*[\"'']([^\"'']+)', 1)"
 
 
-@query("htm_08_classify_cms", f"""SELECT page_id, url, CASE WHEN contains(html, 'dataproxy.jsp') THEN 'dahan' WHEN contains(html, 'jpaas-publish-server') AND {_jp('webId')} <> '' AND {_jp('pageId')} <> '' AND {_jp('tplSetId')} <> '' THEN 'jpaas' ELSE 'static' END AS family,
-  CASE WHEN contains(html, 'dataproxy.jsp') THEN 'api=' || {site('url')} || '/module/p.jsp&columnid=' || regexp_extract(html, 'columnid=(\\d+)', 1) || '&unitid=7'
-    WHEN contains(html, 'jpaas-publish-server') THEN 'api=' || {site('url')} || '/api-gateway/jpaas-publish-server/front/page/build/unit&pageId=' || {_jp('pageId')} || '&tagId=' || {_jp('tagId')} || '&tplSetId=' || {_jp('tplSetId')} || '&webId=' || {_jp('webId')} ELSE '' END AS params FROM all_pages""")
+_proxy = "regexp_extract(html, 'proxyUrl:''([^'']+)''', 1)"
+_area = """regexp_extract(html, 'tree\\.jsp\\?area=([^&"'']+)', 1)"""
+_col = "regexp_extract(url, 'col(\\d+)', 1)"
+_column = "regexp_extract(html, 'columnId:''([^'']+)''', 1)"
+_data = """replace(regexp_extract(html, 'dataproxy\\.jsp\\?([^''"]+)', 1), '&amp;', '&')"""
+_search = "CASE WHEN contains(url, '?') THEN regexp_replace(url, '^[^?]*[?]', '') ELSE '' END"
+# the pairs of an address, sorted
+_pairs = lambda x: f"""array_to_string(list_sort(list_filter(string_split({x}, '&'), lambda p: p <> '')), '&')"""
+_families = f"""SELECT page_id, url, html, CASE WHEN contains(html, 'dataproxy.jsp') THEN 'dahan' WHEN contains(html, 'module/xxgk/') AND {_area} <> '' THEN 'xxgk'
+    WHEN contains(html, 'messageController/getMessage.do') AND {_column} <> '' THEN 'truecms'
+    WHEN contains(html, 'jpaas-publish-server') AND {_jp('webId')} <> '' AND {_jp('pageId')} <> '' AND {_jp('tplSetId')} <> '' THEN 'jpaas'
+    WHEN contains(url, 'govInfoPub') OR contains(html, 'EWB-FRONT') THEN 'ewb' ELSE 'static' END AS family FROM all_pages"""
+
+
+@query("htm_08_classify_cms", f"""SELECT page_id, url, family, CASE family
+    WHEN 'dahan' THEN 'api=' || {site('url')} || CASE WHEN {_proxy} <> '' THEN {_proxy} ELSE '/module/web/jpage/dataproxy.jsp' END || '&' || {_pairs(_data)}
+    WHEN 'xxgk' THEN 'api=' || {site('url')} || '/module/xxgk/search.jsp&area=' || {_area} || '&only=' || CASE WHEN {_col} <> '' THEN 'art_' || {_col} || '_' ELSE '' END
+    WHEN 'truecms' THEN 'api=' || {site('url')} || {_proxy} || '&column_id=' || {_column}
+    WHEN 'jpaas' THEN 'api=' || {site('url')} || '/api-gateway/jpaas-publish-server/front/page/build/unit&pageId=' || {_jp('pageId')} || '&tagId=' || {_jp('tagId')} || '&tplSetId=' || {_jp('tplSetId')} || '&webId=' || {_jp('webId')}
+    WHEN 'ewb' THEN {_pairs(_search)} ELSE '' END AS params FROM ({_families})""")
 def cms_q(f: Frames):
     pairs = F.transform(F.array_sort(F.map_entries("params")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     return PG.cms_families(both(f)).select("page_id", "url", "family", F.array_join(pairs, "&").alias("params"))
@@ -188,7 +205,8 @@ def tags_q(f: Frames):
     return both(f).select("page_id", F.array_join(P.block_tags(c("html")), ",").alias("tags"))
 
 
-@query("htm_10_inner_frame", f"""SELECT page_id, CASE WHEN contains(html, 'src="inner.html"') THEN {join_sql('url', "'inner.html'")} ELSE '' END AS frame FROM all_pages""")
+@query("htm_10_inner_frame", f"""SELECT page_id, coalesce(list_filter(list_transform(regexp_extract_all(html, '<iframe[^>]*src=["'']([^"'']+)', 1), lambda s: {join_sql('url', "replace(s, '&amp;', '&')")}),
+  lambda u: {site('u')} = {site('url')} AND NOT {O.has('u', R.FRAME_SKIP)})[1], '') AS frame FROM all_pages""")
 def frame_q(f: Frames):
     return both(f).select("page_id", P.inner_frame(c("html"), c("url")).alias("frame"))
 
