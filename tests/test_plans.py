@@ -168,16 +168,6 @@ def test_write_guards(spark, tmp_path):
     assert WR.readback_differences(df.union(spark.createDataFrame([("c", 3)], "k string, v int")), path).count() == 0
 
 
-def test_master_store_replay(spark, tmp_path):
-    from regwise.streaming.jobs import MasterStore
-    store = MasterStore(spark, str(tmp_path / "m"), ["k"], "k string, n long")
-    add = lambda old, b: (b if old is None else old.unionByName(b)).groupBy("k").agg(F.sum("n").alias("n"))
-    batch = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n long")
-    for batch_id in (0, 0, 1, 1):
-        store.merge(batch, batch_id, add)
-    assert {r.k: r.n for r in store.read().collect()} == {"a": 2, "b": 4}
-
-
 def test_shared_dir_is_read_from_the_session(spark):
     from regwise import session
     path = session.scratch_path(spark, "x")
