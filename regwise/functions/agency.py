@@ -27,7 +27,7 @@ def without_station(name: Column) -> Column:
 
 def role_of(name: Column) -> Column:
     """Reporting role of an agency; the order of the cases matters."""
-    named_zone = name.rlike(R.ROLE_ZONE) | name.rlike("^[一-龥]{0,18}(" + R.ZONE_WORDS + ")$")
+    named_zone = name.rlike(R.ROLE_ZONE) | name.rlike(R.WHOLE_ZONE)
     return (F.when(name.rlike(R.ROLE_ECO) | name.rlike(R.BARE_ZONE_BRANCH) | name.rlike(R.ECO_TRUNCATED),
                    R.ECO_FUNCTION)
             .when(name.rlike(R.ROLE_ADMIN), R.ADMIN_FUNCTION)

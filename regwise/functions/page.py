@@ -160,7 +160,7 @@ def origin(url: Column) -> Column:
 
 
 def block_tags(page: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(page, F.lit("tag[Ii]d[\"']?\\s*[:=]\\s*[\"']([^\"']+)"), F.lit(1)))
+    return F.array_distinct(F.regexp_extract_all(page, F.lit(R.BLOCK_TAG), F.lit(1)))
 
 
 def frame_sources(page: Column) -> Column:
@@ -178,7 +178,7 @@ def inner_frame(page: Column, url: Column) -> Column:
 
 def js_redirect(page: Column, url: Column) -> Column:
     """Target of a script redirect; only short pages are shells, others blank."""
-    target = F.regexp_extract(page, "location\\.href\\s*=\\s*[\"']([^\"']+)[\"']", 1)
+    target = F.regexp_extract(page, R.SCRIPT_REDIRECT, 1)
     return F.when((target != "") & (F.length(page) <= 4000), resolve(url, target)).otherwise("")
 
 
@@ -186,17 +186,17 @@ def classify_cms(page: Column, url: Column) -> Column:
     """``struct<family, params>`` by the ordered fingerprints of the page."""
     get = lambda p: F.regexp_extract(page, p, 1)
     site, empty = origin(url), F.create_map().cast("map<string,string>")
-    proxy = get("proxyUrl:'([^']+)'")
-    dahan_q = query_map(F.concat(F.lit("?"), F.replace(get("dataproxy\\.jsp\\?([^'\"]+)"), F.lit("&amp;"), F.lit("&"))))
+    proxy = get(R.PROXY_URL)
+    dahan_q = query_map(F.concat(F.lit("?"), F.replace(get(R.DATA_PROXY), F.lit("&amp;"), F.lit("&"))))
     dahan = F.map_concat(dahan_q, F.create_map(F.lit("api"), F.concat(site, F.when(proxy != "", proxy).otherwise(
         "/module/web/jpage/dataproxy.jsp"))))
-    area, col = get("tree\\.jsp\\?area=([^&\"']+)"), F.regexp_extract(url, "col(\\d+)", 1)
+    area, col = get(R.TREE_AREA), F.regexp_extract(url, R.COLUMN_NUMBER, 1)
     xxgk = F.create_map(F.lit("api"), F.concat(site, F.lit("/module/xxgk/search.jsp")), F.lit("area"), area,
                         F.lit("only"), F.when(col != "", F.concat(F.lit("art_"), col, F.lit("_"))).otherwise(""))
-    column = get("columnId:'([^']+)'")
+    column = get(R.COLUMN_ID)
     truecms = F.create_map(F.lit("column_id"), column, F.lit("api"), F.concat(site, proxy))
     keys = ("webId", "pageId", "tplSetId")
-    found = {k: get(k + "[\"']?\\s*[:=]\\s*[\"']([^\"']+)") for k in (*keys, "tagId")}
+    found = {k: get(k + R.UNIT_KEY) for k in (*keys, "tagId")}
     jpaas = F.map_filter(F.create_map(*[x for k in found for x in (F.lit(k), found[k])],
                                       F.lit("api"), F.concat(site, F.lit("/api-gateway/jpaas-publish-server/front/page/build/unit"))),
                          lambda _, v: v != "")

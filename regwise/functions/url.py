@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from regwise import rules as R
+
 
 def norm_url(url: Column) -> Column:
     """URL without scheme, ``www.`` and closing slashes, for comparisons."""
@@ -37,9 +39,8 @@ def url_prefix(url: Column) -> Column:
 
 def column_of(url: Column) -> Column:
     """Index page of the column an article belongs to, for the two known URL families."""
-    nested = F.regexp_extract(url, "^(.*?/col/col\\d+)/", 1)
-    article = "^(https?://[^/]+)/art/\\d{4}/\\d+/\\d+/art_(\\d+)_\\d+\\.html"
-    site, number = F.regexp_extract(url, article, 1), F.regexp_extract(url, article, 2)
+    nested = F.regexp_extract(url, R.NESTED_COLUMN, 1)
+    site, number = F.regexp_extract(url, R.ARTICLE_ADDRESS, 1), F.regexp_extract(url, R.ARTICLE_ADDRESS, 2)
     return (F.when(nested != "", F.concat(nested, F.lit("/index.html")))
             .when(site != "", F.concat(site, F.lit("/col/col"), number, F.lit("/index.html")))
             .otherwise(""))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regwise.operators.spellings import judged_spellings, select_field, select_module
-from regwise.operators.units import apply_canonical, flag_seen_in, merge_units, recover_truncated, with_role
+from regwise.operators.units import apply_canonical, merge_units, recover_truncated, with_role
 from regwise.session import durable
 
 
@@ -38,11 +38,3 @@ def clean(records: DataFrame, places: DataFrame, field: str = "proc", module: in
                         ["prov_code", "city_code", "name"], "left_anti")
     units = with_role(merge_units(spellings))
     return Cleaned(units, spellings, left)
-
-
-def clean_export(records: DataFrame, places: DataFrame, module: int | None = None,
-                 misplaced: DataFrame | None = None) -> Cleaned:
-    """Units of the combined field, flagged with their presence in the publisher field."""
-    published = clean(records, places, "proc", module, misplaced)
-    combined = clean(records, places, "export", module, misplaced)
-    return Cleaned(flag_seen_in(combined.units, published.units), combined.spellings, combined.dropped)

@@ -75,6 +75,7 @@ ROLE_ECO = "生态环境|环境保护|环保|生态局|生态环局|生态境局
 ROLE_ADMIN = ("行政审批|审批局|审批大厅|数据局|数据管理局|政务服务|政务中心|行政服务"
               "|一站式服务|改革创新局|数据资源")
 ROLE_ZONE = "管理委员会|管委会"
+WHOLE_ZONE = "^[一-龥]{0,8}" + ZONE + "$"
 BARE_ZONE_BRANCH = "^[^局]*(开发区|经开区|园区|高新区|新区)分局$"
 TIER_ECO = "生态环境|环境保护|环保"
 TIER_ADMIN = ("行政审批|管委会|管理委员会|政务服务|行政服务|数据局|市民中心"
@@ -175,7 +176,11 @@ class CityRules:
     prefix: str
     own: tuple
     country: str
-    zones: str
+
+    @property
+    def zones(self) -> str:
+        """All zone patterns as one alternation."""
+        return "|".join(pattern for pattern, _ in self.area_before)
 
 
 ONE_CITY = CityRules(
@@ -193,5 +198,16 @@ ONE_CITY = CityRules(
     prefix="^([一-龥]{2,5}?)(省|市|自治区|特别行政区)",
     own=("南京", "江苏"),
     country="^(中华人民共和国|国家|江苏省|江苏|南京市|南京)",
-    zones="江北新区|化学工业园区|江宁(经济技术)?开发区|(南京)?(经济技术开发区|经开区|开发区)",
 )
+
+# --- fixed values: fingerprints of page families and addresses -----------
+PROXY_URL = "proxyUrl:'([^']+)'"
+DATA_PROXY = "dataproxy\\.jsp\\?([^'\"]+)"
+TREE_AREA = "tree\\.jsp\\?area=([^&\"']+)"
+COLUMN_ID = "columnId:'([^']+)'"
+COLUMN_NUMBER = "col(\\d+)"
+UNIT_KEY = "[\"']?\\s*[:=]\\s*[\"']([^\"']+)"
+BLOCK_TAG = "tag[Ii]d[\"']?\\s*[:=]\\s*[\"']([^\"']+)"
+SCRIPT_REDIRECT = "location\\.href\\s*=\\s*[\"']([^\"']+)[\"']"
+NESTED_COLUMN = "^(.*?/col/col\\d+)/"
+ARTICLE_ADDRESS = "^(https?://[^/]+)/art/\\d{4}/\\d+/\\d+/art_(\\d+)_\\d+\\.html"

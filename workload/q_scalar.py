@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from regwise import rules as R
 from regwise.functions import agency as A
@@ -275,7 +275,10 @@ O.relation("city_counts", "records", "SELECT prov_code, city_name AS key, count(
   (SELECT * FROM city_counts QUALIFY row_number() OVER (PARTITION BY prov_code ORDER BY n DESC, key) <= 3) GROUP BY 1""")
 def top_array_q(f: Frames):
     n = f.records.groupBy("prov_code", c("city_name").alias("key")).agg(F.count(F.lit(1)).alias("n"))
-    return n.groupBy("prov_code").agg(C.counted(F.collect_list(F.struct("key", "n")), 3).alias("top"))
+    # ranked first, so that only three rows a province are gathered
+    rank = F.row_number().over(Window.partitionBy("prov_code").orderBy(F.desc("n"), "key"))
+    best = n.withColumn("_rank", rank).filter("_rank <= 3")
+    return best.groupBy("prov_code").agg(C.counted(F.collect_list(F.struct("key", "n")), 3).alias("top"))
 
 
 @query("arr_03_map_text", "SELECT prov_code, string_agg(key || ':' || n, ' / ' ORDER BY n DESC, key) AS histogram FROM city_counts GROUP BY 1")
