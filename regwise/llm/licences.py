@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regwise.llm.common import Cut
 from regwise.session import small
 
 # Spellings that count as equal, from the public matching guidelines for licence texts (after
@@ -39,17 +40,22 @@ COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(?:copyright|\(c\)|©|all rights reserved)[^
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
-def normal(text: Column) -> Column:
-    """Lower case, without copyright lines, punctuation as single spaces, equivalent spellings as one."""
-    words = F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT_LINE, ""), NOT_WORD, " ")
+def _spelled(words: Column, pairs: dict[str, str]) -> Column:
     words = F.concat(F.lit(" "), words, F.lit(" "))
-    for other, form in EQUIVALENT.items():
+    for other, form in pairs.items():
         words = F.replace(words, F.lit(other), F.lit(form))
     return F.trim(words)
 
 
-def digest(text: Column) -> Column:
-    return F.sha2(normal(text), 256)
+def normal_lines(text: Column) -> Column:
+    """The lines of a text in lower case, punctuation as single spaces, equivalent spellings as one; copyright and empty lines go."""
+    line = lambda x: _spelled(F.regexp_replace(F.regexp_replace(x, COPYRIGHT_LINE, ""), NOT_WORD, " "), EQUIVALENT)
+    return F.filter(F.transform(F.split(F.lower(text), "\n"), line), lambda x: x != "")
+
+
+def joined(lines: Column) -> Column:
+    """A text of normal lines; spellings of several words may span two of them."""
+    return _spelled(F.array_join(lines, " "), {k: v for k, v in EQUIVALENT.items() if " " in k.strip()})
 
 
 def known_texts(spark: SparkSession, texts: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
@@ -68,13 +74,15 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     null doc_id is an id like any other; other columns are not read.
     The known digests are broadcast only below a checked number.
     """
-    sheet = known.select("licence", normal(F.col("text")).alias("n")).where("n <> ''").groupBy(F.sha2("n", 256).alias("known")).agg(F.min("licence").alias("licence"))
+    sheet = known.select("licence", joined(normal_lines(F.col("text"))).alias("n")).where("n <> ''").groupBy(F.sha2("n", 256).alias("known")).agg(F.min("licence").alias("licence"))
     sheet = small(sheet)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    whole = rows.select("doc_id", digest(F.col("text")).alias("digest"))
-    whole = whole.join(sheet, whole.digest == sheet.known, "left").select("doc_id", "digest", "licence")
-    lines = rows.where(F.col("text") != "").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    hits = lines.select("doc_id", digest(F.col("line")).alias("digest")).join(sheet, F.col("digest") == F.col("known")).select("doc_id", "licence")
-    by_doc = hits.groupBy(F.col("doc_id").alias("__id")).agg(F.sort_array(F.collect_set("licence")).alias("lines"))
+    # the normal lines are made once, behind a generator, for the text's own digest and for theirs
+    read = rows.select("doc_id", F.inline(F.array(F.struct(normal_lines(F.col("text")).alias("lines")))))
+    unit = lambda text, whole: F.struct(F.lit(whole).alias("whole"), F.sha2(text, 256).alias("digest"))
+    units = read.select("doc_id", F.inline(F.concat(F.array(unit(joined(F.col("lines")), True)), F.transform(F.array_distinct("lines"), lambda x: unit(x, False)))))
+    found = Cut(units.join(sheet, units.digest == sheet.known, "left").where("whole OR licence IS NOT NULL").select("doc_id", "whole", "digest", "licence"), "licences").df
+    by_doc = found.where("NOT whole").groupBy(F.col("doc_id").alias("__id")).agg(F.sort_array(F.collect_set("licence")).alias("lines"))
+    whole = found.where("whole")
     return whole.join(by_doc, whole.doc_id.eqNullSafe(by_doc["__id"]), "left").select(
         "doc_id", "digest", "licence", F.coalesce("lines", F.array().cast("array<string>")).alias("lines"))
