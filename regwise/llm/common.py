@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import inspect
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -61,3 +63,29 @@ def passes(batches: Iterator[pa.RecordBatch], column: int = 1, most: int = PASS_
 
 def text_bytes(batch: pa.RecordBatch, column: int = 1) -> list[bytes]:
     return batch.column(column).cast(pa.binary()).to_pylist()
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(work: Callable) -> Callable:
+    """``work`` of a task, after which freed memory goes back to the system: Spark keeps its Python workers for later stages."""
+    if inspect.isgeneratorfunction(work):
+        def stream(batches):
+            yield from work(batches)
+            _give_back()
+        return stream
+
+    def done(out):
+        _give_back()
+        return out
+
+    # Spark reads the number of arguments
+    if len(inspect.signature(work).parameters) == 2:
+        return lambda key, rows: done(work(key, rows))
+    return lambda key, rows, other: done(work(key, rows, other))

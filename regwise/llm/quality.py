@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regwise.llm.common import passes
+from regwise.llm.common import lean, passes
 
 SYMBOLS, SPACE = "#*$%&|<>", " \t\n\r\x0b\x0c"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_shouted")
@@ -20,7 +20,7 @@ RULES = {
     "few_words": "n_words < 50",
     "repeated_words": "100 * n_repeat_words > 50 * n_words",
     "symbols": "10 * n_symbols > n_words",
-    "repeated_lines": "10 * n_dup_lines > 3 * n_lines",
+    "repeated_lines": "2 * n_dup_lines > n_lines",
     "short_words": "word_chars < 3 * n_words",
     "long_words": "word_chars > 10 * n_words",
     "shouted": "10 * n_shouted > 3 * n_words",
@@ -55,6 +55,7 @@ def measure(text: str) -> tuple[int, ...]:
             repeated_words(words), len(lines), sum(len(w) > 1 and w.isupper() for w in words))
 
 
+@lean
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in passes(batches, 0):
         found = [measure(t) for t in batch.column(0).to_pylist()]

@@ -27,12 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regwise.llm.common import Cut
+from regwise.llm.common import Cut, lean
 
 LENGTH, STEM = 100, 51
 SPAN = LENGTH - STEM + 1  # stems inside a window; neighbouring samples lie at most so far apart
 BLOCK_BYTES = 8 << 20  # of text in a block, and of text whose fingerprints meet in a bucket
-CHUNK = 1 << 20  # window starts in one numpy pass
+CHUNK = 1 << 19  # window starts in one numpy pass
 BATCHES = 4
 BASE = 0x9E3779B97F4A7C15
 U = np.uint64
@@ -166,6 +166,7 @@ def _by_block(block: np.ndarray, kind: str, values: np.ndarray) -> pa.Table:
 
 
 def _pack(block_bytes: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, texts, rows, size = TaskContext.get().partitionId(), 0, [], [], 0
 
@@ -237,6 +238,7 @@ MATCHES = "block long, kind string, prints binary"
 
 
 def _arrays(buckets: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -246,6 +248,7 @@ def _arrays(buckets: int):
     return run
 
 
+@lean
 def _array(key: tuple, rows: pa.Table) -> pa.Table:
     stems = _numbers(rows.column("v0").to_pylist())
     sizes = [len(c) // 8 for c in rows.column("v0").to_pylist()]
@@ -262,12 +265,14 @@ def _held(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return _numbers(rows.column("v0").to_pylist()), _numbers(rows.column("blocks").to_pylist()).view(np.int64)
 
 
+@lean
 def _merge(key: tuple, rows: pa.Table) -> pa.Table:
     return _level(key, *_held(rows))
 
 
 def _matches(across: bool):
     """Blocks and stems of long matches: inside one array, or between the two sides of a merge."""
+    @lean
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         stems, block = _held(rows)
         side = block
@@ -290,6 +295,7 @@ def _replies(rows: pa.Table, kind: str) -> np.ndarray:
 
 def _asked(step: str, buckets: int):
     """What a block has to say about its suffixes: their extents, or the windows of those extents that are not settled."""
+    @lean
     def run(key: tuple, block: pa.Table, replies: pa.Table) -> pa.Table:
         out, number = [], key[0].as_py()
         known = _replies(replies, "stem" if step == "extents" else "open")
@@ -319,6 +325,7 @@ def _per_row(rows: pa.Table) -> np.ndarray:
     return np.repeat(np.array(rows.column("block").to_pylist(), np.int64), [len(c) // 8 for c in rows.column("v0").to_pylist()])
 
 
+@lean
 def _settle_extents(key: tuple, rows: pa.Table) -> pa.Table:
     """An extent that an earlier block holds is gone; its first block answers for it, window by window if the stem has other extents."""
     stems, whole, block = _numbers(rows.column("v0").to_pylist()), _numbers(rows.column("v1").to_pylist()), _per_row(rows)
@@ -331,6 +338,7 @@ def _settle_extents(key: tuple, rows: pa.Table) -> pa.Table:
     return pa.concat_tables([_by_block(block[~new], "gone", whole[~new]), _by_block(block[new & several], "open", whole[new & several])])
 
 
+@lean
 def _settle_windows(key: tuple, rows: pa.Table) -> pa.Table:
     prints, block = _numbers(rows.column("v0").to_pylist()), _per_row(rows)
     order = np.lexsort((block, prints))
@@ -379,6 +387,7 @@ def covered(block: Block, replies: pa.Table) -> np.ndarray:
     return np.cumsum(edges[:-1], dtype=np.int32) > 0
 
 
+@lean
 def _without(key: tuple, rows: pa.Table, replies: pa.Table) -> pa.Table:
     out: list[pa.Table] = []
     for i in range(rows.num_rows):
@@ -438,6 +447,7 @@ def without_repeats(docs: DataFrame, text: str = "text", batches: int = BATCHES,
         _without, f"row {row}, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
+@lean
 def _readable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [b.decode("utf-8", "ignore") for b in batch.column(1).to_pylist()]

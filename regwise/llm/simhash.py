@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regwise.llm.common import Cut, free, id_and_text, passes, text_bytes
+from regwise.llm.common import Cut, free, id_and_text, lean, passes, text_bytes
 from regwise.llm.components import components, local_roots
 
 SHINGLE, SEED, DISTANCE = 3, 42, 2
@@ -36,6 +36,7 @@ def _majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big", signed=True)
 
 
+@lean
 def _fingerprint_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in passes(batches):
         found = []
