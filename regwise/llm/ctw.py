@@ -13,11 +13,11 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regwise.llm.common import Cut
+from regwise.llm.common import Cut, lean
 
 DEPTH = 5  # bytes of context; with the next byte and a row number they fill 64 bits
 STEM = 2  # bytes of context that all windows of one subtree share
-BLOCK_BYTES = 32 << 20  # of text that ask for a probability once
+BLOCK_BYTES = 24 << 20  # of text that ask for a probability once
 BUCKET_BYTES = 16 << 20  # of text whose windows, and whose tokens, meet in one bucket
 PASS_BYTES, PASS_ROWS = 4 << 20, 1 << 16
 END = b"\n"  # no word holds it
@@ -115,10 +115,15 @@ class Wanted:
         bucket = subtree(keys, buckets)
         order = np.argsort(bucket, kind="stable")
         self.windows, self.n, self.bucket = keys[order], n[order], bucket[order].astype(np.int64)
-        tokens = sorted(((zlib.crc32(t) % buckets, t) for t in trained.keys() | seen))
-        self.tokens = [t for _, t in tokens]
-        self.token_n = np.array([trained.get(t, 0) for t in self.tokens], np.int64)
-        self.token_bucket = np.array([b for b, _ in tokens], np.int64)
+        by_bucket: list[list[bytes]] = [[] for _ in range(buckets)]
+        seen |= trained.keys()
+        for t in seen:
+            by_bucket[zlib.crc32(t) % buckets].append(t)
+        for part in by_bucket:
+            part.sort()
+        self.tokens = [t for part in by_bucket for t in part]
+        self.token_n = np.array([trained[t] for t in self.tokens], np.int64)
+        self.token_bucket = np.repeat(np.arange(buckets), [len(part) for part in by_bucket])
 
     def parts(self) -> Iterator[tuple[int, str, int, int]]:
         for kind, bucket in (("window", self.bucket), ("token", self.token_bucket)):
@@ -131,6 +136,7 @@ ASKED = "bucket long, kind string, block long, keys binary, n binary"
 
 
 def _asked(depth: int, buckets: int):
+    @lean
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         own = Wanted(rows, depth, buckets)
         out = [(bucket, kind, key[0].as_py(), _packed(_differences(own.windows[a:b])) if kind == "window" else zstandard.ZstdCompressor(1).compress(b" ".join(own.tokens[a:b])),
@@ -226,6 +232,7 @@ class Tree:
 
 def _gathered(depth: int):
     """Of a bucket: the nodes at depth STEM, with what is weighted below them, or the sums over its tokens."""
+    @lean
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         rows, out = rows.to_pylist(), []
         own = [r for r in rows if r["kind"] == "window"]
@@ -250,6 +257,7 @@ def _gathered(depth: int):
 
 def _answered(depth: int, n: int, v: int):
     """For each block's part of a bucket: log10 of its windows' last bytes, or the base scores of its tokens."""
+    @lean
     def run(key: tuple, rows: pa.Table, heads: pa.Table) -> pa.Table:
         rows, out = rows.to_pylist(), []
         own = [r for r in rows if r["kind"] == "window"]
@@ -281,6 +289,7 @@ def _answered(depth: int, n: int, v: int):
 
 
 def _scores(depth: int, buckets: int, n: int, v: int):
+    @lean
     def run(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
         own = Wanted(rows, depth, buckets)
         got = {(r["bucket"], r["kind"]): r["answers"] for r in answers.to_pylist()}
@@ -293,7 +302,9 @@ def _scores(depth: int, buckets: int, n: int, v: int):
         order = np.argsort(own.windows)
         keys, value = own.windows[order], value[order]
         logs = np.log10((count + SMOOTH) / (n + SMOOTH * (v + 1)))
-        base = dict(zip(own.tokens, zip(logs.tolist(), (count > 0).tolist(), strict=True), strict=True))
+        unknown = math.log10(SMOOTH / (n + SMOOTH * (v + 1)))
+        logs[count == 0] = unknown
+        base = dict(zip(own.tokens, logs.tolist(), strict=True))
         out: list[tuple] = []
         for _, words in _passes(rows.column("text")):
             streams = [stream(w) for w in words]
@@ -306,7 +317,7 @@ def _scores(depth: int, buckets: int, n: int, v: int):
             score = np.bincount(number, np.repeat(each, np.diff(np.append(at, len(window)))), len(words))
             for w, s, x in zip(words, streams, score.tolist(), strict=True):
                 found = [*map(base.__getitem__, w), base[END]]
-                out.append((len(found), sum(k for _, k in found), math.fsum(b for b, _ in found), x, len(s)))
+                out.append((len(found), len(found) - found.count(unknown), math.fsum(found), x, len(s)))
         types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
         columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
         return pa.table([rows.column("doc_id"), rows.column("held_out"), *columns], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
