@@ -6,7 +6,7 @@ import heapq
 import json
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,13 +16,16 @@ from tokenizers import Tokenizer
 
 from regwise.llm.common import id_and_text, passes
 
-WORDS_KEPT = 400_000  # of the memory of encoded words; it is only a memory, emptied when full
+WORDS_KEPT = 250_000  # of the memory of encoded words; it is only a memory, emptied when full
+PASS_BYTES = 1 << 20  # of text that is cut into words at once
 NEVER = np.int64(1 << 60)
 # The pre-tokenizer's classes within Latin-1 (space, letters, numbers); beyond
 # Latin-1 the library cuts the text, so that its Unicode tables hold.
 _S, _L, _N = "\\t-\\r \\x85\\xa0", "A-Za-z\\xaa\\xb5\\xba\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff", "0-9\\xb2\\xb3\\xb9\\xbc-\\xbe"
 LATIN_WORDS = re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 BEYOND_LATIN = re.compile("[^\\x00-\\xff]")
+# white space other than single spaces and line breaks between words
+UNEVEN = ("  ", " \n", "\n ", "\n\n", "\t", "\r", "\x0b", "\x0c", "\x85", "\xa0")
 
 
 def byte_letters() -> dict[str, int]:
@@ -67,9 +70,13 @@ class Codec:
         for t, i in self.added.items():
             self.bytes[i] = t.encode()
         self.find_added = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if self.added else None
-        self.library = Tokenizer.from_file(path)
+        self.path = path
         self.words: dict[str, bytes] = {}
 
+    @cached_property
+    def library(self) -> Tokenizer:
+        return Tokenizer.from_file(self.path)
+
     def _apart(self, a: np.ndarray, b: np.ndarray, inside: bool = False) -> np.ndarray:
         """For each pair of neighbours: no merge ever joins bytes across their border.
 
@@ -158,6 +165,17 @@ class Codec:
             return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
         return LATIN_WORDS.findall(text)
 
+    def is_even(self, text: str) -> bool:
+        """Latin-1 text in which single spaces or line breaks part the words, without strings of added tokens.
+
+        A space before a word always opens that word's first token, and a line
+        break between two words is a token, so the runs between them can be
+        encoded one by one, whatever stands around them.
+        """
+        if any(u in text for u in UNEVEN) or text[-1:] == " " or any(a in text for a in self.added):
+            return False
+        return text.isascii() or not BEYOND_LATIN.search(text)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; strings of added tokens become their ids."""
         cut: list[list[tuple[str, list[str]]]] = []
@@ -199,7 +217,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in passes(batches):
+        for batch in passes(batches, most=PASS_BYTES):
             ids = codec(path).encode(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
@@ -211,7 +229,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     path = path or vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in passes(batches):
+        for batch in passes(batches, most=PASS_BYTES):
             texts = [codec(path).decode(x) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 

@@ -13,35 +13,57 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regwise.llm.bpe import BEYOND_LATIN, LATIN_WORDS, Codec, vocabulary
-from regwise.llm.common import passes
+from regwise.llm.bpe import LATIN_WORDS, Codec, vocabulary
+from regwise.llm.common import lean, passes
 
 LENGTH, END = 2048, 1
 GROUP_BYTES = 4 << 20  # of text in a group: about 600 sequences
 ENCODE_BYTES = 1 << 20
+RUNS_KEPT = 100_000  # new entries of a memory of encoded runs, before those not asked for since the last turn go
 
 Piece = tuple[int, int, int]  # item, start, length
 
 
+class Runs(dict):
+    """Ids of runs of text without inner white space, made by a compiled library when they are first asked for."""
+
+    def __init__(self, lead: str, merger: tiktoken.Encoding):
+        super().__init__()
+        self.lead, self.merger, self.older = lead, merger, {}
+
+    def __missing__(self, run: str) -> bytes:
+        if len(self) >= RUNS_KEPT:
+            self.older = dict(self)
+            self.clear()
+        ids = self.older.get(run)
+        if ids is None:
+            ids = array("I", self.merger.encode_ordinary(self.lead + run)).tobytes()
+        self[run] = ids
+        return ids
+
+
 class Encoder(Codec):
-    """The same ids, where a compiled library merges the words that are new."""
+    """The same ids, where a compiled library merges what is new in even texts."""
 
     def __init__(self, path: str):
         super().__init__(path)
         made = np.flatnonzero(self.rank >= 0)
         # the library merges by id, so ids must follow the order of the merges
-        self.by_id = bool((np.diff(self.rank[made]) > 0).all() and (not len(made) or (self.rank[:made[0]] < 0).all()))
-        ranks = {t: i for t, i in self.ids.items()}
-        self.merger = tiktoken.Encoding("words", pat_str=LATIN_WORDS.pattern, mergeable_ranks=ranks, special_tokens={}) if self.by_id else None
+        by_id = bool((np.diff(self.rank[made]) > 0).all() and (not len(made) or (self.rank[:made[0]] < 0).all()))
+        self.merger = tiktoken.Encoding("words", pat_str=LATIN_WORDS.pattern, mergeable_ranks=self.ids, special_tokens={}) if by_id else None
+        # the first run of a line, and those behind a space
+        self.first, self.inner = (Runs(lead, self.merger) for lead in ("", " "))
+        self.line_break = np.array(self.merge(b"\n"), "<u4").tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        even = [self.merger is not None and self.is_even(t) for t in texts]
+        rest = iter(super().encode([t for t, e in zip(texts, even, strict=True) if not e]))
+        first, inner = self.first.__getitem__, self.inner.__getitem__
 
-    def learn(self, words: list[str]) -> int:
-        if not self.merger:
-            return super().learn(words)
-        plain = [w for w in words if not BEYOND_LATIN.search(w)]
-        for w in plain:
-            self.words[w] = array("I", self.merger.encode_ordinary(w)).tobytes()
-        rest = [w for w in words if w not in self.words]
-        return super().learn(rest) if rest else 0
+        def line(text: str) -> bytes:
+            start, *more = text.split(" ")
+            return first(start) + b"".join(map(inner, more))
+        return [self.line_break.join(map(line, t.split("\n"))) if e else next(rest) for t, e in zip(texts, even, strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -118,6 +140,7 @@ def pack(sizes: list[int], cap: int = LENGTH) -> list[list[Piece]]:
 
 
 def _group(path: str) -> Callable[[tuple, pa.Table], pa.Table]:
+    @lean
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         doc_ids = rows.column("doc_id")
         encoded: list[bytes] = []
