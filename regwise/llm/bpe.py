@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 from regwise.llm.common import id_and_text, passes
 
-WORDS_KEPT = 250_000  # of the memory of encoded words; it is only a memory, emptied when full
+WORDS_KEPT = 150_000  # of a memory of encoded words, before those not asked for since the last turn go
 PASS_BYTES = 1 << 20  # of text that is cut into words at once
 NEVER = np.int64(1 << 60)
 # The pre-tokenizer's classes within Latin-1 (space, letters, numbers); beyond
@@ -72,6 +72,7 @@ class Codec:
         self.find_added = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if self.added else None
         self.path = path
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @cached_property
     def library(self) -> Tokenizer:
@@ -182,11 +183,14 @@ class Codec:
         for text in texts:
             parts = self.find_added.split(text) if self.find_added else [text]
             cut.append([(p, []) if k % 2 else ("", self.split(p)) for k, p in enumerate(parts)])
+        asked = {w for parts in cut for _, words in parts for w in words}
         if len(self.words) > WORDS_KEPT:
-            self.words = {}
-        new = {w for parts in cut for _, words in parts for w in words} - self.words.keys()
-        if new:
-            self.learn(list(new))
+            self.older, self.words = self.words, {}
+        new = asked - self.words.keys()
+        again = new & self.older.keys()
+        self.words.update((w, self.older[w]) for w in again)
+        if len(again) < len(new):
+            self.learn(list(new - again))
         known = self.words.__getitem__
         added = {t: np.array([i], "<u4").tobytes() for t, i in self.added.items()}
         return [b"".join(added[a] if a else b"".join(map(known, words)) for a, words in parts) for parts in cut]
