@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regwise.llm import packing, pseudonyms, quality, repeats, simhash
+from regwise.llm import near_copies, packing, pseudonyms, quality, repeats
 from regwise.llm.common import Cut, table
 from regwise.llm.queries import PSEUDONYM_KEY
 
@@ -22,8 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of the smallest doc_id stays."""
-    return simhash.keep_one(docs)
+    """Of each group of near-duplicates (five-word shingles, similarity 0.8 or more) the document of the smallest doc_id stays."""
+    return near_copies.keep_one(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,11 +51,13 @@ def _version(doc_id, text):
     return F.xxhash64(doc_id.isNull(), text)
 
 
+def versioned(rows: DataFrame) -> DataFrame:
+    return rows.select("doc_id", "text", _version(F.col("doc_id"), F.col("text")).alias("version"))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``doc_id, version, fp``: the 64-bit SimHash of every whole text as a signed long (null or wordless text: 0)."""
-    rows = id_and_text(docs)
-    rows = rows.select("doc_id", "text", _version(F.col("doc_id"), F.col("text")).alias("version"))
-    return rows.mapInArrow(_fingerprint_rows, "doc_id long, version long, fp long")
+    return versioned(id_and_text(docs)).mapInArrow(_fingerprint_rows, "doc_id long, version long, fp long")
 
 
 def gray_rank(fp: np.ndarray) -> np.ndarray:
@@ -183,7 +185,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     rows, rooted = _grouped(docs)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "version"))
-    best = rows.groupBy("fp").agg(first.alias("best")).join(rooted, "fp").groupBy("root").agg(F.min("best").alias("best"))
+    return keep_best(docs, rows.groupBy("fp").agg(first.alias("best")).join(rooted, "fp").groupBy("root").agg(F.min("best").alias("best")))
+
+
+def keep_best(docs: DataFrame, best: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``best`` names by doc_id and version, each once."""
     place, version = free("__id", docs), free("__version", docs)
     best = best.select(F.coalesce("best.doc_id", F.lit(0)).alias(place), F.col("best.version").alias(version))
     doc_id, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))
