@@ -21,6 +21,8 @@ ISO_DATE, DOT_DATE, SLASH_DATE = (rf"(?<![\d./-]){p}(?!\d|[./-]\d)" for p in (r"
 SOCIAL = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 CARD = r"(?<![\d+])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{13,19})(?!\d)"
 SECRET = r"(?<![0-9A-Za-z])[0-9a-f]{32,64}(?![0-9A-Za-z])"
+# The calling codes in use are prefix-free: one or two digits as listed, else three.
+CALLING_CODE = r"^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 FIND = "|".join((EMAIL, SECRET, PHONE, ADDRESS, ISO_DATE, DOT_DATE, SLASH_DATE, SOCIAL, CARD))
 
 
@@ -104,9 +106,10 @@ def _card(value: Column, key: str) -> tuple[Column, Column]:
 
 
 def _phone(value: Column, key: str) -> tuple[Column, Column]:
-    country = F.regexp_extract(value, r"^(\+\d{1,3}(?=[^0-9]))?", 0)
-    rest = F.substring(value, F.length(country) + 1, F.length(value))
-    return F.lit(True), F.concat(country, _refill(rest, _characters(_digits(rest), (DIGITS,), "phone", key)))
+    digits = _digits(value)
+    country = F.when(value.startswith("+"), F.regexp_extract(digits, CALLING_CODE, 0)).otherwise("")
+    rest = F.substring(digits, F.length(country) + 1, F.length(digits))
+    return F.lit(True), _refill(value, F.concat(country, _characters(rest, (DIGITS,), "phone", key)))
 
 
 def _address(value: Column, key: str) -> tuple[Column, Column]:
