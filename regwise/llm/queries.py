@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regwise.llm import bpe, chat, ctw, grid_join, licences, packing, pseudonyms, quality, repeats, simhash
+from regwise.llm import bpe, chat, ctw, filter_audit, grid_join, licences, packing, pseudonyms, quality, repeats, simhash
 from regwise.llm.common import table
 
 SPACE_SQL = "'[^\\x20\\x09-\\x0D]+'"
@@ -150,6 +150,33 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = f"""
+WITH l AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+t AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part, regexp_extract_all(coalesce(text, ''), {SPACE_SQL}) AS w FROM documents),
+d AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+             [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t),
+              regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS fails FROM t LEFT JOIN l USING (doc_id)),
+m AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM d GROUP BY ALL),
+f AS (SELECT unnest(generate_series(1, 5)) AS x),
+o AS (SELECT [a.x, b.x, c.x, d.x, e.x] AS o FROM f a, f b, f c, f d, f e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT part, o, step, n, good, toxic, fails[o[step]] AS failed, list_sum(list_transform(fails, lambda x: x::INT)) = 1 AS alone,
+             len(list_filter(o[1:step - 1], lambda i: fails[i])) = 0 AS here FROM m, o, (SELECT x AS step FROM f)),
+c AS (SELECT part, o, step, sum(CASE WHEN here AND NOT failed THEN n ELSE 0 END) AS kept, sum(CASE WHEN here AND failed THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN failed AND NOT here THEN n ELSE 0 END) AS redundant, sum(CASE WHEN failed AND alone THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN here AND failed THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN here AND failed THEN toxic ELSE 0 END) AS toxic_lost
+      FROM s GROUP BY part, o, step)
+SELECT part, array_to_string(list_transform(o, lambda i: 'ABCDE'[i]), '') AS filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, o[step]))::BIGINT AS shapley
+FROM c
+"""
+
+
 QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_repeats": op2_repeats, "op3_context_tree": op3_context_tree, "op4_grid_join": op4_grid_join, "op5_pseudonyms": op5_pseudonyms, "op6_licences": op6_licences, "op7_packing": op7_packing,
-           "op8_chat": op8_chat, "op9_bpe": op9_bpe, "op10_simhash": op10_simhash}
-CHECKS = {"op1_quality_rules": OP1_SQL, "op4_grid_join": OP4_SQL, "op6_licences": OP6_SQL, "op8_chat": OP8_SQL}
+           "op8_chat": op8_chat, "op9_bpe": op9_bpe, "op10_simhash": op10_simhash,
+           "op12_filter_audit": op12_filter_audit}
+CHECKS = {"op1_quality_rules": OP1_SQL, "op4_grid_join": OP4_SQL, "op6_licences": OP6_SQL, "op8_chat": OP8_SQL, "op12_filter_audit": OP12_SQL}
