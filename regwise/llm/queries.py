@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regwise.llm import bpe, chat, ctw, filter_audit, grid_join, licences, packing, pseudonyms, quality, repeats, simhash
+from regwise.llm import bpe, chat, cross_tokens, ctw, filter_audit, grid_join, licences, packing, pseudonyms, quality, repeats, simhash
 from regwise.llm.common import table
 
 SPACE_SQL = "'[^\\x20\\x09-\\x0D]+'"
@@ -176,7 +176,11 @@ FROM c
 """
 
 
+def op13_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_tokens.align(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_repeats": op2_repeats, "op3_context_tree": op3_context_tree, "op4_grid_join": op4_grid_join, "op5_pseudonyms": op5_pseudonyms, "op6_licences": op6_licences, "op7_packing": op7_packing,
            "op8_chat": op8_chat, "op9_bpe": op9_bpe, "op10_simhash": op10_simhash,
-           "op12_filter_audit": op12_filter_audit}
+           "op12_filter_audit": op12_filter_audit, "op13_cross_tokens": op13_cross_tokens}
 CHECKS = {"op1_quality_rules": OP1_SQL, "op4_grid_join": OP4_SQL, "op6_licences": OP6_SQL, "op8_chat": OP8_SQL, "op12_filter_audit": OP12_SQL}
