@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regwise.llm import bpe, chat, cross_tokens, ctw, filter_audit, grid_join, licences, packing, pseudonyms, quality, repeats, simhash
+from regwise.llm import adaptive_scan, bpe, chat, cross_tokens, ctw, filter_audit, grid_join, licences, packing, pseudonyms, quality, repeats, simhash
 from regwise.llm.common import table
 
 SPACE_SQL = "'[^\\x20\\x09-\\x0D]+'"
@@ -150,6 +150,19 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adaptive_scan.nearest(table(spark, sf_dir, "embeddings"))
+
+
+# all pairs: the search must find every one of them where it probes every list
+OP11_SQL = """
+WITH v AS (SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score FROM v q, v c WHERE q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score FROM p QUALIFY rank <= 20
+"""
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -182,5 +195,5 @@ def op13_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_repeats": op2_repeats, "op3_context_tree": op3_context_tree, "op4_grid_join": op4_grid_join, "op5_pseudonyms": op5_pseudonyms, "op6_licences": op6_licences, "op7_packing": op7_packing,
            "op8_chat": op8_chat, "op9_bpe": op9_bpe, "op10_simhash": op10_simhash,
-           "op12_filter_audit": op12_filter_audit, "op13_cross_tokens": op13_cross_tokens}
-CHECKS = {"op1_quality_rules": OP1_SQL, "op4_grid_join": OP4_SQL, "op6_licences": OP6_SQL, "op8_chat": OP8_SQL, "op12_filter_audit": OP12_SQL}
+           "op11_nearest": op11_nearest, "op12_filter_audit": op12_filter_audit, "op13_cross_tokens": op13_cross_tokens}
+CHECKS = {"op1_quality_rules": OP1_SQL, "op4_grid_join": OP4_SQL, "op6_licences": OP6_SQL, "op8_chat": OP8_SQL, "op11_nearest": OP11_SQL, "op12_filter_audit": OP12_SQL}
