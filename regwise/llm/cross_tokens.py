@@ -45,10 +45,13 @@ class Windows:
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = PlainEncoder(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
-        self.bytes_a, self.bytes_b = self.a.bytes, piece_bytes(self.b)
-        self.size_a, self.size_b = (np.array([len(t) for t in table], np.int64) for table in (self.bytes_a, self.bytes_b))
-        self.written = [f"{i}{mark}" for i in range(max(len(self.bytes_a), len(self.bytes_b))) for mark in ",|;"]
-        self.marked_a, self.marked_b = (np.array([t[:1] == b" " for t in table]) for table in (self.bytes_a, self.bytes_b))
+        tables = self.a.bytes, piece_bytes(self.b)
+        self.size_a, self.size_b = (np.array([len(t) for t in table], np.int64) for table in tables)
+        # all bytes of a vocabulary, where each token begins, and its length
+        self.table_a, self.table_b = ((np.frombuffer(b"".join(table), np.uint8), np.cumsum(size) - size, size)
+                                      for table, size in zip(tables, (self.size_a, self.size_b), strict=True))
+        self.written = [f"{i}{mark}" for i in range(max(map(len, tables))) for mark in ",|;"]
+        self.marked_a, self.marked_b = (np.array([t[:1] == b" " for t in table]) for table in tables)
         self.forget()
 
     def forget(self) -> None:
@@ -101,42 +104,80 @@ class Windows:
         self.ids += len(a) + len(b) + len(first)
 
     def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of both vocabularies; none where either does not give back the text behind a space."""
-        none = np.empty(0, np.int32)
+        """For both vocabularies all ids and the ids of each text; a text has none where either does not give it back behind a space."""
         full = [" " + t for t in texts]
-        out = []
-        for text, raw, ids, pieces in zip(texts, full, self.a.encode(full), self.b.encode(texts, num_threads=1), strict=True):
-            a, b, want = np.frombuffer(ids, "<i4"), np.array(pieces, np.int32), raw.encode()
-            same = text and b"".join(map(self.bytes_b.__getitem__, pieces)) == want and b"".join(map(self.bytes_a.__getitem__, a.tolist())) == want
-            out.append((a, b) if same else (none, none))
+        raw = [t.encode() for t in full]
+        size = np.array([len(r) for r in raw], np.int64)
+        sides = []
+        for ids, table in (([np.frombuffer(x, "<i4") for x in self.a.encode(full)], self.table_a),
+                           ([np.array(x, np.int32) for x in self.b.encode(texts, num_threads=1)], self.table_b)):
+            ids = [x if t else x[:0] for x, t in zip(ids, texts, strict=True)]
+            sides.append((np.concatenate([np.empty(0, np.int32), *ids]), np.array([len(x) for x in ids], np.int64), table))
+        same = np.array([bool(t) for t in texts])
+        for ids, n, (flat, at, length) in sides:
+            of = np.repeat(np.arange(len(texts)), n)
+            same &= np.bincount(of, length[ids], len(texts)).astype(np.int64) == size
+            ids = ids[same[of]]  # of one size with their text, so bytes can be compared one by one
+            ends = np.cumsum(length[ids])
+            given = flat[np.repeat(at[ids] - ends + length[ids], length[ids]) + np.arange(ends[-1] if len(ends) else 0)]
+            want = np.frombuffer(b"".join([r for r, s in zip(raw, same) if s]), np.uint8)
+            differ = np.repeat(np.flatnonzero(same), size[same])[given != want]
+            same[differ] = False
+        return [(ids[same[np.repeat(np.arange(len(texts)), n)]], np.where(same, n, 0)) for ids, n, _ in sides]
+
+    def numbers(self, a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> np.ndarray:
+        """The number of each window, from ids ``a`` and ``b`` and the windows' first places; new ones are aligned.
+
+        Equal windows are found by a hash of their ids and compared id by id
+        with the first of them, which alone is looked up by its two tuples.
+        """
+        if not len(at_a):
+            return np.empty(0, np.int64)
+        sides, key, equal = [], np.zeros(len(at_a), np.uint64), np.ones(len(at_a), bool)
+        for ids, at, odd in ((a, at_a, 0x9E3779B97F4A7C15), (b, at_b, 0xC2B2AE3D27D4EB4F)):
+            n = np.diff(np.append(at, len(ids)))
+            within = np.arange(len(ids)) - np.repeat(at, n)
+            powers = np.multiply.accumulate(np.full(int(n.max()), odd, np.uint64))
+            key ^= np.add.reduceat((ids.astype(np.uint64) + np.uint64(1)) * powers[within], at) * np.uint64(odd)
+            sides.append((ids, at, n, within))
+        _, first, group = np.unique(key, return_index=True, return_inverse=True)
+        model = first[group]
+        for ids, at, n, within in sides:
+            equal &= n == n[model]
+            checked = np.repeat(equal, n)
+            differ = ids[checked] != ids[(np.repeat(at[model], n) + within)[checked]]
+            equal[np.repeat(np.arange(len(at)), n)[checked][differ]] = False
+        # windows that share a hash only are looked up one by one
+        asked = np.append(first, np.flatnonzero(~equal))
+        (raw_a, cut_a, end_a), (raw_b, cut_b, end_b) = ((ids.tobytes(), (4 * at[asked]).tolist(), (4 * (at + n)[asked]).tolist()) for ids, at, n, _ in sides)
+        known, found, new = self.known, [], []
+        for s, e, t, u in zip(cut_a, end_a, cut_b, end_b, strict=True):
+            window = raw_a[s:e], raw_b[t:u]
+            number = known.get(window)
+            if number is None:
+                number = known[window] = len(known)
+                new.append(window)
+            found.append(number)
+        if new:
+            self.learn(new)
+        found = np.array(found, np.int64)
+        out = found[:len(first)][group]
+        out[~equal] = found[len(first):]
         return out
 
     def aligned(self, texts: list[str]) -> dict:
         """Per text its counts and groups, and the distinct linked pairs of all texts with the texts that hold them."""
         if self.ids > IDS_KEPT:
             self.forget()
-        both = self.tokens(texts)
-        n_a, n_b = (np.array([len(t[k]) for t in both], np.int64) for k in (0, 1))
-        a, b = (np.concatenate([np.empty(0, np.int32), *(t[k] for t in both)]) for k in (0, 1))
+        (a, n_a), (b, n_b) = self.tokens(texts)
         start_a, start_b = (np.cumsum(size[ids]) - size[ids] for size, ids in ((self.size_a, a), (self.size_b, b)))
         # a text opens with a space in both, so its start is an anchor
         anchors = np.intersect1d(start_a[self.marked_a[a]], start_b[self.marked_b[b]], assume_unique=True)
         at_a, at_b = np.searchsorted(start_a, anchors), np.searchsorted(start_b, anchors)
-        raw_a, raw_b = a.tobytes(), b.tobytes()
-        cut_a, cut_b = [*(4 * at_a).tolist(), len(raw_a)], [*(4 * at_b).tolist(), len(raw_b)]
-        known, windows, new = self.known, [], []
-        for s, e, t, u in zip(cut_a, cut_a[1:], cut_b, cut_b[1:]):
-            key = raw_a[s:e], raw_b[t:u]
-            number = known.get(key)
-            if number is None:
-                number = known[key] = len(known)
-                new.append(key)
-            windows.append(number)
-        if new:
-            self.learn(new)
+        w = self.numbers(a, b, at_a, at_b)
+        windows = w.tolist()
         opens = np.searchsorted(at_a, np.cumsum(n_a) - n_a)
         closes = np.searchsorted(at_a, np.cumsum(n_a))
-        w = np.array(windows, np.int64)
         text_of = np.repeat(np.arange(len(texts)), closes - opens)
         n_groups = np.bincount(text_of, np.array(self.n_groups, np.int64)[w] if len(w) else None, len(texts)).astype(np.int64)
         groups = [";".join(map(self.groups.__getitem__, windows[s:e])) for s, e in zip(opens.tolist(), closes.tolist())]
