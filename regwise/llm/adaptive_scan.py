@@ -289,19 +289,62 @@ def _lists_to_probe(queries: DataFrame, blocks: DataFrame, space: Space, most: i
     return int(ranks[min(len(ranks) - 1, math.ceil(FOUND * len(ranks)) - 1)]) + 1
 
 
-def _fitted(rows: DataFrame, list_rows: int) -> Space | None:
-    """The space of the most frequent length, with centres fitted on a bounded sample in hash order."""
-    top = F.array_max(F.transform("v", F.abs))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / top) * (x / top)))
-    found = rows.groupBy("d").agg(F.count("*").alias("n"), F.max(top).alias("unit"), F.max(F.log2(top) + F.log2(norm)).alias("longest")).orderBy(F.desc("n"), "d").first()
+@lean
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per length: rows, the largest component, and the logarithm of the largest norm."""
+    for batch in batches:
+        d = batch.column("d").to_numpy()
+        for length in np.unique(d):
+            x = _vectors(batch.column("v").filter(pa.array(d == length)))
+            top = np.abs(x).max(axis=1)
+            longest = (np.log2(top) + np.log2(np.linalg.norm(x / top[:, None], axis=1))).max()
+            yield pa.RecordBatch.from_arrays([pa.array([length], pa.int32()), pa.array([len(x)], pa.int64()), pa.array([top.max()]), pa.array([longest])],
+                                             ["d", "n", "unit", "longest"])
+
+
+def _fitted(rows: DataFrame, list_rows: int) -> tuple[Space, tuple] | None:
+    """The space of the most frequent length, with centres fitted on a bounded sample in hash order, and that sample: vectors, ids, marks."""
+    sizes = rows.select("d", "v").mapInArrow(_measured, "d int, n long, unit double, longest double")
+    found = sizes.groupBy("d").agg(F.sum("n").alias("n"), F.max("unit").alias("unit"), F.max("longest").alias("longest")).orderBy(F.desc("n"), "d").first()
     if not found:
         return None
     d = found["d"]
     space = Space(d, found["unit"], 2.0 ** (found["longest"] - math.log2(found["unit"])) * (1 + 1e-12))
-    sample = rows.where(F.col("d") == d).orderBy(F.xxhash64("v")).limit(max(64, FIT_BYTES // (8 * d))).select("v").collect()
-    sample = np.array([r["v"] for r in sample])
-    space.fit(sample, max(1, min(MOST_LISTS, round(found["n"] / list_rows), len(sample) // 16)))
-    return space
+    sample = rows.where(F.col("d") == d).orderBy(F.xxhash64("v")).limit(max(64, FIT_BYTES // (8 * d))).select("v", "vec_id", "mark").collect()
+    vectors, ids, marks = (np.array([r[c] for r in sample]) for c in ("v", "vec_id", "mark"))
+    space.fit(vectors, max(1, min(MOST_LISTS, round(found["n"] / list_rows), len(sample) // 16)))
+    return space, (vectors, ids, marks)
+
+
+def _sampled(space: Space, sample: tuple, most: int) -> Callable:
+    """The best rows of the sample for each query: the first ones found, which bound what is worth finding."""
+    vectors, ids, marks = sample
+
+    @lean
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        far = np.linalg.norm(vectors / space.unit, axis=1).max() * space.unit
+        for batch in batches:
+            usual = np.flatnonzero(batch.column("d").to_numpy() == space.d)
+            q = _vectors(batch.column("v").take(pa.array(usual))) if len(usual) else np.empty((0, space.d))
+            k = batch.column("k").to_numpy()[usual]
+            for s in range(0, len(q), CHUNK_ROWS):
+                part = q[s:s + CHUNK_ROWS]
+                near = part @ vectors.T
+                top = np.abs(part).max(axis=1)
+                rounding = 1e-12 * top * np.linalg.norm(part / top[:, None], axis=1) * far
+                last = max(0, len(vectors) - most)
+                i, j = np.nonzero(near >= (np.partition(near, last, axis=1)[:, last] - rounding)[:, None])
+                score = scores(part[i], vectors[j])
+                at = best_of(i, ids[j], marks[j], score, most)
+                yield pa.RecordBatch.from_arrays([pa.array(k[s:s + CHUNK_ROWS][i[at]]), pa.array(ids[j[at]]), pa.array(marks[j[at]]), pa.array(score[at])],
+                                                 ["k", "vec_id", "mark", "score"])
+    return run
+
+
+def _above(queries: DataFrame, hits: DataFrame, most: int) -> DataFrame:
+    """``queries`` with the score of their last of ``most`` hits as ``least``; infinitely low where there are fewer."""
+    last = hits.where(F.col("place") == most).select("k", F.col("score").alias("least"))
+    return queries.join(last, "k", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
 
 
 def nearest(embeddings: DataFrame, queries: Column | None = None, most: int = NEAREST, list_rows: int = LIST_ROWS) -> DataFrame:
@@ -309,9 +352,10 @@ def nearest(embeddings: DataFrame, queries: Column | None = None, most: int = NE
 
     Inner products are turned into distances, and points stand in the list of
     their nearest centre, rotated, one block of dimensions after the other. A
-    query first scans its nearest list; what it finds there bounds the scan of
-    the further lists, in which candidates are abandoned as soon as a test on
-    their partial distance says so. How many lists are probed is measured on
+    query starts with the best rows of a bounded sample and scans its nearest
+    list for better ones; what it then has bounds the scan of further lists.
+    Candidates are abandoned as soon as a test on their partial distance says
+    so. How many lists are probed is measured on
     a bounded set of queries against all rows. Scores are exact: products of
     the original components, added in order.
 
@@ -329,22 +373,22 @@ def nearest(embeddings: DataFrame, queries: Column | None = None, most: int = NE
     rows = Cut(rows.select("vec_id", "v", F.size("v").alias("d"), F.xxhash64("v").alias("mark")), "vectors").df
     copies = Window.partitionBy("mark", "v").orderBy("vec_id")
     indexed = Cut(rows.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= most + 1).drop("copy"), "vectors").df
-    space = _fitted(indexed, list_rows)
-    if space is None:
+    fitted = _fitted(indexed, list_rows)
+    if fitted is None:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    space, sample = fitted
     placed = indexed.mapInArrow(_place(space), PLACED)
     blocks = Cut(placed.repartitionByRange("list", "mark", "vec_id").sortWithinPartitions("list").mapInArrow(_blocks(space, BLOCK_ROWS), BLOCK), "blocks").df
     asking = rows.where(queries)
     classes = Cut(asking.groupBy("mark", "v", "d").agg(F.min("vec_id").alias("k")).withColumn("k", F.monotonically_increasing_id()), "queries").df
     lists = _lists_to_probe(classes, blocks, space, most + 1)
-    none = F.lit(float("-inf"))
-    home = Cut(_top(_searched(classes.withColumn("least", none), blocks, space, 0, 1, most + 1), most + 1), "hits").df
-    hits = home.drop("place")
+    first = Cut(_top(classes.select("d", "k", "v").mapInArrow(_sampled(space, sample, most + 1), HIT), most + 1), "hits").df
+    home = _searched(_above(classes, first, most + 1), blocks, space, 0, 1, most + 1)
+    hits = Cut(_top(first.drop("place").union(home).distinct(), most + 1), "hits").df
     if lists > 1:
-        least = home.where(F.col("place") == most + 1).select("k", F.col("score").alias("least"))
-        known = classes.join(least, "k", "left").withColumn("least", F.coalesce("least", none))
-        hits = hits.unionByName(_searched(known, blocks, space, 1, lists, most + 1))
-    best = _top(hits, most + 1).select("k", F.col("vec_id").alias("found"), F.col("mark").alias("found_mark"), "score")
+        further = _searched(_above(classes, hits, most + 1), blocks, space, 1, lists, most + 1)
+        hits = hits.drop("place").union(further).distinct()
+    best = _top(hits.drop("place"), most + 1).select("k", F.col("vec_id").alias("found"), F.col("mark").alias("found_mark"), "score")
     named = asking.join(classes.select("mark", "v", "k"), ["mark", "v"]).select(F.col("vec_id").alias("query_id"), "mark", "k")
     met = named.join(best, "k").where(~((F.col("found") == F.col("query_id")) & (F.col("found_mark") == F.col("mark"))))
     by = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "found", "found_mark")
