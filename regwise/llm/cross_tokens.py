@@ -17,8 +17,8 @@ from regwise.llm.bpe import vocabulary
 from regwise.llm.common import Cut, id_and_text, lean, passes
 from regwise.llm.packing import Encoder
 
-BLOCK_BYTES = 2 << 20  # of text whose distinct id pairs are counted together; a longer text is a block of its own
-IDS_KEPT = 4_000_000  # in memorised windows, before the memory starts anew
+BLOCK_BYTES = 1 << 20  # of text whose distinct id pairs are counted together; a longer text is a block of its own
+IDS_KEPT = 1_000_000  # in memorised windows, before the memory starts anew
 WIDE = 4096  # links of a group beyond which its ids are counted before they are paired
 PAIR = np.int64(1) << np.int64(32)
 
