@@ -12,7 +12,7 @@ from regwise.operators.sequence import global_index
 
 
 def name_files(spark: SparkSession, folder: str, to: str, name: Callable[[str, int], str]) -> str:
-    """Move the part files of each ``column=value`` folder to ``to``, named by value and number."""
+    """Move the part files of each ``column=value`` folder to ``to``, named by value and number; a file of that name is replaced."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     root, target = hadoop.Path(folder), hadoop.Path(to)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -22,7 +22,9 @@ def name_files(spark: SparkSession, folder: str, to: str, name: Callable[[str, i
             value = unquote(status.getPath().getName().partition("=")[2])
             parts = sorted((s.getPath() for s in fs.listStatus(status.getPath()) if s.getPath().getName().startswith("part-")), key=lambda p: p.getName())
             for i, part in enumerate(parts):
-                fs.rename(part, hadoop.Path(target, name(value, i)))
+                place = hadoop.Path(target, name(value, i))
+                fs.delete(place, False)
+                fs.rename(part, place)
     return to
 
 

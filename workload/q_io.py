@@ -22,6 +22,8 @@ from workload.q_notices import classified, notice_input
 from workload.registry import query
 
 c = F.col
+# ranges in which record files are written: as many files, and one more for each province, whatever the data
+FILES = 32
 
 
 def tree_json(f: Frames):
@@ -37,7 +39,7 @@ def tree_json(f: Frames):
 
 
 def envelope_files(f: Frames) -> str:
-    """Record files of all provinces: several envelopes to a file, one per line, several files to a city."""
+    """Record files of all provinces: several envelopes to a file, one per line; a large province has several files."""
     if "envelopes" not in f._made:
         path = scratch_path(f.spark, "envelopes")
         r = f.records
@@ -46,10 +48,10 @@ def envelope_files(f: Frames) -> str:
         # an envelope holds one city's share of a thousand orders, the size one crawl leaves behind
         files = (r.groupBy("prov_code", "city_code", F.floor(c("ord") / 1000).alias("part")).agg(
             F.transform(F.sort_array(F.collect_list(F.struct("ord", cells.alias("r")))), lambda x: x["r"]).alias("记录")))
-        in_order = files.repartitionByRange("prov_code", "city_code", "part").sortWithinPartitions("prov_code", "city_code", "part")
+        in_order = files.repartitionByRange(FILES, "prov_code", "city_code", "part").sortWithinPartitions("prov_code", "city_code", "part")
         made = in_order.select(c("prov_code").alias("省编码"), F.lit("2024-01-01").alias("抓取日期"), F.expr("array(1, 2, 3, 5)").alias("模块"),
                                F.array(F.array(F.lit("1"), c("city_code")), F.array(F.lit("2"), c("city_code"))).alias("已完成"), "记录", c("prov_code").alias("p"))
-        made.write.partitionBy("p").option("maxRecordsPerFile", 7).json(f"{path}-parts")
+        made.write.partitionBy("p").json(f"{path}-parts")
         f._made["envelopes"] = name_files(f.spark, f"{path}-parts", path, lambda prov, i: f"{prov}_{i:06d}.json")
     return f._made["envelopes"]
 
@@ -75,8 +77,9 @@ def one_city_form_q(f: Frames):
     cells = F.array("process_department", "combined_units", "notice_date")
     files = rows.groupBy("prov_code", F.floor(c("ord") / 1000).alias("part")).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("ord", cells.alias("r")))), lambda x: x["r"]).alias("记录"))
-    in_order = files.repartitionByRange("part").sortWithinPartitions("part").select(c("prov_code").alias("省编码"), "记录", c("prov_code").alias("p"))
-    in_order.write.partitionBy("p").option("maxRecordsPerFile", 3).json(f"{path}-parts")
+    # the folder column sorts first, as the writer wants it, or it would sort anew and lose the order of the envelopes
+    in_order = files.repartitionByRange(FILES, "part").sortWithinPartitions("prov_code", "part").select(c("prov_code").alias("省编码"), "记录", c("prov_code").alias("p"))
+    in_order.write.partitionBy("p").json(f"{path}-parts")
     name_files(f.spark, f"{path}-parts", path, lambda prov, i: f"{i:06d}_南京市.json")
     back = RD.read_records(f.spark, path, lines=True, fields=S.ONE_CITY_FIELDS)
     return global_index(back, [c("ord")], "position").select("prov_code", "process_department", "combined_units", "notice_date", "position",
@@ -283,6 +286,23 @@ def ingest_q(f: Frames):
     return rows.groupBy("prov_code", "city_code", "process_department").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("str_01_grown_files", """SELECT prov_code, city_code, process_department, CASE WHEN ord % 3 <> 0 THEN 0 ELSE 1 END AS run, count(*) AS n
+  FROM records GROUP BY 1, 2, 3, 4""")
+def grown_files_q(f: Frames):
+    """State files, one a province, are saved again with more records: the second run takes in those only, a third one nothing."""
+    path, log = scratch_path(f.spark, "state-files"), ST.RecordLog(f.spark, scratch_path(f.spark, "record-log"))
+    cells = F.array(*[c(x).cast("string") for x in ("module", "city_code", "process_department", "combined_units", "notice_date", "county", "city_field")])
+    for rows in (f.records.filter("ord % 3 <> 0"), f.records):
+        envelopes = rows.groupBy("prov_code", "city_code", F.floor(c("ord") / 1000).alias("part")).agg(F.collect_list(cells).alias("记录"))
+        parts = scratch_path(f.spark, "state-parts")
+        envelopes.repartition("prov_code").select(c("prov_code").alias("省编码"), "记录", c("prov_code").alias("p")).write.partitionBy("p").json(parts)
+        name_files(f.spark, parts, path, lambda prov, i: f"{prov}_{i}.json")
+        log.ingest(path, lines=True)
+    if log.ingest(path, lines=True) is not None:
+        raise AssertionError("files that did not change were read again")
+    return log.read().groupBy("prov_code", "city_code", "process_department", "run").agg(F.count(F.lit(1)).alias("n"))
+
+
 def event_stream(f: Frames):
     schema = f.spark.read.parquet(f"{f.sf_dir}/events.parquet").schema
     return f.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(f.sf_dir).withColumn("ts", c("ts").cast("timestamp"))
@@ -297,6 +317,30 @@ def first_seen_stream_q(f: Frames):
     return f.spark.read.schema("user_id long, event_type string, ts timestamp").parquet(table).select("user_id", "event_type")
 
 
+_later = "CASE WHEN user_id % 7 = 0 THEN concat(event_type, '+') ELSE event_type END"
+
+
+@query("str_02_first_seen_ever", f"""SELECT user_id, event_type, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS ts FROM (
+  SELECT user_id, event_type, ts FROM events UNION ALL SELECT user_id, {_later}, ts + INTERVAL 365 DAY FROM events) GROUP BY 1, 2""")
+def first_seen_ever_q(f: Frames):
+    """Events arrive in three files, the last one a year after the others; every batch comes twice."""
+    source, mark = scratch_path(f.spark, "event-files"), scratch_path(f.spark, "event-mark")
+    events = f.spark.read.parquet(f"{f.sf_dir}/events.parquet").select("user_id", "event_type", c("ts").cast("timestamp_ntz").alias("ts"))
+    middle = events.agg(F.percentile_approx(F.unix_micros(c("ts").cast("timestamp")), 0.5).alias("m")).first()["m"]
+    early = F.unix_micros(c("ts").cast("timestamp")) < middle
+    later = events.select("user_id", F.expr(_later).alias("event_type"), (c("ts") + F.expr("INTERVAL 365 DAY")).alias("ts"))
+    seen = ST.FirstSeen(f.spark, scratch_path(f.spark, "seen-ever"), ["user_id", "event_type"], "user_id long, event_type string, ts timestamp_ntz")
+
+    def merge(batch, batch_id):
+        seen.merge(batch, batch_id, c("ts"))
+        seen.merge(batch, batch_id, c("ts"))  # a replay changes nothing
+
+    for arriving in (events.filter(early), events.filter(~early), later):
+        arriving.write.mode("append").parquet(source)
+        ST.upsert_stream(f.spark.readStream.schema(events.schema).parquet(source), merge, mark).awaitTermination()
+    return seen.read().select("user_id", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+
+
 _upserted = "unit_uid, prov_code, city_code, function_key, name_from_source, name_canonical, name_status, group_id, record_count, role, crawl_note"
 
 
