@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regwise import rules as R
@@ -78,25 +78,33 @@ def layout_issues(sheet: DataFrame, units: DataFrame, area: DataFrame) -> DataFr
 def capped_windows(daily: DataFrame, keys: list[str], start: Column, end: Column, cap: int) -> DataFrame:
     """Split date ranges in half until each holds fewer than ``cap`` rows.
 
-    ``daily`` has the keys, ``day`` and ``n``. Counts come from running totals
-    per key, one equi-join per round; rounds end when no range is split, after
-    log2(days) of them, since a day cannot be split. A single day at the cap stays and is flagged ``over_cap``.
+    ``daily`` has the keys, ``day`` and ``n``. A running total per key and day
+    answers a range by the totals at its two ends. A range carries these, so
+    a split asks for one more, that of its middle: the total of the last day
+    up to it, found by one pass over the key's days in order. Rounds end when
+    no range is split, after log2(days) of them, since a day cannot be split;
+    keys without a full range are not read again. A single day at the cap
+    stays and is flagged ``over_cap``.
     """
-    # running totals hold one row per key and day, not per record
-    upto = durable(daily.groupBy(*keys, "day").agg(F.sum("n").alias("n")), "daily")
-    rows = durable(upto.select(*keys).distinct().select(*keys, start.alias("d0"), end.alias("d1")), "windows")
+    by_day = Window.partitionBy(*keys).orderBy("day")
+    totals = daily.groupBy(*keys, "day").agg(F.sum("n").alias("n")).select(*keys, "day", F.sum("n").over(by_day).alias("total"))
+    totals = durable(totals, "totals")  # one row per key and day
+    upto = lambda bound: F.coalesce(F.max(F.when(F.col("day") <= bound, F.col("total"))), F.lit(0))
+    rows = durable(totals.groupBy(*keys).agg(upto(F.date_sub(start, 1)).alias("t0"), upto(end).alias("t1"))
+                   .select(*keys, start.alias("d0"), end.alias("d1"), "t0", "t1"), "windows")
     done = None
     while True:
-        days = rows.withColumn("_day", F.explode(F.sequence("d0", "d1", F.expr("interval 1 day"))))
-        counted = (days.join(upto.select(*keys, F.col("day").alias("_day"), "n"), [*keys, "_day"], "left")
-                   .groupBy(*keys, "d0", "d1").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")))
-        counted = durable(counted, "windows")
-        full = (F.col("n") >= cap) & (F.col("d0") < F.col("d1"))
-        kept = counted.filter(~full).withColumn("over_cap", F.col("n") >= cap)
+        n = F.col("t1") - F.col("t0")
+        full = (n >= cap) & (F.col("d0") < F.col("d1"))
+        kept = rows.filter(~full).select(*keys, "d0", "d1", n.alias("n"), (n >= cap).alias("over_cap"))
         done = kept if done is None else done.unionByName(kept)
-        middle = F.date_add("d0", F.floor(F.datediff("d1", "d0") / 2).cast("int"))
-        halves = F.array(F.struct(F.col("d0").alias("d0"), middle.alias("d1")),
-                         F.struct(F.date_add(middle, 1).alias("d0"), F.col("d1").alias("d1")))
-        rows = counted.filter(full).select(*keys, F.explode(halves).alias("h")).select(*keys, "h.d0", "h.d1")
+        split = rows.filter(full).withColumn("day", F.date_add("d0", F.floor(F.datediff("d1", "d0") / 2).cast("int")))
+        known = totals.join(split.select(*keys).distinct(), keys, "left_semi")
+        # a day's own total stands before the questions for it
+        ordered = Window.partitionBy(*keys).orderBy("day", F.col("d0").isNotNull())
+        met = known.unionByName(split, allowMissingColumns=True).withColumn("tm", F.coalesce(F.last("total", ignorenulls=True).over(ordered), F.lit(0)))
+        halves = F.array(F.struct("d0", F.col("day").alias("d1"), "t0", F.col("tm").alias("t1")),
+                         F.struct(F.date_add("day", 1).alias("d0"), "d1", F.col("tm").alias("t0"), "t1"))
+        rows = durable(met.filter("d0 IS NOT NULL").select(*keys, F.inline(halves)), "windows")
         if rows.isEmpty():
             return done

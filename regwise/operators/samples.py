@@ -19,16 +19,20 @@ def target_units(master: DataFrame, statuses: list[str]) -> DataFrame:
 def evidence_samples(units: DataFrame, records: DataFrame, days: int = 20, per_unit: int = 5) -> DataFrame:
     """The first ``per_unit`` notices of each unit in the ``days`` before its last notice.
 
-    Spellings join on equality together with the city; the date range is a
-    residual condition, and the ranking keeps only the best rows before its
-    shuffle (``row_number() <= k``).
+    Days are cut into buckets as long as a window, so a window lies in two of
+    them at most. Units ask for their buckets, and join on equality of city,
+    spelling and bucket: of a spelling's history only the days around the
+    window are met, less than three windows' worth. The ranking keeps only the
+    best rows before its shuffle (``row_number() <= k``).
     """
+    bucket = lambda day: F.floor(F.unix_date(day) / (days + 1))
+    end, day = F.col("_end"), F.col("_day")
     names = units.select("unit_uid", "city_code", iso_date(F.col("last_notice_date")).alias("_end"),
                          F.explode(F.array_distinct(F.concat(F.array("name_from_source"), variants_of(F.col("name_variants"))))).alias("name"))
-    notices = records.select("city_code", strip(F.col("process_department")).alias("name"), "ord",
-                             iso_date(F.col("notice_date")).alias("_day"))
-    hit = (names.join(notices, ["city_code", "name"])
-           .filter((F.col("_day") <= F.col("_end")) & (F.col("_day") >= F.date_sub("_end", days))))
+    asked = names.filter(end.isNotNull()).withColumn("_bucket", F.explode(F.array_distinct(F.array(bucket(F.date_sub(end, days)), bucket(end)))))
+    notices = records.select("city_code", strip(F.col("process_department")).alias("name"), "ord", iso_date(F.col("notice_date")).alias("_day"))
+    notices = notices.filter(day.isNotNull()).withColumn("_bucket", bucket(day))
+    hit = asked.join(notices, ["city_code", "name", "_bucket"]).filter((day <= end) & (day >= F.date_sub(end, days)))
     order = Window.partitionBy("unit_uid").orderBy("ord")
     return (hit.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= per_unit)
             .select("unit_uid", "city_code", "name", "ord", "rank"))

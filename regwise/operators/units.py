@@ -101,10 +101,9 @@ def merge_units(spellings: DataFrame, group=GROUP, with_suffix_flag: bool = True
     ranked = spellings.withColumn("_k", representative_key(F.col("name"), with_suffix_flag))
     one = ranked.groupBy(*group, "name").agg(  # a spelling asked for by several cities is one entry
         F.sum("n").alias("n"), F.max("last_date").alias("last_date"), F.max("_k").alias("_k"))
-    best_first = lambda a, b: F.when(a["k"] > b["k"], -1).when(a["k"] < b["k"], 1).otherwise(0)
     merged = one.groupBy(*group).agg(
         F.max_by("name", "_k").alias("unit"), F.max("last_date").alias("last_date"), F.sum("n").alias("record_count"),
-        F.array_sort(F.collect_list(F.struct(F.col("_k").alias("k"), "name")), best_first).alias("_all"))
+        F.sort_array(F.collect_list(F.struct(F.col("_k").alias("k"), "name")), asc=False).alias("_all"))  # best first
     others = F.filter(F.transform("_all", lambda s: s["name"]), lambda v: v != F.col("unit"))
     return merged.withColumn("variants", others).drop("_all")
 

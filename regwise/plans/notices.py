@@ -44,17 +44,30 @@ def approval_areas(names: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def address_districts(addresses: DataFrame, places: DataFrame) -> DataFrame:
-    """Distinct ``(prov_code, city_code, addr)`` with the district or zone of the address."""
+    """Distinct ``(prov_code, city_code, addr)`` with the district or zone of the address; other columns stay."""
     p = F.col("place")
-    return with_place(addresses.select("prov_code", "city_code", "addr").distinct(), places).select(
-        "prov_code", "city_code", "addr", district_of_address(F.col("addr"), city_by_code(F.col("city_code"), p), p).alias("district"))
+    return with_place(addresses.distinct(), places).select(
+        *addresses.columns, district_of_address(F.col("addr"), city_by_code(F.col("city_code"), p), p).alias("district"))
 
 
 def bracket_districts(brackets: DataFrame, places: DataFrame) -> DataFrame:
-    """Distinct ``(prov_code, city_code, bracket)`` with the district of the channel's city that the bracket names."""
+    """Distinct ``(prov_code, city_code, bracket)`` with the district of the channel's city that the bracket names; other columns stay."""
     p = F.col("place")
-    return with_place(brackets.filter(F.col("bracket") != "").select("prov_code", "city_code", "bracket").distinct(), places).select(
-        "prov_code", "city_code", "bracket", district_in(F.col("bracket"), city_by_code(F.col("city_code"), p)).alias("_at"))
+    return with_place(brackets.filter(F.col("bracket") != "").distinct(), places).select(
+        *brackets.columns, district_in(F.col("bracket"), city_by_code(F.col("city_code"), p)).alias("_at"))
+
+
+def coded(texts: DataFrame, *columns: str) -> DataFrame:
+    """Distinct rows of the texts with ``id``, a 64-bit number that stands for them in joins; two texts of one number are an error."""
+    known = durable(texts.select(*columns, text_id(*[F.col(c) for c in columns]).alias("id")).distinct(), "texts")
+    if not known.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        raise ValueError(f"two values of {columns} share a number")
+    return known
+
+
+def text_id(*columns: Column) -> Column:
+    """The number of a text with its context; the places keep nulls apart, which a hash skips."""
+    return F.xxhash64(*[x for i, column in enumerate(columns) for x in (F.lit(i), column)])
 
 
 def classify(notices: DataFrame, places: DataFrame) -> DataFrame:
@@ -62,25 +75,29 @@ def classify(notices: DataFrame, places: DataFrame) -> DataFrame:
 
     ``notices`` has prov_code, city_code, title, source, locations (array) and
     channel_org. Place rules run on distinct texts only: agencies, brackets and
-    addresses are located once each and joined back. The source decides, the
-    channel's agency fills in where it cannot.
+    addresses are located once each. From then on texts are numbers: the
+    answers are gathered per notice from rows of numbers, and the notices
+    themselves meet them in one join. The source decides, the channel's agency
+    fills in where it cannot.
     """
     where = ["prov_code", "city_code"]
-    read = durable(notices.withColumn("bracket", N.bracket_of(F.col("title"))), "notices")
+    at = [F.col(x) for x in where]
+    read = durable(notices.withColumn("bracket", N.bracket_of(F.col("title"))).withColumn("_n", F.monotonically_increasing_id()), "notices")
     orgs = (read.select(*where, F.explode(F.array("source", "channel_org")).alias("org"))
-            .filter(F.coalesce("org", F.lit("")) != "").distinct())
-    known = durable(approval_areas(orgs, places).filter(F.col("name") != ""), "approval")
-    by = lambda tag, source: known.select(
-        *where, F.col("org").alias(source), F.struct("name", "area").alias(tag))
-    lists = read.select(*where, "locations").distinct()
-    each = lists.select(*where, "locations", F.posexplode("locations").alias("i", "addr"))
-    at = durable(address_districts(each, places), "addresses")
-    found = each.join(at, [*where, "addr"]).groupBy(*where, "locations").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("i", "district"))), lambda x: x["district"]).alias("project_districts"))
-    joined = (read.join(by("_s", "source"), [*where, "source"], "left")
-              .join(by("_c", "channel_org"), [*where, "channel_org"], "left")
-              .join(bracket_districts(read, places), [*where, "bracket"], "left")
-              .join(found, [*where, "locations"], "left"))
+            .filter(F.coalesce("org", F.lit("")) != ""))
+    named = approval_areas(coded(orgs, *where, "org").drop("id"), places).filter(F.col("name") != "")
+    known = durable(named.select(text_id(*at, F.col("org")).alias("id"), F.struct("name", "area").alias("answer")), "approval")
+    brackets = bracket_districts(coded(read.filter(F.col("bracket") != ""), *where, "bracket"), places).select("id", "_at")
+    each = read.select("_n", *where, F.posexplode("locations").alias("i", "addr")).filter(F.col("addr").isNotNull())
+    located = address_districts(coded(each, *where, "addr"), places).select("id", "district")
+    districts = (each.select("_n", "i", text_id(*at, F.col("addr")).alias("id")).join(located, "id").groupBy("_n").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("i", "district"))), lambda x: x["district"]).alias("project_districts")))
+    asked = read.select("_n", *[text_id(*at, F.col(x)).alias(f"_{x}") for x in ("source", "channel_org", "bracket")])
+    answers = (asked.join(known.select(F.col("id").alias("_source"), F.col("answer").alias("_s")), "_source", "left")
+               .join(known.select(F.col("id").alias("_channel_org"), F.col("answer").alias("_c")), "_channel_org", "left")
+               .join(brackets.select(F.col("id").alias("_bracket"), "_at"), "_bracket", "left")
+               .join(districts, "_n", "left").select("_n", "_s", "_c", "_at", "project_districts"))
+    joined = read.join(answers, "_n")
     own = F.col("_s.area").isNotNull()
     fallback = ~own & (F.coalesce("channel_org", F.lit("")) != "")
     org = F.when(fallback, F.col("_c.name")).otherwise(F.col("_s.name"))

@@ -9,7 +9,7 @@ from regwise import rules as R, schema as S
 from regwise.functions.collections import item
 from regwise.functions.text import strip
 from regwise.operators.sequence import global_index
-from regwise.session import small
+from regwise.session import durable, small
 
 
 def file_stem() -> Column:
@@ -47,11 +47,14 @@ def read_records(spark: SparkSession, path: str, glob: str = "*.json", lines: bo
     """Records with ``ord``, the order in which ties are settled.
 
     Files follow their names, envelopes their place in the file, records their
-    position in the envelope. Envelopes are numbered densely (only their places
-    are sorted), so ``ord`` is one number, unique whatever the files are called
-    and however many envelopes they hold: a position is below 2^31.
+    position in the envelope. The files are scanned once, into a table that
+    numbers and records are then taken from, so a file that arrives meanwhile
+    is read whole or not at all. Envelopes are numbered densely (only their
+    places are sorted), so ``ord`` is one number, unique whatever the files are
+    called and however many envelopes they hold: a position is below 2^31.
     """
-    envelopes = read_envelopes(spark, path, glob, lines)
+    wanted = read_envelopes(spark, path, glob, lines).select("省编码", "记录", "file_stem", "place")
+    envelopes = durable(wanted, "envelopes")
     numbers = global_index(envelopes.select("place"), [F.col("place")], "envelope")
     numbered = envelopes.join(small(numbers), "place")
     ord_ = F.col("envelope").cast("decimal(18,0)") * F.lit(2 ** 31).cast("decimal(10,0)") + F.col("pos")
