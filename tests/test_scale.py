@@ -1,6 +1,8 @@
 """Keys beyond the provided sizes, orders of files, and the guards of intermediates."""
 
 import json
+import random
+from datetime import date, timedelta
 
 import duckdb
 import pytest
@@ -8,10 +10,10 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from regwise import session
-from regwise.operators import audit, layout, sequence
+from regwise.operators import audit, layout, samples, sequence, units
 from regwise.operators.spellings import select_field
 from regwise.sources import readers as RD
-from regwise.streaming.jobs import MasterStore
+from regwise.streaming.jobs import FirstSeen, MasterStore, RecordLog
 from workload.frames import FRAMES, PARENTS, TABLES, frame_ctes
 
 BIG = 9_000_000_000_000
@@ -102,6 +104,57 @@ def test_record_order_follows_files_and_envelopes(spark, tmp_path, size):
     assert [r[0] for r in sorted(rows, key=lambda r: r["ord"])] == list("甲乙丙丁戊己庚辛壬")
 
 
+def test_files_that_arrive_during_a_read_change_nothing(spark, tmp_path, monkeypatch):
+    files = {"320100_b.json": [["甲", "乙"], ["丙"]], "320100_c.json": [["丁"], ["戊"]]}
+    for name, envelopes in files.items():
+        (tmp_path / name).write_text("\n".join(_envelope("320100", names) for names in envelopes), encoding="utf-8")
+    number = RD.global_index
+
+    def late(*args):
+        (tmp_path / "320100_a.json").write_text(_envelope("320100", ["新"]), encoding="utf-8")
+        return number(*args)
+    monkeypatch.setattr(RD, "global_index", late)
+    rows = RD.read_records(spark, str(tmp_path), lines=True).select("process_department", "ord").collect()
+    assert [r[0] for r in sorted(rows, key=lambda r: r["ord"])] == list("甲乙丙丁戊") and len({r["ord"] for r in rows}) == 5
+
+
+def test_one_city_files_keep_their_order(spark):
+    """The check of the one-city form, over ranges of several envelopes each."""
+    from tools.check import compare, connect
+    from workload import all_queries
+    sf = "/root/testdata/sf0.01"
+    queries, checks = all_queries()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        ok, note = compare(spark, connect(sf), "src_01_one_city_form", queries["src_01_one_city_form"], checks["src_01_one_city_form"], sf)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert ok, note
+
+
+def test_interval_join_meets_little_more_than_its_windows(spark):
+    """A spelling with notices on every day of ten years joins the days around a unit's window only."""
+    units = spark.createDataFrame([("u", "c", "2020-06-30", "局", "局 / 处")], "unit_uid string, city_code string, last_notice_date string, name_from_source string, name_variants string")
+    days = spark.createDataFrame([("c", "局", i, str(date(2015, 1, 1) + timedelta(i))) for i in range(3650)],
+                                 "city_code string, process_department string, ord long, notice_date string")
+    hits = samples.evidence_samples(units, days, days=20, per_unit=100)
+    assert [r["ord"] for r in hits.orderBy("ord").collect()] == list(range(1987, 2008))
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    join = next(x for x in plan.splitlines() if "Join Inner" in x)
+    assert "_bucket" in join and "city_code" in join and "name" in join
+
+
+def test_variants_are_sorted_without_a_comparator(spark):
+    rows = [("p", "c", "a", "f", n, d, k, i) for i, (n, d, k) in enumerate([("甲局", date(2020, 1, 1), 5), ("乙局", date(2021, 1, 1), 1), ("丙局", None, 9), ("甲局", date(2022, 1, 1), 1), ("丁局", date(2020, 1, 1), 7)])]
+    spellings = spark.createDataFrame(rows, "prov_code string, city string, area string, function string, name string, last_date date, n long, first long").withColumn("recovered", F.lit(False))
+    merged = units.merge_units(spellings)
+    row = merged.first()
+    assert (row["unit"], list(row["variants"]), row["record_count"]) == ("甲局", ["乙局", "丁局", "丙局"], 23)
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_sort" not in plan and "sort_array" in plan
+
+
 def test_intermediates_need_a_shared_folder(spark):
     class Bare:
         conf = type("C", (), {"get": staticmethod(lambda key, default=None: default)})
@@ -119,4 +172,72 @@ def test_store_rewrites_only_changed_parts(spark, tmp_path):
         store.merge(batch(*rows), number, add)
         store.merge(batch(*rows), number, add)  # a replay
     assert sorted(tuple(r) for r in store.read().collect()) == [("a", "x", 7), ("a", "y", 5), ("b", "x", 1)]
-    assert store._versions("b") == [0] and store._versions("a") == [2, 3]
+    folders = {at: sorted(store.table.folders("rows", at)) for at in store.table.folders("rows")}
+    a, b = "_part=v61", "_part=v62"
+    assert folders == {"at=0": [a, b], "at=2": [a], "at=3": [a]}
+
+
+def test_store_keeps_rows_without_a_part(spark, tmp_path):
+    store = MasterStore(spark, str(tmp_path / "s"), "p", "p string, k string, n long")
+    batch = lambda *rows: spark.createDataFrame(rows, "p string, k string, n long")
+    add = lambda old, new: old.unionByName(new).groupBy("p", "k").agg(F.sum("n").alias("n"))
+    for number, rows in enumerate(([(None, "x", 1), ("", "x", 10), ("a/b c", "x", 100)], [(None, "x", 2)], [("", "x", 5), ("a/b c", "y", 1)])):
+        store.merge(batch(*rows), number, add)
+    want = {(None, "x", 3), ("", "x", 15), ("a/b c", "x", 100), ("a/b c", "y", 1)}
+    assert {tuple(r) for r in store.read().collect()} == want
+    store.merge(batch(("a/b c", "x", 0)), 3, lambda old, new: new.filter("n > 0"))  # a part may become empty
+    assert {tuple(r) for r in store.read().collect()} == {w for w in want if w[0] != "a/b c"}
+
+
+def test_store_shows_whole_batches_only(spark, tmp_path):
+    """A batch that breaks off before its manifest is written leaves the table as it was, and can be repeated."""
+    store = MasterStore(spark, str(tmp_path / "s"), "p", "p string, k string, n long")
+    batch = spark.createDataFrame([("a", "x", 1), ("b", "x", 1)], "p string, k string, n long")
+    put = lambda old, new: new
+    store.merge(batch, 0, put)
+    commit, store.table.commit = store.table.commit, lambda *_: (_ for _ in ()).throw(OSError("lost"))
+    with pytest.raises(OSError):
+        store.merge(batch.withColumn("n", F.col("n") + 1), 1, put)
+    assert {r["n"] for r in store.read().collect()} == {1}
+    store.table.commit = commit
+    store.merge(batch.withColumn("n", F.col("n") + 2), 1, put)
+    assert {r["n"] for r in store.read().collect()} == {3}
+
+
+def test_first_seen_has_no_horizon(spark, tmp_path):
+    schema = "k string, i int, day date"
+    draw, want, batches = random.Random(4), {}, []
+    for number in range(7):
+        rows = [(draw.choice([None, "", *map(str, range(60))]), draw.choice([None, *range(4)]), date(2000 + number, 1, 1 + draw.randrange(28))) for _ in range(80)]
+        batches.append(rows)
+        for k, i, day in sorted(rows, key=lambda r: r[2]):
+            want.setdefault((k, i), day)
+    for bits in (1 << 16, 64):  # a filter that tells little changes nothing
+        seen = FirstSeen(spark, str(tmp_path / str(bits)), ["k", "i"], schema, filter_bits=bits, parts=3)
+        for number, rows in enumerate(batches):
+            for _ in range(2):
+                seen.merge(spark.createDataFrame(rows, schema), number, F.col("day"))
+        assert sorted(map(repr, ((r["k"], r["i"], r["day"]) for r in seen.read().collect()))) == sorted(map(repr, ((*k, d) for k, d in want.items())))
+        assert len(seen.table.state()["rows"]) <= 4
+
+
+def test_grown_files_give_their_new_records(spark, tmp_path):
+    folder, log = tmp_path / "states", RecordLog(spark, str(tmp_path / "log"), parts=3)
+    folder.mkdir()
+
+    def save(name, *envelopes):
+        (folder / name).write_text("\n".join(_envelope("320100", names) for names in envelopes), encoding="utf-8")
+
+    def taken(run):
+        return sorted((r["file_stem"], r["process_department"]) for r in log.read().filter(F.col("run") == run).collect())
+
+    save("a_甲市.json", ["甲", "乙", "乙"])
+    save("b{x}[1]_乙市.json", ["甲"])
+    assert log.ingest(str(folder), lines=True) == 0 and log.ingest(str(folder), lines=True) is None
+    assert taken(0) == [("a_甲市", "乙"), ("a_甲市", "乙"), ("a_甲市", "甲"), ("b{x}[1]_乙市", "甲")]
+    save("a_甲市.json", ["乙", "乙", "甲"], ["丙", "乙"])  # saved again in another order, with a new and a repeated record
+    save("c_丙市.json", ["甲"])
+    assert log.ingest(str(folder), lines=True) == 1
+    assert taken(1) == [("a_甲市", "丙"), ("a_甲市", "乙"), ("c_丙市", "甲")]
+    save("a_甲市.json", ["甲"])  # started anew: nothing is taken back, and nothing comes twice
+    assert log.ingest(str(folder), lines=True) == 2 and taken(2) == [] and log.read().count() == 7
