@@ -29,7 +29,7 @@ def shingle_hashes(text: bytes) -> list[int]:
     return [digest(b"%b %b %b" % t, SEED) for t in zip(words, words[1:], words[2:])]
 
 
-def _majority(hashes: np.ndarray) -> int:
+def majority(hashes: np.ndarray) -> int:
     ones = np.zeros(64, np.int64)
     for part in range(0, len(hashes), 1 << 16):  # long texts in parts
         ones += np.unpackbits(hashes[part:part + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
@@ -42,7 +42,7 @@ def _fingerprint_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         found = []
         for text in text_bytes(batch):
             hashes = shingle_hashes(text)
-            found.append(_majority(np.array(hashes, np.uint64)) if hashes else 0)
+            found.append(majority(np.array(hashes, np.uint64)) if hashes else 0)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.int64())], ["doc_id", "version", "fp"])
 
 
