@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regwise.llm.common import Cut
@@ -138,8 +138,9 @@ def _leaf_pairs(blocks: DataFrame, width: int, eps: float) -> DataFrame:
     """``a, b``: blocks that can hold a link, found from the whole sequence down, interval by interval."""
     low, high = [f"lo{i}" for i in range(width)], [f"hi{i}" for i in range(width)]
     nodes = [blocks.select("node", F.col("d").alias("d0"), F.col("d").alias("d1"), *low, *high)]
-    count = blocks.count()
-    for _ in range(max(1, math.ceil(math.log(max(count, 2), FAN) - 1e-9))):
+    top = blocks.agg(F.max("node")).first()[0] or 0
+    while top or len(nodes) == 1:
+        top //= FAN
         up = F.floor(F.col("node") / FAN).cast("long").alias("node")
         ends = [F.min(c).alias(c) for c in ("d0", *low)] + [F.max(c).alias(c) for c in ("d1", *high)]
         nodes.append(nodes[-1].groupBy(up).agg(*ends))
@@ -189,9 +190,9 @@ def linked_vectors(embeddings: DataFrame, cosine: float = COSINE, block_bytes: i
     width = len(axes) + 1
     schema = "part long, seq long, d int, ks array<long>, ns array<long>, vectors binary, " + ", ".join(f"{e}{i} double" for e in ("lo", "hi") for i in range(width))
     cut = Cut(placed.repartitionByRange(max(1, math.ceil(size / block_bytes)), *order).sortWithinPartitions(*order).mapInArrow(_to_blocks(block_bytes), schema), "blocks").df
-    parts = cut.groupBy("part").agg(F.count("*").alias("blocks"))
-    before = parts.select("part", (F.sum("blocks").over(Window.orderBy("part")) - F.col("blocks")).alias("before"))
-    blocks = Cut(cut.join(F.broadcast(before), "part").withColumn("node", F.col("before") + F.col("seq")).drop("part", "seq", "before"), "blocks").df
+    # numbers that follow the order, with room for the blocks of the fullest range
+    per_range = (cut.agg(F.max("seq")).first()[0] or 0) + 1
+    blocks = cut.withColumn("node", F.col("part") * per_range + F.col("seq")).drop("part", "seq")
     pairs = _leaf_pairs(blocks, width, eps)
     # either block may fetch the other, so that none fetches all
     turn = (F.col("a") + F.col("b")) % 2 == 0
