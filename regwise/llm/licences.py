@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regwise.llm import known_licences
 from regwise.llm.common import Cut
 from regwise.session import small
 
@@ -20,23 +21,8 @@ EQUIVALENT = {
     "sub licence": "sublicense", "utilisation": "utilization", "whilst": "while", "wilful": "willful", "non commercial": "noncommercial",
     "per cent": "percent", "copyright owner": "copyright holder", "http ": "https ",
 }
-# Short licences and notices in their published wording.
-MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
-
-The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
-
-THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
-ISC_GRANT = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
-ISC_WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
-KNOWN = (
-    ("MIT", MIT), ("MIT", "MIT License\n\n" + MIT), ("MIT", "Released under the MIT License."), ("MIT", "Licensed under the MIT License."),
-    ("ISC", f"{ISC_GRANT}, provided that the above copyright notice and this permission notice appear in all copies.\n\n{ISC_WARRANTY}"),
-    ("0BSD", f"{ISC_GRANT}.\n\n{ISC_WARRANTY}"),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."), ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."), ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-)
-COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
+# a notice names a year or a sign; the word alone also begins lines of wrapped terms
+COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(?:copyright[ \t:]*(?:\(c\)|©|[0-9\[{<])|\(c\)[ \t]*[0-9\[{<]|©|all rights reserved[^a-z0-9\n]*$)[^\n]*$"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
@@ -58,15 +44,23 @@ def joined(lines: Column) -> Column:
     return _spelled(F.array_join(lines, " "), {k: v for k, v in EQUIVALENT.items() if " " in k.strip()})
 
 
-def known_texts(spark: SparkSession, texts: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    return spark.createDataFrame(list(texts), "licence string, text string")
+def known_texts(spark: SparkSession) -> DataFrame:
+    """``licence, text, digest``: the wordings of ``known_licences``, and the digests of those too long to be listed."""
+    rows = [(i, t, None) for i, t in known_licences.texts()] + [(i, None, d) for i, ds in known_licences.DIGESTS.items() for d in ds]
+    return spark.createDataFrame(rows, "licence string, text string, digest string")
+
+
+def digest_of(text: Column) -> Column:
+    """The digest of a whole text's normal form; null where nothing is left of it."""
+    return F.when(joined(normal_lines(text)) != "", F.sha2(joined(normal_lines(text)), 256))
 
 
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     """``doc_id, digest, licence, lines``: which known licence a text is, and which ones its lines are.
 
     Whole texts and whole lines are digested after normalising and joined to
-    the digests of ``known (licence, text)``; nothing is matched in part.
+    the digests of ``known (licence, text)``, which may also give them as they
+    are (``digest``); nothing is matched in part.
     ``licence`` is null where the whole text is no known one; ``lines`` holds
     the licences of the text's lines, each once, sorted. Of several names for
     one digest the smallest counts. Texts that normalise to nothing match
@@ -74,8 +68,9 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     null doc_id is an id like any other; other columns are not read.
     The known digests are broadcast only below a checked number.
     """
-    sheet = known.select("licence", joined(normal_lines(F.col("text"))).alias("n")).where("n <> ''").groupBy(F.sha2("n", 256).alias("known")).agg(F.min("licence").alias("licence"))
-    sheet = small(sheet)
+    given = F.col("digest") if "digest" in known.columns else F.lit(None).cast("string")
+    sheet = known.select("licence", F.coalesce(given, digest_of(F.col("text"))).alias("known")).where("known IS NOT NULL")
+    sheet = small(sheet.groupBy("known").agg(F.min("licence").alias("licence")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # the normal lines are made once, behind a generator, for the text's own digest and for theirs
     read = rows.select("doc_id", F.inline(F.array(F.struct(normal_lines(F.col("text")).alias("lines")))))

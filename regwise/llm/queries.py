@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regwise.llm import adaptive_scan, bpe, chat, cross_tokens, ctw, filter_audit, grid_join, licences, packing, pseudonyms, quality, repeats, simhash
-from regwise.llm.common import table
+from regwise.llm import adaptive_scan, bpe, chat, cross_tokens, ctw, filter_audit, grid_join, known_licences, licences, packing, pseudonyms, quality, repeats, simhash
+from regwise.llm.common import Cut, table
 
 SPACE_SQL = "'[^\\x20\\x09-\\x0D]+'"
 
@@ -35,6 +35,19 @@ FROM b
 """
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy decides, from the stored ledger; the texts are read once, for the ledger."""
+    return quality.ablations(Cut(quality.ledger(table(spark, sf_dir, "documents")), "ledger").df)
+
+
+ABLATIONS_SQL = f"""
+WITH book AS ({OP1_SQL}),
+p AS (FROM (VALUES {', '.join(f"('{p}', {mask}, '{r}', {quality.BIT[r]})" for p, mask in quality.POLICIES.items() for r in quality.RULES if mask & quality.BIT[r])}) v(policy, mask, rule, bit))
+SELECT policy, rule, count(*) AS n_texts, count(*) FILTER (bits & bit <> 0) AS n_failed, count(*) FILTER (bits & mask = bit) AS n_only_this, bit_or(bits & mask) AS any_failed
+FROM book, p GROUP BY policy, rule
+"""
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -66,15 +79,18 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component
 
 # The key of the queries; a run on real data passes its own, secret one.
 PSEUDONYM_KEY = "regwise"
+KEY_SETTING = "spark.regwise.pseudonym.key"
 
 
-def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudonymise(docs).select("doc_id", "text", F.size("kinds").alias("n_values"), F.array_join("kinds", ",").alias("kinds"))
+def pseudonym_key(spark: SparkSession) -> str:
+    """The session's key, or the public one of the queries."""
+    return spark.conf.get(KEY_SETTING, PSEUDONYM_KEY)
 
 
-def pseudonymise(docs: DataFrame) -> DataFrame:
-    return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY, kinds="kinds")
+def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = pseudonyms.pseudonymise(docs, pseudonym_key(spark), kinds="kinds")
+    return done.select("doc_id", "text", F.size("kinds").alias("n_values"), F.array_join("kinds", ",").alias("kinds"))
 
 
 def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +111,8 @@ def _normal_sql(text: str) -> str:
 
 OP6_SQL = f"""
 WITH k AS (SELECT sha256(n) AS known, min(l) AS licence FROM (
-        SELECT l, {_normal_sql('t')} AS n FROM (VALUES {', '.join(f'({text_sql(n)}, {text_sql(t)})' for n, t in licences.KNOWN)}) v(l, t)) WHERE n <> '' GROUP BY 1),
+        SELECT l, {_normal_sql('t')} AS n FROM (VALUES {', '.join(f'({text_sql(n)}, {text_sql(t)})' for n, t in known_licences.texts())}) v(l, t)) WHERE n <> '' GROUP BY 1
+    UNION ALL VALUES {', '.join(f'({text_sql(d)}, {text_sql(n)})' for n, ds in known_licences.DIGESTS.items() for d in ds)}),
 d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS t FROM d WHERE t <> ''),
 h AS (SELECT doc_id, string_agg(DISTINCT licence, ',' ORDER BY licence) AS line_licences FROM (
@@ -195,5 +212,6 @@ def op13_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_quality_rules": op1_quality_rules, "op2_repeats": op2_repeats, "op3_context_tree": op3_context_tree, "op4_grid_join": op4_grid_join, "op5_pseudonyms": op5_pseudonyms, "op6_licences": op6_licences, "op7_packing": op7_packing,
            "op8_chat": op8_chat, "op9_bpe": op9_bpe, "op10_simhash": op10_simhash,
-           "op11_nearest": op11_nearest, "op12_filter_audit": op12_filter_audit, "op13_cross_tokens": op13_cross_tokens}
-CHECKS = {"op1_quality_rules": OP1_SQL, "op4_grid_join": OP4_SQL, "op6_licences": OP6_SQL, "op8_chat": OP8_SQL, "op11_nearest": OP11_SQL, "op12_filter_audit": OP12_SQL}
+           "op11_nearest": op11_nearest, "op12_filter_audit": op12_filter_audit, "op13_cross_tokens": op13_cross_tokens,
+           "quality_ablations": quality_ablations}
+CHECKS = {"op1_quality_rules": OP1_SQL, "op4_grid_join": OP4_SQL, "op6_licences": OP6_SQL, "op8_chat": OP8_SQL, "op11_nearest": OP11_SQL, "op12_filter_audit": OP12_SQL, "quality_ablations": ABLATIONS_SQL}
