@@ -13,32 +13,36 @@ from pyspark.sql import functions as F
 
 from regwise.llm import near_copies, packing, pseudonyms, quality, repeats
 from regwise.llm.common import Cut, table
-from regwise.llm.queries import PSEUDONYM_KEY
+from regwise.llm.queries import pseudonym_key
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a rule of the current policy rejects go."""
+    """Documents that a rule of the current policy rejects go; a null text has no words and is rejected."""
     return quality.passing(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word shingles, similarity 0.8 or more) the document of the smallest doc_id stays."""
+    """Of each group of near-duplicates (five-word shingles, similarity 0.8 or more) the document of the smallest doc_id stays.
+
+    Fingerprints found by the Gray-order index and MinHash bands propose, whole sets of shingles decide. A row without
+    an id stays only where no row of its group has one.
+    """
     return near_copies.keep_one(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes of passages that start earlier in the corpus go; ``n_chars`` follows."""
+    """Bytes of passages that start earlier in the corpus go; ``n_chars`` follows. A null text becomes empty; rows of one doc_id come in order of their texts."""
     return repeats.remove_repeats(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal values become pseudonyms of their own format; ``n_chars`` follows."""
-    new = pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
+    """Personal values become pseudonyms of their own format; ``n_chars`` follows. A null text stays null."""
+    new = pseudonyms.pseudonymise(docs, pseudonym_key(spark))
     return new.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else new
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences with their ids."""
+    """Pieces of training sequences with their ids; a null text is one end id."""
     pieces = packing.sequences(docs)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "ids")
 
