@@ -1,5 +1,10 @@
 """Every registered query against its DuckDB check on the smallest data."""
 
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from tools.check import compare, connect
@@ -30,3 +35,11 @@ def test_query(spark, con, name):
 def test_entry(spark):
     import __spark_entry__
     assert __spark_entry__.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("left", [[], ["corpus_pipeline.py"]])
+def test_entry_without_the_training_data_operators(tmp_path, left):
+    root = Path(__file__).resolve().parents[1]
+    shutil.copytree(root, tmp_path / "copy", ignore=lambda folder, names: [n for n in names if n in (".git", "llm", "__pycache__") or (n == "corpus_pipeline.py" and not left)])
+    code = "import __spark_entry__ as e; q, s = e.queries(), e.oracle_sql(); assert set(q) == set(s) and len(q) > 200, (len(q), len(s))"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", check=True, timeout=120)

@@ -287,7 +287,7 @@ def sql(query: str) -> str:
             add(word)
     if not order:
         return query
-    heads = ",\n".join(f"{n} AS ({RELATIONS[n][1]})" for n in order)
+    heads = ",\n".join(f"{n} AS MATERIALIZED ({RELATIONS[n][1]})" for n in order)  # each once, however often it is mentioned
     body = query.lstrip()
     if body[:5].upper() == "WITH ":
         return f"WITH {heads},\n{body[5:]}"
