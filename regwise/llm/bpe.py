@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from regwise.llm.common import id_and_text, passes
+from regwise.llm.common import forgets, id_and_text, passes
 
 WORDS_KEPT = 150_000  # of a memory of encoded words, before those not asked for since the last turn go
 PASS_BYTES = 1 << 20  # of text that is cut into words at once
@@ -206,6 +206,9 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+forgets(__name__, codec.cache_clear)
+
+
 def vocabulary() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")

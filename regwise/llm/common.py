@@ -73,19 +73,39 @@ def _give_back() -> None:
         pass
 
 
+_HELD: dict[str, Callable[[], None]] = {}  # module: forgets what it keeps in a worker from task to task
+
+
+def forgets(module: str, clear: Callable[[], None]) -> None:
+    _HELD[module] = clear
+
+
+def _free_others(module: str) -> None:
+    """What other modules keep goes: a worker holds the memories of one operator at a time."""
+    others = [m for m in _HELD if m != module]
+    for m in others:
+        _HELD[m]()
+    if others:
+        _give_back()
+
+
 def lean(work: Callable) -> Callable:
     """``work`` of a task, after which freed memory goes back to the system: Spark keeps its Python workers for later stages."""
+    module = work.__module__
     if inspect.isgeneratorfunction(work):
         def stream(batches):
+            _free_others(module)
             yield from work(batches)
             _give_back()
         return stream
 
-    def done(out):
+    def done(*args):
+        _free_others(module)
+        out = work(*args)
         _give_back()
         return out
 
     # Spark reads the number of arguments
     if len(inspect.signature(work).parameters) == 2:
-        return lambda key, rows: done(work(key, rows))
-    return lambda key, rows, other: done(work(key, rows, other))
+        return lambda key, rows: done(key, rows)
+    return lambda key, rows, other: done(key, rows, other)

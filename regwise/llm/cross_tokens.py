@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regwise.llm.bpe import vocabulary
-from regwise.llm.common import Cut, id_and_text, lean, passes
+from regwise.llm.common import Cut, forgets, id_and_text, lean, passes
 from regwise.llm.packing import Encoder
 
 BLOCK_BYTES = 1 << 20  # of text whose distinct id pairs are counted together; a longer text is a block of its own
@@ -204,6 +204,9 @@ def windows(path_a: str, path_b: str) -> Windows:
     return Windows(path_a, path_b)
 
 
+forgets(__name__, windows.cache_clear)
+
+
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 BLOCK = ("block long, pairs array<long>, holders array<long>, doc_id array<long>, " + ", ".join(f"{c} array<long>" for c in COUNTS)
          + ", digest array<string>, groups array<string>, held_text binary, held_pair binary, times binary")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regwise.llm.bpe import LATIN_WORDS, Codec, vocabulary
-from regwise.llm.common import lean, passes
+from regwise.llm.common import forgets, lean, passes
 
 LENGTH, END = 2048, 1
 GROUP_BYTES = 4 << 20  # of text in a group: about 600 sequences
@@ -71,6 +71,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+forgets(__name__, encoder.cache_clear)
+
+
 class Capacities:
     """Tournament tree over bins in order of opening; a node holds the larger room of its two sides."""
 

@@ -226,7 +226,7 @@ def test_pseudonyms_query(spark):
                 assert re.sub("[0-9]", "0", a[0]) == re.sub("[0-9]", "0", b[0])
             digits = lambda v: re.sub("[^0-9]", "", v)[-10:] if "(" in v else v
             assert known.setdefault(digits(a[0]), digits(b[0])) == digits(b[0]) and back.setdefault(digits(b[0]), digits(a[0])) == digits(a[0])
-    assert found > 50 and sum(a != b for a, b in known.items()) >= 0.99 * len(known)
+    assert found > 10 and all(a != b for a, b in known.items())
 
 
 def test_permutation_is_one_to_one(spark):
