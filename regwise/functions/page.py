@@ -62,30 +62,41 @@ def pick_title(candidates: Column) -> Column:
 
 # --- tables --------------------------------------------------------------------
 
+# Tables are read from pages in which runs of white space are single spaces already,
+# so that a cell needs a pattern of its own only where it holds a tag.
+
+def flat(page: Column) -> Column:
+    """The page with each run of white space as one space: what the readings of tables and text start from."""
+    return squash(page)
+
+
+def _behind(pieces: Column) -> Column:
+    """All pieces but the first; asking for their number would make them twice."""
+    return F.slice(pieces, 2, 1 << 30)
+
+
 def _cells(row: Column) -> Column:
     found = F.regexp_extract_all(row, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)(?=</t[dh]>|<t[dh]\b|</tr|\z)"), F.lit(1))
-    return F.transform(found, lambda c: strip(squash(tag_free(c))))
+    return F.transform(found, lambda c: F.trim(F.when(c.contains("<"), squash(tag_free(c))).otherwise(c)))
 
 
 def _rows(markup: Column) -> Column:
-    pieces = F.split(markup, r"(?i)<tr\b")
-    return F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), _cells)
+    return F.transform(_behind(F.split(markup, r"(?i)<tr\b")), _cells)
 
 
 def table_parts(page: Column) -> Column:
     """What follows each ``<table``; a part that holds ``</table`` is an innermost table."""
-    parts = F.split(page, r"(?i)<table\b")
-    return F.slice(parts, F.lit(2), F.size(parts))
+    return _behind(F.split(page, r"(?i)<table\b"))
 
 
 def innermost_tables(page: Column) -> Column:
-    """Rows and cells of every table without a table inside."""
+    """Rows and cells of every table without a table inside, of a ``flat`` page."""
     inner = F.filter(table_parts(page), lambda t: F.lower(t).contains("</table"))
     return F.transform(inner, lambda t: _rows(F.get(F.split(t, "(?i)</table"), F.lit(0))))
 
 
-def _no_space(c: Column) -> Column:
-    return squash(c, "")
+def _no_space(cell: Column) -> Column:
+    return F.replace(cell, F.lit(" "), F.lit(""))
 
 
 def _columns(fields: Column) -> Column:
@@ -112,7 +123,7 @@ def horizontal_records(tables: Column) -> Column:
         heads = F.filter(F.sequence(F.lit(0), F.lit(2)), lambda i: F.coalesce(
             (F.size(F.get(table, i)) >= 4) & F.array_contains(header_fields(F.get(table, i)), "建设地点"), F.lit(False)))
         body = lambda h: F.slice(table, h + 2, F.greatest(F.size(table) - h - 1, F.lit(0)))
-        below = lambda h: let(_columns(header_fields(F.get(table, h))), lambda cols: F.filter(
+        below = lambda h: let(let(header_fields(F.get(table, h)), _columns), lambda cols: F.filter(
             F.transform(body(h), lambda row: _record(row, cols)),
             lambda r: (r["建设地点"] != "") & ~r["建设地点"].contains("建设地点")))
         return let(F.get(heads, F.lit(0)), lambda h: F.when(h.isNull() | (F.size(table) < 2), F.array().cast(RECORDS)).otherwise(below(h)))
@@ -134,7 +145,7 @@ def _from_pairs(pairs: Column) -> Column:
 
 
 def vertical_records(page: Column) -> Column:
-    """The label/value record of a page, read up to the table that gives the address."""
+    """The label/value record of a ``flat`` page, read up to the table that gives the address."""
     pairs_of = lambda part: F.transform(F.filter(_rows(part), lambda r: F.size(r) >= 2), lambda r: F.struct(
         let(_no_space(F.get(r, F.lit(0))), field_of).alias("f"), F.get(r, F.lit(1)).alias("v")))
     known = F.transform(table_parts(page), lambda t: F.filter(pairs_of(t), lambda p: (p["f"] != "") & (p["v"] != "")))

@@ -91,23 +91,25 @@ def _decoded(records: Column) -> Column:
 
 def page_records(pages: DataFrame) -> DataFrame:
     """The three readings of each page: horizontal table, label/value table, running text."""
-    html = F.col("html")
-    return pages.select("page_id", "url", _decoded(P.horizontal_records(P.innermost_tables(html))).alias("horizontal"),
-                        _decoded(P.vertical_records(html)).alias("vertical"),
-                        _decoded(P.inline_records(P.body_text(html))).alias("inline"))
+    page = F.col("_flat")
+    return once(pages.select("page_id", "url", "html"), _flat=P.flat(F.col("html"))).select(
+        "page_id", "url", _decoded(P.horizontal_records(P.innermost_tables(page))).alias("horizontal"),
+        _decoded(P.vertical_records(page)).alias("vertical"), _decoded(P.inline_records(P.body_text(page))).alias("inline"))
 
 
 def parse_notice_pages(pages: DataFrame) -> DataFrame:
     """Source, title and records per page; the first reading with records counts.
 
-    A page is read step by step: its text once, the vertical tables only where
-    no horizontal one has records, the running text only where no table has.
+    White space is evened out once; the text, both readings of tables and the
+    running text start from that. The vertical tables are read only where no
+    horizontal one has records, the running text only where no table has.
     """
-    html = F.col("html")
-    text = once(pages.select("page_id", "url", "html"), _text=P.body_text(html), _h=P.horizontal_records(P.innermost_tables(html)))
-    tables = once(text, _v=F.when(F.size("_h") == 0, P.vertical_records(html)))
+    page = F.col("_flat")
+    evened = once(pages.select("page_id", "url", "html"), _flat=P.flat(F.col("html")), _titles=P.title_of_page(F.col("html"))).drop("html")
+    text = once(evened, _text=P.body_text(page), _h=P.horizontal_records(P.innermost_tables(page)))
+    tables = once(text, _v=F.when(F.size("_h") == 0, P.vertical_records(page))).drop("_flat")
     no_table = (F.size("_h") == 0) & (F.size("_v") == 0)
-    read = once(tables, source=parse_source(F.col("_text")), _titles=P.title_of_page(html),
+    read = once(tables, source=parse_source(F.col("_text")),
                 recs=_decoded(F.when(F.size("_h") > 0, F.col("_h")).when(no_table, P.inline_records(F.col("_text"))).otherwise(F.col("_v"))))
     kept = read.select("page_id", "url", "source", "recs", unescape_all("_titles").alias("_titles"))
     return (kept.withColumn("title", P.pick_title(F.col("_titles")))
