@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from regwise import rules as R
 from regwise.functions import notice as N
 from regwise.functions.text import let, normalize, notice_date, percent, strip
 from regwise.operators.places import (city_by_code, city_in, district_in, locate, unique_district, with_place, zone_in)
-from regwise.session import durable
+from regwise.session import durable, once, small
 
 
 def district_of_address(address: Column, city: Column, place: Column) -> Column:
@@ -57,60 +59,81 @@ def bracket_districts(brackets: DataFrame, places: DataFrame) -> DataFrame:
         *brackets.columns, district_in(F.col("bracket"), city_by_code(F.col("city_code"), p)).alias("_at"))
 
 
-def coded(texts: DataFrame, *columns: str) -> DataFrame:
-    """Distinct rows of the texts with ``id``, a 64-bit number that stands for them in joins; two texts of one number are an error."""
-    known = durable(texts.select(*columns, text_id(*[F.col(c) for c in columns]).alias("id")).distinct(), "texts")
-    if not known.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
-        raise ValueError(f"two values of {columns} share a number")
-    return known
+def _at(df: DataFrame, answers: DataFrame, on: dict[str, str], gain: dict[str, str]) -> DataFrame:
+    """``df`` left-joined to the few ``answers``; ``on`` and ``gain`` give the columns of ``answers`` new names, nulls are equal."""
+    told = small(answers.select(*[F.col(x).alias(f"_k{i}") for i, x in enumerate(on)], *[F.col(x).alias(to) for x, to in gain.items()]))
+    same = [F.col(mine).eqNullSafe(F.col(f"_k{i}")) for i, mine in enumerate(on.values())]
+    return df.join(told, reduce(Column.__and__, same), "left").drop(*[f"_k{i}" for i in range(len(on))])
+
 
+# what the classification of a notice depends on, once its title is read
+WORDING = ("prov_code", "city_code", "source", "channel_org", "bracket", "radiation", "locations")
 
-def text_id(*columns: Column) -> Column:
-    """The number of a text with its context; the places keep nulls apart, which a hash skips."""
-    return F.xxhash64(*[x for i, column in enumerate(columns) for x in (F.lit(i), column)])
+
+def read_titles(notices: DataFrame) -> DataFrame:
+    read = notices.withColumn("bracket", N.bracket_of(F.col("title")))
+    return read.withColumn("radiation", N.is_radiation(F.col("title"), F.col("bracket")))
 
 
 def classify(notices: DataFrame, places: DataFrame) -> DataFrame:
     """Add bracket, meaning, radiation, approval agency and districts to each notice.
 
     ``notices`` has prov_code, city_code, title, source, locations (array) and
-    channel_org. Place rules run on distinct texts only: agencies, brackets and
-    addresses are located once each. From then on texts are numbers: the
-    answers are gathered per notice from rows of numbers, and the notices
-    themselves meet them in one join. The source decides, the channel's agency
-    fills in where it cannot.
+    channel_org.
+    """
+    out = classify_wordings(read_titles(notices), places)
+    return out.select(*notices.columns, "bracket", "bracket_meaning", "radiation", "approval_org", "approval_district", "project_districts", "n_projects")
+
+
+def classify_counts(notices: DataFrame, places: DataFrame) -> DataFrame:
+    """The classification of each distinct wording of notices, with ``n``, their number; for totals."""
+    counted = read_titles(notices).groupBy(*WORDING).agg(F.count(F.lit(1)).alias("n"))
+    return classify_wordings(durable(counted, "wordings"), places)
+
+
+def classify_wordings(read: DataFrame, places: DataFrame) -> DataFrame:
+    """Add meaning, approval agency and districts to rows with the columns ``WORDING``; ``read`` is read twice.
+
+    Agencies and brackets are few: they are located once each and joined back
+    as small tables. Addresses are many and mostly distinct: they are
+    located where they stand, next to what their city needs of the places, so
+    that no notice is shuffled. The source decides, the channel's agency fills
+    in where it cannot.
     """
     where = ["prov_code", "city_code"]
-    at = [F.col(x) for x in where]
-    read = durable(notices.withColumn("bracket", N.bracket_of(F.col("title"))).withColumn("_n", F.monotonically_increasing_id()), "notices")
-    orgs = (read.select(*where, F.explode(F.array("source", "channel_org")).alias("org"))
-            .filter(F.coalesce("org", F.lit("")) != ""))
-    named = approval_areas(coded(orgs, *where, "org").drop("id"), places).filter(F.col("name") != "")
-    known = durable(named.select(text_id(*at, F.col("org")).alias("id"), F.struct("name", "area").alias("answer")), "approval")
-    brackets = bracket_districts(coded(read.filter(F.col("bracket") != ""), *where, "bracket"), places).select("id", "_at")
-    each = read.select("_n", *where, F.posexplode("locations").alias("i", "addr")).filter(F.col("addr").isNotNull())
-    located = address_districts(coded(each, *where, "addr"), places).select("id", "district")
-    districts = (each.select("_n", "i", text_id(*at, F.col("addr")).alias("id")).join(located, "id").groupBy("_n").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("i", "district"))), lambda x: x["district"]).alias("project_districts")))
-    asked = read.select("_n", *[text_id(*at, F.col(x)).alias(f"_{x}") for x in ("source", "channel_org", "bracket")])
-    answers = (asked.join(known.select(F.col("id").alias("_source"), F.col("answer").alias("_s")), "_source", "left")
-               .join(known.select(F.col("id").alias("_channel_org"), F.col("answer").alias("_c")), "_channel_org", "left")
-               .join(brackets.select(F.col("id").alias("_bracket"), "_at"), "_bracket", "left")
-               .join(districts, "_n", "left").select("_n", "_s", "_c", "_at", "project_districts"))
-    joined = read.join(answers, "_n")
+    told = durable(read.select(*where, "source", "channel_org", "bracket").distinct(), "told")
+    orgs = told.select(*where, F.explode(F.array("source", "channel_org")).alias("org")).filter(F.coalesce("org", F.lit("")) != "")
+    named = approval_areas(orgs.distinct(), places).filter(F.col("name") != "")
+    known = durable(named.select(*where, "org", F.struct("name", "area").alias("answer")), "approval")
+    brackets = durable(bracket_districts(told.select(*where, "bracket"), places), "brackets")
+    cities = durable(address_contexts(told.select(*where).distinct(), places), "contexts")
+    same = {x: x for x in where}
+    joined = _at(read, known, {**same, "org": "source"}, {"answer": "_s"})
+    joined = _at(joined, known, {**same, "org": "channel_org"}, {"answer": "_c"})
+    joined = _at(joined, brackets, {**same, "bracket": "bracket"}, {"_at": "_at"})
+    joined = _at(joined, cities, same, {"city": "_city", "place": "_place"})
     own = F.col("_s.area").isNotNull()
     fallback = ~own & (F.coalesce("channel_org", F.lit("")) != "")
     org = F.when(fallback, F.col("_c.name")).otherwise(F.col("_s.name"))
     district = F.when(own, F.col("_s.area")).otherwise(F.col("_c.area"))
-    staged = (joined.withColumn("radiation", N.is_radiation(F.col("title"), F.col("bracket")))
+    addresses = F.filter("locations", lambda a: a.isNotNull())
+    districts = F.transform(addresses, lambda a: district_of_address(a, F.col("_city"), F.col("_place")))
+    staged = (once(joined, project_districts=F.coalesce(districts, F.array().cast("array<string>")))
               .withColumn("approval_org", F.coalesce(org, F.lit("")))
-              .withColumn("approval_district", F.coalesce(district, F.lit("")))
-              .withColumn("project_districts", F.coalesce("project_districts", F.array().cast("array<string>"))))
+              .withColumn("approval_district", F.coalesce(district, F.lit(""))))
     meaning = N.bracket_meaning(F.col("bracket"), F.col("radiation"), F.col("_at"), F.col("approval_district"))
-    return staged.select(*notices.columns, "bracket", meaning.alias("bracket_meaning"), "radiation", "approval_org", "approval_district",
+    return staged.select(*read.columns, meaning.alias("bracket_meaning"), "approval_org", "approval_district",
                          "project_districts", F.size("locations").cast("long").alias("n_projects"))
 
 
+def address_contexts(where: DataFrame, places: DataFrame) -> DataFrame:
+    """Distinct ``(prov_code, city_code)`` with what their addresses need of the places: the city, or all cities where none is known."""
+    city, p = city_by_code(F.col("city_code"), F.col("place")), F.col("place")
+    staged = with_place(where, places).withColumn("city", city)
+    return staged.select(*where.columns, "city", F.struct(p["core"].alias("core"), F.when(F.col("city").isNull(), p["cities"]).alias("cities"),
+                                                          p["extra_zones"].alias("extra_zones"), p["city_words"].alias("city_words")).alias("place"))
+
+
 def project_rows(classified: DataFrame) -> DataFrame:
     """One row per project: the i-th record, address and district side by side, at least one row per notice.
 
@@ -127,14 +150,26 @@ def project_rows(classified: DataFrame) -> DataFrame:
     return out.select(*[v.alias(name) for v, name in zip(values, R.PROJECT_COLUMNS)])
 
 
+def _weight(classified: DataFrame) -> Column:
+    """How many notices a row stands for: ``n`` of counted wordings, else one."""
+    return F.col("n") if "n" in classified.columns else F.lit(1).cast("long")
+
+
+def meanings(classified: DataFrame) -> DataFrame:
+    """Number of notices per meaning of the closing bracket."""
+    return classified.groupBy("bracket_meaning").agg(F.sum(_weight(classified)).alias("n"))
+
+
 def parse_coverage(classified: DataFrame) -> DataFrame:
     """How many notices could be read: totals and shares."""
+    n = _weight(classified)
     filled = F.filter("project_districts", lambda d: d != "")
+    count = lambda test: F.coalesce(F.sum(F.when(test, n)), F.lit(0).cast("long"))
     sums = classified.agg(
-        F.count(F.lit(1)).alias("notices"), F.count_if(F.col("approval_org") != "").alias("with_org"),
-        F.count_if(F.col("approval_district") != "").alias("with_district"), F.count_if(F.col("n_projects") > 0).alias("with_locations"),
-        F.sum("n_projects").alias("projects"), F.sum(F.size("project_districts")).cast("long").alias("addresses"),
-        F.sum(F.size(filled)).cast("long").alias("resolved"), F.count_if("radiation").alias("radiation"))
+        F.coalesce(F.sum(n), F.lit(0).cast("long")).alias("notices"), count(F.col("approval_org") != "").alias("with_org"),
+        count(F.col("approval_district") != "").alias("with_district"), count(F.col("n_projects") > 0).alias("with_locations"),
+        F.sum(F.col("n_projects") * n).alias("projects"), F.sum(F.size("project_districts") * n).cast("long").alias("addresses"),
+        F.sum(F.size(filled) * n).cast("long").alias("resolved"), count(F.col("radiation")).alias("radiation"))
     share = lambda a, b: percent(F.col(a), F.col(b))
     return sums.select("*", share("with_org", "notices").alias("org_share"), share("with_district", "notices").alias("district_share"),
                        share("with_locations", "notices").alias("location_share"), share("resolved", "addresses").alias("resolved_share"))
@@ -142,8 +177,9 @@ def parse_coverage(classified: DataFrame) -> DataFrame:
 
 def approval_agreement(classified: DataFrame) -> DataFrame:
     """Approval district against project districts: same, different, share of different."""
-    each = classified.select("approval_district", F.explode("project_districts").alias("d"))
+    each = classified.select("approval_district", F.explode("project_districts").alias("d"), _weight(classified).alias("n"))
     usable = each.filter((F.col("d") != "") & (F.col("approval_district") != ""))
     same = F.col("d") == F.col("approval_district")
-    return usable.agg(F.count_if(same).alias("same"), F.count_if(~same).alias("different")).select(
+    count = lambda test: F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0).cast("long"))
+    return usable.agg(count(same).alias("same"), count(~same).alias("different")).select(
         "*", percent(F.col("different"), F.col("same") + F.col("different")).alias("different_share"))

@@ -241,3 +241,30 @@ def test_grown_files_give_their_new_records(spark, tmp_path):
     assert taken(1) == [("a_甲市", "丙"), ("a_甲市", "乙"), ("c_丙市", "甲")]
     save("a_甲市.json", ["甲"])  # started anew: nothing is taken back, and nothing comes twice
     assert log.ingest(str(folder), lines=True) == 2 and taken(2) == [] and log.read().count() == 7
+
+
+def test_classification_shuffles_no_notices(spark, places):
+    """Agencies and brackets come back as small tables, addresses are located where they stand; totals go by distinct wordings."""
+    from regwise.plans.notices import approval_agreement, classify, classify_counts
+    rows = [("320000", "320100", "南京市生态环境局受理公示（玄武）", "南京市生态环境局", ["玄武区中山路1号", None, "无名"], "南京市生态环境局"),
+            ("320000", None, "江苏省生态环境厅受理公示", "江苏省生态环境厅", ["鼓楼区1号"], ""), ("320000", "999999", "公示", None, None, None)]
+    notices = spark.createDataFrame(rows * 3, "prov_code string, city_code string, title string, source string, locations array<string>, channel_org string")
+    out = classify(notices, places)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert out.count() == 9 and {tuple(r.project_districts) for r in out.collect()} >= {("玄武", ""), ()}
+    counts = classify_counts(notices, places)
+    assert [r.n for r in counts.select("n").collect()] == [3, 3, 3]
+    assert approval_agreement(counts).collect() == approval_agreement(out).collect()
+
+
+def test_large_frames_are_not_written(spark):
+    from pathlib import Path
+    from regwise.session import shared_dir
+    from workload.frames import LARGE, Frames
+    f = Frames(spark, "/root/testdata/sf0.001")
+    before = set(Path(shared_dir(spark).removeprefix("file:")).glob("*"))
+    for name in LARGE:
+        assert getattr(f, name).columns
+    new = {p.name.rsplit("-", 1)[0] for p in set(Path(shared_dir(spark).removeprefix("file:")).glob("*")) - before}
+    assert not new & set(LARGE) and "area" in new
