@@ -268,3 +268,14 @@ def test_large_frames_are_not_written(spark):
         assert getattr(f, name).columns
     new = {p.name.rsplit("-", 1)[0] for p in set(Path(shared_dir(spark).removeprefix("file:")).glob("*")) - before}
     assert not new & set(LARGE) and "area" in new
+
+
+def test_notice_files_are_written_where_they_are_made(spark):
+    """No task takes in more than its share: the files need no exchange and grow in number with the table."""
+    from pathlib import Path
+    from workload.frames import Frames
+    from workload.q_io import notice_files
+    f = Frames(spark, "/root/testdata/sf0.001")
+    path, schema = notice_files(f, rows=200)
+    files = spark.read.schema(schema).parquet(path).inputFiles()
+    assert len(files) >= f.notices.count() // 200 and Path(path.removeprefix("file:")).exists()

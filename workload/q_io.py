@@ -367,14 +367,21 @@ def upsert_q(f: Frames):
     return store.read()
 
 
+def notice_files(f: Frames, rows: int = 250_000):
+    """Folder and schema of the notices as files, each of ``rows`` notices or an eighth of a small table; every task writes its own."""
+    path, notices = scratch_path(f.spark, "notice-files"), notice_input(f)
+    notices.write.option("maxRecordsPerFile", max(1, min(rows, f.lineitem.count() // 8))).parquet(path)
+    return path, notices.schema
+
+
 @query("str_04_stream_classification", """SELECT ord, title, bracket, bracket_meaning, radiation, approval_org, approval_district,
   array_to_string(project_districts, ',') AS project_districts, n_projects FROM cls""")
 def stream_classification_q(f: Frames):
     """Notices that arrive as files are read like the table of all of them."""
-    source, out = scratch_path(f.spark, "notice-files"), scratch_path(f.spark, "classified")
-    notices = notice_input(f)
-    notices.repartitionByRange(4, "ord").write.parquet(source)
-    stream = f.spark.readStream.schema(notices.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    out = scratch_path(f.spark, "classified")
+    source, schema = notice_files(f)
+    count = len(f.spark.read.schema(schema).parquet(source).inputFiles())
+    stream = f.spark.readStream.schema(schema).option("maxFilesPerTrigger", (count + 1) // 2).parquet(source)
     ST.classify_stream(stream, f.places, out, scratch_path(f.spark, "classified-mark")).awaitTermination()
     read = f.spark.read.parquet(out)
     return read.select("ord", "title", "bracket", "bracket_meaning", "radiation", "approval_org", "approval_district",
