@@ -16,7 +16,8 @@ from regwise.session import durable, once
 
 def raw_anchors(pages: DataFrame) -> DataFrame:
     """One row per anchor: page_id, page_url, pos, its opening tag and inner markup."""
-    each = pages.select("page_id", F.col("url").alias("page_url"), F.posexplode(P.anchors(F.col("html"))).alias("pos", "anchor"))
+    found = once(pages.select("page_id", F.col("url").alias("page_url"), "html"), _anchors=P.anchors(F.col("html")))
+    each = found.select("page_id", "page_url", F.posexplode("_anchors").alias("pos", "anchor"))
     parts = once(each, tag=P.anchor_tag(F.col("anchor")), inner=P.anchor_inner(F.col("anchor")))
     return parts.select("page_id", "page_url", F.col("pos").cast("long").alias("pos"), "tag", "inner")
 
@@ -50,10 +51,11 @@ def extract_anchors(pages: DataFrame) -> DataFrame:
     """
     href = F.regexp_extract("tag", "href=[\"']([^\"'#]+)", 1)
     attr = F.regexp_extract("tag", "title=[\"']([^\"']+)", 1)
-    text = P.page_text(F.col("inner"))
+    text = F.col("text")
     cut = (F.length(text) < 2) | text.endswith("...") | text.endswith("…")
-    linked = once(raw_anchors(pages).filter(href != ""), text=F.when((attr != "") & cut, attr).otherwise(text),
-                  url=F.regexp_replace(resolve(F.col("page_url"), strip(href)), "(?s)\\?t=_blank.*$", ""))
+    read = once(raw_anchors(pages), href=href, attr=attr, text=P.page_text(F.col("inner"))).filter("href <> ''")
+    linked = once(read.select("page_id", "page_url", "pos", F.when((F.col("attr") != "") & cut, F.col("attr")).otherwise(text).alias("text"), "href"),
+                  url=F.regexp_replace(resolve(F.col("page_url"), strip(F.col("href"))), "(?s)\\?t=_blank.*$", ""))
     return linked.select("page_id", "page_url", "pos", "text", "url")
 
 
@@ -179,7 +181,8 @@ def attachments(pages: DataFrame, files: DataFrame) -> DataFrame:
     """
     href = F.regexp_extract("tag", "href=[\"']([^\"']+)[\"']", 1)
     attr = F.regexp_extract("tag", "title=[\"']([^\"']*)", 1)
-    linked = once(raw_anchors(pages).filter(href != ""), url=resolve(F.col("page_url"), strip(href)))
+    read = once(raw_anchors(pages), href=href).filter("href <> ''")
+    linked = once(read, url=resolve(F.col("page_url"), strip(F.col("href"))))
     found = (once(linked, label=attachment_label(P.page_text(F.col("inner")), attr, F.col("url")))
              .filter(is_attachment(F.col("url"), F.col("label"))))
     sized = (found.join(files.select("url", "size", "pages"), "url", "left")
