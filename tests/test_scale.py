@@ -279,3 +279,14 @@ def test_notice_files_are_written_where_they_are_made(spark):
     path, schema = notice_files(f, rows=200)
     files = spark.read.schema(schema).parquet(path).inputFiles()
     assert len(files) >= f.notices.count() // 200 and Path(path.removeprefix("file:")).exists()
+
+
+def test_address_parts_are_read_once(spark):
+    """Four parts of the page and five of the link are matched once each, and dots are resolved only where there are some."""
+    from regwise.functions.url import resolve
+    rows = [("http://a.cn/x/y/p.html?q", h) for h in ("../n.html", "./n.html", "n.html", "/r/./n", "?z", "#m", "//b.cn/n", "mailto:x", "..")]
+    df = spark.createDataFrame(rows, "base string, href string").select(resolve(F.col("base"), F.col("href")).alias("url"))
+    assert df._jdf.queryExecution().analyzed().toString().count("regexp_extract(") == 9
+    assert [r.url for r in df.collect()] == [
+        "http://a.cn/x/n.html", "http://a.cn/x/y/n.html", "http://a.cn/x/y/n.html", "http://a.cn/r/n", "http://a.cn/x/y/p.html?z",
+        "http://a.cn/x/y/p.html?q#m", "http://b.cn/n", "mailto:x", "http://a.cn/x/"]
