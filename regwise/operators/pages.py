@@ -147,31 +147,37 @@ def follow_edges(anchors: DataFrame) -> DataFrame:
 def bounded_reach(homes: DataFrame, edges: DataFrame, depth: int = R.MAX_DEPTH, max_pages: int = R.MAX_PAGES) -> DataFrame:
     """Pages reached from each home in breadth-first order: (site, url, depth, visit).
 
-    At most ``max_pages`` pages per site and ``depth`` links away. One join per
-    level; each level is written, so a lost executor repeats one level only.
-    A page's first ``2 * max_pages`` distinct targets are enough: fewer than
-    ``max_pages`` of them can be visited already, and no more than
-    ``max_pages`` can still be visited.
+    At most ``max_pages`` pages per site and ``depth`` links away. A page is one
+    row with its first ``2 * max_pages`` distinct targets, a site is one row
+    with its pages: fewer than ``max_pages`` of the targets can be visited
+    already, and no more than ``max_pages`` can still be visited. Each level
+    joins the pages visited last to their targets and is written, so a lost
+    executor repeats one level only.
     """
     order = Window.partitionBy("src").orderBy("pos", "dst")
     links = edges.groupBy("src", "dst").agg(F.min("pos").alias("pos"))
-    links = durable(links.withColumn("_k", F.row_number().over(order)).filter(F.col("_k") <= 2 * max_pages).drop("_k"), "links")
-    reached = durable(homes.select("site", "url", F.lit(0).alias("depth"), F.lit(1).cast("long").alias("visit")), "reach")
-    frontier = reached
+    links = links.withColumn("_k", F.row_number().over(order)).filter(F.col("_k") <= 2 * max_pages)
+    targets = F.transform(F.sort_array(F.collect_list(F.struct("_k", "pos", "dst"))), lambda x: F.struct(x["pos"].alias("pos"), x["dst"].alias("dst")))
+    links = durable(links.groupBy(F.col("src").alias("url")).agg(targets.alias("targets")), "links")
+    page = lambda url, level, visit: F.struct(url.alias("url"), F.lit(level).alias("depth"), visit.cast("long").alias("visit"))
+    reached = durable(homes.groupBy("site").agg(F.collect_list(page(F.col("url"), 0, F.lit(1))).alias("pages")), "reach")
+    done = F.array_max(F.transform("pages", lambda p: p["visit"]))
+    room = F.lit(max_pages) - done
     for level in range(1, depth + 1):
-        # sites that used up their pages are not expanded any further
-        done = reached.groupBy("site").agg(F.max("visit").alias("_done")).filter(F.col("_done") < max_pages)
-        open_ends = frontier.join(done.select("site"), "site", "left_semi")
-        steps = (open_ends.join(links, open_ends["url"] == links["src"]).groupBy("site", "dst")
-                 .agg(F.min(F.struct("visit", "pos")).alias("_at")).withColumnRenamed("dst", "url")
-                 .join(reached.select("site", "url"), ["site", "url"], "left_anti"))
-        rank = F.row_number().over(Window.partitionBy("site").orderBy("_at", "url"))
-        frontier = durable(
-            steps.withColumn("_rank", rank).filter(F.col("_rank") <= max_pages).join(done, "site")
-            .withColumn("visit", F.col("_rank") + F.col("_done")).filter(F.col("visit") <= max_pages)
-            .select("site", "url", F.lit(level).alias("depth"), F.col("visit").cast("long").alias("visit")), "reach")
-        reached = reached.unionByName(frontier)
-    return reached
+        # sites that used up their pages are not expanded any further; of a page, as many targets as are visited or have room
+        ends = reached.filter(done < max_pages).select(
+            "site", (room + F.size("pages")).cast("int").alias("_most"), F.inline(F.filter("pages", lambda p: p["depth"] == level - 1)))
+        told = F.slice("targets", F.lit(1), F.col("_most"))
+        steps = ends.join(links, "url").select("site", "visit", (told if level == 1 else told["dst"]).alias("targets")).groupBy("site").agg(
+            F.collect_list(F.struct("visit", "targets")).alias("_steps"))
+        # visits differ but for the homes of one site, whose targets are merged by position
+        found = F.flatten(F.transform(F.sort_array("_steps"), lambda x: x["targets"]))
+        found = F.sort_array(found)["dst"] if level == 1 else found
+        fresh = F.slice(F.array_except(found, F.col("pages")["url"]), F.lit(1), F.greatest(room, F.lit(0)).cast("int"))
+        more = F.transform(fresh, lambda u, i: page(u, level, done + 1 + i))
+        reached = durable(reached.join(steps, "site", "left").select(
+            "site", F.concat("pages", F.coalesce(more, F.array().cast(reached.schema["pages"].dataType))).alias("pages")), "reach")
+    return reached.select("site", F.inline("pages"))
 
 
 def attachments(pages: DataFrame, files: DataFrame) -> DataFrame:

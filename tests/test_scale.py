@@ -290,3 +290,16 @@ def test_address_parts_are_read_once(spark):
     assert [r.url for r in df.collect()] == [
         "http://a.cn/x/n.html", "http://a.cn/x/y/n.html", "http://a.cn/x/y/n.html", "http://a.cn/r/n", "http://a.cn/x/y/p.html?z",
         "http://a.cn/x/y/p.html?q#m", "http://b.cn/n", "mailto:x", "http://a.cn/x/"]
+
+
+def test_reach_is_one_row_a_site(spark, monkeypatch):
+    """Levels are written with one row for a site; several homes of a site share their visit, and their targets go by position."""
+    from regwise.operators import pages
+    written, durable = [], pages.durable
+    monkeypatch.setattr(pages, "durable", lambda df, label: (written.append((label, durable(df, label))), written[-1][1])[1])
+    edges = spark.createDataFrame([("a", "x", 5), ("b", "y", 3), ("a", "z", 9), ("a", "x", 7), ("b", "x", 1), ("x", "b", 1), ("x", "w", 2), ("y", "v", 1)],
+                                  "src string, dst string, pos long")
+    homes = spark.createDataFrame([("s", "a"), ("s", "b"), ("t", "q")], "site string, url string")
+    out = sorted((r.site, r.visit, r.depth, r.url) for r in pages.bounded_reach(homes, edges, 2, 5).collect())
+    assert out == [("s", 1, 0, "a"), ("s", 1, 0, "b"), ("s", 2, 1, "x"), ("s", 3, 1, "y"), ("s", 4, 1, "z"), ("s", 5, 2, "w"), ("t", 1, 0, "q")]
+    assert [df.count() for label, df in written if label == "reach"] == [2, 2, 2]
