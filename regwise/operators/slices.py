@@ -56,8 +56,10 @@ def match_slices(targets: DataFrame, projects: DataFrame) -> DataFrame:
     Every tier is a join of its own: the district tiers on pool and district,
     the whole-pool tiers on totals without addresses. Only rows that no
     district settles look at addresses, each distinct one once per zone.
+    ``projects`` may be their written counts (``slice_counts``), to match more
+    than once.
     """
-    values = durable(slice_counts(projects), "slices")
+    values = projects if "n" in projects.columns else durable(slice_counts(projects), "slices")
     rows = targets.filter(F.col("entry_url") != "").withColumn("_whole", whole_entry(F.col("scope")))
     key = F.regexp_replace(F.coalesce(F.get(scope_names(F.col("scope")), F.lit(0)), F.lit("")), "区$", "")
     key = F.regexp_replace(F.regexp_replace(key, "县$", ""), "市$", "")

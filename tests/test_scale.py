@@ -303,3 +303,14 @@ def test_reach_is_one_row_a_site(spark, monkeypatch):
     out = sorted((r.site, r.visit, r.depth, r.url) for r in pages.bounded_reach(homes, edges, 2, 5).collect())
     assert out == [("s", 1, 0, "a"), ("s", 1, 0, "b"), ("s", 2, 1, "x"), ("s", 3, 1, "y"), ("s", 4, 1, "z"), ("s", 5, 2, "w"), ("t", 1, 0, "q")]
     assert [df.count() for label, df in written if label == "reach"] == [2, 2, 2]
+
+
+def test_fill_summary_counts_projects_once(spark):
+    from pathlib import Path
+    from regwise.session import shared_dir
+    from workload.frames import Frames
+    from workload.q_notices import fill_summary_q
+    counts = lambda: set(Path(shared_dir(spark).removeprefix("file:")).glob("slices-*"))
+    before = counts()
+    assert fill_summary_q(Frames(spark, "/root/testdata/sf0.001")).count() > 0
+    assert len(counts() - before) == 1
