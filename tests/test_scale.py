@@ -314,3 +314,13 @@ def test_fill_summary_counts_projects_once(spark):
     before = counts()
     assert fill_summary_q(Frames(spark, "/root/testdata/sf0.001")).count() > 0
     assert len(counts() - before) == 1
+
+
+def test_appended_projects_are_classified_once(spark, monkeypatch):
+    from workload import q_io
+    from workload.frames import Frames
+    sources, append = [], q_io.WR.append_projects
+    monkeypatch.setattr(q_io.WR, "append_projects", lambda rows, path: (sources.append(rows.inputFiles()), append(rows, path)))
+    back = q_io.append_q(Frames(spark, "/root/testdata/sf0.001"))
+    assert [any("lineitem" in x for x in s) for s in sources] == [True, False]
+    assert back.agg(F.sum(F.col("n") % 2)).first()[0] == 0

@@ -241,7 +241,8 @@ def append_q(f: Frames):
     path = scratch_path(f.spark, "projects")
     rows = NP.project_rows(classified(f))
     WR.append_projects(rows, path)
-    WR.append_projects(rows, path)
+    # the same rows once more, as they stand in the data set, so that they are classified once
+    WR.append_projects(f.spark.read.schema(rows.schema).parquet(path), path)
     return f.spark.read.schema(rows.schema).parquet(path).groupBy("公告URL", "建设地点", "项目地区").agg(F.count(F.lit(1)).alias("n"))
 
 
