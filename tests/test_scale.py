@@ -324,3 +324,11 @@ def test_appended_projects_are_classified_once(spark, monkeypatch):
     back = q_io.append_q(Frames(spark, "/root/testdata/sf0.001"))
     assert [any("lineitem" in x for x in s) for s in sources] == [True, False]
     assert back.agg(F.sum(F.col("n") % 2)).first()[0] == 0
+
+
+def test_lines_meet_orders_that_know_their_customers(spark):
+    """Lines are joined to orders once; the join of orders and customers lies below that join."""
+    from workload.frames import Frames
+    plan = Frames(spark, "/root/testdata/sf0.001").notices._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda key: next(x.index("Join Inner") for x in plan if "Join Inner" in x and key in x)
+    assert depth("c_custkey") > depth("l_orderkey")
