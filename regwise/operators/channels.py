@@ -15,7 +15,7 @@ from regwise.functions.notice import publisher_of, stage_of
 from regwise.functions.text import function_key, half_width_brackets, normalize
 from regwise.operators.places import locate, with_function
 from regwise.operators.units import spelling_rows
-from regwise.session import durable, small
+from regwise.session import durable, once, small
 
 
 def found_note(day: Column, n: Column) -> Column:
@@ -132,11 +132,23 @@ def publisher_tally(titles: DataFrame, units: DataFrame, places: DataFrame) -> D
         counted(F.collect_list(F.struct(F.col("publisher").alias("key"), "n")), form="%s(%d)").alias("portal_publisher"))
 
 
+def district_counts(projects: DataFrame) -> DataFrame:
+    """Projects per (city, publisher, district) with their first ``ord``; wordings are cleaned once per distinct text."""
+    raw = (projects.filter(F.col("publisher") != "").groupBy("prov_code", "city", "city_code", "publisher", "project_district")
+           .agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("ord")))
+    # behind ``once`` the clean-up is not dragged below the counting
+    return (once(raw, name=normalize(F.col("publisher"))).groupBy("prov_code", "city", "city_code", "name", "project_district")
+            .agg(F.sum("n").alias("n"), F.min("ord").alias("ord")))
+
+
 def location_hints(projects: DataFrame, top: int = 3) -> DataFrame:
     """Per (city, publisher) the most frequent project districts, in order."""
-    n = (projects.filter((F.col("publisher") != "") & (F.col("project_district") != ""))
-         .groupBy("prov_code", "city", "city_code", normalize(F.col("publisher")).alias("name"), "project_district")
-         .agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("ord")))
+    return usual_districts(district_counts(projects), top)
+
+
+def usual_districts(counts: DataFrame, top: int = 3) -> DataFrame:
+    """The ``top`` districts of each (city, publisher) in ``district_counts``; blank districts are no hint."""
+    n = counts.filter(F.col("project_district") != "")
     order = Window.partitionBy("prov_code", "city", "name").orderBy(F.desc("n"), "ord")
     return n.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top).drop("ord")
 
@@ -146,10 +158,10 @@ def attribute_with_hints(projects: DataFrame, units: DataFrame, places: DataFram
 
     ``tried`` lists the keys that its wording led to, in the order of trying.
     """
-    seen = (projects.filter(F.col("publisher") != "")
-            .groupBy("prov_code", "city", "city_code", normalize(F.col("publisher")).alias("name")).agg(F.count(F.lit(1)).alias("n")))
+    counts = durable(district_counts(projects), "districts")
+    seen = counts.groupBy("prov_code", "city", "city_code", "name").agg(F.sum("n").alias("n"))
     bare = seen.select("prov_code", "city", "city_code", "name", F.lit("").alias("county"), F.lit(0).cast("long").alias("rank"))
-    hinted = location_hints(projects).select("prov_code", "city", "city_code", "name", F.col("project_district").alias("county"), "rank")
+    hinted = usual_districts(counts).select("prov_code", "city", "city_code", "name", F.col("project_district").alias("county"), "rank")
     tries = locate(bare.unionByName(hinted).withColumnRenamed("city", "channel_city"), places)
     keyed = (with_function(tries, places).filter(F.col("area").isNotNull())
              .withColumn("function_key", function_key(F.col("city"), F.col("area"), F.col("function"))))

@@ -332,3 +332,21 @@ def test_lines_meet_orders_that_know_their_customers(spark):
     plan = Frames(spark, "/root/testdata/sf0.001").notices._jdf.queryExecution().optimizedPlan().toString().splitlines()
     depth = lambda key: next(x.index("Join Inner") for x in plan if "Join Inner" in x and key in x)
     assert depth("c_custkey") > depth("l_orderkey")
+
+
+def test_wordings_are_counted_in_one_pass(spark, places, monkeypatch):
+    """Projects are read for one count; blanks and nulls give no hint, but count for their wording."""
+    from regwise.operators import channels
+    written, durable = [], channels.durable
+    monkeypatch.setattr(channels, "durable", lambda df, label: (written.append(label), durable(df, label))[1])
+    rows = [("320000", "南京市", "320100", p, d, o) for o, (p, d) in enumerate(
+        [("行政审批局", ""), ("行政审批局 ", "玄武"), ("行政审批局", None), ("行政审批局环评科", "鼓楼"), ("", "玄武"), (None, "玄武")])]
+    projects = spark.createDataFrame(rows, "prov_code string, city string, city_code string, publisher string, project_district string, ord long")
+    projects.select("*").write.parquet(path := f"{session.scratch_path(spark, 'projects')}")
+    projects = spark.read.parquet(path)
+    units_ = spark.createDataFrame([("320000", "南京市|玄武|行政审批")], "prov_code string, function_key string")
+    out = channels.attribute_with_hints(projects, units_, places)
+    assert written == ["districts"] and not any("projects-" in x for x in out.inputFiles())
+    assert [(r.name, r.n) for r in out.collect()] == [("行政审批局", 4)]
+    hints = channels.location_hints(projects)
+    assert [(r.project_district, r.n, r["rank"]) for r in hints.orderBy("rank").collect()] == [("玄武", 1, 1), ("鼓楼", 1, 2)]
