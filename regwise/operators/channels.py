@@ -198,6 +198,17 @@ def unattached(attributed: DataFrame) -> DataFrame:
     return attributed.filter(F.col("unit_key").isNull()).select("prov_code", "city", "name", "n", reason.alias("reason"))
 
 
+def portal_marks(titles: DataFrame) -> DataFrame:
+    """What the hits of county portals need of each title; the first ``ord`` is sorted for, so rows leave their texts behind."""
+    short, page = F.col("district_short"), F.col("page_text")
+    staged = titles.withColumn("accept", stage_of(F.col("title")) == R.STAGES[0])
+    return staged.select(
+        "prov_code", "city", "district_short", "url", "city_code", "ord", "accept", publisher_of(F.col("title")).alias("publisher"),
+        (F.col("column_title").contains(short) | (F.col("accept") & F.col("title").contains(short))).alias("names_county"),
+        (F.concat("column_title", "link_text", "source_title").rlike(R.ECO_PAGE) | page.contains(F.concat(short, F.lit("分局")))
+         | page.contains(F.concat(F.lit("生态环境局"), short))).alias("eco_page"))
+
+
 def county_channel_hits(titles: DataFrame, units: DataFrame, places: DataFrame) -> DataFrame:
     """Hits of county portals: (prov_code, unit_key, url, n).
 
@@ -208,15 +219,10 @@ def county_channel_hits(titles: DataFrame, units: DataFrame, places: DataFrame)
     unit when the page points to it.
     """
     per_key = ["prov_code", "city", "district_short", "url"]
-    accept = stage_of(F.col("title")) == R.STAGES[0]
-    short = F.col("district_short")
-    # one pass over the titles; everything below works on counts per publisher
-    counted = durable(titles.groupBy(*per_key, "city_code", publisher_of(F.col("title")).alias("publisher")).agg(
-        F.count(F.lit(1)).alias("all"), F.count_if(accept).alias("n"), F.min("ord").alias("ord"),
-        F.bool_or(F.col("column_title").contains(short) | (accept & F.col("title").contains(short))).alias("names_county"),
-        F.bool_or(F.concat("column_title", "link_text", "source_title").rlike(R.ECO_PAGE)
-                  | F.col("page_text").contains(F.concat(short, F.lit("分局")))
-                  | F.col("page_text").contains(F.concat(F.lit("生态环境局"), short))).alias("eco_page")), "published")
+    # one pass over the titles, sorted by the keys that differ soonest; everything below works on counts per publisher
+    counted = durable(portal_marks(titles).groupBy("district_short", "publisher", "url", "city", "prov_code", "city_code").agg(
+        F.count(F.lit(1)).alias("all"), F.count_if("accept").alias("n"), F.min("ord").alias("ord"),
+        F.bool_or("names_county").alias("names_county"), F.bool_or("eco_page").alias("eco_page")), "published")
     keys = publisher_keys(counted, places).select("prov_code", "city", "city_code", "publisher", "key")
     by_key = (counted.join(keys, ["prov_code", "city", "city_code", "publisher"], "left").groupBy(*per_key, "key")
               .agg(F.sum("all").alias("all"), F.sum("n").alias("n"), F.min("ord").alias("ord")))

@@ -364,3 +364,22 @@ def test_titles_are_made_once(spark):
     titles = q_notices.titles_of(f)
     assert titles.columns == ["prov_code", "city", "city_code", "url", "title", "ord"]
     assert titles.select("ord", "title").exceptAll(f.notices.select("ord", "title")).count() == 0 < titles.count() == f.notices.count()
+
+
+def test_portal_titles_leave_their_texts_behind(spark, places, monkeypatch):
+    """The first record of a publisher is found among rows without titles and page texts; nulls mark nothing."""
+    from regwise.operators import channels
+    written, durable = {}, channels.durable
+    monkeypatch.setattr(channels, "durable", lambda df, label: written.setdefault(label, durable(written.setdefault(f"{label} plan", df), label)))
+    page = ("320000", "南京市", "320100", "玄武", "http://x/")
+    rows = [(*page, "南京市生态环境局关于受理玄武项目的公示", "公示", "环评", "门户", "首页", "2"), (*page, None, "公示", "环评", "门户", "首页", "1"),
+            (*page, "公示", "公示", "环评", "门户", "玄武分局", "3"), (*page, "南京市生态环境局关于批复的公示", None, "环评", "门户", None, "4")]
+    titles = spark.createDataFrame(rows, "prov_code string, city string, city_code string, district_short string, url string, title string, "
+                                         "column_title string, link_text string, source_title string, page_text string, ord string")
+    units_ = spark.createDataFrame([("320000", f"南京市|{a}|生态环境") for a in ("玄武", "市本级")], "prov_code string, function_key string")
+    hits = channels.county_channel_hits(titles, units_, places).collect()
+    plan = written["published plan"]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert "Aggregate" in plan[0] and "title" not in plan[0] and "page_text" not in plan[0]
+    got = {r.publisher: (r["all"], r.n, r.ord, r.names_county, r.eco_page) for r in written["published"].collect()}
+    assert got == {"南京市生态环境局": (2, 1, "2", True, False), "": (2, 0, "1", False, True)}
+    assert [(r.unit_key, r.n) for r in hits] == [("南京市|玄武|生态环境", 1)]
