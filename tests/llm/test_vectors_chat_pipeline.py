@@ -46,6 +46,33 @@ def test_grid_join(spark):
     assert order(grid_join.linked_vectors(df.where("vec_id between 400 and 403")).collect()) == [(i, 0, i, True) for i in range(400, 404)]
 
 
+def test_grid_join_in_groups(spark, monkeypatch):
+    """Several groups and jobs, links summed between them, single and double precision: the same answer."""
+    rows = [(i, v if i == 405 or v is None else np.float32(v).tolist()) for i, v in _vectors() if i not in (410, 411)]
+    monkeypatch.setattr(grid_join, "MERGE", 0)
+    monkeypatch.setattr(grid_join, "ROUNDS", 3)
+    monkeypatch.setattr(grid_join, "FILTER", 9)
+    monkeypatch.setattr(grid_join, "EDGES", 50)
+    for kind in ("float", "double"):
+        df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").repartition(3)
+        assert order(grid_join.linked_vectors(df, block_bytes=2000, group=4).collect()) == order(_linked(rows))
+
+
+def test_grid_join_sends_no_blocks(spark, monkeypatch):
+    """Each meeting of blocks once carried both through a shuffle, so that disk grew with the square of the vectors."""
+    plans, cut = [], grid_join.Cut
+
+    def seen(df, label, *by):
+        if label == "links" and "MapInArrow" in (plan := df._jdf.queryExecution().executedPlan().toString()):
+            plans.append(plan)
+        return cut(df, label, *by)
+    monkeypatch.setattr(grid_join, "Cut", seen)
+    rows = _vectors()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert order(grid_join.linked_vectors(df, block_bytes=4000).collect()) == order(_linked(rows))
+    assert plans and not any("Exchange" in plan for plan in plans)
+
+
 def test_chat_escapes():
     assert chat.ESCAPE not in "".join(chat.CODES) and len({*chat.CODES.values(), chat.NEWLINE}) == 3
 
