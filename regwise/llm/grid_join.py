@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,17 +19,18 @@ from regwise.llm.components import components, local_roots
 
 COSINE = 0.9
 LEADING = 8  # principal dimensions that make the grid; one more holds the length of the rest
-FILTER = 32  # principal dimensions that pairs are first compared by, with the length of the rest
+FILTER = 31  # principal dimensions that pairs are first compared by, with the length of the rest
 FIT_BYTES = 8 << 20  # of vectors on which the directions are fitted; they steer the order, not the result
 BLOCK_BYTES = 1 << 20
 GROUP = 64  # blocks that a task holds while others pass; a range beyond the first FINE is a quarter of that
 FINE = 256
-ROWS = 64  # of a matrix product
+ROWS = 256  # of a matrix product
 SLACK = 1e-4  # of single precision, in a cosine
 PASS_BYTES = 4 << 20  # of pairs compared in double precision at once
 EDGES = 1 << 20  # that a task gathers before it keeps a forest of them
 ROUNDS = 16  # in one job at most
 MERGE = 4  # times the vectors: links beyond that are summed before the next job
+BATCH = "16m"  # of pairs of blocks on their way to Python; a task holds several
 PLACE = ["h1", "h2", "n", "least"]
 SMALL = "h1 long, h2 long, n long, least long"
 
@@ -240,6 +242,20 @@ def _round(blocks: DataFrame, left: list[int], right: list[int], tasks: int, wid
     return pairs.select("a", "b", F.col("da").alias("d"), "ka", "kb", "na", "nb", "va", "vb")
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, BATCH)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def _summed(found: list[Cut]) -> DataFrame:
     rows = reduce(DataFrame.union, [x.df for x in found])
     roots = components(rows.select(F.col("k").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "k")
@@ -257,7 +273,8 @@ def _links(blocks: DataFrame, parts: list[Row], cosine: float, eps: float, axes:
         while rounds and len(job) < ROUNDS and sum(len(right) for _, right in job) < 4 * cores:
             job.append(rounds.pop(0))
         pairs = [_round(blocks, left, right, max(4 * cores, math.ceil(sum(size[i] for i in right) / group_bytes)), width, eps) for left, right in job]
-        found.append(Cut(reduce(DataFrame.union, [p.mapInArrow(_joined(cosine, axes, kind), schema) for p in pairs]), "links"))
+        with _small_batches(spark):
+            found.append(Cut(reduce(DataFrame.union, [p.mapInArrow(_joined(cosine, axes, kind), schema) for p in pairs]), "links"))
         rows += found[-1].df.count()
         if rows > MERGE * vectors and len(found) > 1:
             merged = Cut(_summed(found), "links")
